@@ -13,28 +13,31 @@ _ROW_BITS = 33
 ID_BUCKET_BITS = 20
 
 
-def dense_sequence(df: DataFrame, order_by: Sequence, out: str, *, start: int = 0) -> DataFrame:
+def dense_sequence(
+    df: DataFrame, order_by: Sequence, out: str, *, start: int = 0, keep: Sequence[str] | None = None
+) -> DataFrame:
     """Number the rows in the order of ``order_by``, whose values must be unique together.
 
     The rows are range-partitioned and sorted on all order columns, so a frequent value
-    of the first column is still split, and written to the shared folder with partition
-    number and position inside the partition. What reaches the driver is one row count
-    per partition; their running totals go back as a literal array.
+    of the first column is still split, and the columns in ``keep`` are written to the
+    shared folder with partition number and position inside the partition. What reaches
+    the driver is one row count per partition; their running totals go back as a
+    literal array.
     """
-    place = F.monotonically_increasing_id()
+    columns = [F.col(name) for name in keep or df.columns]
+    place = F.monotonically_increasing_id().alias("_place")
     ordered = df.repartitionByRange(*order_by).sortWithinPartitions(*order_by)
-    stored = materialize(ordered.withColumn("_place", place), "sequence")
+    stored = materialize(ordered.select(*columns, place), "sequence")
     partition = F.shiftright("_place", _ROW_BITS).cast("int")
-    sizes = {row["p"]: row["n"] for row in stored.groupBy(partition.alias("p")).count().withColumnRenamed("count", "n").collect()}
+    counted = stored.groupBy(partition.alias("partition")).agg(F.count(F.lit(1)).alias("rows")).collect()
+    sizes = {row["partition"]: row["rows"] for row in counted}
     offsets, total = [], start
-    for number in range(max(sizes, default=-1) + 1):
+    for number in range(max(sizes, default=0) + 1):
         offsets.append(total)
         total += sizes.get(number, 0)
-    if not offsets:
-        return stored.withColumn(out, F.lit(None).cast("long")).drop("_place")
     offset = F.element_at(F.lit(offsets).cast("array<bigint>"), partition + 1)
     position = offset + F.col("_place").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
-    return stored.withColumn(out, position).drop("_place")
+    return stored.select(*columns, position.alias(out))
 
 
 def bucketed_positions(df: DataFrame, bucket: Column, order_by: Sequence, out: str, *, start: int = 0) -> DataFrame:

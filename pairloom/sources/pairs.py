@@ -33,11 +33,7 @@ def attach_ids(
     if not include_ids:
         return df
     columns = _columns_without_id(df.columns, id_field, overwrite_ids)
-    kept = [c for c in df.columns if c != id_field]
-    # Order columns are named apart, so that the replaced id may be one of them.
-    keys = {f"_order_{i}": F.col(key) if isinstance(key, str) else key for i, key in enumerate(order_by)}
-    keyed = df.select(*kept, *(key.alias(name) for name, key in keys.items()))
-    return dense_sequence(keyed, list(keys), id_field, start=start_id).select(*columns, id_field)
+    return dense_sequence(df, order_by, id_field, start=start_id, keep=columns)
 
 
 def _columns_without_id(columns: Sequence[str], id_field: str, overwrite_ids: bool) -> list[str]:
@@ -83,13 +79,16 @@ def _scan(spark: SparkSession, file_format: str, paths: list[str], schema: T.Str
     return reduce(DataFrame.unionByName, frames)
 
 
-def _ids_by_file(rows: DataFrame, id_field: str, start_id: int, limit: int | None) -> DataFrame | None:
+def _ids_by_file(
+    rows: DataFrame, columns: Sequence[str], out: str, start: int, limit: int | None
+) -> DataFrame | None:
     """Ids in file order: rows in earlier files plus the row index in the file.
 
     Counting reads the parquet footers only. Nothing is sorted or shuffled: the offsets,
     one row per file, are joined by broadcast. None if there are too many files.
     """
-    counts = rows.groupBy("_entry", "_file").count().orderBy("_entry", "_file").limit(BROADCAST_FILES + 1).collect()
+    counts = rows.groupBy("_entry", "_file").agg(F.count(F.lit(1)).alias("rows"))
+    counts = counts.orderBy("_entry", "_file").limit(BROADCAST_FILES + 1).collect()
     if len(counts) > BROADCAST_FILES:
         return None
     offsets, total = [], 0
@@ -97,7 +96,7 @@ def _ids_by_file(rows: DataFrame, id_field: str, start_id: int, limit: int | Non
         if limit is not None and total >= limit:
             break
         offsets.append((row["_entry"], row["_file"], total))
-        total += row["count"]
+        total += row["rows"]
     if len(offsets) < len(counts) and len(offsets) <= NAMED_FILES:
         rows = rows.where(F.col("_file").isin(*{file for _, file, _ in offsets}))
     table = rows.sparkSession.createDataFrame(offsets, "_entry int, _file string, _offset long")
@@ -105,7 +104,7 @@ def _ids_by_file(rows: DataFrame, id_field: str, start_id: int, limit: int | Non
     position = F.col("_offset") + F.col("_place")
     if limit is not None:
         placed = placed.where(position < limit)
-    return placed.withColumn(id_field, position + start_id)
+    return placed.select(*columns, (position + start).alias(out))
 
 
 def load_pairs(
@@ -139,23 +138,15 @@ def load_pairs(
         return rows.select(source)
     columns = _columns_without_id(source, id_field, overwrite_ids) if include_ids else source
     number = id_field if include_ids else "_number"
-    if include_ids:
-        keep = [c for c in rows.columns if c != id_field]
-        rows_in_order = rows if order_by else rows.select(keep)
-    else:
-        rows_in_order = rows
-
     placed = None
     if order_by is None and file_format == "parquet":
-        placed = _ids_by_file(rows_in_order, number, start_id, max_examples)
+        placed = _ids_by_file(rows, columns, number, start_id, max_examples)
     if placed is None:
         keys = order_by or ["_entry", "_file", "_place"]
-        named = {f"_order_{i}": F.col(key) if isinstance(key, str) else key for i, key in enumerate(keys)}
-        keyed = rows.select(*columns, *(key.alias(alias) for alias, key in named.items()))
-        placed = dense_sequence(keyed, list(named), number, start=start_id)
+        placed = dense_sequence(rows, keys, number, start=start_id, keep=columns)
         if max_examples is not None:
             placed = placed.where(F.col(number) < start_id + max_examples)
-    return placed.select(*columns, *([number] if include_ids else []))
+    return placed if include_ids else placed.drop(number)
 
 
 def read_records(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:

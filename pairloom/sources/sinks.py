@@ -4,7 +4,6 @@ from collections.abc import Mapping
 from typing import Any
 
 import pandas as pd
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,13 +21,8 @@ SPLIT_INFO = "_split_manifest"
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.format("text").option("recursiveFileLookup", True).load(path)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return False
-        raise
-    return True
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
 
 
 def write_jsonl(df: DataFrame, path: str) -> None:

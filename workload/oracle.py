@@ -94,7 +94,7 @@ def not_latin(x):
 
 PREDICATES = {
     "is_too_short": lambda x: f"(length({x}) < 10)",
-    "is_too_long": lambda x: f"(length({x}) > 1500)",
+    "is_too_long": lambda x: f"(length({x}) > 5000)",
     "is_blank": lambda x: f"({strip(x)} = '')",
     "contains_german_chars": lambda x: matches(x, "[äöüÄÖÜß]"),
     "contains_email": email,

@@ -50,7 +50,7 @@ CHAIN = ["strip_edges", "remove_control_chars", "collapse_whitespace", "normaliz
 TEXT_FLAWS = [
     "is_blank",
     ["is_too_short", {"min": 10}],
-    ["is_too_long", {"max": 1500}],
+    ["is_too_long", {"max": 5000}],
     "contains_url",
     "contains_email",
     "contains_control_chars",
@@ -60,8 +60,8 @@ TEXT_FLAWS = [
 ]
 PAIR_FLAWS = [["bad_length_ratio", {"min": 0.33, "max": 3}], "are_equal"]
 # Options of the predicates that need some.
-OPTIONS = {"is_too_short": {"min": 10}, "is_too_long": {"max": 1500}}
-MAX_SEQ_LEN = 250
+OPTIONS = {"is_too_short": {"min": 10}, "is_too_long": {"max": 5000}}
+MAX_SEQ_LEN = 600
 REJECT = {"prob": 0.1, "seed": 7}
 FIRST_N = 150
 RATIOS = {"train": 0.979, "validation": 0.001, "test": 0.02}
