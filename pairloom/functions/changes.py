@@ -7,7 +7,7 @@ from pairloom.functions import text as tx
 
 # --- Fixed values -------------------------------------------------------------
 # Control characters that are removed; tab, line feed and carriage return stay.
-CONTROL = r"\x{00}-\x{08}\x{0b}\x{0c}\x{0e}-\x{1f}"
+CONTROL = [chr(c) for c in range(0x20) if chr(c) not in "\t\n\r"]
 # Typographic quotes and their plain counterparts.
 SINGLE_QUOTES = "’‘‚‛‹›"
 DOUBLE_QUOTES = "“”„‟«»"
@@ -22,22 +22,22 @@ def strip_edges(text: Column) -> Column:
 
 def remove_control_chars(text: Column) -> Column:
     """Delete control characters below U+0020 other than tab, LF and CR."""
-    return F.regexp_replace(text, f"[{CONTROL}]+", "")
+    return F.regexp_replace(text, tx.char_class(CONTROL) + "+", "")
 
 
 def collapse_whitespace(text: Column) -> Column:
     """Turn each whitespace run into one space.
 
-    Single plain spaces are already what they should become, so the pattern only
-    matches runs that differ: a longer run, or one not starting with a space.
+    A single plain space is already what it should become, so the pattern passes over
+    it: a first plain space needs more whitespace behind it, another character does not.
     """
-    return F.regexp_replace(text, f" [{tx.WS}]+|[{tx.WS_NOT_SPACE}][{tx.WS}]*", " ")
+    return F.regexp_replace(text, f"[{tx.WS}](?:(?<! )[{tx.WS}]*+|[{tx.WS}]++)", " ")
 
 
 def normalize_unicode_quotes(text: Column) -> Column:
     """Map typographic quotes to plain ones."""
-    singles = F.regexp_replace(text, f"[{SINGLE_QUOTES}]", "'")
-    return F.regexp_replace(singles, f"[{DOUBLE_QUOTES}]", '"')
+    plain = "'" * len(SINGLE_QUOTES) + '"' * len(DOUBLE_QUOTES)
+    return F.translate(text, SINGLE_QUOTES + DOUBLE_QUOTES, plain)
 
 
 def fix_apostrophe_spacing(text: Column) -> Column:

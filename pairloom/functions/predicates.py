@@ -7,6 +7,7 @@ Patterns start with a plain character class and look behind only after it has
 matched, so the regex engine rejects almost every position with one class test.
 """
 
+import re
 from collections.abc import Iterable
 
 from pyspark.sql import Column
@@ -16,7 +17,7 @@ from pairloom.functions import text as tx
 
 # --- Fixed values -------------------------------------------------------------
 URL_SCHEMES = r"(?:https?|ftp)://"
-URL_WWW = r"www\."
+URL_WWW = "www."
 DOMAIN_CHARS = "A-Za-z0-9-"
 MAIL_CHARS = "A-Za-z0-9._%+-"
 MAIL_HOST_CHARS = "A-Za-z0-9.-"
@@ -39,21 +40,21 @@ _W = tx.WORD
 # after a non-word character, or a non-word character after a word character.
 _DOMAIN_START = f"(?:[A-Za-z0-9](?<![{_W}].)|-(?<=[{_W}]-))"
 _MAIL_START = f"(?:[A-Za-z0-9_](?<![{_W}].)|[.%+-](?<=[{_W}][.%+-]))"
-URL = (
-    f"{URL_SCHEMES}|{URL_WWW}|"
-    rf"{_DOMAIN_START}[{DOMAIN_CHARS}]*\.(?:[{DOMAIN_CHARS}]+\.)*{TOP_LEVEL_DOMAIN}"
-)
-EMAIL = (
-    rf"{_MAIL_START}[{MAIL_CHARS}]*@[{MAIL_HOST_CHARS}]+\.{TOP_LEVEL_DOMAIN}(?![{_W}])"
-)
+DOMAIN = rf"{_DOMAIN_START}[{DOMAIN_CHARS}]*+\.(?:[{DOMAIN_CHARS}]++\.)*{TOP_LEVEL_DOMAIN}"
+EMAIL = rf"{_MAIL_START}[{MAIL_CHARS}]*@[{MAIL_HOST_CHARS}]+\.{TOP_LEVEL_DOMAIN}(?![{_W}])"
 
 
 def contains_url(text: Column) -> Column:
-    return text.rlike(URL)
+    """A scheme, ``www.`` or a domain: also a missing space after a full stop.
+
+    Each part has a cheap test that most texts fail before the expensive one.
+    """
+    scheme = text.contains("://") & text.rlike(URL_SCHEMES)
+    domain = text.rlike(r"\.[A-Za-z]{2}") & text.rlike(DOMAIN)
+    return scheme | text.contains(URL_WWW) | domain
 
 
 def contains_email(text: Column) -> Column:
-    # Most texts have no @ at all; the byte search spares them the regex.
     return text.contains("@") & text.rlike(EMAIL)
 
 
@@ -106,7 +107,7 @@ def has_odd_number_of_quotes(text: Column, *, quote_chars: Iterable[str] = QUOTE
             f"|(?<=[{tx.ALNUM}].)(?=[{tx.ALNUM}]|[{tx.WS}][sS]))"
         )
         count = count - tx.count_matches(text, pattern)
-    return F.pmod(count, F.lit(2)) == 1
+    return text.rlike(tx.char_class(quotes)) & (F.pmod(count, F.lit(2)) == 1)
 
 
 def has_unbalanced_brackets(text: Column) -> Column:
@@ -116,10 +117,9 @@ def has_unbalanced_brackets(text: Column) -> Column:
     left is empty for most texts; only a rest with as many closers as openers is
     walked, with a string as the stack.
     """
-    brackets = tx.char_class(OPENERS + CLOSERS)
-    adjacent = "|".join(rf"\x{{{ord(o):x}}}\x{{{ord(c):x}}}" for o, c in zip(OPENER_OF_CLOSER, CLOSERS))
-    only_brackets = F.regexp_replace(text, f"[^{brackets[1:]}+", "")
-    rest = F.regexp_replace(only_brackets, adjacent, "")
+    brackets = tx.members(OPENERS + CLOSERS)
+    adjacent = "|".join(re.escape(pair) for pair in map("".join, zip(OPENER_OF_CLOSER, CLOSERS)))
+    rest = F.regexp_replace(F.regexp_replace(text, f"[^{brackets}]+", ""), adjacent, "")
 
     def step(stack: Column, char: Column) -> Column:
         top = F.substring(stack, -1, 1)
@@ -139,11 +139,15 @@ def has_unbalanced_brackets(text: Column) -> Column:
         )
 
     # The one-element transform evaluates the rest once for all its uses.
-    return F.element_at(F.transform(F.array(rest), unbalanced), 1)
+    walked = F.element_at(F.transform(F.array(rest), unbalanced), 1)
+    return text.rlike(f"[{brackets}]") & walked
 
 
 def target_not_latin_like(text: Column, *, min_letters: int = 20, min_latin_ratio: float = 0.6) -> Column:
     """At least ``min_letters`` letters, of which too small a share is Latin."""
-    letters = tx.count_chars(text, r"\p{L}")
-    latin = tx.count_chars(text, tx.LATIN)
-    return (letters >= min_letters) & (latin / F.greatest(letters, F.lit(1)) < min_latin_ratio)
+    letters = tx.count_matches(text, r"\p{L}")
+    others = tx.count_matches(text, tx.NOT_LATIN_LETTER)
+    latin_share = (letters - others) / F.greatest(letters, F.lit(1))
+    flawed = (letters >= min_letters) & (latin_share < min_latin_ratio)
+    # Without a letter of another script the share is 1.
+    return text.rlike(tx.NOT_LATIN_LETTER) & flawed if min_latin_ratio <= 1 else flawed

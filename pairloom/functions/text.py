@@ -25,10 +25,6 @@ WHITESPACE = "".join(
         0x3000,
     ]
 )
-# The same set as the inside of a regex class, valid in Java and RE2.
-WS = r"\x{09}-\x{0d}\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
-# Whitespace other than the plain space.
-WS_NOT_SPACE = WS.replace(r"\x{1c}-\x{20}", r"\x{1c}-\x{1f}")
 # Letters and digits; word characters add the underscore. The last member is a letter
 # already: a supplementary character written out makes Java look behind by whole code
 # points instead of by UTF-16 units.
@@ -44,32 +40,54 @@ LATIN_RANGES = (
 # ------------------------------------------------------------------------------
 
 
-def ranges_to_class(ranges: str) -> str:
-    """Turn ``"41-5a aa"`` into the inside of a regex class."""
-    return "".join(
-        "-".join(rf"\x{{{bound}}}" for bound in item.split("-")) for item in ranges.split()
-    )
+def _hex(code_point: int) -> str:
+    return rf"\x{{{code_point:x}}}"
 
 
-LATIN = ranges_to_class(LATIN_RANGES)
+def members(chars) -> str:
+    """The inside of a regex class matching exactly the given characters.
+
+    Java tests Latin-1 members of a class with one table lookup, and all others one
+    after the other. The others are merged into ranges and stand in a nested class
+    behind a test of their overall range, so that common characters skip them.
+    """
+    points = sorted({ord(c) for c in chars})
+    latin1 = "".join(_hex(p) for p in points if p <= 0xFF)
+    ranges: list[list[int]] = []
+    for p in (p for p in points if p > 0xFF):
+        if ranges and p == ranges[-1][1] + 1:
+            ranges[-1][1] = p
+        else:
+            ranges.append([p, p])
+    return latin1 + _guarded(ranges)
+
+
+def _guarded(ranges: list[list[int]]) -> str:
+    if not ranges:
+        return ""
+    inside = "".join(f"{_hex(low)}-{_hex(high)}" for low, high in ranges)
+    return f"[{_hex(ranges[0][0])}-{_hex(ranges[-1][1])}&&[{inside}]]"
 
 
 def char_class(chars) -> str:
-    """A regex class matching exactly the given characters."""
-    return "[" + "".join(rf"\x{{{ord(c):x}}}" for c in sorted(set(chars))) + "]"
+    return f"[{members(chars)}]"
 
 
-def strip(text: Column) -> Column:
-    return F.btrim(text, F.lit(WHITESPACE))
+def _latin() -> str:
+    bounds = [[int(bound, 16) for bound in item.split("-")] for item in LATIN_RANGES.split()]
+    ranges = [[bound[0], bound[-1]] for bound in bounds]
+    ascii_letters = "".join(f"{_hex(low)}-{_hex(high)}" for low, high in ranges if high < 0x80)
+    return ascii_letters + _guarded([r for r in ranges if r[1] >= 0x80])
 
 
-def count_chars(text: Column, inside: str) -> Column:
-    """Number of characters in the class ``inside``.
+WS = members(WHITESPACE)
+LATIN = _latin()
+# A letter that is not Latin. ASCII characters fail the first test.
+NOT_LATIN_LETTER = rf"[\x{{80}}-\x{{10ffff}}&&\p{{L}}&&[^{LATIN}]]"
 
-    Deletes the runs of all other characters and takes the length: one match per
-    run instead of one match per counted character.
-    """
-    return F.length(F.regexp_replace(text, f"[^{inside}]+", ""))
+
+def strip(text: Column) -> Column:
+    return F.btrim(text, F.lit(WHITESPACE))
 
 
 def count_matches(text: Column, pattern: str) -> Column:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from pairloom.functions.registry import CHEAP, Step, resolve_pair_predicates, resolve_predicates
 from pairloom.operators.boundary import stage_boundary
-from pairloom.operators.labels import matching_labels
+from pairloom.operators.labels import with_labels
 from pairloom.schemas import LANGS
 
 
@@ -30,10 +30,10 @@ def find_flaws(
     """
     tests = resolve_predicates(predicates) or []
     pair_tests = resolve_pair_predicates(pair_predicates) or []
-    labels = {f"{lang}_flaws": matching_labels([(t.label, t(_text(lang))) for t in tests]) for lang in langs}
+    flaws = {f"{lang}_flaws": [(test.label, test(_text(lang))) for test in tests] for lang in langs}
     both = [_text(lang) for lang in langs]
-    labels["pair_flaws"] = matching_labels([(t.label, t(*both)) for t in pair_tests])
-    return stage_boundary(df).withColumns(labels)
+    flaws["pair_flaws"] = [(test.label, test(*both)) for test in pair_tests]
+    return with_labels(stage_boundary(df), flaws)
 
 
 def filter_pairs(

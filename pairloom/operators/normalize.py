@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from pairloom.functions.registry import resolve_changes
 from pairloom.operators.boundary import stage_boundary
-from pairloom.operators.labels import matching_labels
+from pairloom.operators.labels import with_labels
 from pairloom.schemas import LANGS
 
 
@@ -26,8 +26,7 @@ def norm(
     text, and with ``debug`` the text before as ``<lang>_before``.
     """
     steps = resolve_changes(changes) or []
-    before = {lang: f"_{lang}_0" for lang in langs}
-    out = df.withColumns({name: F.col(f"translation.{lang}") for lang, name in before.items()})
+    out = df.withColumns({f"_{lang}_0": F.col(f"translation.{lang}") for lang in langs})
     altered: dict[str, list] = {lang: [] for lang in langs}
     # One projection per step: each text is computed once and then referred to by the
     # next step and by the comparison.
@@ -42,9 +41,10 @@ def norm(
         translation = translation.withField(lang, F.col(f"_{lang}_{len(steps)}"))
     columns = [translation.alias("translation") if name == "translation" else F.col(name) for name in df.columns]
     if annotate:
-        columns += [matching_labels(altered[lang]).alias(f"{lang}_norm_changes") for lang in langs]
+        out = with_labels(out, {f"{lang}_norm_changes": altered[lang] for lang in langs})
+        columns += [F.col(f"{lang}_norm_changes") for lang in langs]
         if debug:
-            columns += [F.col(before[lang]).alias(f"{lang}_before") for lang in langs]
+            columns += [F.col(f"_{lang}_0").alias(f"{lang}_before") for lang in langs]
     return out.select(columns)
 
 

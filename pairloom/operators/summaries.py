@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pairloom.operators.boundary import stage_boundary
 from pairloom.operators.encode import TOKENIZED
 from pairloom.schemas import LANGS
 from pairloom.sources.storage import materialize
@@ -62,7 +63,8 @@ def token_lengths(df: DataFrame, *, key: str = TOKENIZED, langs: Sequence[str] =
 
 
 def _complete(df: DataFrame, lengths: dict[str, Column]) -> DataFrame:
-    return df.select(*(length.alias(lang) for lang, length in lengths.items())).dropna(how="any")
+    # The boundary keeps the null test from repeating the work behind the lengths.
+    return stage_boundary(df).select(*(length.alias(lang) for lang, length in lengths.items())).dropna(how="any")
 
 
 def histogram_edges(low: int | None, high: int | None, max_bins: int = 60) -> tuple[float, int, int]:

@@ -9,7 +9,8 @@ from pairloom.functions import text as tx
 from workload import queries as wq
 from workload.fixtures import PAIRS, TEXTS
 
-WS = tx.WS
+WS = r"\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+LATIN = "".join("-".join(rf"\x{{{bound}}}" for bound in item.split("-")) for item in tx.LATIN_RANGES.split())
 WORD = r"\p{L}\p{N}_"
 ALNUM = r"\p{L}\p{N}"
 QUOTES = "\"'„“”‚‘’«»"
@@ -88,7 +89,7 @@ def unbalanced(x):
 
 def not_latin(x):
     letters = f"length({replace_all(x, r'[^\p{L}]', '')})"
-    latin = f"length({replace_all(x, f'[^{tx.LATIN}]', '')})"
+    latin = f"length({replace_all(x, f'[^{LATIN}]', '')})"
     return f"({letters} >= 20 AND {latin} / greatest({letters}, 1)::DOUBLE < 0.6::DOUBLE)"
 
 
