@@ -7,7 +7,6 @@ Patterns start with a plain character class and look behind only after it has
 matched, so the regex engine rejects almost every position with one class test.
 """
 
-import re
 from collections.abc import Iterable
 
 from pyspark.sql import Column
@@ -113,40 +112,31 @@ def has_odd_number_of_quotes(text: Column, *, quote_chars: Iterable[str] = QUOTE
 def has_unbalanced_brackets(text: Column) -> Column:
     """Brackets that do not nest properly, each closer needing its own opener.
 
-    Everything but brackets is deleted first, then adjacent matching pairs. What is
-    left is empty for most texts; only a rest with as many closers as openers is
-    walked, with a string as the stack.
+    A closer cancels the bracket before it if that is its opener; everything else stays
+    on the stack, a string. Texts without brackets, and those with more brackets of one
+    kind than of the other, are decided without walking.
     """
-    brackets = tx.members(OPENERS + CLOSERS)
-    adjacent = "|".join(re.escape(pair) for pair in map("".join, zip(OPENER_OF_CLOSER, CLOSERS)))
-    rest = F.regexp_replace(F.regexp_replace(text, f"[^{brackets}]+", ""), adjacent, "")
-
-    def step(stack: Column, char: Column) -> Column:
-        top = F.substring(stack, -1, 1)
-        return (
-            F.when(stack == "!", stack)
-            .when(char.isin(*OPENERS), F.concat(stack, char))
-            .when(top == F.translate(char, CLOSERS, OPENER_OF_CLOSER), stack.substr(F.lit(1), F.length(stack) - 1))
-            .otherwise("!")
-        )
+    inside = tx.members(OPENERS + CLOSERS)
+    needed = OPENER_OF_CLOSER + "!" * len(OPENERS)
 
-    def unbalanced(r: Column) -> Column:
-        closers = F.length(F.regexp_replace(r, tx.char_class(OPENERS), ""))
-        return (
-            F.when(r == "", False)
-            .when(closers * 2 != F.length(r), True)
-            .otherwise(F.aggregate(F.split(r, ""), F.lit(""), step) != "")
-        )
+    def step(stack: Column, bracket: Column) -> Column:
+        cancels = F.substring(stack, -1, 1) == F.translate(bracket, CLOSERS + OPENERS, needed)
+        return F.when(cancels, stack.substr(F.lit(1), F.length(stack) - 1)).otherwise(F.concat(stack, bracket))
+
+    def unbalanced(brackets: Column) -> Column:
+        closers = F.length(F.translate(brackets, OPENERS, ""))
+        rest = F.aggregate(F.split(brackets, ""), F.lit(""), step)
+        return (closers * 2 != F.length(brackets)) | (rest != "")
 
-    # The one-element transform evaluates the rest once for all its uses.
-    walked = F.element_at(F.transform(F.array(rest), unbalanced), 1)
-    return text.rlike(f"[{brackets}]") & walked
+    # The one-element transform evaluates the bracket string once for all its uses.
+    brackets = F.regexp_replace(text, f"[^{inside}]+", "")
+    return text.rlike(f"[{inside}]") & F.transform(F.array(brackets), unbalanced)[0]
 
 
 def target_not_latin_like(text: Column, *, min_letters: int = 20, min_latin_ratio: float = 0.6) -> Column:
     """At least ``min_letters`` letters, of which too small a share is Latin."""
-    letters = tx.count_matches(text, r"\p{L}")
-    others = tx.count_matches(text, tx.NOT_LATIN_LETTER)
+    letters = tx.count_chars(text, r"\p{L}")
+    others = tx.count_chars(text, tx.NOT_LATIN_LETTER)
     latin_share = (letters - others) / F.greatest(letters, F.lit(1))
     flawed = (letters >= min_letters) & (latin_share < min_latin_ratio)
     # Without a letter of another script the share is 1.

@@ -90,5 +90,14 @@ def strip(text: Column) -> Column:
     return F.btrim(text, F.lit(WHITESPACE))
 
 
+def count_chars(text: Column, inside: str) -> Column:
+    """Number of characters in the class ``inside``.
+
+    Deletes the runs of all other characters and takes the length: one match per run,
+    where counting matches would build one string per counted character.
+    """
+    return F.length(F.regexp_replace(text, f"[^{inside}]+", ""))
+
+
 def count_matches(text: Column, pattern: str) -> Column:
     return F.regexp_count(text, F.lit(pattern))

@@ -11,6 +11,7 @@ from pairloom.functions.codecs import Codec
 from pairloom.operators.boundary import stage_boundary
 from pairloom.operators.sequence import dense_sequence, positions_by_id
 from pairloom.schemas import LANGS, encoding
+from pairloom.sources.storage import materialize
 
 TOKENIZED = "tokenized_translation"
 
@@ -95,17 +96,18 @@ def tokenize_report(
     """One row per encoded pair: the lengths if it is kept, its id if it is dropped.
 
     Takes the result of ``encode_pairs``, before the length limit. ``seq_no`` is the
-    1-based position in id order. Only lengths and ids are shuffled, not the tokens.
+    1-based position in id order. Only lengths and ids are stored and numbered, so the
+    encoding is computed once and the tokens are not shuffled.
     """
     dropped = F.lit(False) if max_seq_len is None else is_overlong(max_seq_len, *_sides(src_lang, langs))
     lengths = F.struct(*(_length(lang).alias(lang) for lang in langs))
-    narrow = stage_boundary(encoded).select(
+    narrow = encoded.select(
         F.col(id_field),
         F.when(~dropped, lengths).alias("token_lengths"),
         F.when(dropped, F.col(id_field)).alias("removed_id"),
     )
     if isinstance(encoded.schema[id_field].dataType, T.LongType | T.IntegerType):
-        numbered = positions_by_id(narrow, id_field, "seq_no", start=1)
+        numbered = positions_by_id(materialize(narrow, "lengths"), id_field, "seq_no", start=1)
     else:
         numbered = dense_sequence(narrow, [id_field], "seq_no", start=1)
     return numbered.select("seq_no", "token_lengths", "removed_id")
