@@ -36,8 +36,9 @@ def collapse_whitespace(text: Column) -> Column:
 
 def normalize_unicode_quotes(text: Column) -> Column:
     """Map typographic quotes to plain ones."""
-    plain = "'" * len(SINGLE_QUOTES) + '"' * len(DOUBLE_QUOTES)
-    return F.translate(text, SINGLE_QUOTES + DOUBLE_QUOTES, plain)
+    quotes, plain = SINGLE_QUOTES + DOUBLE_QUOTES, "'" * len(SINGLE_QUOTES) + '"' * len(DOUBLE_QUOTES)
+    # Most texts have none; the test is cheaper than translating every character.
+    return F.when(text.rlike(tx.char_class(quotes)), F.translate(text, quotes, plain)).otherwise(text)
 
 
 def fix_apostrophe_spacing(text: Column) -> Column:
@@ -45,5 +46,5 @@ def fix_apostrophe_spacing(text: Column) -> Column:
 
     The lookbehind stands after the apostrophe so that it only runs on apostrophes.
     """
-    pattern = f"[{APOSTROPHES}](?<=[{tx.WORD}][{APOSTROPHES}])[{tx.WS}]+(?=[{tx.WORD}])"
+    pattern = f"[{APOSTROPHES}](?<=[{tx.WORD}][{APOSTROPHES}])[{tx.WS}]++(?=[{tx.WORD}])"
     return F.regexp_replace(text, pattern, "'")

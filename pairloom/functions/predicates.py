@@ -15,12 +15,13 @@ from pyspark.sql import functions as F
 from pairloom.functions import text as tx
 
 # --- Fixed values -------------------------------------------------------------
+# A URL: a scheme, www. or a domain. A domain is a word boundary, one or more parts of
+# [A-Za-z0-9-]+ with a full stop each, and [A-Za-z]{2,}.
 URL_SCHEMES = r"(?:https?|ftp)://"
 URL_WWW = "www."
-DOMAIN_CHARS = "A-Za-z0-9-"
-MAIL_CHARS = "A-Za-z0-9._%+-"
-MAIL_HOST_CHARS = "A-Za-z0-9.-"
-TOP_LEVEL_DOMAIN = "[A-Za-z]{2,}"
+# An e-mail address: a word boundary, [A-Za-z0-9._%+-]+, @, [A-Za-z0-9.-]+, a full stop,
+# [A-Za-z]{2,} and a word boundary.
+MAIL_HOST = r"[A-Za-z0-9.-]+\.[A-Za-z]{2,}"
 GERMAN_CHARS = "äöüÄÖÜß"
 # All characters of category Cc.
 CONTROL_CHARS = [chr(c) for c in [*range(0x00, 0x20), *range(0x7F, 0xA0)]]
@@ -35,12 +36,12 @@ OPENER_OF_CLOSER = "([{«‹“‘"
 # ------------------------------------------------------------------------------
 
 _W = tx.WORD
-# A word boundary followed by one character of the class: either a word character
-# after a non-word character, or a non-word character after a word character.
-_DOMAIN_START = f"(?:[A-Za-z0-9](?<![{_W}].)|-(?<=[{_W}]-))"
-_MAIL_START = f"(?:[A-Za-z0-9_](?<![{_W}].)|[.%+-](?<=[{_W}][.%+-]))"
-DOMAIN = rf"{_DOMAIN_START}[{DOMAIN_CHARS}]*+\.(?:[{DOMAIN_CHARS}]++\.)*{TOP_LEVEL_DOMAIN}"
-EMAIL = rf"{_MAIL_START}[{MAIL_CHARS}]*@[{MAIL_HOST_CHARS}]+\.{TOP_LEVEL_DOMAIN}(?![{_W}])"
+# These two find the same texts as the definitions above, in linear time. A boundary
+# somewhere in the run of allowed characters before the stop or the @ is enough, so only
+# the last stretch of letters and digits, or of the other characters, is examined: it
+# must begin at a boundary. Before a stop, parts made of hyphens only may follow.
+DOMAIN = rf"(?:[A-Za-z0-9](?<![{_W}].)[A-Za-z0-9]*+|-(?<=[{_W}].)-*+)\.(?:-++\.)*+[A-Za-z]{{2}}"
+EMAIL = rf"(?:[A-Za-z0-9_](?<![{_W}].)[A-Za-z0-9_]*+|[.%+-](?<=[{_W}].)[.%+-]*+)@{MAIL_HOST}(?![{_W}])"
 
 
 def contains_url(text: Column) -> Column:
@@ -139,5 +140,8 @@ def target_not_latin_like(text: Column, *, min_letters: int = 20, min_latin_rati
     others = tx.count_chars(text, tx.NOT_LATIN_LETTER)
     latin_share = (letters - others) / F.greatest(letters, F.lit(1))
     flawed = (letters >= min_letters) & (latin_share < min_latin_ratio)
-    # Without a letter of another script the share is 1.
-    return text.rlike(tx.NOT_LATIN_LETTER) & flawed if min_latin_ratio <= 1 else flawed
+    if min_latin_ratio > 1:
+        return flawed
+    # Without a letter of another script the share is 1. A condition, unlike "and", keeps
+    # the repeated letter count from being computed up front.
+    return F.when(text.rlike(tx.NOT_LATIN_LETTER), flawed).otherwise(False)

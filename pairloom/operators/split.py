@@ -11,6 +11,8 @@ RATIO_TOLERANCE = 1e-9
 # Hex digits of the shuffle key that are counted per pass: 16**4 groups at most.
 _DIGITS = 4
 _KEY_LENGTH = 32
+# Sorts after every hex digit.
+_AFTER_ALL_KEYS = "g"
 # A group this small is read to the driver to take the exact boundary from it.
 _SMALL_GROUP = 1024
 
@@ -100,32 +102,51 @@ def boundary_keys(df: DataFrame, seed: int, ranks: set[int], *, id_field: str =
     return found
 
 
-def split_column(
+def split_ranges(
     df: DataFrame, split_ratio: Mapping[str, float], seed: int, *, id_field: str = "id", total: int | None = None
-) -> Column:
-    """The name of the split that a row belongs to, with exact split sizes.
+) -> dict[str, tuple[str, str]]:
+    """Per split that has rows, the key of the last row before it and of its last row.
 
-    Splits are contiguous slices of the seeded permutation, so membership is a
-    comparison of the shuffle key with the boundary keys: the rows are not moved.
+    Splits are contiguous slices of the seeded permutation. The first split begins
+    after the empty string, the last one ends with a string above all keys.
     """
     validate_ratios(split_ratio)
     total = df.count() if total is None else total
-    bounds = {name: span for name, span in split_bounds(total, split_ratio).items() if span[0] < span[1]}
-    if not bounds:
-        return F.lit(None).cast("string")
-    last = list(bounds)[-1]
-    inner = {end for name, (_, end) in bounds.items() if name != last}
-    keys = boundary_keys(df, seed, inner, id_field=id_field)
-    key, column = shuffle_key(seed, id_field), None
-    for name, (_, end) in bounds.items():
-        if name != last:
-            condition = key <= keys[end]
-            column = F.when(condition, name) if column is None else column.when(condition, name)
-    return F.lit(last) if column is None else column.otherwise(last)
+    bounds = {name: end for name, (begin, end) in split_bounds(total, split_ratio).items() if begin < end}
+    names = list(bounds)
+    keys = boundary_keys(df, seed, {bounds[name] for name in names[:-1]}, id_field=id_field)
+    ends = [keys[bounds[name]] for name in names[:-1]] + [_AFTER_ALL_KEYS]
+    return dict(zip(names, zip(["", *ends], ends)))
+
+
+def in_range(seed: int, bounds: tuple[str, str], id_field: str = "id") -> Column:
+    """Whether a row lies in the slice: a comparison, so no row has to be moved."""
+    key = shuffle_key(seed, id_field)
+    return (key > bounds[0]) & (key <= bounds[1])
 
 
 def split_dataframe(
     df: DataFrame, split_ratio: Mapping[str, float], seed: int, *, id_field: str = "id"
 ) -> DataFrame:
-    """Add the column ``split``."""
-    return df.withColumn("split", split_column(df, split_ratio, seed, id_field=id_field))
+    """Add the column ``split``: the name of the split of each row, with exact sizes."""
+    key, name = F.col("_key"), F.lit(None).cast("string")
+    for split, (_, end) in reversed(split_ranges(df, split_ratio, seed, id_field=id_field).items()):
+        name = F.when(key <= end, split).otherwise(name)
+    return df.withColumn("_key", shuffle_key(seed, id_field)).withColumn("split", name).drop("_key")
+
+
+def in_shuffled_order(df: DataFrame, seed: int, bounds: tuple[str, str], parts: int, *, id_field: str = "id") -> DataFrame:
+    """The rows of one slice in the order of the permutation, over ``parts`` partitions.
+
+    Keys are uniform, so equal key ranges make equal partitions. A range partitioning
+    would read the data a second time to sample what is known here.
+    """
+
+    def leading(key: Column) -> Column:
+        return F.conv(F.substring(key, 1, 8), 16, 10).cast("long")
+
+    first = int(bounds[0][:8] or "0", 16)
+    last = (1 << 32) - 1 if bounds[1] == _AFTER_ALL_KEYS else int(bounds[1][:8], 16)
+    part = F.floor((leading(F.col("_key")) - first) * parts / (last - first + 1)).cast("int")
+    keyed = df.where(in_range(seed, bounds, id_field)).withColumn("_key", shuffle_key(seed, id_field))
+    return keyed.repartitionById(parts, part).sortWithinPartitions("_key").drop("_key")

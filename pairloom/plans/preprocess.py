@@ -130,13 +130,13 @@ def _staged(
     debug = norm_options.get("debug", False)
     write_jsonl(pairs, f"{prefix}_load.jsonl")
 
-    normed = materialize(norm(pairs, **{**norm_options, "annotate": True}), "norm")
-    norm_report(normed, id_field=id_field, start_id=start_id, debug=debug).write.json(f"{staging}/norm_report")
-    write_jsonl(normed.select(pairs.columns), f"{prefix}_norm.jsonl")
-
-    flawed = materialize(find_flaws(normed.select(pairs.columns), **filter_options), "flaws")
-    flaw_report(flawed, id_field=id_field, start_id=start_id).write.json(f"{staging}/filter_report")
-    clean = keep(flawed)
+    # Changes and flaws are found in one pass and stored once with their labels.
+    normed = norm(pairs, **{**norm_options, "annotate": True})
+    checked = materialize(find_flaws(normed, **filter_options), "checked")
+    norm_report(checked, id_field=id_field, start_id=start_id, debug=debug).write.json(f"{staging}/norm_report")
+    write_jsonl(checked.select(pairs.columns), f"{prefix}_norm.jsonl")
+    flaw_report(checked, id_field=id_field, start_id=start_id).write.json(f"{staging}/filter_report")
+    clean = keep(checked).select(pairs.columns)
     write_jsonl(clean, f"{prefix}_filter.jsonl")
 
     options = dict(tokenize_options)

@@ -1,5 +1,6 @@
 """Writing snapshots, datasets, manifests and text exports."""
 
+import math
 from collections.abc import Mapping
 from typing import Any
 
@@ -11,7 +12,7 @@ from pyspark.sql import types as T
 from pairloom.functions import text as tx
 from pairloom.functions.codecs import Codec, training_token_ids
 from pairloom.operators.boundary import stage_boundary
-from pairloom.operators.split import shuffle_key, split_column, split_counts, validate_ratios
+from pairloom.operators.split import in_shuffled_order, split_counts, split_ranges, validate_ratios
 from pairloom.schemas import DATASET_MANIFEST, SPLIT_MANIFEST
 
 # Manifests lie inside the dataset folder; the underscore hides them from readers of
@@ -115,13 +116,16 @@ def write_splits(
     rows = spark.read.parquet(dataset)
     total = rows.count()
     counts = split_counts(total, split_ratio)
-    member = split_column(rows, split_ratio, seed, id_field=id_field, total=total)
+    ranges = split_ranges(rows, split_ratio, seed, id_field=id_field, total=total)
     source = read_manifest(spark, f"{dataset}/{MANIFEST}")
+    partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), rows.rdd.getNumPartitions())
     for name, count in counts.items():
-        part = rows.where(member == name).withColumn("_key", shuffle_key(seed, id_field))
         target = split_path(dataset, name)
-        shuffled = part.repartitionByRange("_key").sortWithinPartitions("_key").drop("_key")
-        written = write_dataset(shuffled, target)
+        part = rows.limit(0)
+        if count:
+            parts = math.ceil(partitions * count / total)
+            part = in_shuffled_order(rows, seed, ranges[name], parts, id_field=id_field)
+        written = write_dataset(part, target)
         if written != count:
             raise RuntimeError(f"split {name!r} has {written} rows instead of {count}")
         write_manifest(spark, {**source, "num_examples": count}, DATASET_MANIFEST, f"{target}/{MANIFEST}")

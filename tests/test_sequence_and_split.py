@@ -86,6 +86,19 @@ def test_splits_are_slices_of_the_permutation(spark, monkeypatch):
     assert {r["id"] for r in other} != {i for i, name in want.items() if name == "val"}
 
 
+@pytest.mark.parametrize("parts", [1, 7])
+def test_slices_come_in_shuffled_order(spark, parts):
+    ratios = {"train": 0.7, "val": 0.1, "test": 0.2}
+    df = spark.range(2000).repartition(3)
+    order = [r["id"] for r in sp.shuffle_positions(df, 7).orderBy("position").collect()]
+    seen = []
+    for bounds in sp.split_ranges(df, ratios, 7).values():
+        rows = sp.in_shuffled_order(df, 7, bounds, parts).withColumn("p", F.spark_partition_id()).collect()
+        seen += [r["id"] for r in rows]
+        assert len({r["p"] for r in rows}) == parts
+    assert seen == order
+
+
 def test_repeated_ids_are_refused(spark):
     same = spark.range(4000).select(F.lit(1).cast("long").alias("id"))
     with pytest.raises(ValueError, match="repeated"):

@@ -13,6 +13,7 @@ from pairloom.functions.registry import CHANGES, PREDICATES
 PIECES = (
     list("aZsSäß09_-.@()[]{}\"' \t\n\r\x00\x01\x1c\x1f\x7f\x85\xa0\xad​  　ªΩ漢😀𐐀²ſ")
     + list("„“”‚‘’«»‹›‛‟")
+    + list("%+--..@@")
     + ["http://", "ftp://", "www.", "a.de", "über.der", "x@y.org", "' s", "s' ", "don’t", "()", "“”", "Ende.Der", "минута"]
 )
 
@@ -123,6 +124,22 @@ def test_change_order_matters(spark, make_pairs):
     assert row["en"] is None
 
 
+def test_long_runs_stay_cheap(spark):
+    many = 200_000
+    texts = {
+        "a." * many + "1": (False, False),
+        "a-" * many + "@": (False, False),
+        "a." * many + "ab": (True, False),
+        "-." * many + "ab": (False, False),
+        "a.-." + "-." * many + "ab": (True, False),
+        "x+" * many + "y@" + "a.1" * many: (False, False),
+        "x." * many + "y@b.com": (True, True),
+    }
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    both = F.struct(p.contains_url(F.col("t")), p.contains_email(F.col("t")))
+    assert {t: tuple(v) for t, v in values(df, both).items()} == texts
+
+
 def test_long_bracket_texts(spark):
     many = 20_000
     texts = {"(" * many: True, "(" * many + ")" * many: False, "()" * many: False, ")" * many + "(" * many: True}
