@@ -48,11 +48,12 @@ class WordLengthCodec(Codec):
         self.vocab_size = vocab_size
 
     def encode_column(self, text: Column, **options) -> Column:
-        words = F.split(tx.strip(text), f"[{tx.WS}]+")
+        stripped = tx.strip(text)
+        # Only a blank text would split into an empty word.
+        words = F.when(stripped == "", F.array().cast("array<string>")).otherwise(F.split(stripped, f"[{tx.WS}]++"))
         if options.get("truncation") and options.get("max_length") is not None:
             words = F.slice(words, 1, int(options["max_length"]))
-        # Only a blank text gives an empty word, and then it is the only one.
-        ids = F.transform(F.filter(words, lambda word: word != ""), F.length)
+        ids = F.transform(words, F.length)
         return F.transform(
             F.array(ids),
             lambda i: F.struct(

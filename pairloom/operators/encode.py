@@ -5,11 +5,10 @@ from collections.abc import Mapping, Sequence
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from pairloom.functions.codecs import Codec
 from pairloom.operators.boundary import stage_boundary
-from pairloom.operators.sequence import dense_sequence, positions_by_id
+from pairloom.operators.sequence import positions_by_id
 from pairloom.schemas import LANGS, encoding
 from pairloom.sources.storage import materialize
 
@@ -106,8 +105,5 @@ def tokenize_report(
         F.when(~dropped, lengths).alias("token_lengths"),
         F.when(dropped, F.col(id_field)).alias("removed_id"),
     )
-    if isinstance(encoded.schema[id_field].dataType, T.LongType | T.IntegerType):
-        numbered = positions_by_id(materialize(narrow, "lengths"), id_field, "seq_no", start=1)
-    else:
-        numbered = dense_sequence(narrow, [id_field], "seq_no", start=1)
+    numbered = positions_by_id(materialize(narrow, "lengths"), id_field, "seq_no", start=1)
     return numbered.select("seq_no", "token_lengths", "removed_id")

@@ -4,6 +4,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pairloom.sources.storage import materialize
 
@@ -11,6 +12,8 @@ from pairloom.sources.storage import materialize
 _ROW_BITS = 33
 # Ids per bucket when positions follow a dense id: at most that many rows per window.
 ID_BUCKET_BITS = 20
+# Ids spread over more buckets than this are sorted instead.
+MAX_ID_BUCKETS = 1_000_000
 
 
 def dense_sequence(
@@ -61,9 +64,16 @@ def bucketed_positions(df: DataFrame, bucket: Column, order_by: Sequence, out: s
 
 
 def positions_by_id(df: DataFrame, id_field: str, out: str, *, start: int = 0) -> DataFrame:
-    """Positions in id order, for ids that were dense before some rows were dropped.
+    """Positions in the order of a unique id, for a stored table.
 
-    Buckets are equal id ranges, so a bucket holds at most ``2**ID_BUCKET_BITS`` rows.
+    Made for ids that were dense before some rows were dropped: buckets are equal id
+    ranges, so a bucket holds at most ``2**ID_BUCKET_BITS`` rows and buckets are few.
+    Ids that are spread too thinly for that, or that are no integers, are sorted.
     """
-    bucket = F.shiftright(F.col(id_field), ID_BUCKET_BITS)
-    return bucketed_positions(df, bucket, [id_field], out, start=start)
+    if isinstance(df.schema[id_field].dataType, T.LongType | T.IntegerType):
+        span = df.agg(F.min(id_field).alias("low"), F.max(id_field).alias("high")).first()
+        low, high = span["low"] or 0, span["high"] or 0
+        if (high - low) >> ID_BUCKET_BITS < MAX_ID_BUCKETS:
+            bucket = F.shiftright(F.col(id_field), ID_BUCKET_BITS)
+            return bucketed_positions(df, bucket, [id_field], out, start=start)
+    return dense_sequence(df, [id_field], out, start=start)

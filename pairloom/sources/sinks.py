@@ -118,7 +118,7 @@ def write_splits(
     counts = split_counts(total, split_ratio)
     ranges = split_ranges(rows, split_ratio, seed, id_field=id_field, total=total)
     source = read_manifest(spark, f"{dataset}/{MANIFEST}")
-    partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), rows.rdd.getNumPartitions())
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     for name, count in counts.items():
         target = split_path(dataset, name)
         part = rows.limit(0)

@@ -22,12 +22,16 @@ def test_dense_sequence_of_nothing(spark):
     assert dense_sequence(spark.range(0), ["id"], "n").collect() == []
 
 
-def test_positions_by_id_cross_buckets(spark, monkeypatch):
+@pytest.mark.parametrize("most", [1000, 3])
+def test_positions_by_id(spark, monkeypatch, most):
+    """In buckets, and sorted when the ids spread over too many buckets."""
     monkeypatch.setattr("pairloom.operators.sequence.ID_BUCKET_BITS", 4)
-    ids = sorted(random.Random(3).sample(range(2000), 700))
+    monkeypatch.setattr("pairloom.operators.sequence.MAX_ID_BUCKETS", most)
+    ids = sorted(random.Random(3).sample(range(-500, 2000), 700))
     df = spark.createDataFrame([(i,) for i in ids], "id long").repartition(5)
     rows = positions_by_id(df, "id", "n", start=1).collect()
     assert {r["id"]: r["n"] for r in rows} == {i: n for n, i in enumerate(ids, start=1)}
+    assert positions_by_id(df.where("id > 5000"), "id", "n").collect() == []
 
 
 def test_attach_ids(spark):
