@@ -9,19 +9,19 @@ CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``.
+    """The folder named by ``spark.checkpoint.dir``, or else the one set on the context.
 
-    Only a local session without that setting gets a folder of its own; on a cluster
-    a missing setting is an error, as a folder of one machine would be lost with it.
+    Only a local session without either gets a folder of its own; on a cluster a missing
+    setting is an error, as a folder of one machine would be lost with it.
     """
-    configured = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getConf().get(CHECKPOINT_DIR)
-    if configured:
-        return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError(f"set {CHECKPOINT_DIR} to a folder that all executors share")
-    own = tempfile.mkdtemp(prefix="pairloom-")
-    spark.conf.set(CHECKPOINT_DIR, own)
-    return own
+    context = spark.sparkContext
+    configured = spark.conf.get(CHECKPOINT_DIR, None) or context.getCheckpointDir()
+    if not configured:
+        if not context.master.startswith("local"):
+            raise ValueError(f"set {CHECKPOINT_DIR} to a folder that all executors share")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="pairloom-"))
+        configured = context.getCheckpointDir()
+    return configured.rstrip("/")
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
