@@ -14,6 +14,8 @@ from pairloom.schemas import raw_pairs
 BROADCAST_FILES = 100_000
 # Up to this many files a row limit names the files to read in the scan itself.
 NAMED_FILES = 1_000
+# Up to this many rows, the first rows in an order are taken before any are numbered.
+SMALL_LIMIT = 10_000
 
 
 def attach_ids(
@@ -143,6 +145,9 @@ def load_pairs(
         placed = _ids_by_file(rows, columns, number, start_id, max_examples)
     if placed is None:
         keys = order_by or ["_entry", "_file", "_place"]
+        if max_examples is not None and max_examples <= SMALL_LIMIT:
+            # Every task keeps its first rows; the rest is never sorted or stored.
+            rows = rows.orderBy(*keys).limit(max_examples)
         placed = dense_sequence(rows, keys, number, start=start_id, keep=columns)
         if max_examples is not None:
             placed = placed.where(F.col(number) < start_id + max_examples)

@@ -88,7 +88,9 @@ def test_json_lines_keep_their_order(spark, tmp_path):
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
 
-def test_order_column_decides(spark, raw):
+@pytest.mark.parametrize("small", [10_000, 1])
+def test_order_column_decides(spark, raw, monkeypatch, small):
+    monkeypatch.setattr(src, "SMALL_LIMIT", small)
     df = pairloom.load(spark, raw, split="train", order_by=[F.desc("translation.de")], max_examples=2)
     assert numbers(df) == {9: 0, 8: 1}
 

@@ -77,3 +77,9 @@ def flat_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 def pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``id, translation``"""
     return flat_pairs(spark, sf_dir).select("id", F.struct("de", "en").alias("translation"))
+
+
+def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw web pages as one-sided pairs: ``id, translation.html``, nothing added."""
+    rows = read_table(spark, sf_dir, "pages", "page_id")
+    return rows.select(F.col("page_id").alias("id"), F.struct("html").alias("translation"))

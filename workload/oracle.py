@@ -264,6 +264,21 @@ def _stage_counts() -> str:
     return f"{TRAINING} {rows}"
 
 
+def _page_flaws() -> str:
+    labels = {name: _label([name, wq.OPTIONS[name]] if name in wq.OPTIONS else name)[1] for name in PREDICATES}
+    cases = ", ".join(f"CASE WHEN {PREDICATES[name]('html')} THEN '{labels[name]}' END" for name in PREDICATES)
+    return f"SELECT page_id AS id, concat_ws('|', {cases}) AS flaws FROM pages"
+
+
+def _page_norm() -> str:
+    ctes = ["n0 AS (SELECT page_id AS id, html AS t0 FROM pages)"]
+    for k, sql in enumerate(CHANGES.values(), start=1):
+        ctes.append(f"n{k} AS (SELECT *, {sql(f't{k - 1}')} AS t{k} FROM n{k - 1})")
+    changed = ", ".join(f"CASE WHEN t{k} <> t{k - 1} THEN '{name}' END" for k, name in enumerate(CHANGES, start=1))
+    last = len(CHANGES)
+    return f"WITH {', '.join(ctes)} SELECT id, t{last} AS html, concat_ws('|', {changed}) AS changes FROM n{last}"
+
+
 PAIRS_CTE = f"WITH pairs AS ({PAIRS})"
 REPORT = "SELECT id + 1 AS seq_no"
 CHANGED = "FROM normed WHERE de_changes <> '' OR en_changes <> ''"
@@ -293,6 +308,8 @@ ORACLE: dict[str, str] = {
     "report_read": f"{FLAWS} {counts('flawed', 'flaws')}",
     "pair_flaw_counts": f"{FLAWS} SELECT label, count(*) AS total FROM (SELECT unnest(string_split(pair_flaws, '|')) "
     "AS label FROM flawed WHERE pair_flaws <> '') GROUP BY label",
+    "page_flaws": _page_flaws(),
+    "page_norm": _page_norm(),
     "load_ids": "SELECT 99 + row_number() OVER (ORDER BY n_chars DESC, doc_id) AS id, doc_id, n_chars FROM documents",
     "load_ids_overwrite": "SELECT row_number() OVER (ORDER BY source, doc_id) - 1 AS id, source, lang, doc_id AS old FROM documents",
     "load_file_order": "SELECT row_number() OVER (ORDER BY doc_id) - 1 AS id, doc_id, lang FROM documents",

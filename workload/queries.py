@@ -44,7 +44,7 @@ from pairloom.sources.sinks import (
 )
 from pairloom.sources.storage import shared_dir
 from pairloom.streaming.prepare import prepare_stream, write_stream
-from workload.fixtures import documents, flat_pairs, pairs, texts
+from workload.fixtures import documents, flat_pairs, pages, pairs, texts
 
 CHAIN = ["strip_edges", "remove_control_chars", "collapse_whitespace", "normalize_unicode_quotes"]
 TEXT_FLAWS = [
@@ -183,6 +183,19 @@ def pair_flaw_label_counts(spark, sf_dir):
     return pair_flaw_counts(_flaws(spark, sf_dir))
 
 
+def page_flaws(spark, sf_dir):
+    """All text predicates on the raw pages."""
+    tests = [[name, OPTIONS.get(name, {})] for name in PREDICATES]
+    flaws = find_flaws(pages(spark, sf_dir), tests, langs=("html",))
+    return flaws.select("id", _joined("html_flaws").alias("flaws"))
+
+
+def page_norm(spark, sf_dir):
+    """All changes on the raw pages."""
+    normed = norm(pages(spark, sf_dir), list(CHANGES), langs=("html",), annotate=True)
+    return normed.select("id", F.col("translation.html").alias("html"), _joined("html_norm_changes").alias("changes"))
+
+
 # --- loading ------------------------------------------------------------------
 
 
@@ -485,6 +498,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "flaw_report": flaw_report_rows,
     "flaw_counts": flaw_label_counts,
     "pair_flaw_counts": pair_flaw_label_counts,
+    "page_flaws": page_flaws,
+    "page_norm": page_norm,
     "load_ids": load_ids,
     "load_ids_overwrite": load_ids_overwrite,
     "load_file_order": load_file_order,
