@@ -30,9 +30,9 @@ def find_flaws(
     """
     tests = resolve_predicates(predicates) or []
     pair_tests = resolve_pair_predicates(pair_predicates) or []
-    flaws = {f"{lang}_flaws": [(test.label, test(_text(lang))) for test in tests] for lang in langs}
-    both = [_text(lang) for lang in langs]
-    flaws["pair_flaws"] = [(test.label, test(*both)) for test in pair_tests]
+    texts = {lang: _text(lang) for lang in langs}
+    flaws = {f"{lang}_flaws": [(test.label, test(text)) for test in tests] for lang, text in texts.items()}
+    flaws["pair_flaws"] = [(test.label, test(*texts.values())) for test in pair_tests]
     return with_labels(stage_boundary(df), flaws)
 
 
