@@ -22,9 +22,11 @@ def label_counts(report: DataFrame, suffix: str, *, langs: Sequence[str] = LANGS
         side = F.lit(lang).alias("side")
         return F.transform(f"{lang}_{suffix}", lambda label: F.struct(label.alias("label"), side))
 
-    # Labels are few, so the partial counts leave each task as a handful of rows.
+    # Exploding adds a test for empty arrays; the boundary keeps it from repeating the work
+    # behind the labels. Labels are few, so each task passes on a handful of counts.
     counts = (
-        report.select(F.explode(F.concat(*map(tagged, langs))).alias("hit"))
+        stage_boundary(report)
+        .select(F.explode(F.concat(*map(tagged, langs))).alias("hit"))
         .groupBy(F.col("hit.label").alias("label"))
         .agg(*(F.count_if(F.col("hit.side") == lang).alias(lang) for lang in langs), F.count(F.lit(1)).alias("total"))
     )
@@ -41,7 +43,7 @@ def flaw_counts(report: DataFrame, *, langs: Sequence[str] = LANGS) -> DataFrame
 
 def pair_flaw_counts(report: DataFrame) -> DataFrame:
     """Per pair flaw its count, largest first."""
-    labels = report.select(F.explode("pair_flaws").alias("label"))
+    labels = stage_boundary(report).select(F.explode("pair_flaws").alias("label"))
     return labels.groupBy("label").agg(F.count(F.lit(1)).alias("total")).orderBy(F.desc("total"), "label")
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pairloom.operators.boundary import stage_boundary
 from pairloom.operators.sequence import dense_sequence
 from pairloom.schemas import raw_pairs
 
@@ -16,6 +17,8 @@ BROADCAST_FILES = 100_000
 NAMED_FILES = 1_000
 # Up to this many rows, the first rows in an order are taken before any are numbered.
 SMALL_LIMIT = 10_000
+# A line of a report that is a list, a tuple, a text, a number or a constant.
+OTHER_LITERAL = r"""^(?:\[.*\]|\(.*\)|'[^']*'|"[^"]*"|[+-]?[0-9.]+|None|True|False)$"""
 
 
 def attach_ids(
@@ -166,5 +169,13 @@ def read_records(spark: SparkSession, path: str, schema: T.StructType | None = N
 
 
 def read_report(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Read a report of one record per line; single-quoted records are read as well."""
-    return spark.read.schema(schema).json(path, mode="FAILFAST", allowSingleQuotes=True)
+    """Read a report of one record per line; single-quoted records are read as well.
+
+    Blank lines and lines that hold some other literal than a record are skipped, a line
+    that is none of these is an error.
+    """
+    line = F.trim("value")
+    rows = spark.read.text(path).where((line != "") & ~line.rlike(OTHER_LITERAL))
+    record = F.from_json(line, schema, {"mode": "FAILFAST", "allowSingleQuotes": "true"})
+    # The boundary keeps later filters from parsing a line before it has been tested.
+    return stage_boundary(rows).select(record.alias("record")).select("record.*")

@@ -8,6 +8,7 @@ from pairloom.functions.codecs import ExternalCodec, FileCodec, WordLengthCodec,
 from pairloom.operators.encode import encode_pairs, tokenize, tokenize_report
 from pairloom.operators.flaws import filter_pairs, find_flaws, flaw_report, keep
 from pairloom.operators.normalize import norm, norm_report
+from pairloom.operators.summaries import flaw_counts, pair_flaw_counts
 from pairloom.operators.training import map_training, with_markers
 
 
@@ -76,6 +77,14 @@ def test_flaws_in_configured_order(make_pairs):
     ]
 
 
+def test_each_test_runs_once_per_text(make_pairs):
+    tests = ["contains_invisible_format_chars", "contains_german_chars"]
+    annotated = find_flaws(make_pairs(PAIRS).checkpoint(), tests, PAIR_TESTS)
+    for df in (annotated, flaw_report(annotated), keep(annotated), flaw_counts(annotated)):
+        assert plan(df).count("RLIKE(") == 2 * 2
+    assert plan(pair_flaw_counts(annotated)).count("lower(") == 2
+
+
 def test_kept_and_flawed_make_up_the_input(make_pairs):
     df = make_pairs(PAIRS)
     annotated = find_flaws(df, TESTS, PAIR_TESTS)

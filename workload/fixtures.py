@@ -1,9 +1,9 @@
 """Sentence pairs derived from the ``documents`` table.
 
 The given documents hold no URL, control character or typographic quote, so most
-operators would never fire on them. Every document is therefore kept whole; half of them
-get one of 20 decorations, chosen by ``doc_id``. No document is left out. The SQL is portable:
-the same text defines the tables in Spark and in the checking database.
+operators would never fire on them. Every document is therefore kept whole, and about a
+third of them get a decoration, chosen by ``doc_id``. No document is left out. The SQL is
+portable: the same text defines the tables in Spark and in the checking database.
 """
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 GREEK = ("abcdefghijklmnopqrstuvwxyz", "αβψδεφγηιξκλμνοπθρστυωχχυζ")
 
 
-def decorated(text: str, lang: str, case: str) -> str:
+def decorated(text: str, case: str) -> str:
     """SQL for a text with decoration number ``case``."""
     cases = {
         0: f"concat('  ', {text})",
@@ -28,7 +28,6 @@ def decorated(text: str, lang: str, case: str) -> str:
         10: f"concat({text}, ' don’t')",
         11: f"concat({text}, ' say \"hi')",
         12: f"repeat(' ', CAST(length({text}) AS INT))",
-        13: lang,
         14: f"translate({text}, '{GREEK[0]}', '{GREEK[1]}')",
         16: f"concat({text}, ' minute’  s')",
         17: f"concat({text}, ' a\u0085b \u007f')",
@@ -36,15 +35,14 @@ def decorated(text: str, lang: str, case: str) -> str:
     return f"CASE {case} " + " ".join(f"WHEN {k} THEN {sql}" for k, sql in cases.items()) + f" ELSE {text} END"
 
 
-TEXTS = f"SELECT doc_id AS id, {decorated('text', 'lang', 'doc_id % 40')} AS text FROM documents"
+TEXTS = f"SELECT doc_id AS id, {decorated('text', 'doc_id % 40')} AS text FROM documents"
 
 # Each document with the next one; the last one stands with itself. Decorations are
-# shifted between the sides. Case 15 has equal sides, case 18 a side that is too short.
+# shifted between the sides. In case 15 both sides are equal.
 _NEXT = "coalesce(b.text, a.text)"
 PAIRS = f"""SELECT a.doc_id AS id,
-  {decorated('a.text', 'a.lang', 'a.doc_id % 40')} AS de,
-  CASE a.doc_id % 40 WHEN 15 THEN a.text WHEN 18 THEN a.lang
-    ELSE {decorated(_NEXT, 'a.lang', '((a.doc_id + 10) % 40)')} END AS en
+  {decorated('a.text', 'a.doc_id % 40')} AS de,
+  CASE a.doc_id % 40 WHEN 15 THEN a.text ELSE {decorated(_NEXT, '((a.doc_id + 10) % 40)')} END AS en
 FROM documents a LEFT JOIN documents b ON b.doc_id = a.doc_id + 1"""
 
 
