@@ -6,8 +6,10 @@ SHINGLES = (
     "list_distinct(list_transform(range(1, greatest(len(w) - 3, 1)), i -> array_to_string(w[i:i + 4], ' ')))"
 )
 
+DOCS = "documents"
+
 LEAKS = f"""
-    d AS (SELECT doc_id, text, {WORDS.format(text="text")} AS w FROM {{docs}} WHERE text IS NOT NULL),
+    d AS (SELECT doc_id, text, {WORDS.format(text="text")} AS w FROM {DOCS} WHERE text IS NOT NULL),
     ds AS (SELECT DISTINCT doc_id, text, unnest({SHINGLES}) AS s FROM d),
     b AS (SELECT item_id, {WORDS.format(text="text")} AS w FROM benchmark),
     bs AS (SELECT item_id, unnest({SHINGLES}) AS s FROM b),
@@ -23,5 +25,5 @@ LEAKS = f"""
 """
 
 ORACLE = {
-    "op3_decontamination": f"WITH {LEAKS.format(docs='documents')} SELECT * FROM leaks",
+    "op3_decontamination": f"WITH {LEAKS} SELECT * FROM leaks",
 }
