@@ -3,7 +3,7 @@
 # Words and distinct five-word shingles of a text column, as in common.py.
 WORDS = r"regexp_extract_all(lower(coalesce({text}, '')), '[\p{{L}}\p{{N}}]+')"
 SHINGLES = (
-    "list_distinct(list_transform(range(1, greatest(len(w) - 3, 1)), i -> array_to_string(w[i:i + 4], ' ')))"
+    "list_distinct(list_transform(range(1, greatest(len(w) - 3, 1)), lambda i: array_to_string(w[i:i + 4], ' ')))"
 )
 
 DOCS = "documents"
