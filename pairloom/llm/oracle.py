@@ -24,6 +24,30 @@ LEAKS = f"""
     )
 """
 
+# Lines by position; a line goes if an earlier one is equal or one word away.
+LINES = f"""
+    raw AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
+                   generate_subscripts(string_split(text, chr(10)), 1) AS line_no FROM {DOCS}),
+    l AS (SELECT doc_id, line_no, line, {WORDS.format(text="line")} AS w, doc_id * 1000000 + line_no AS pos FROM raw),
+    u AS (SELECT w, min(pos) AS pos, len(w) AS n FROM l WHERE len(w) > 0 GROUP BY w),
+    v AS (SELECT w, pos, n, i, list_concat(w[:i - 1], w[i + 1:]) AS rest
+          FROM (SELECT *, unnest(range(1, n + 1)) AS i FROM u WHERE n >= 8)),
+    replaced AS (SELECT w FROM (SELECT w, pos, min(pos) OVER (PARTITION BY rest, i) AS hub FROM v) WHERE hub < pos),
+    inserted AS (SELECT v.w AS longer, v.pos AS pos_longer, u.w AS shorter, u.pos AS pos_shorter
+                 FROM v JOIN u ON v.rest = u.w AND u.n >= 8),
+    near AS (SELECT w FROM replaced UNION SELECT longer FROM inserted WHERE pos_shorter < pos_longer
+             UNION SELECT shorter FROM inserted WHERE pos_longer < pos_shorter),
+    lines AS (SELECT l.doc_id, l.line_no, l.line,
+                     len(l.w) > 0 AND (l.pos > u.pos OR near.w IS NOT NULL) AS goes
+              FROM l LEFT JOIN u ON l.w = u.w LEFT JOIN near ON l.w = near.w)
+"""
+
 ORACLE = {
+    "op7_line_dedup": f"""WITH {LINES}
+        SELECT d.doc_id, coalesce(count(line_no), 0) AS n_lines, coalesce(sum(goes::INT), 0)::BIGINT AS n_removed,
+               md5(CASE WHEN coalesce(bool_or(goes), false)
+                   THEN coalesce(string_agg(line, chr(10) ORDER BY line_no) FILTER (NOT goes), '')
+                   ELSE any_value(d.text) END) AS kept_md5
+        FROM {DOCS} d LEFT JOIN lines USING (doc_id) GROUP BY d.doc_id""",
     "op3_decontamination": f"WITH {LEAKS} SELECT * FROM leaks",
 }

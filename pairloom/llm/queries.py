@@ -1,15 +1,29 @@
 """One query per operator of this subpackage, over whole tables."""
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from pairloom.llm.common import table
 from pairloom.llm.decontaminate import find_leaks
+from pairloom.llm.line_dedup import dedup_lines
+from pairloom.llm.near_dedup import near_classes
 
 
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = dedup_lines(table(spark, sf_dir, "documents"))
+    return cleaned.select("doc_id", "n_lines", "n_removed", F.md5("text").alias("kept_md5"))
+
+
+def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_classes(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op3_decontamination": op3_decontamination,
+    "op7_line_dedup": op7_line_dedup,
+    "op9_near_dedup": op9_near_dedup,
 }
