@@ -14,19 +14,22 @@ sample with the probability of their weighted Jaccard similarity. Documents that
 band are candidates (at the threshold of 0.8 a pair is missed with probability 0.0003), and the
 exact weighted Jaccard similarity decides.
 
-Equal texts are one node throughout. In a bucket, documents are compared with a hub, not with each
-other; what stays in another component than the rest of its bucket becomes a hub itself until
-none is left, so a bucket of any size loses no link between components.
+Equal texts are one node throughout. A bucket may be large, so its documents are first compared with
+its smallest one only. That links most of them. Documents of buckets that still hold several
+components are then joined exactly: two bags as similar as the threshold share one of the
+shingles that make up the first part of their weight, in any order of shingles. With rare ones first,
+that part of a document consists of what distinguishes it from its near copies, so few meet, and
+all that meet in different components are compared. No link between components is lost.
 """
 
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairloom.llm.common import SHINGLE_WORDS, SIMILARITY
+from pairloom.llm.common import SHINGLE_WORDS, SIMILARITY, broadcast_if_small
 from pairloom.llm.components import connected_components
 from pairloom.llm.hashing import MASK, STEP, WordHashes, mix, windows
 from pairloom.sources.storage import materialize
@@ -34,8 +37,8 @@ from pairloom.sources.storage import materialize
 BANDS, ROWS = 12, 3
 SAMPLES = BANDS * ROWS
 BUCKETS = 1 << 18
-# Hubs that a bucket takes in one round.
-HUBS = 8
+# Hashed shingle frequencies that order shingles by rarity; ties and collisions only cost time.
+RARITY_BUCKETS = 1 << 20
 # Pairs that agree in fewer of the 36 samples aren't verified: at a similarity of 0.8 that has a
 # probability of 2e-11.
 LEAST_AGREEMENT = 10
@@ -172,6 +175,66 @@ def _verified(pairs: DataFrame, suspects: DataFrame, idf, threshold: float, size
     return pairs.join(a, "a").join(b, "b").mapInPandas(compare, "a binary, b binary")
 
 
+def _prefixes(apart: DataFrame, idf, threshold: float, size: int) -> DataFrame:
+    """``(t, root, shingle)``: the rare shingles of which similar bags share at least one."""
+    spark = apart.sparkSession
+
+    def slots(keys: np.ndarray) -> np.ndarray:
+        return (keys & np.uint64(RARITY_BUCKETS - 1)).astype(np.int64)
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        cache, weights, df = WordHashes(), idf.value, np.zeros(RARITY_BUCKETS, np.int64)
+        for batch in batches:
+            for text in batch["text"]:
+                df[slots(bag(cache.of(text), weights, size)[0])] += 1
+        seen = np.flatnonzero(df)
+        yield pd.DataFrame({"slot": seen, "n": df[seen]})
+
+    counted = apart.select("text").mapInPandas(count, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n"))
+    # Slots that one text has are the many; they need no row.
+    rows = counted.where("n > 1").toPandas()  # RARITY_BUCKETS rows at most
+    df = np.ones(RARITY_BUCKETS, np.int64)
+    df[rows["slot"].to_numpy(np.int64)] = rows["n"]
+    rarity = spark.sparkContext.broadcast(df)
+
+    def prefix(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        cache, weights, df = WordHashes(), idf.value, rarity.value
+        for batch in batches:
+            found = []
+            for text in batch["text"]:
+                keys, w, _ = bag(cache.of(text), weights, size)
+                order = np.lexsort((keys, df[slots(keys)]))
+                before = np.concatenate([[0.0], np.cumsum(w[order])[:-1]])
+                # What is shared weighs at least threshold times the whole; a little more for rounding.
+                found.append(keys[order[before <= (1 - threshold) * w.sum() + 1e-6]].view(np.int64))
+            lengths = [len(f) for f in found]
+            yield pd.DataFrame(
+                {
+                    "t": batch["t"].repeat(lengths).to_numpy(),
+                    "root": batch["root"].repeat(lengths).to_numpy(),
+                    "shingle": np.concatenate(found),
+                }
+            )
+
+    return materialize(apart.mapInPandas(prefix, "t binary, root binary, shingle long"), "prefixes")
+
+
+def _pairs_apart(prefixes: DataFrame) -> DataFrame:
+    """Pairs that share a prefix shingle and are in different components.
+
+    In the group of a shingle, the documents of the largest component aren't compared with each other,
+    and neither are those of any other component.
+    """
+    sizes = prefixes.groupBy("shingle", "root").agg(F.count("*").alias("n"))
+    groups = sizes.groupBy("shingle").agg(F.max(F.struct("n", "root")).alias("most"), F.count("*").alias("roots"))
+    groups = groups.where("roots > 1").select("shingle", F.col("most.root").alias("largest"))
+    within = prefixes.join(groups, "shingle")
+    hubs = within.where(F.col("root") != F.col("largest"))
+    hubs = hubs.select("shingle", F.col("t").alias("hub"), F.col("root").alias("hub_root"))
+    met = within.join(hubs, "shingle").where(F.col("root") != F.col("hub_root"))
+    return met.select(F.greatest("t", "hub").alias("a"), F.least("t", "hub").alias("b")).distinct()
+
+
 def near_classes(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -207,6 +270,7 @@ def _classes(docs: DataFrame, id_col: str, text_col: str, threshold: float, size
     shared = shared.where(F.col("x") != F.col("y")).select("key", "x")
     members = materialize(members.join(shared, "key").select("key", "t", F.col("x").alias("hub")), "members")
     wanted = members.select("t").distinct().join(nodes, "t").select("t", F.col("doc_id").alias("of_doc"))
+    wanted = broadcast_if_small(materialize(wanted, "wanted"))
     same = F.col("doc_id").eqNullSafe(F.col("of_doc")) & (texts["t"] == wanted["t"])
     suspects = texts.join(wanted, same).select(texts["t"], "text").dropDuplicates(["t"])
     suspects = materialize(suspects, "suspects")
@@ -218,30 +282,18 @@ def _classes(docs: DataFrame, id_col: str, text_col: str, threshold: float, size
         agree = F.size(F.filter(F.zip_with("sa", "sb", lambda x, y: x == y), lambda same: same))
         return pairs.join(a, "a").join(b, "b").where(agree >= LEAST_AGREEMENT).select("a", "b")
 
-    # First every document meets the smallest of its buckets, then what is left apart meets all.
     pairs = members.where(F.col("t") != F.col("hub")).select(F.col("t").alias("a"), F.col("hub").alias("b")).distinct()
     links = materialize(_verified(plausible(pairs), suspects, idf, threshold, size), "similar")
-    members = members.select("key", "t")
-    while True:
-        roots = connected_components(links)
-        placed = members.join(roots, F.col("t") == F.col("node"), "left")
-        placed = placed.select("key", "t", F.coalesce("root", "t").alias("root"))
-        mixed = placed.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y"))
-        mixed = mixed.where(F.col("x") != F.col("y")).select("key")
-        placed = materialize(placed.join(mixed, "key", "left_semi"), "mixed")
-        if placed.isEmpty():
-            break
-        sizes = placed.groupBy("key", "root").agg(F.count("*").alias("n"), F.min("t").alias("hub"))
-        order = Window.partitionBy("key").orderBy("n", "root")
-        # One hub of each of the smallest components; the largest component needs none.
-        hubs = sizes.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= HUBS)
-        hubs = materialize(hubs.select("key", "hub", F.col("root").alias("hub_root")), "hubs")
-        pairs = placed.join(hubs, "key").where(F.col("root") != F.col("hub_root"))
-        pairs = pairs.select(F.col("t").alias("a"), F.col("hub").alias("b")).distinct()
-        more = _verified(plausible(pairs), suspects, idf, threshold, size)
-        links = materialize(links.unionByName(more), "similar")
-        spent = hubs.select("key", F.col("hub").alias("t"))
-        members = materialize(placed.select("key", "t").join(spent, ["key", "t"], "left_anti"), "members")
+    roots = connected_components(links)
+    placed = members.select("key", "t").join(roots, F.col("t") == F.col("node"), "left")
+    placed = placed.select("key", "t", F.coalesce("root", "t").alias("root"))
+    mixed = placed.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y"))
+    mixed = placed.join(mixed.where(F.col("x") != F.col("y")).select("key"), "key", "left_semi")
+    mixed = materialize(mixed.select("t", "root").distinct(), "mixed")
+    apart = suspects.join(mixed, "t").select("t", "root", "text")
+    pairs = plausible(_pairs_apart(_prefixes(apart, idf, threshold, size)))
+    more = materialize(_verified(pairs, suspects, idf, threshold, size), "similar")
+    roots = connected_components(links.unionByName(more))
 
     placed = signed.select("doc_id", "t").join(roots, F.col("t") == F.col("node"), "left")
     placed = placed.select("doc_id", "t", F.coalesce("root", "t").alias("root"))
@@ -264,5 +316,6 @@ def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     options = {"threshold": SIMILARITY, "size": SHINGLE_WORDS} | options
     classes = _classes(docs, id_col, text_col, options["threshold"], options["size"])
     go = classes.where(~F.col("stays")).select(F.col("doc_id").alias("__doc"), F.col("t").alias("__t")).distinct()
+    go = broadcast_if_small(materialize(go, "go"))
     same = F.col(id_col).cast("long").eqNullSafe(F.col("__doc")) & (F.unhex(F.md5(F.col(text_col))) == F.col("__t"))
     return docs.join(go, same, "left_anti")
