@@ -52,5 +52,18 @@ def with_shingles(df: DataFrame, text: str, name: str, size: int = SHINGLE_WORDS
     return split.withColumn(name, F.array_distinct(shingles(F.col("__words"), size))).drop("__words")
 
 
+# A table of so many entries, some tens of bytes each, may be sent to every executor.
+SMALL = 1_000_000
+
+
+def broadcast_if_small(df: DataFrame, entries: Column | None = None, most: int = SMALL) -> DataFrame:
+    """``df`` marked for broadcasting if a count of its rows, or the sum of ``entries``, allows it.
+
+    Else it stays as it is and joins by shuffling. ``df`` is read for the count: pass a stored table.
+    """
+    total = df.agg(F.sum(entries) if entries is not None else F.count("*")).first()[0] or 0
+    return F.broadcast(df) if total <= most else df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -1,9 +1,9 @@
 """Line dedup by a deletion-neighbourhood join. Only DataFrame functions.
 
-Lines are compared as their lower-case words. A line goes if an earlier line, by
-``(doc_id, line number)`` over all documents, has the same words, or if both have at least
-``near_words`` words and one inserted, deleted or replaced word makes them equal. Nothing else
-matters: an earlier line that itself goes still counts. Lines without words always stay.
+Lines are compared as their lower-case words, which are what stands between spaces. A line goes if
+an earlier line, by ``(doc_id, line number)`` over all documents, has the same words, or if both have
+at least ``near_words`` words and one inserted, deleted or replaced word makes them equal. Nothing
+else matters: an earlier line that itself goes still counts. Blank lines always stay.
 
 How near lines are found, without comparing all pairs:
 
@@ -19,7 +19,7 @@ How near lines are found, without comparing all pairs:
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pairloom.llm.common import once, words
+from pairloom.llm.common import broadcast_if_small, once
 from pairloom.sources.storage import materialize
 
 NEAR_WORDS = 8
@@ -28,20 +28,25 @@ NEAR_WORDS = 8
 PIECE = 128
 
 
-def _half_keys(tokens: Column) -> Column:
-    """Hashes of the outer words up to near the middle.
+def _normal(line: Column) -> Column:
+    """Lower case, single spaces between words and none around them."""
+    low = F.trim(F.lower(line))
+    return F.when(F.contains(low, F.lit("  ")), F.regexp_replace(low, " +", " ")).otherwise(low)
+
+
+def _half_keys(normal: str, n: str) -> Column:
+    """Hashes of the outer words up to near the middle of a normal line of ``n`` words.
 
     A line of n words may be the longer of a pair of n words or the shorter beside one of n + 1.
     Lengths are rounded down to multiples of four, so that both mostly give the same keys.
     """
     keys = []
-    for longer in (F.size(tokens), F.size(tokens) + 1):
-        middle = F.floor((longer - 1) / 2).cast("int")
-        half = F.when(middle < 4, middle).otherwise(middle - middle % 4)
-        head = F.array_join(F.slice(tokens, F.lit(1), half), " ")
-        tail = F.array_join(F.slice(tokens, F.size(tokens) - half + 1, half), " ")
-        keys += [F.xxhash64(F.lit("head"), half, head), F.xxhash64(F.lit("tail"), half, tail)]
-    return F.array_distinct(F.array(*keys))
+    for longer in (n, f"({n} + 1)"):
+        middle = f"int(floor(({longer} - 1) / 2))"
+        half = f"if({middle} < 4, {middle}, {middle} - {middle} % 4)"
+        keys.append(f"xxhash64('head', substring_index({normal}, ' ', {half}))")
+        keys.append(f"xxhash64('tail', substring_index({normal}, ' ', -({half})))")
+    return F.array_distinct(F.expr(f"array({', '.join(keys)})"))
 
 
 def _running_xor(values: Column, base: Column) -> Column:
@@ -83,57 +88,68 @@ def _without(tokens: Column, place: Column) -> Column:
     return F.concat(F.slice(tokens, F.lit(1), place), F.slice(tokens, place + 2, F.size(tokens)))
 
 
-def _at(prefix: str = "") -> list[Column]:
-    return [F.col(f"{prefix}doc_id"), F.col(f"{prefix}text_key"), F.col(f"{prefix}line_no")]
+PLACE = ("doc_id", "line_no", "text_key")
+
+
+def _same_text(doc: str, key: str) -> Column:
+    return F.col("doc_id").eqNullSafe(F.col(doc)) & (F.col("text_key") == F.col(key))
 
 
 def near_lines(docs: DataFrame, keys: DataFrame) -> DataFrame:
     """``line_key`` of the distinct lines that have an earlier line one edit away."""
     long_lines = keys.where(F.size("halves") > 0)
-    halves = long_lines.select("line_key", F.explode("halves").alias("half"), F.struct(*_at()).alias("at"))
-    shared = halves.groupBy("half").agg(F.min("line_key").alias("a"), F.max("line_key").alias("b"))
+    halves = long_lines.select(
+        F.explode("halves").alias("half"), F.xxhash64("line_key").alias("short_key"), F.struct(*PLACE).alias("at")
+    )
+    shared = halves.groupBy("half").agg(F.min("short_key").alias("a"), F.max("short_key").alias("b"))
     shared = shared.where(F.col("a") != F.col("b")).select("half")
-    firsts = halves.join(shared, "half").groupBy("line_key").agg(F.min("at").alias("at"))
+    firsts = halves.join(shared, "half", "left_semi").groupBy("short_key").agg(F.min("at").alias("at"))
 
     # The words of the remaining lines, from the document of their first occurrence.
     places = firsts.groupBy(F.col("at.doc_id").alias("of_doc"), F.col("at.text_key").alias("of_text")).agg(
-        F.collect_list(F.struct(F.col("at.line_no"), F.col("line_key"))).alias("places")
+        F.collect_list("at.line_no").alias("numbers")
+    )
+    places = broadcast_if_small(materialize(places, "places"), F.size("numbers") + 1)
+    owners = docs.join(places, _same_text("of_doc", "of_text")).select(
+        "doc_id", "text_key", F.posexplode(F.split("text", "\n")).alias("line_no", "line"), "numbers"
     )
-    owner = F.col("doc_id").eqNullSafe(F.col("of_doc")) & (F.col("text_key") == F.col("of_text"))
-    owners = once(docs.join(places, owner), "lines", F.split("text", "\n"))
-    found = owners.select("doc_id", "text_key", "lines", F.explode("places").alias("place")).select(
-        F.col("place.line_key").alias("line_key"),
-        F.struct("doc_id", "text_key", F.col("place.line_no").alias("line_no")).alias("at"),
-        words(F.get("lines", F.col("place.line_no"))).alias("tokens"),
+    found = owners.where(F.array_contains("numbers", F.col("line_no"))).select(
+        F.struct(*PLACE).alias("at"), _normal(F.col("line")).alias("normal")
     )
     # One row for each line, also if a document row is repeated.
-    lines = materialize(found.dropDuplicates(["line_key"]), "lines")
-
-    hashed = _with_variants(lines.select("line_key", "at", F.size("tokens").alias("n"), "tokens")).drop("tokens")
-    who = F.struct("at", "line_key").alias("who")
-    dropped = hashed.select(who, "n", F.posexplode("variants").alias("place", "variant"))
-    groups = dropped.groupBy("variant", "place", "n").agg(F.min("who").alias("hub"), F.max("who").alias("last"))
-    groups = groups.where(F.col("hub.line_key") != F.col("last.line_key")).drop("last")
-    replaced = dropped.join(groups, ["variant", "place", "n"]).where(F.col("who.line_key") != F.col("hub.line_key"))
-    replaced = replaced.select("who", F.col("hub").alias("earlier"), "place")
-    wholes = hashed.select(F.col("whole").alias("variant"), F.col("n").alias("n_short"), who.alias("short"))
-    inserted = dropped.join(wholes, "variant").where(F.col("n") == F.col("n_short") + 1)
-    inserted = inserted.select(
-        F.greatest("who", "short").alias("who"), F.least("who", "short").alias("earlier"), "place"
+    lines = materialize(found.dropDuplicates(["normal"]), "lines")
+
+    split = lines.select("at", F.split("normal", " ").alias("tokens"))
+    hashed = _with_variants(split.withColumn("n", F.size("tokens"))).drop("tokens")
+    dropped = hashed.select(F.posexplode("variants").alias("place", "variant"), "n", "at")
+    groups = dropped.groupBy("variant", "place", "n").agg(F.min("at").alias("hub"), F.max("at").alias("last"))
+    groups = groups.where(F.col("hub") != F.col("last")).select("variant", "place", "n", "hub")
+    # A whole line is the target of lines of one word more, at whatever place.
+    wholes = hashed.select(
+        F.col("whole").alias("variant"), F.lit(None).cast("int").alias("place"), F.col("n") + 1, F.col("at").alias("hub")
     )
-    links = replaced.unionByName(inserted).select(
-        F.col("who.line_key").alias("line_key"), F.col("earlier.line_key").alias("earlier_key"), "place"
+    targets = groups.unionByName(wholes.toDF("variant", "place", "n", "hub"))
+    targets = targets.toDF("variant", "of_place", "of_n", "hub")
+    met = dropped.join(targets, "variant").where(
+        (F.col("n") == F.col("of_n")) & F.coalesce(F.col("place") == F.col("of_place"), F.lit(True))
     )
-    own = lines.select("line_key", F.col("tokens").alias("a"))
-    other = lines.select(F.col("line_key").alias("earlier_key"), F.col("tokens").alias("b"))
-    checked = links.join(own, "line_key").join(other, "earlier_key")
+    links = met.where(F.col("at") != F.col("hub")).select(
+        F.greatest("at", "hub").alias("at"), F.least("at", "hub").alias("hub"), "place"
+    )
+    own = lines.select("at", "normal", F.split("normal", " ").alias("a"))
+    other = lines.select(F.col("at").alias("hub"), F.split("normal", " ").alias("b"))
+    checked = links.distinct().join(own, "at").join(other, "hub")
     shorter_a, shorter_b = _without(F.col("a"), F.col("place")), _without(F.col("b"), F.col("place"))
     same = (
         F.when(F.size("a") == F.size("b"), shorter_a == shorter_b)
         .when(F.size("a") > F.size("b"), shorter_a == F.col("b"))
         .otherwise(shorter_b == F.col("a"))
     )
-    return checked.where(same).select("line_key").distinct()
+    return checked.where(same).select(_line_key("normal").alias("line_key")).distinct()
+
+
+def _line_key(normal: str) -> Column:
+    return F.unhex(F.md5(normal))
 
 
 def dedup_lines(
@@ -142,30 +158,29 @@ def dedup_lines(
     """``docs`` with the repeated lines taken out of the text, and ``n_lines`` and ``n_removed``.
 
     All rows and columns stay; an input column called ``n_lines`` or ``n_removed`` is replaced. A null
-    text stays null and has no lines; an empty text is one empty line. Rows with the same id and
+    text stays null and has no lines; an empty text is one blank line. Rows with the same id and
     text are one document, and are changed alike. Null ids come first.
     """
     narrow = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     narrow = narrow.where(F.col("text").isNotNull()).withColumn("text_key", F.xxhash64("text"))
     split = narrow.select("doc_id", "text_key", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-    split = once(split, "tokens", words(F.col("line"))).where(F.size("tokens") > 0)
-    halves = F.when(F.size("tokens") >= near_words, _half_keys(F.col("tokens"))).otherwise(
-        F.array().cast("array<bigint>")
-    )
-    line_key = F.unhex(F.md5(F.array_join("tokens", " ")))
-    keys = materialize(
-        split.select("doc_id", "text_key", "line_no", line_key.alias("line_key"), halves.alias("halves")), "keys"
-    )
+    split = once(split, "normal", _normal(F.col("line"))).where("normal != ''")
+    split = once(split, "n", F.length("normal") - F.length(F.replace("normal", F.lit(" "), F.lit(""))) + 1)
+    halves = F.when(F.col("n") >= near_words, _half_keys("normal", "n")).otherwise(F.array().cast("array<bigint>"))
+    keys = split.select(*PLACE, _line_key("normal").alias("line_key"), halves.alias("halves"))
+    keys = materialize(keys, "keys")
 
     near = near_lines(narrow, keys).withColumn("near", F.lit(True))
-    firsts = keys.groupBy("line_key").agg(F.min(F.struct(*_at())).alias("first"), F.max(F.struct(*_at())).alias("last"))
+    at = F.struct(*PLACE)
+    firsts = keys.groupBy("line_key").agg(F.min(at).alias("first"), F.max(at).alias("last"))
     repeated = firsts.where(F.col("first") != F.col("last")).select("line_key", "first")
     decided = repeated.join(near, "line_key", "full")
-    goes = F.coalesce(F.col("near"), F.lit(False)) | (F.struct(*_at()) != F.col("first"))
-    gone = keys.select("line_key", *_at()).join(decided, "line_key").where(goes)
+    goes = F.coalesce(F.col("near"), F.lit(False)) | (at != F.col("first"))
+    gone = keys.select("line_key", *PLACE).join(decided, "line_key").where(goes)
     gone = gone.groupBy(F.col("doc_id").alias("__doc"), F.col("text_key").alias("__text")).agg(
         F.array_sort(F.collect_set("line_no")).alias("__gone")
     )
+    gone = broadcast_if_small(materialize(gone, "gone"), F.size("__gone") + 1)
 
     text = F.col(text_col)
     keep = [c for c in docs.columns if c not in ("n_lines", "n_removed")]

@@ -28,7 +28,7 @@ LEAKS = f"""
 LINES = f"""
     raw AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
                    generate_subscripts(string_split(text, chr(10)), 1) AS line_no FROM {DOCS}),
-    l AS (SELECT doc_id, line_no, line, {WORDS.format(text="line")} AS w, doc_id * 1000000 + line_no AS pos FROM raw),
+    l AS (SELECT doc_id, line_no, line, list_filter(string_split(lower(line), ' '), lambda x: x <> '') AS w, doc_id * 1000000 + line_no AS pos FROM raw),
     u AS (SELECT w, min(pos) AS pos, len(w) AS n FROM l WHERE len(w) > 0 GROUP BY w),
     v AS (SELECT w, pos, n, i, list_concat(w[:i - 1], w[i + 1:]) AS rest
           FROM (SELECT *, unnest(range(1, n + 1)) AS i FROM u WHERE n >= 8)),
