@@ -148,7 +148,7 @@ def signatures(texts: DataFrame, idf, size: int = SHINGLE_WORDS) -> DataFrame:
                 flush()
             yield pd.DataFrame({"doc_id": batch["doc_id"], "t": batch["t"], "samples": samples})
 
-    return texts.mapInPandas(sign, "doc_id long, t binary, samples array<long>")
+    return texts.mapInPandas(sign, "doc_id string, t binary, samples array<long>")
 
 
 def _band_keys() -> Column:
@@ -257,11 +257,14 @@ def _classes(docs: DataFrame, id_col: str, text_col: str, threshold: float, size
     One id and text of a class stays, the smallest.
     """
     spark: SparkSession = docs.sparkSession
+    # Ids pass through pandas as text, which would make floats of a column of integers and nulls.
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     has_word = F.coalesce(F.col("text"), F.lit("")).rlike(r"[\p{L}\p{N}]")
     texts = docs.where(has_word).select("doc_id", F.unhex(F.md5("text")).alias("t"), "text")
     idf = spark.sparkContext.broadcast(word_idf(texts))
-    signed = materialize(signatures(texts, idf, size), "signed")
+    as_text = texts.withColumn("doc_id", F.col("doc_id").cast("string"))
+    signed = signatures(as_text, idf, size).withColumn("doc_id", F.col("doc_id").cast("long"))
+    signed = materialize(signed, "signed")
 
     nodes = signed.groupBy("t").agg(F.min("doc_id").alias("doc_id"), F.first("samples").alias("samples"))
     nodes = materialize(nodes, "nodes")

@@ -7,6 +7,12 @@ from pairloom.llm.common import table
 from pairloom.llm.decontaminate import find_leaks
 from pairloom.llm.line_dedup import dedup_lines
 from pairloom.llm.near_dedup import near_classes
+from pairloom.llm.packing import pack
+from pairloom.llm.tokens import tokenizer_file
+
+
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"), tokenizer_file())
 
 
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,6 +29,7 @@ def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_packing": op2_packing,
     "op3_decontamination": op3_decontamination,
     "op7_line_dedup": op7_line_dedup,
     "op9_near_dedup": op9_near_dedup,
