@@ -110,7 +110,7 @@ def word_idf(texts: DataFrame) -> np.ndarray:
         yield pd.DataFrame({"bucket": np.append(seen, -1), "n": np.append(df[seen], docs)})
 
     counted = texts.mapInPandas(count, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
-    rows = counted.toPandas()  # BUCKETS + 1 rows at most
+    rows = counted.toArrow().to_pandas()  # BUCKETS + 1 rows at most
     df = np.zeros(BUCKETS)
     total = float(rows.loc[rows["bucket"] < 0, "n"].sum())
     rows = rows[rows["bucket"] >= 0]
@@ -192,7 +192,7 @@ def _prefixes(apart: DataFrame, idf, threshold: float, size: int) -> DataFrame:
 
     counted = apart.select("text").mapInPandas(count, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n"))
     # Slots that one text has are the many; they need no row.
-    rows = counted.where("n > 1").toPandas()  # RARITY_BUCKETS rows at most
+    rows = counted.where("n > 1").toArrow().to_pandas()  # RARITY_BUCKETS rows at most
     df = np.ones(RARITY_BUCKETS, np.int64)
     df[rows["slot"].to_numpy(np.int64)] = rows["n"]
     rarity = spark.sparkContext.broadcast(df)

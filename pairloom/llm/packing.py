@@ -84,7 +84,7 @@ def corpus_statistics(encoded: DataFrame) -> tuple[np.ndarray, float, int, int]:
         yield pd.DataFrame({"token": np.append(seen, [-1, -2]), "n": np.append(df[seen], [units, tokens])})
 
     rows = encoded.where(F.length("rest") > 0).select("rest").mapInPandas(count, "token long, n long")
-    rows = rows.groupBy("token").agg(F.sum("n").alias("n")).toPandas()  # a row for each id of the vocabulary
+    rows = rows.groupBy("token").agg(F.sum("n").alias("n")).toArrow().to_pandas()  # a row for each id of the vocabulary
     n = dict(zip(rows["token"], rows["n"]))
     units, tokens = int(n.get(-1, 0)), int(n.get(-2, 0))
     rows = rows[rows["token"] >= 0]

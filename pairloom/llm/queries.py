@@ -5,9 +5,11 @@ from pyspark.sql import functions as F
 
 from pairloom.llm.common import table
 from pairloom.llm.decontaminate import find_leaks
+from pairloom.llm.language import identify
 from pairloom.llm.line_dedup import dedup_lines
 from pairloom.llm.near_dedup import near_classes
 from pairloom.llm.packing import pack
+from pairloom.llm.resample import resample
 from pairloom.llm.tokens import tokenizer_file
 
 
@@ -19,6 +21,10 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(table(spark, sf_dir, "documents"))
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cleaned = dedup_lines(table(spark, sf_dir, "documents"))
     return cleaned.select("doc_id", "n_lines", "n_removed", F.md5("text").alias("kept_md5"))
@@ -28,9 +34,15 @@ def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_classes(table(spark, sf_dir, "documents"))
 
 
+def op10_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op2_packing": op2_packing,
     "op3_decontamination": op3_decontamination,
+    "op4_language": op4_language,
     "op7_line_dedup": op7_line_dedup,
     "op9_near_dedup": op9_near_dedup,
+    "op10_resample": op10_resample,
 }
