@@ -43,6 +43,15 @@ LINES = f"""
 """
 
 ORACLE = {
+    "op1_top_k": """
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS e FROM embeddings
+            WHERE embedding IS NOT NULL AND len(embedding) > 0
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        s AS (SELECT q.vec_id AS query_id, p.vec_id, list_inner_product(q.e, p.e)::BIGINT AS score
+              FROM v q JOIN v p ON q.vec_id <> p.vec_id WHERE q.vec_id % 50 = 0),
+        r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM s)
+        SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5""",
     "op7_line_dedup": f"""WITH {LINES}
         SELECT d.doc_id, coalesce(count(line_no), 0) AS n_lines, coalesce(sum(goes::INT), 0)::BIGINT AS n_removed,
                md5(CASE WHEN coalesce(bool_or(goes), false)

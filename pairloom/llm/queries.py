@@ -11,6 +11,11 @@ from pairloom.llm.near_dedup import near_classes
 from pairloom.llm.packing import pack
 from pairloom.llm.resample import resample
 from pairloom.llm.tokens import tokenizer_file
+from pairloom.llm.topk import top_k
+
+
+def op1_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(table(spark, sf_dir, "embeddings"))
 
 
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -39,6 +44,7 @@ def op10_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_top_k": op1_top_k,
     "op2_packing": op2_packing,
     "op3_decontamination": op3_decontamination,
     "op4_language": op4_language,
