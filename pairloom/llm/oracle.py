@@ -52,6 +52,14 @@ ORACLE = {
               FROM v q JOIN v p ON q.vec_id <> p.vec_id WHERE q.vec_id % 50 = 0),
         r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM s)
         SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5""",
+    "op5_warc": """
+        WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes,
+                          sha1(coalesce(html, '')) AS payload_digest FROM pages),
+        g AS (SELECT payload_digest, max(page_id) AS kept FROM p WHERE payload_bytes >= 1000 GROUP BY 1)
+        SELECT page_id, payload_bytes, p.payload_digest,
+               CASE WHEN kept <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN kept <> page_id THEN kept END AS refers_to
+        FROM p LEFT JOIN g ON p.payload_digest = g.payload_digest AND payload_bytes >= 1000""",
     "op7_line_dedup": f"""WITH {LINES}
         SELECT d.doc_id, coalesce(count(line_no), 0) AS n_lines, coalesce(sum(goes::INT), 0)::BIGINT AS n_removed,
                md5(CASE WHEN coalesce(bool_or(goes), false)

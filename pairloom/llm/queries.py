@@ -12,6 +12,7 @@ from pairloom.llm.packing import pack
 from pairloom.llm.resample import resample
 from pairloom.llm.tokens import tokenizer_file
 from pairloom.llm.topk import top_k
+from pairloom.llm.warc import round_trip
 
 
 def op1_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -30,6 +31,11 @@ def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(table(spark, sf_dir, "documents"))
 
 
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    read = round_trip(table(spark, sf_dir, "pages"))
+    return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cleaned = dedup_lines(table(spark, sf_dir, "documents"))
     return cleaned.select("doc_id", "n_lines", "n_removed", F.md5("text").alias("kept_md5"))
@@ -48,6 +54,7 @@ QUERIES = {
     "op2_packing": op2_packing,
     "op3_decontamination": op3_decontamination,
     "op4_language": op4_language,
+    "op5_warc": op5_warc,
     "op7_line_dedup": op7_line_dedup,
     "op9_near_dedup": op9_near_dedup,
     "op10_resample": op10_resample,
