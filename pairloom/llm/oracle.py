@@ -1,5 +1,7 @@
 """The operators in SQL, for DuckDB over the same tables."""
 
+from pairloom.llm.licences import SIGNS, TEMPLATES
+
 # Words and distinct five-word shingles of a text column, as in common.py.
 WORDS = r"regexp_extract_all(lower(coalesce({text}, '')), '[\p{{L}}\p{{N}}]+')"
 SHINGLES = (
@@ -42,7 +44,46 @@ LINES = f"""
               FROM l LEFT JOIN u ON l.w = u.w LEFT JOIN near ON l.w = near.w)
 """
 
+# Licence templates, and their words' weights.
+NOTICES = ", ".join(f"({k}, '{licence}', '{text}')" for k, (licence, text) in enumerate(TEMPLATES))
+SIGN = SIGNS.removeprefix("(?i)")
+LICENCES = f"""
+    t AS (SELECT * FROM (VALUES {NOTICES}) AS t(template, licence, text)),
+    tw AS (SELECT template, licence, word, count(*) AS tf
+           FROM (SELECT template, licence, unnest({WORDS.format(text="text")}) AS word FROM t) GROUP BY ALL),
+    idf AS (SELECT word, ln((1 + {len(TEMPLATES)}) / (1 + count(*))) + 1 AS idf FROM tw GROUP BY word),
+    v AS (SELECT template, licence, word, tf * idf AS w,
+                 tf * idf / sqrt(sum(tf * idf * tf * idf) OVER (PARTITION BY template)) AS weight FROM tw JOIN idf USING (word)),
+    f AS (SELECT doc_id, text, '/' || source || '/' || lang || '/' || (doc_id // 100) || '/' || doc_id AS path,
+                 '/' || source || '/' || lang || '/' || (doc_id // 100) || '/' AS dir,
+                 regexp_matches(split_part(text, chr(10), 1), '{SIGN}', 'i') AS whole FROM {DOCS}),
+    lines AS (SELECT doc_id, line_no, line FROM (
+                SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
+                       generate_subscripts(string_split(text, chr(10)), 1) AS line_no FROM f)
+              WHERE regexp_matches(line, '{SIGN}', 'i')
+              UNION ALL SELECT doc_id, -1, text FROM f WHERE whole),
+    tf AS (SELECT doc_id, line_no, word, count(*) AS tf
+           FROM (SELECT doc_id, line_no, unnest({WORDS.format(text="line")}) AS word FROM lines) GROUP BY ALL),
+    w AS (SELECT doc_id, line_no, word, tf * coalesce(idf, ln(1 + {len(TEMPLATES)}) + 1) AS w FROM tf LEFT JOIN idf USING (word)),
+    len AS (SELECT doc_id, line_no, sqrt(sum(w * w)) AS length FROM w GROUP BY ALL),
+    dot AS (SELECT doc_id, line_no, template, licence, sum(w.w * weight) AS dot FROM w JOIN v USING (word) GROUP BY ALL),
+    own AS (SELECT doc_id, licence, score FROM (
+                SELECT doc_id, licence, round(dot / length, 6) AS score,
+                       row_number() OVER (PARTITION BY doc_id ORDER BY round(dot / length, 6) DESC, licence) AS r
+                FROM dot JOIN len USING (doc_id, line_no) WHERE round(dot / length, 6) >= 0.75) WHERE r = 1),
+    dirs AS (SELECT dir, licence FROM (
+                SELECT dir, licence, row_number() OVER (PARTITION BY dir ORDER BY score DESC, path) AS r
+                FROM f JOIN own USING (doc_id) WHERE whole) WHERE r = 1)
+"""
+
 ORACLE = {
+    "op6_licences": f"""
+        WITH {LICENCES}
+        SELECT f.doc_id, path, own.licence AS own_licence, score,
+               CASE WHEN own.licence IS NULL THEN dirs.licence END AS inherited_licence,
+               CASE WHEN own.licence IS NULL AND dirs.licence IS NOT NULL THEN f.dir END AS inherited_from,
+               coalesce(own.licence, dirs.licence) AS licence
+        FROM f LEFT JOIN own USING (doc_id) LEFT JOIN dirs ON f.dir = dirs.dir""",
     "op1_top_k": """
         WITH v AS (
             SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS e FROM embeddings

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from pairloom.llm.common import table
 from pairloom.llm.decontaminate import find_leaks
 from pairloom.llm.language import identify
+from pairloom.llm.licences import SIGNS, scan_licences
 from pairloom.llm.line_dedup import dedup_lines
 from pairloom.llm.near_dedup import near_classes
 from pairloom.llm.packing import pack
@@ -36,6 +37,20 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op6_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents have no paths: each gets one by source, language and block of ids.
+
+    A document that opens with a licence notice stands for the licence file of its directory.
+    """
+    docs = table(spark, sf_dir, "documents")
+    parts = ["source", "lang", F.floor(F.col("doc_id") / 100), "doc_id"]
+    path = F.concat(F.lit("/"), F.concat_ws("/", *[F.coalesce(F.col(p).cast("string") if isinstance(p, str) else p.cast("string"), F.lit("-")) for p in parts]))
+    opens = F.substring_index("text", "\n", 1).rlike(SIGNS)
+    found = scan_licences(docs.select(path.alias("path"), "text"), licence_file=opens)
+    doc_id = F.substring_index("path", "/", -1).cast("long").alias("doc_id")
+    return found.select(doc_id, "path", "own_licence", "score", "inherited_licence", "inherited_from", "licence")
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cleaned = dedup_lines(table(spark, sf_dir, "documents"))
     return cleaned.select("doc_id", "n_lines", "n_removed", F.md5("text").alias("kept_md5"))
@@ -55,6 +70,7 @@ QUERIES = {
     "op3_decontamination": op3_decontamination,
     "op4_language": op4_language,
     "op5_warc": op5_warc,
+    "op6_licences": op6_licences,
     "op7_line_dedup": op7_line_dedup,
     "op9_near_dedup": op9_near_dedup,
     "op10_resample": op10_resample,
