@@ -10,6 +10,7 @@ from pairloom.llm.licences import SIGNS, scan_licences
 from pairloom.llm.line_dedup import dedup_lines
 from pairloom.llm.near_dedup import near_classes
 from pairloom.llm.packing import pack
+from pairloom.llm.repeats import remove_repeats
 from pairloom.llm.resample import resample
 from pairloom.llm.tokens import tokenizer_file
 from pairloom.llm.topk import top_k
@@ -56,6 +57,17 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaned.select("doc_id", "n_lines", "n_removed", F.md5("text").alias("kept_md5"))
 
 
+def op8_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = remove_repeats(table(spark, sf_dir, "documents"))
+    return cut.select(
+        "doc_id",
+        "n_bytes",
+        (F.col("n_bytes") - F.length("kept")).cast("long").alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_classes(table(spark, sf_dir, "documents"))
 
@@ -72,6 +84,7 @@ QUERIES = {
     "op5_warc": op5_warc,
     "op6_licences": op6_licences,
     "op7_line_dedup": op7_line_dedup,
+    "op8_repeats": op8_repeats,
     "op9_near_dedup": op9_near_dedup,
     "op10_resample": op10_resample,
 }
