@@ -35,6 +35,8 @@ SIGNS = r"(?i)licen[cs]e|copyright|spdx|public domain|free of charge"
 LICENCE_FILE = r"(?i)(^|/)(un)?(licen[cs]e|copying|notice)(\.[a-z]+)?$"
 THRESHOLD = 0.75
 DIGITS = 6
+# Stands for a null path, which joins can't match; no path has this character.
+NO_PATH = "\0"
 
 
 def template_vectors(spark: SparkSession, templates=TEMPLATES) -> tuple[DataFrame, float]:
@@ -104,7 +106,7 @@ def scan_licences(
     """
     holds = F.col(path_col).rlike(LICENCE_FILE) if licence_file is None else licence_file
     files = files.select(
-        F.col(path_col).alias("path"), F.col(text_col).alias("text"), F.coalesce(holds, F.lit(False)).alias("whole")
+        F.coalesce(F.col(path_col), F.lit(NO_PATH)).alias("path"), F.col(text_col).alias("text"), F.coalesce(holds, F.lit(False)).alias("whole")
     ).withColumn("text_key", F.xxhash64("text"))
     own = materialize(own_licences(files, threshold, templates), "own")
     named = files.select("path", "text_key", "whole").distinct()
@@ -115,13 +117,13 @@ def scan_licences(
     ).select("path", "text_key", "whole", "licence", "score")
     both = materialize(both, "licensed")
 
-    holders = both.where(F.col("whole") & F.col("licence").isNotNull() & F.col("path").isNotNull())
+    holders = both.where(F.col("whole") & F.col("licence").isNotNull() & (F.col("path") != NO_PATH))
     by_directory = holders.groupBy(F.get(directories(F.col("path")), F.lit(0)).alias("directory")).agg(
         F.min(F.struct((-F.col("score")).alias("down"), "path", "licence")).alias("first")
     )
     by_directory = materialize(by_directory.select("directory", F.col("first.licence").alias("of_directory")), "directories")
     # The directories of files without a licence; a path part is repeated at most as often as it is deep.
-    without = both.where(F.col("licence").isNull() & F.col("path").isNotNull()).select("path").distinct()
+    without = both.where(F.col("licence").isNull() & (F.col("path") != NO_PATH)).select("path").distinct()
     above = without.select("path", F.posexplode(directories(F.col("path"))).alias("up", "directory"))
     nearest = above.join(broadcast_if_small(by_directory), "directory").groupBy("path").agg(
         F.min(F.struct("up", "directory", "of_directory")).alias("near")
@@ -131,7 +133,7 @@ def scan_licences(
     )
     inherits = (F.col("path") == F.col("for_path")) & F.col("licence").isNull()
     return both.join(nearest, inherits, "left").select(
-        "path",
+        F.nullif("path", F.lit(NO_PATH)).alias("path"),
         F.col("licence").alias("own_licence"),
         "score",
         "inherited_licence",
