@@ -1,5 +1,6 @@
 """Word and shingle hashes as numpy arrays, for use inside tasks."""
 
+import re
 import unicodedata
 
 import numpy as np
@@ -20,9 +21,15 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
+_OTHERS = re.compile(r"[\W_]+")
+
+
 def bare(token: str) -> str:
     """Lower-case letters and digits of a token."""
-    return "".join(c for c in unicodedata.normalize("NFC", token.lower()) if c.isalnum())
+    low = token.lower()
+    if not low.isascii():
+        low = unicodedata.normalize("NFC", low)
+    return low if low.isalnum() else _OTHERS.sub("", low)
 
 
 class WordHashes(dict):
@@ -31,7 +38,7 @@ class WordHashes(dict):
     The table stops growing at ``most`` tokens; others are then hashed each time.
     """
 
-    def __init__(self, most: int = 300_000):
+    def __init__(self, most: int = 400_000):
         self.most = most
 
     def __missing__(self, token: str) -> int:

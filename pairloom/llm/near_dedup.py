@@ -11,15 +11,16 @@ Each document gets ``BANDS * ROWS`` consistent weighted samples: for each sample
 weight S draws r, c from Gamma(2, 1) and b from [0, 1) by its hash, t = floor(ln S / r + b), and the
 shingle with the least c / exp(r * (t - b + 1)) is sampled with its t. Two documents agree in a
 sample with the probability of their weighted Jaccard similarity. Documents that agree in a whole
-band are candidates (at the threshold of 0.8 a pair is missed with probability 0.0003), and the
+band are candidates (at the threshold of 0.8 a pair is missed with probability 0.0008), and the
 exact weighted Jaccard similarity decides.
 
-Equal texts are one node throughout. A bucket may be large, so its documents are first compared with
-its smallest one only. That links most of them. Documents of buckets that still hold several
-components are then joined exactly: two bags as similar as the threshold share one of the
-shingles that make up the first part of their weight, in any order of shingles. With rare ones first,
-that part of a document consists of what distinguishes it from its near copies, so few meet, and
-all that meet in different components are compared. No link between components is lost.
+Equal texts are one node throughout. A bucket may be large, so its documents are first compared with one
+of them only: that which lies in the largest buckets, as it has the fewest changes of its own. That
+links most of a group of near copies. Documents of buckets that still hold several components are
+then joined exactly, by a prefix join with a position filter. In any order of shingles, the first one that two
+similar bags share stands near the beginning of both, as all that either has before it isn't shared. With rare
+shingles first, a bag begins with what distinguishes it from its near copies, so a document with too many
+changes of its own meets none of them. All that meet in different components are compared.
 """
 
 from collections.abc import Iterator
@@ -34,17 +35,20 @@ from pairloom.llm.components import connected_components
 from pairloom.llm.hashing import MASK, STEP, WordHashes, mix, windows
 from pairloom.sources.storage import materialize
 
-BANDS, ROWS = 12, 3
+BANDS, ROWS = 10, 3
 SAMPLES = BANDS * ROWS
 BUCKETS = 1 << 18
 # Hashed shingle frequencies that order shingles by rarity; ties and collisions only cost time.
 RARITY_BUCKETS = 1 << 20
-# Pairs that agree in fewer of the 36 samples aren't verified: at a similarity of 0.8 that has a
-# probability of 2e-11.
-LEAST_AGREEMENT = 10
+# Pairs that agree in fewer of the 30 samples aren't verified: at a similarity of 0.8 that has a
+# probability of 1e-9.
+LEAST_AGREEMENT = 9
 LEVELS = 1 << 16
-# Shingles that are sampled at a time.
+# Weights are sums of numbers of six digits.
+SLACK = 1e-6
+# Shingles that are sampled at a time, and the bits for the place of one in a document's and the chunk's shingles.
 CHUNK = 1 << 16
+PLACE_BITS, PLACE_SCALE = 28, 27
 
 
 def _gamma_levels() -> np.ndarray:
@@ -78,20 +82,16 @@ def similarity(a, b) -> float:
 def sample(keys: np.ndarray, weights: np.ndarray, starts: np.ndarray, gamma: np.ndarray, log_gamma: np.ndarray):
     """``(documents, SAMPLES)`` sample hashes of the documents whose bags begin at ``starts``."""
     out = np.empty((len(starts), SAMPLES), np.uint64)
-    log_w = np.log(weights)
-    lengths = np.diff(np.append(starts, len(keys)))
-    low = np.uint64(LEVELS - 1)
+    log_w, places = np.log(weights), np.arange(len(keys))
     for k in range(SAMPLES):
-        x = mix(keys ^ np.uint64((STEP * (k + 1)) & MASK))
-        r = gamma[(x & low).astype(np.intp)]
-        b = ((x >> np.uint64(32)) & np.uint64(0xFFFFFF)).astype(np.float64) / float(1 << 24)
+        x = mix(keys ^ np.uint64((STEP * (k + 1)) & MASK)).view(np.int64)
+        r = gamma[x & (LEVELS - 1)]
+        b = (x >> 32 & 0xFFFFFF) * 2.0**-24
         t = np.floor(log_w / r + b)
-        a = log_gamma[((x >> np.uint64(16)) & low).astype(np.intp)] - r * (t - b + 1)
-        least = np.minimum.reduceat(a, starts)
-        at = np.flatnonzero(a == np.repeat(least, lengths))
-        owner = np.searchsorted(starts, at, "right") - 1
-        _, first = np.unique(owner, return_index=True)
-        at = at[first]  # ties: the smallest shingle hash
+        a = log_gamma[x >> 16 & (LEVELS - 1)] - r * (t - b + 1)
+        # The least value and its place in one number; a lies well within the bounds.
+        packed = ((np.clip(a, -63, 63) + 64) * 2.0**PLACE_SCALE).astype(np.int64) << PLACE_BITS | places
+        at = np.minimum.reduceat(packed, starts) & ((1 << PLACE_BITS) - 1)
         out[:, k] = mix(keys[at] + t[at].astype(np.int64).astype(np.uint64) * np.uint64(STEP) + np.uint64(k))
     return out
 
@@ -101,10 +101,14 @@ def word_idf(texts: DataFrame) -> np.ndarray:
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         cache, df, docs = WordHashes(), np.zeros(BUCKETS, np.int64), 0
+        last = np.zeros(BUCKETS, np.int64)
         for batch in batches:
             for text in batch["text"]:
-                hashes = cache.of(text)
-                df[np.unique(hashes & np.uint64(BUCKETS - 1)).astype(np.int64)] += 1
+                slots = (cache.of(text) & np.uint64(BUCKETS - 1)).view(np.int64)
+                # Each slot once: where the last place written to it is the own one.
+                places = np.arange(len(slots))
+                last[slots] = places
+                df[slots[last[slots] == places]] += 1
                 docs += 1
         seen = np.flatnonzero(df)
         yield pd.DataFrame({"bucket": np.append(seen, -1), "n": np.append(df[seen], docs)})
@@ -176,7 +180,10 @@ def _verified(pairs: DataFrame, suspects: DataFrame, idf, threshold: float, size
 
 
 def _prefixes(apart: DataFrame, idf, threshold: float, size: int) -> DataFrame:
-    """``(t, root, shingle)``: the rare shingles of which similar bags share at least one."""
+    """``(t, root, w, before, shingle)``: the first shingles of each bag, of which similar bags share one.
+
+    ``w`` is the weight of the bag, ``before`` that of the shingles before this one.
+    """
     spark = apart.sparkSession
 
     def slots(keys: np.ndarray) -> np.ndarray:
@@ -205,34 +212,35 @@ def _prefixes(apart: DataFrame, idf, threshold: float, size: int) -> DataFrame:
                 keys, w, _ = bag(cache.of(text), weights, size)
                 order = np.lexsort((keys, df[slots(keys)]))
                 before = np.concatenate([[0.0], np.cumsum(w[order])[:-1]])
-                # What is shared weighs at least threshold times the whole; a little more for rounding.
-                found.append(keys[order[before <= (1 - threshold) * w.sum() + 1e-6]].view(np.int64))
-            lengths = [len(f) for f in found]
-            yield pd.DataFrame(
-                {
-                    "t": batch["t"].repeat(lengths).to_numpy(),
-                    "root": batch["root"].repeat(lengths).to_numpy(),
-                    "shingle": np.concatenate(found),
-                }
-            )
+                # What is shared weighs at least threshold times the whole.
+                first = before <= (1 - threshold) * w.sum() + SLACK
+                found.append((keys[order[first]].view(np.int64), before[first], np.full(first.sum(), w.sum())))
+            lengths = [len(f[0]) for f in found]
+            columns = {c: batch[c].repeat(lengths).to_numpy() for c in ("t", "root")}
+            columns |= {c: np.concatenate([f[k] for f in found]) for k, c in enumerate(("shingle", "before", "w"))}
+            yield pd.DataFrame(columns)
 
-    return materialize(apart.mapInPandas(prefix, "t binary, root binary, shingle long"), "prefixes")
+    schema = "t binary, root binary, shingle long, before double, w double"
+    return materialize(apart.mapInPandas(prefix, schema), "prefixes")
 
 
-def _pairs_apart(prefixes: DataFrame) -> DataFrame:
-    """Pairs that share a prefix shingle and are in different components.
+def _pairs_apart(prefixes: DataFrame, threshold: float) -> DataFrame:
+    """Pairs of different components that share a prefix shingle and may be similar by what follows it.
 
-    In the group of a shingle, the documents of the largest component aren't compared with each other,
-    and neither are those of any other component.
+    The bag of less weight needs the shorter prefix, as the other one has at least as much to share.
     """
-    sizes = prefixes.groupBy("shingle", "root").agg(F.count("*").alias("n"))
-    groups = sizes.groupBy("shingle").agg(F.max(F.struct("n", "root")).alias("most"), F.count("*").alias("roots"))
-    groups = groups.where("roots > 1").select("shingle", F.col("most.root").alias("largest"))
-    within = prefixes.join(groups, "shingle")
-    hubs = within.where(F.col("root") != F.col("largest"))
-    hubs = hubs.select("shingle", F.col("t").alias("hub"), F.col("root").alias("hub_root"))
-    met = within.join(hubs, "shingle").where(F.col("root") != F.col("hub_root"))
-    return met.select(F.greatest("t", "hub").alias("a"), F.least("t", "hub").alias("b")).distinct()
+    side = lambda p: prefixes.select("shingle", *[F.col(c).alias(f"{p}_{c}") for c in ("t", "root", "w", "before")])
+    both = threshold / (1 + threshold)
+    light, heavy = side("a"), side("b")
+    light = light.where(F.col("a_before") <= F.col("a_w") * (1 - 2 * both) + SLACK)
+    needed = (F.col("a_w") + F.col("b_w")) * both - SLACK
+    rest = F.least(F.col("a_w") - F.col("a_before"), F.col("b_w") - F.col("b_before"))
+    in_order = F.struct("a_w", "a_t") < F.struct("b_w", "b_t")
+    size = F.col("a_w") >= F.col("b_w") * threshold - SLACK
+    apart = F.col("a_root") != F.col("b_root")
+    same = light["shingle"] == heavy["shingle"]
+    met = light.join(heavy, same & apart & in_order & size & (rest >= needed))
+    return met.select(F.col("a_t").alias("a"), F.col("b_t").alias("b")).distinct()
 
 
 def near_classes(
@@ -269,9 +277,12 @@ def _classes(docs: DataFrame, id_col: str, text_col: str, threshold: float, size
     nodes = signed.groupBy("t").agg(F.min("doc_id").alias("doc_id"), F.first("samples").alias("samples"))
     nodes = materialize(nodes, "nodes")
     members = nodes.where(F.size("samples") > 0).select(_band_keys().alias("key"), "t")
-    shared = members.groupBy("key").agg(F.min("t").alias("x"), F.max("t").alias("y"))
-    shared = shared.where(F.col("x") != F.col("y")).select("key", "x")
-    members = materialize(members.join(shared, "key").select("key", "t", F.col("x").alias("hub")), "members")
+    shared = members.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    members = materialize(members.join(shared, "key"), "members")
+    # Few changes of its own put a document in large buckets.
+    central = members.groupBy("t").agg(F.round(F.sum(F.log("n")), 6).alias("central"))
+    ranked = members.join(central, "t").select("key", "t", F.struct("central", "t").alias("rank"))
+    hubs = ranked.groupBy("key").agg(F.max("rank").alias("hub")).select("key", F.col("hub.t").alias("hub"))
     wanted = members.select("t").distinct().join(nodes, "t").select("t", F.col("doc_id").alias("of_doc"))
     wanted = broadcast_if_small(materialize(wanted, "wanted"))
     same = F.col("doc_id").eqNullSafe(F.col("of_doc")) & (texts["t"] == wanted["t"])
@@ -285,7 +296,8 @@ def _classes(docs: DataFrame, id_col: str, text_col: str, threshold: float, size
         agree = F.size(F.filter(F.zip_with("sa", "sb", lambda x, y: x == y), lambda same: same))
         return pairs.join(a, "a").join(b, "b").where(agree >= LEAST_AGREEMENT).select("a", "b")
 
-    pairs = members.where(F.col("t") != F.col("hub")).select(F.col("t").alias("a"), F.col("hub").alias("b")).distinct()
+    pairs = members.join(hubs, "key").where(F.col("t") != F.col("hub"))
+    pairs = pairs.select(F.col("t").alias("a"), F.col("hub").alias("b")).distinct()
     links = materialize(_verified(plausible(pairs), suspects, idf, threshold, size), "similar")
     roots = connected_components(links)
     placed = members.select("key", "t").join(roots, F.col("t") == F.col("node"), "left")
@@ -294,7 +306,7 @@ def _classes(docs: DataFrame, id_col: str, text_col: str, threshold: float, size
     mixed = placed.join(mixed.where(F.col("x") != F.col("y")).select("key"), "key", "left_semi")
     mixed = materialize(mixed.select("t", "root").distinct(), "mixed")
     apart = suspects.join(mixed, "t").select("t", "root", "text")
-    pairs = plausible(_pairs_apart(_prefixes(apart, idf, threshold, size)))
+    pairs = plausible(_pairs_apart(_prefixes(apart, idf, threshold, size), threshold))
     more = materialize(_verified(pairs, suspects, idf, threshold, size), "similar")
     roots = connected_components(links.unionByName(more))
 
