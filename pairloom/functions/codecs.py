@@ -6,6 +6,7 @@ runs on Arrow batches inside the tasks, loading its model once per Python worker
 """
 
 from collections.abc import Callable, Mapping, Sequence
+from pathlib import Path
 from typing import Any
 
 from pyspark.sql import Column
@@ -67,7 +68,8 @@ class ExternalCodec(Codec):
 
     ``load`` builds the tokenizer. It is called on the driver for the special ids and
     the vocabulary size, and once per Python worker for the texts, so the tokenizer
-    itself is never pickled.
+    itself is never pickled. With ``lists``, the tokenizer takes a list of texts and returns
+    lists of ids, and is called once per batch instead of once per text.
     """
 
     def __init__(
@@ -75,8 +77,9 @@ class ExternalCodec(Codec):
         load: Callable[[], Any],
         name: str,
         fields: tuple[str, ...] = ("input_ids", "attention_mask"),
+        lists: bool = False,
     ):
-        self.load, self.name, self.fields = load, name, fields
+        self.load, self.name, self.fields, self.lists = load, name, fields, lists
         self._tokenizer = None
 
     def __getstate__(self):
@@ -94,17 +97,25 @@ class ExternalCodec(Codec):
         return super().__getattribute__(attribute)
 
     def encode_batch(self, texts, **options):
-        return [self.tokenizer(text, **options) for text in texts]
+        if not self.lists:
+            return [self.tokenizer(text, **options) for text in texts]
+        found = self.tokenizer(list(texts), **options)
+        return [dict(zip(self.fields, row)) for row in zip(*(found[name] for name in self.fields))]
 
     def decode_batch(self, ids):
         return [self.tokenizer.decode(list(row), skip_special_tokens=True) for row in ids]
 
 
 class FileCodec(Codec):
-    """A tokenizer stored as one JSON file, read with the ``tokenizers`` package."""
+    """A tokenizer stored as one JSON file, read with the ``tokenizers`` package.
+
+    The driver reads the file and its content travels with the codec, so executors need no copy.
+    Padding that the file asks for is left out, and truncation is the tokenizer's own: it keeps the special tokens.
+    """
 
     def __init__(self, path: str, name: str | None = None, **special_ids: int):
         self.path, self.name = path, name or path
+        self.content = Path(path).read_text(encoding="utf-8")
         for key, value in special_ids.items():
             setattr(self, f"{key}_token_id", value)
         self._tokenizer = None
@@ -118,13 +129,17 @@ class FileCodec(Codec):
         if self._tokenizer is None:
             from tokenizers import Tokenizer
 
-            self._tokenizer = Tokenizer.from_file(self.path)
+            self._tokenizer = Tokenizer.from_str(self.content)
+            self._tokenizer.no_padding()
         return self._tokenizer
 
     def encode_batch(self, texts, *, truncation=False, max_length=None, add_special_tokens=True):
+        if truncation and max_length is not None:
+            self.tokenizer.enable_truncation(max_length)
+        else:
+            self.tokenizer.no_truncation()
         encoded = self.tokenizer.encode_batch(list(texts), add_special_tokens=add_special_tokens)
-        end = max_length if truncation else None
-        return [{"input_ids": e.ids[:end], "attention_mask": e.attention_mask[:end]} for e in encoded]
+        return [{"input_ids": e.ids, "attention_mask": e.attention_mask} for e in encoded]
 
     def decode_batch(self, ids):
         return self.tokenizer.decode_batch([list(row) for row in ids], skip_special_tokens=True)

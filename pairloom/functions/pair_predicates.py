@@ -17,7 +17,8 @@ def are_equal(first: Column, second: Column) -> Column:
 
 def hash_fraction(seed: int, key: Column) -> Column:
     """A number in [0, 1) that depends only on the seed and the key of the row."""
-    digest = F.md5(F.concat(F.lit(f"{seed}:"), key.cast("string")))
+    # The purpose keeps equal seeds from rejecting the first keys of a seeded permutation.
+    digest = F.md5(F.concat(F.lit(f"reject:{seed}:"), key.cast("string")))
     return F.conv(F.substring(digest, 1, 8), 16, 10).cast("long") / F.lit(float(1 << 32))
 
 

@@ -7,7 +7,7 @@ Patterns start with a plain character class and look behind only after it has
 matched, so the regex engine rejects almost every position with one class test.
 """
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -35,6 +35,9 @@ CLOSERS = ")]}»›”’"
 OPENER_OF_CLOSER = "([{«‹“‘"
 # ------------------------------------------------------------------------------
 
+# Numbers that are added up in one fold, and the place of the depth in a bracket's sorting key.
+SUM_PIECE = 256
+DEPTH_SHIFT = 36
 _W = tx.WORD
 # These two find the same texts as the definitions above, in linear time. A boundary
 # somewhere in the run of allowed characters before the stop or the @ is enough, so only
@@ -68,13 +71,13 @@ def is_blank(text: Column) -> Column:
 
 def is_too_short(text: Column, *, min: int) -> Column:
     if min < 0:
-        raise ValueError("min must be >= 0")
+        raise ValueError(f"a text can't be shorter than {min} characters")
     return F.length(text) < min
 
 
 def is_too_long(text: Column, *, max: int) -> Column:
     if max < 0:
-        raise ValueError("max must be >= 0")
+        raise ValueError(f"no text has at most {max} characters")
     return F.length(text) > max
 
 
@@ -110,28 +113,81 @@ def has_odd_number_of_quotes(text: Column, *, quote_chars: Iterable[str] = QUOTE
     return text.rlike(tx.char_class(quotes)) & (F.pmod(count, F.lit(2)) == 1)
 
 
+def _sums_before(numbers: Column) -> Column:
+    """For each number, the sum of those before it.
+
+    In pieces: a fold copies its state at every step, so it must not grow with the text.
+    """
+    zero = F.lit(0).cast("bigint")
+
+    def running(piece: Column, base: Column) -> Column:
+        start = F.struct(base.cast("bigint").alias("now"), F.array().cast("array<bigint>").alias("out"))
+        return F.aggregate(
+            piece,
+            start,
+            lambda state, n: F.struct(
+                (state["now"] + n).alias("now"), F.array_append(state["out"], state["now"]).alias("out")
+            ),
+            lambda state: state["out"],
+        )
+
+    def within(pieces: Column) -> Column:
+        sums = F.transform(pieces, lambda piece: F.aggregate(piece, zero, lambda x, n: x + n))
+        return F.flatten(F.zip_with(pieces, running(sums, zero), running))
+
+    def cut(values: Column) -> Column:
+        starts = F.sequence(F.lit(1), F.size(values), F.lit(SUM_PIECE))
+        return F.transform(starts, lambda at: F.slice(values, at, F.lit(SUM_PIECE)))
+
+    return _let(_let(numbers, cut), within)
+
+
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` evaluated once, however often ``use`` refers to it."""
+    return F.transform(F.array(value), use)[0]
+
+
 def has_unbalanced_brackets(text: Column) -> Column:
     """Brackets that do not nest properly, each closer needing its own opener.
 
-    A closer cancels the bracket before it if that is its opener; everything else stays
-    on the stack, a string. Texts without brackets, and those with more brackets of one
-    kind than of the other, are decided without walking.
+    Brackets are sorted by depth, then place. If they nest, an opener and its closer are neighbours
+    then, at the same depth. Texts without brackets, and those with more brackets of one kind than of the
+    other, are decided at once; the time for others grows like that of sorting.
     """
     inside = tx.members(OPENERS + CLOSERS)
-    needed = OPENER_OF_CLOSER + "!" * len(OPENERS)
-
-    def step(stack: Column, bracket: Column) -> Column:
-        cancels = F.substring(stack, -1, 1) == F.translate(bracket, CLOSERS + OPENERS, needed)
-        return F.when(cancels, stack.substr(F.lit(1), F.length(stack) - 1)).otherwise(F.concat(stack, bracket))
+    # Brackets as letters: an opener is a capital, a closer the small letter of its opener.
+    letters = "ABCDEFGHIJ"[: len(OPENERS)]
+    closing = "".join(letters[OPENERS.index(c)].lower() for c in OPENER_OF_CLOSER)
+    small = ord("a") - ord("A")
+
+    def wrong(keys: Column) -> Column:
+        def bad(key: Column, k: Column) -> Column:
+            before = F.get(keys, k - 1)
+            same_depth = F.shiftright(key, DEPTH_SHIFT) == F.shiftright(before, DEPTH_SHIFT)
+            closes = key.bitwiseAND(F.lit(0xFF)) == before.bitwiseAND(F.lit(0xFF)) + small
+            opens = key.bitwiseAND(F.lit(0xFF)) < ord("a")
+            return F.when(k % 2 == 0, ~opens).otherwise(~(same_depth & closes))
+
+        return F.exists(F.transform(keys, bad), lambda x: x)
+
+    def walked(codes: Column) -> Column:
+        steps = F.transform(codes, lambda c: F.when(c < ord("a"), 1).otherwise(-1))
+        # The depth of a closer is that of its opener.
+        keys = F.transform(
+            F.zip_with(codes, _sums_before(steps), lambda c, d: F.struct(c.alias("c"), d.alias("d"))),
+            lambda x, k: F.shiftleft(x["d"] - F.when(x["c"] < ord("a"), 0).otherwise(1), DEPTH_SHIFT)
+            + F.shiftleft(k.cast("bigint"), 8)
+            + x["c"],
+        )
+        return _let(F.sort_array(keys), wrong)
 
     def unbalanced(brackets: Column) -> Column:
-        closers = F.length(F.translate(brackets, OPENERS, ""))
-        rest = F.aggregate(F.split(brackets, ""), F.lit(""), step)
-        return (closers * 2 != F.length(brackets)) | (rest != "")
+        closers = F.length(F.translate(brackets, letters, ""))
+        codes = F.transform(F.split(brackets, ""), F.ascii)
+        return F.when(closers * 2 != F.length(brackets), F.lit(True)).otherwise(_let(codes, walked))
 
-    # The one-element transform evaluates the bracket string once for all its uses.
-    brackets = F.regexp_replace(text, f"[^{inside}]+", "")
-    return text.rlike(f"[{inside}]") & F.transform(F.array(brackets), unbalanced)[0]
+    brackets = F.translate(F.regexp_replace(text, f"[^{inside}]+", ""), OPENERS + CLOSERS, letters + closing)
+    return F.when(text.rlike(f"[{inside}]"), _let(brackets, unbalanced)).otherwise(False)
 
 
 def target_not_latin_like(text: Column, *, min_letters: int = 20, min_latin_ratio: float = 0.6) -> Column:

@@ -6,7 +6,7 @@ columns, so a pandas UDF serves as well as a built-in expression.
 """
 
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from typing import Any
 
 from pairloom.functions import changes, pair_predicates, predicates
@@ -45,6 +45,8 @@ PAIR_PREDICATES: dict[str, Callable] = {
         pair_predicates.are_equal,
     )
 }
+# Pair predicates that look at the id of the row.
+BY_ID = {"reject_with_probability"}
 # Tests that only look at lengths; a short-circuiting filter runs them first.
 CHEAP = {"is_too_short", "is_too_long", "bad_length_ratio"}
 
@@ -56,6 +58,8 @@ class Step:
     name: str
     function: Callable
     options: dict[str, Any] = field(default_factory=dict)
+    # Arguments that the run adds and the label doesn't show.
+    context: dict[str, Any] = field(default_factory=dict)
 
     @property
     def label(self) -> str:
@@ -65,7 +69,7 @@ class Step:
         return f"{self.name}({shown})"
 
     def __call__(self, *columns):
-        return self.function(*columns, **self.options)
+        return self.function(*columns, **{**self.context, **self.options})
 
 
 def register_change(name: str, function: Callable) -> None:
@@ -89,9 +93,9 @@ def _step(entry, table: dict[str, Callable], kind: str) -> Step:
         case [str(name), dict(options)]:
             pass
         case _:
-            raise ValueError(f"Invalid {kind} config: {entry!r}")
+            raise ValueError(f"a {kind} is a name or [name, options], not {entry!r}")
     if name not in table:
-        raise ValueError(f"Unknown {kind}: {name}")
+        raise ValueError(f"there is no {kind} called {name!r}")
     return Step(name, table[name], options)
 
 
@@ -107,5 +111,9 @@ def resolve_predicates(entries: Sequence | None) -> list[Step] | None:
     return _steps(entries, PREDICATES, "predicate")
 
 
-def resolve_pair_predicates(entries: Sequence | None) -> list[Step] | None:
-    return _steps(entries, PAIR_PREDICATES, "predicate")
+def resolve_pair_predicates(entries: Sequence | None, id_field: str | None = None) -> list[Step] | None:
+    """``id_field`` is what predicates that draw by the id use, if their options name no column."""
+    steps = _steps(entries, PAIR_PREDICATES, "predicate")
+    if steps is None or id_field is None:
+        return steps
+    return [replace(s, context={"id_col": id_field}) if s.name in BY_ID else s for s in steps]

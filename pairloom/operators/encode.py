@@ -2,6 +2,7 @@
 
 from collections.abc import Mapping, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -27,7 +28,9 @@ def _encoder(codec: Codec, options: Mapping):
     @F.pandas_udf(encoding(codec.fields))
     def encode(texts: pd.Series) -> pd.DataFrame:
         encoded = codec.encode_batch(texts.tolist(), **options)
-        return pd.DataFrame({name: [[int(i) for i in e[name]] for e in encoded] for name in fields}, columns=fields)
+        # Arrays go to Arrow as they are, whatever kind of integers the codec returns.
+        lists = {name: [np.asarray(e[name], dtype=np.int32) for e in encoded] for name in fields}
+        return pd.DataFrame(lists, columns=fields)
 
     return encode
 
@@ -91,19 +94,21 @@ def tokenize_report(
     src_lang: str | None = None,
     langs: Sequence[str] = LANGS,
     id_field: str = "id",
+    order_field: str | None = None,
 ) -> DataFrame:
     """One row per encoded pair: the lengths if it is kept, its id if it is dropped.
 
     Takes the result of ``encode_pairs``, before the length limit. ``seq_no`` is the
-    1-based position in id order. Only lengths and ids are stored and numbered, so the
+    1-based position in the order of ids, or of ``order_field``. Only lengths and ids are stored and numbered, so the
     encoding is computed once and the tokens are not shuffled.
     """
     dropped = F.lit(False) if max_seq_len is None else is_overlong(max_seq_len, *_sides(src_lang, langs))
     lengths = F.struct(*(_length(lang).alias(lang) for lang in langs))
+    order_field = order_field or id_field
     narrow = encoded.select(
-        F.col(id_field),
+        F.col(order_field),
         F.when(~dropped, lengths).alias("token_lengths"),
         F.when(dropped, F.col(id_field)).alias("removed_id"),
     )
-    numbered = positions_by_id(materialize(narrow, "lengths"), id_field, "seq_no", start=1)
+    numbered = positions_by_id(materialize(narrow, "lengths"), order_field, "seq_no", start=1)
     return numbered.select("seq_no", "token_lengths", "removed_id")

@@ -23,13 +23,14 @@ def find_flaws(
     pair_predicates: Sequence | None = None,
     *,
     langs: Sequence[str] = LANGS,
+    id_field: str = "id",
 ) -> DataFrame:
     """Add the labels of all flaws: ``<lang>_flaws`` per side and ``pair_flaws``.
 
     Every predicate is evaluated; the labels stand in the configured order.
     """
     tests = resolve_predicates(predicates) or []
-    pair_tests = resolve_pair_predicates(pair_predicates) or []
+    pair_tests = resolve_pair_predicates(pair_predicates, id_field) or []
     texts = {lang: _text(lang) for lang in langs}
     flaws = {f"{lang}_flaws": [(test.label, test(text)) for test in tests] for lang, text in texts.items()}
     flaws["pair_flaws"] = [(test.label, test(*texts.values())) for test in pair_tests]
@@ -42,6 +43,7 @@ def filter_pairs(
     pair_predicates: Sequence | None = None,
     *,
     langs: Sequence[str] = LANGS,
+    id_field: str = "id",
 ) -> DataFrame:
     """Keep the pairs without any flaw.
 
@@ -52,9 +54,10 @@ def filter_pairs(
     tests: list[tuple[Step, list[Column]]] = [
         (t, [text]) for t in resolve_predicates(predicates) or [] for text in both
     ]
-    tests += [(t, both) for t in resolve_pair_predicates(pair_predicates) or []]
+    tests += [(t, both) for t in resolve_pair_predicates(pair_predicates, id_field) or []]
     tests.sort(key=lambda test: test[0].name not in CHEAP)
-    flawed = [test(*texts) for test, texts in tests]
+    # A verdict that is null is none, as in find_flaws.
+    flawed = [F.coalesce(test(*texts), F.lit(False)) for test, texts in tests]
     return stage_boundary(df).where(~reduce(or_, flawed)) if flawed else df
 
 

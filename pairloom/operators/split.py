@@ -10,16 +10,20 @@ from pairloom.operators.sequence import bucketed_positions
 RATIO_TOLERANCE = 1e-9
 # Hex digits of the shuffle key that are counted per pass: 16**4 groups at most.
 _DIGITS = 4
-_KEY_LENGTH = 32
+_KEY_LENGTH, _TIED_LENGTH = 32, 64
 # Sorts after every hex digit.
 _AFTER_ALL_KEYS = "g"
 # A group this small is read to the driver to take the exact boundary from it.
 _SMALL_GROUP = 1024
 
 
-def shuffle_key(seed: int, id_field: str = "id") -> Column:
-    """The order of the shuffle: a hash of seed and id, the same on every run."""
-    return F.md5(F.concat(F.lit(f"{seed}:"), F.col(id_field).cast("string")))
+def shuffle_key(seed: int, id_field: str = "id", tie: str | None = None) -> Column:
+    """The order of the shuffle: a hash of seed and id, the same on every run.
+
+    Rows of equal ids, null ones too, need ``tie``, a column that tells them apart.
+    """
+    key = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(id_field).cast("string"), F.lit("null"))))
+    return key if tie is None else F.concat(key, F.md5(tie))
 
 
 def shuffle_positions(df: DataFrame, seed: int, *, id_field: str = "id", out: str = "position") -> DataFrame:
@@ -57,20 +61,23 @@ def split_counts(total: int, split_ratio: Mapping[str, float]) -> dict[str, int]
     return {name: end - begin for name, (begin, end) in split_bounds(total, split_ratio).items()}
 
 
-def boundary_keys(df: DataFrame, seed: int, ranks: set[int], *, id_field: str = "id") -> dict[int, str]:
+def boundary_keys(
+    df: DataFrame, seed: int, ranks: set[int], *, id_field: str = "id", tie: str | None = None
+) -> dict[int, str]:
     """The shuffle key of the row at each 1-based rank, found without sorting.
 
     Keys are counted by their first digits, and only the groups that hold a wanted
     rank are counted again by the next digits, until a group is small enough to read.
     Reads the id column only; the driver sees group counts and small groups.
     """
-    keys = df.select(shuffle_key(seed, id_field).alias("key"))
+    keys = df.select(shuffle_key(seed, id_field, tie).alias("key"))
+    length = _KEY_LENGTH if tie is None else _TIED_LENGTH
     found: dict[int, str] = {}
     # Per rank still wanted: the digits known so far and the rows in earlier groups.
     open_ranks = {rank: ("", 0) for rank in ranks}
     width = 0
     while open_ranks:
-        if width == _KEY_LENGTH:
+        if width == length:
             raise ValueError(f"column {id_field!r} has repeated values; a split needs unique ids")
         inside = keys
         if width:
@@ -103,7 +110,13 @@ def boundary_keys(df: DataFrame, seed: int, ranks: set[int], *, id_field: str =
 
 
 def split_ranges(
-    df: DataFrame, split_ratio: Mapping[str, float], seed: int, *, id_field: str = "id", total: int | None = None
+    df: DataFrame,
+    split_ratio: Mapping[str, float],
+    seed: int,
+    *,
+    id_field: str = "id",
+    total: int | None = None,
+    tie: str | None = None,
 ) -> dict[str, tuple[str, str]]:
     """Per split that has rows, the key of the last row before it and of its last row.
 
@@ -114,14 +127,14 @@ def split_ranges(
     total = df.count() if total is None else total
     bounds = {name: end for name, (begin, end) in split_bounds(total, split_ratio).items() if begin < end}
     names = list(bounds)
-    keys = boundary_keys(df, seed, {bounds[name] for name in names[:-1]}, id_field=id_field)
+    keys = boundary_keys(df, seed, {bounds[name] for name in names[:-1]}, id_field=id_field, tie=tie)
     ends = [keys[bounds[name]] for name in names[:-1]] + [_AFTER_ALL_KEYS]
     return dict(zip(names, zip(["", *ends], ends)))
 
 
-def in_range(seed: int, bounds: tuple[str, str], id_field: str = "id") -> Column:
+def in_range(seed: int, bounds: tuple[str, str], id_field: str = "id", tie: str | None = None) -> Column:
     """Whether a row lies in the slice: a comparison, so no row has to be moved."""
-    key = shuffle_key(seed, id_field)
+    key = shuffle_key(seed, id_field, tie)
     return (key > bounds[0]) & (key <= bounds[1])
 
 
@@ -135,7 +148,15 @@ def split_dataframe(
     return df.withColumn("_key", shuffle_key(seed, id_field)).withColumn("split", name).drop("_key")
 
 
-def in_shuffled_order(df: DataFrame, seed: int, bounds: tuple[str, str], parts: int, *, id_field: str = "id") -> DataFrame:
+def in_shuffled_order(
+    df: DataFrame,
+    seed: int,
+    bounds: tuple[str, str],
+    parts: int,
+    *,
+    id_field: str = "id",
+    tie: str | None = None,
+) -> DataFrame:
     """The rows of one slice in the order of the permutation, over ``parts`` partitions.
 
     Keys are uniform, so equal key ranges make equal partitions. A range partitioning
@@ -148,5 +169,5 @@ def in_shuffled_order(df: DataFrame, seed: int, bounds: tuple[str, str], parts:
     first = int(bounds[0][:8] or "0", 16)
     last = (1 << 32) - 1 if bounds[1] == _AFTER_ALL_KEYS else int(bounds[1][:8], 16)
     part = F.floor((leading(F.col("_key")) - first) * parts / (last - first + 1)).cast("int")
-    keyed = df.where(in_range(seed, bounds, id_field)).withColumn("_key", shuffle_key(seed, id_field))
+    keyed = df.where(in_range(seed, bounds, id_field, tie)).withColumn("_key", shuffle_key(seed, id_field, tie))
     return keyed.repartitionById(parts, part).sortWithinPartitions("_key").drop("_key")

@@ -4,23 +4,30 @@ from collections.abc import Mapping
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from pairloom.functions.codecs import Codec, training_token_ids
 from pairloom.operators.encode import drop_overlong, encode_pairs, tokenize_report
 from pairloom.operators.flaws import filter_pairs, find_flaws, flaw_report, keep
 from pairloom.operators.normalize import norm, norm_report
+from pairloom.operators.split import validate_ratios
 from pairloom.operators.training import map_training
 from pairloom.schemas import DATASET_MANIFEST, LANGS, training_rows
 from pairloom.sources.pairs import load_pairs
 from pairloom.sources.sinks import (
     MANIFEST,
     dataset_manifest,
+    path_exists,
+    split_path,
     write_dataset,
     write_jsonl,
     write_manifest,
     write_splits,
 )
-from pairloom.sources.storage import materialize
+from pairloom.sources.storage import materialize, stored_tables
+
+# Columns of a staged run: the position in the input if ids are the source's, and the pair as loaded.
+POSITION, LOADED = "_position", "_loaded"
 
 
 def _agree(what: str, *values) -> None:
@@ -42,7 +49,9 @@ def training_plan(
     tokenize_options = dict(tokenize_options or {})
     limit = tokenize_options.pop("max_seq_len", None)
     src_lang = tokenize_options.pop("src_lang", None) or map_options["src_lang"]
-    clean = filter_pairs(norm(pairs, **(norm_options or {})), **(filter_options or {}))
+    clean = filter_pairs(
+        norm(pairs, **(norm_options or {})), **{"id_field": map_options.get("id_key", "id"), **(filter_options or {})}
+    )
     encoded = encode_pairs(clean, codec, **tokenize_options)
     return map_training(drop_overlong(encoded, limit, src_lang=src_lang), **map_options)
 
@@ -82,70 +91,107 @@ def preprocess(
         "tgt_eos_id": ids["tgt_eos_id"],
     }
 
-    pairs = load_pairs(spark, **load_options)
-    if staging is None:
-        mapped = training_plan(
-            pairs,
+    _check_targets(spark, output, split_options)
+    # What the run stores for itself goes when all has been written.
+    with stored_tables(spark):
+        if staging is None:
+            pairs = load_pairs(spark, **load_options)
+            mapped = training_plan(
+                pairs,
+                codec,
+                norm_options=norm_options,
+                filter_options=filter_options,
+                tokenize_options=tokenize_options,
+                map_options=map_options,
+            )
+        else:
+            kept_ids = not load_options.get("include_ids", True)
+            # Ids of the source say nothing about positions: reports then count the rows as they lie.
+            if kept_ids:
+                numbering = {"include_ids": True, "id_field": POSITION, "start_id": 0}
+                pairs = load_pairs(spark, **{**load_options, **numbering})
+            else:
+                pairs = load_pairs(spark, **load_options)
+            mapped = _staged(
+                pairs,
+                codec,
+                f"{staging.rstrip('/')}/{dataset_name}",
+                staging.rstrip("/"),
+                id_field=id_field,
+                seq_field=POSITION if kept_ids else id_field,
+                start_id=0 if kept_ids else load_options.get("start_id", 0),
+                norm_options=dict(norm_options or {}),
+                filter_options=dict(filter_options or {}),
+                tokenize_options=tokenize_options,
+                map_options=map_options,
+            )
+
+        rows = write_dataset(mapped, output, training_rows(map_options.get("include_text", False)))
+        manifest = dataset_manifest(
             codec,
-            norm_options=norm_options,
-            filter_options=filter_options,
-            tokenize_options=tokenize_options,
-            map_options=map_options,
-        )
-    else:
-        mapped = _staged(
-            pairs,
-            codec,
-            f"{staging.rstrip('/')}/{dataset_name}",
-            staging.rstrip("/"),
+            src_lang=map_options["src_lang"],
+            tgt_lang=map_options["tgt_lang"],
+            num_examples=rows,
             id_field=id_field,
-            start_id=load_options.get("start_id", 0),
-            norm_options=dict(norm_options or {}),
-            filter_options=dict(filter_options or {}),
-            tokenize_options=tokenize_options,
-            map_options=map_options,
+            max_seq_len=tokenize_options.get("max_seq_len"),
+            token_ids=ids,
         )
+        write_manifest(spark, manifest, DATASET_MANIFEST, f"{output}/{MANIFEST}")
+        if split_options is not None:
+            write_splits(spark, output, **split_options)
+    return manifest
 
-    rows = write_dataset(mapped, output, training_rows(map_options.get("include_text", False)))
-    manifest = dataset_manifest(
-        codec,
-        src_lang=map_options["src_lang"],
-        tgt_lang=map_options["tgt_lang"],
-        num_examples=rows,
-        id_field=id_field,
-        max_seq_len=tokenize_options.get("max_seq_len"),
-        token_ids=ids,
-    )
-    write_manifest(spark, manifest, DATASET_MANIFEST, f"{output}/{MANIFEST}")
+
+def _check_targets(spark: SparkSession, output: str, split_options: Mapping[str, Any] | None) -> None:
+    """What would fail at the end of a run fails before it."""
+    if path_exists(spark, output):
+        raise FileExistsError(output)
     if split_options is not None:
-        write_splits(spark, output, **split_options)
-    return manifest
+        validate_ratios(split_options["split_ratio"])
+        for name in split_options["split_ratio"]:
+            if path_exists(spark, split_path(output, name)):
+                raise FileExistsError(split_path(output, name))
 
 
 def _staged(
-    pairs, codec, prefix, staging, *, id_field, start_id, norm_options, filter_options, tokenize_options, map_options
+    pairs,
+    codec,
+    prefix,
+    staging,
+    *,
+    id_field,
+    seq_field,
+    start_id,
+    norm_options,
+    filter_options,
+    tokenize_options,
+    map_options,
 ) -> DataFrame:
     """The stages with a stored table after each; data and report read that table."""
     langs = LANGS
     debug = norm_options.get("debug", False)
-    write_jsonl(pairs, f"{prefix}_load.jsonl")
+    columns = [c for c in pairs.columns if c != POSITION]
+    # The snapshot reads what has been stored, not the source again.
+    normed = norm(pairs.withColumn(LOADED, F.col("translation")), **{**norm_options, "annotate": True})
 
     # Changes and flaws are found in one pass and stored once with their labels.
-    normed = norm(pairs, **{**norm_options, "annotate": True})
-    checked = materialize(find_flaws(normed, **filter_options), "checked")
-    norm_report(checked, id_field=id_field, start_id=start_id, debug=debug).write.json(f"{staging}/norm_report")
-    write_jsonl(checked.select(pairs.columns), f"{prefix}_norm.jsonl")
-    flaw_report(checked, id_field=id_field, start_id=start_id).write.json(f"{staging}/filter_report")
-    clean = keep(checked).select(pairs.columns)
-    write_jsonl(clean, f"{prefix}_filter.jsonl")
+    checked = materialize(find_flaws(normed, **{"id_field": id_field, **filter_options}), "checked")
+    loaded = [F.col(LOADED).alias(c) if c == "translation" else F.col(c) for c in columns]
+    write_jsonl(checked.select(loaded), f"{prefix}_load.jsonl")
+    norm_report(checked, id_field=seq_field, start_id=start_id, debug=debug).write.json(f"{staging}/norm_report")
+    write_jsonl(checked.select(columns), f"{prefix}_norm.jsonl")
+    flaw_report(checked, id_field=seq_field, start_id=start_id).write.json(f"{staging}/filter_report")
+    clean = keep(checked)
+    write_jsonl(clean.select(columns), f"{prefix}_filter.jsonl")
 
     options = dict(tokenize_options)
     limit = options.pop("max_seq_len", None)
     src_lang = options.pop("src_lang")
-    encoded = materialize(encode_pairs(clean, codec, langs=langs, **options), "encoded")
-    report = tokenize_report(encoded, limit, src_lang=src_lang, id_field=id_field)
+    encoded = encode_pairs(clean.select(columns + [c for c in (POSITION,) if c in clean.columns]), codec, langs=langs, **options)
+    encoded = materialize(encoded, "encoded")
+    report = tokenize_report(encoded, limit, src_lang=src_lang, id_field=id_field, order_field=seq_field)
     report.write.json(f"{staging}/tokenize_report")
-    kept = drop_overlong(encoded, limit, src_lang=src_lang)
+    kept = drop_overlong(encoded, limit, src_lang=src_lang).drop(POSITION)
     write_jsonl(kept, f"{prefix}_tokenize.jsonl")
 
     mapped = map_training(kept, **map_options)

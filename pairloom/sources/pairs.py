@@ -3,13 +3,13 @@
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pairloom.operators.boundary import stage_boundary
 from pairloom.operators.sequence import dense_sequence
-from pairloom.schemas import raw_pairs
+from pairloom.schemas import LANGS
 
 # Up to this many files the table of file offsets is broadcast (about 20 MB).
 BROADCAST_FILES = 100_000
@@ -20,6 +20,11 @@ SMALL_LIMIT = 10_000
 # A line of a report that is a list, a tuple, a text, a number or a constant.
 OTHER_LITERAL = r"""^(?:\[.*\]|\(.*\)|'[^']*'|"[^"]*"|[+-]?[0-9.]+|None|True|False)$"""
 
+# A text in single or double quotes, or what stands between texts.
+PIECES = r"""'(?:[^'\\]|\\.)*+'|"(?:[^"\\]|\\.)*+"|[^'"]++|['"]"""
+# A record that isn't JSON: a key in single quotes, or a constant of Python after a comma or colon.
+PRINTED = r"""^\{\s*'|[:,\[]\s*(?:None|True|False|')"""
+
 
 def attach_ids(
     df: DataFrame,
@@ -43,7 +48,7 @@ def attach_ids(
 
 def _columns_without_id(columns: Sequence[str], id_field: str, overwrite_ids: bool) -> list[str]:
     if id_field in columns and not overwrite_ids:
-        raise ValueError(f"ID field '{id_field}' already exists. Set overwrite_ids=True to replace it.")
+        raise ValueError(f"the source has a column {id_field!r}; overwrite_ids=True would replace it")
     return [c for c in columns if c != id_field]
 
 
@@ -84,6 +89,17 @@ def _scan(spark: SparkSession, file_format: str, paths: list[str], schema: T.Str
     return reduce(DataFrame.unionByName, frames)
 
 
+def _with_pair(rows: DataFrame) -> DataFrame:
+    """Flat columns, one per language, become the pair; all other columns stay."""
+    if "translation" in rows.columns:
+        if not isinstance(rows.schema["translation"].dataType, T.StructType):
+            raise ValueError("the column 'translation' must hold an object with a text per language")
+        return rows
+    if not set(LANGS) <= set(rows.columns):
+        raise ValueError(f"no column 'translation' and no columns {', '.join(LANGS)}, only {', '.join(rows.columns)}")
+    return rows.withColumn("translation", F.struct(*LANGS)).drop(*LANGS)
+
+
 def _ids_by_file(
     rows: DataFrame, columns: Sequence[str], out: str, start: int, limit: int | None
 ) -> DataFrame | None:
@@ -131,13 +147,18 @@ def load_pairs(
 
     Without ``data_files`` the parquet folder ``path_name[/name]/split`` is read; with
     it, ``path_name`` is a format (``parquet``, ``json``) and ``data_files`` a path, a
-    list of paths or a mapping from split to these. The order is that of the files (by
+    list of paths or a mapping from split to these. JSON records have the pair as
+    ``translation`` or as one field per language; their other fields stay columns, and
+    without ``schema`` all are inferred. The order is that of the files (by
     list entry, then path) and of the rows in them, or that of ``order_by``.
     """
     file_format, paths = _paths(path_name, name, split, data_files)
     if schema is None and file_format == "json":
-        schema = raw_pairs()
+        # One schema for all files, so that a column which some lack is null there.
+        schema = spark.read.json(paths, mode="FAILFAST").schema
     rows = _scan(spark, file_format, paths, schema)
+    if file_format == "json":
+        rows = _with_pair(rows)
     source = [c for c in rows.columns if c not in ("_entry", "_file", "_place")]
     if not include_ids and max_examples is None:
         return rows.select(source)
@@ -168,14 +189,40 @@ def read_records(spark: SparkSession, path: str, schema: T.StructType | None = N
     return reader.parquet(path)
 
 
+def _as_json(line: Column) -> Column:
+    """A record as it was printed, in JSON: constants outside texts, escapes inside them.
+
+    Pieces are a text in either kind of quotes or what stands between texts.
+    """
+    pieces = F.regexp_extract_all(line, F.lit(PIECES), 0)
+
+    def translate(piece: Column) -> Column:
+        inside = F.substr(piece, F.lit(2), F.length(piece) - 2)
+        # \\xNN becomes a four-digit escape, an escaped quote the quote. A pair of backslashes is kept apart.
+        text = F.replace(inside, F.lit("\\\\"), F.lit("\0"))
+        text = F.regexp_replace(text, r"\\x([0-9a-fA-F]{2})", r"\\u00$1")
+        text = F.replace(text, F.lit("\\'"), F.lit("'"))
+        text = F.regexp_replace(text, r'(?<!\\)"', r'\\"')
+        text = F.replace(text, F.lit("\0"), F.lit("\\\\"))
+        constant = F.regexp_replace(piece, r"\bNone\b", "null")
+        constant = F.regexp_replace(F.regexp_replace(constant, r"\bTrue\b", "true"), r"\bFalse\b", "false")
+        quoted = F.substr(piece, F.lit(1), F.lit(1)).isin("'", '"')
+        return F.when(quoted, F.concat(F.lit('"'), text, F.lit('"'))).otherwise(constant)
+
+    return F.array_join(F.transform(pieces, translate), "")
+
+
 def read_report(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Read a report of one record per line; single-quoted records are read as well.
+    """Read a report of one record per line, as JSON or as printed by Python.
 
-    Blank lines and lines that hold some other literal than a record are skipped, a line
-    that is none of these is an error.
+    Printed records may be in either kind of quotes, hold ``None``, ``True`` and ``False``, and escapes such
+    as ``\\x01``. Blank lines and lines that hold some other literal than a record are skipped, a line that
+    is none of these is an error.
     """
     line = F.trim("value")
     rows = spark.read.text(path).where((line != "") & ~line.rlike(OTHER_LITERAL))
-    record = F.from_json(line, schema, {"mode": "FAILFAST", "allowSingleQuotes": "true"})
+    # JSON needs no translation, and its escapes are read as they are.
+    text = F.when(line.rlike(PRINTED), _as_json(line)).otherwise(line)
+    record = F.from_json(text, schema, {"mode": "FAILFAST"})
     # The boundary keeps later filters from parsing a line before it has been tested.
     return stage_boundary(rows).select(record.alias("record")).select("record.*")

@@ -22,6 +22,11 @@ SPLIT_INFO = "_split_manifest"
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether the file system knows the path.
+
+    Asks Hadoop's file system, for which PySpark has no public name: a read that fails instead
+    would log an error with every target that is, as it should be, not there yet.
+    """
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
 
@@ -101,7 +106,8 @@ def write_splits(
     """Cut a written dataset into ``<dataset>_split-<name>`` and return the row counts.
 
     All targets are checked before the first is written. Rows lie in the order of the
-    seeded permutation inside a split; each split shuffles only its own rows.
+    seeded permutation inside a split; each split shuffles only its own rows. Ids may repeat or
+    be null: rows with the same id are told apart by file and place in it.
     """
     if dataset is None:
         raise ValueError("dataset is required")
@@ -111,12 +117,13 @@ def write_splits(
             raise FileNotFoundError(needed)
     for name in split_ratio:
         if path_exists(spark, split_path(dataset, name)):
-            raise FileExistsError(f"Split output already exists: {split_path(dataset, name)}")
+            raise FileExistsError(split_path(dataset, name))
 
-    rows = spark.read.parquet(dataset)
+    place = F.concat_ws(":", F.col("_metadata.file_name"), F.col("_metadata.row_index"))
+    rows = spark.read.parquet(dataset).select("*", place.alias("_row"))
     total = rows.count()
     counts = split_counts(total, split_ratio)
-    ranges = split_ranges(rows, split_ratio, seed, id_field=id_field, total=total)
+    ranges = split_ranges(rows, split_ratio, seed, id_field=id_field, total=total, tie="_row")
     source = read_manifest(spark, f"{dataset}/{MANIFEST}")
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     for name, count in counts.items():
@@ -124,8 +131,8 @@ def write_splits(
         part = rows.limit(0)
         if count:
             parts = math.ceil(partitions * count / total)
-            part = in_shuffled_order(rows, seed, ranges[name], parts, id_field=id_field)
-        written = write_dataset(part, target)
+            part = in_shuffled_order(rows, seed, ranges[name], parts, id_field=id_field, tie="_row")
+        written = write_dataset(part.drop("_row"), target)
         if written != count:
             raise RuntimeError(f"split {name!r} has {written} rows instead of {count}")
         write_manifest(spark, {**source, "num_examples": count}, DATASET_MANIFEST, f"{target}/{MANIFEST}")

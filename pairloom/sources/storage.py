@@ -2,10 +2,15 @@
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+# The folder of the run that owns the tables stored now; None outside a run.
+_RUN: ContextVar[str | None] = ContextVar("run", default=None)
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -28,9 +33,26 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a parquet table to the shared folder and read it back.
 
     Cuts the lineage: a lost executor costs the tasks it was running, not the stages
-    before, and filters on the result never move back into the computation.
+    before, and filters on the result never move back into the computation. Inside
+    ``stored_tables`` the table goes with the run, elsewhere it stays until the folder is cleared.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{_RUN.get() or shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def stored_tables(spark: SparkSession) -> Iterator[str]:
+    """Owns all tables stored inside: they are removed at the end, also of a failed run.
+
+    Lazy results that read such a table must have been written by then.
+    """
+    folder = f"{shared_dir(spark)}/run-{uuid.uuid4().hex}"
+    token = _RUN.set(folder)
+    try:
+        yield folder
+    finally:
+        _RUN.reset(token)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -23,15 +23,15 @@ def test_none_stays_none():
 
 @pytest.mark.parametrize("entry", ["does_not_exist", ["re", {}], ["F", {}]])
 def test_unknown_names(entry):
-    with pytest.raises(ValueError, match="Unknown predicate"):
+    with pytest.raises(ValueError, match="no predicate called"):
         r.resolve_predicates([entry])
-    with pytest.raises(ValueError, match="Unknown change"):
+    with pytest.raises(ValueError, match="no change called"):
         r.resolve_changes([entry])
 
 
 @pytest.mark.parametrize("entry", [3, ["is_blank"], ["is_blank", 1], [1, {}], None])
 def test_malformed_entries(entry):
-    with pytest.raises(ValueError, match="Invalid predicate config"):
+    with pytest.raises(ValueError, match="a predicate is a name"):
         r.resolve_predicates([entry])
 
 

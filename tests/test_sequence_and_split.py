@@ -37,7 +37,7 @@ def test_positions_by_id(spark, monkeypatch, most):
 def test_attach_ids(spark):
     df = spark.createDataFrame([("b", 42), ("a", 43)], "t string, id long")
     assert attach_ids(df, ["t"], include_ids=False) is df
-    with pytest.raises(ValueError, match="already exists"):
+    with pytest.raises(ValueError, match="has a column"):
         attach_ids(df, ["t"])
     replaced = attach_ids(df, [F.desc("id")], overwrite_ids=True, start_id=100)
     assert {r["t"]: r["id"] for r in replaced.collect()} == {"a": 100, "b": 101}

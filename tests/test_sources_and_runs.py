@@ -97,7 +97,7 @@ def test_order_column_decides(spark, raw, monkeypatch, small):
 
 def test_existing_ids(spark, tmp_path, make_pairs):
     make_pairs([("de 1", "x"), ("de 2", "y")], start_id=42).coalesce(1).write.parquet(str(tmp_path / "d/train"))
-    with pytest.raises(ValueError, match="already exists"):
+    with pytest.raises(ValueError, match="has a column"):
         pairloom.load(spark, str(tmp_path), name="d", split="train")
     df = pairloom.load(spark, str(tmp_path), name="d", split="train", overwrite_ids=True, start_id=100)
     assert numbers(df) == {1: 100, 2: 101}
@@ -105,6 +105,33 @@ def test_existing_ids(spark, tmp_path, make_pairs):
     assert numbers(kept) == {1: 42, 2: 43}
 
 
+def json_file(tmp_path, rows):
+    path = tmp_path / "x.jsonl"
+    path.write_text("\n".join(json.dumps(r) for r in rows), "utf-8")
+    return str(path)
+
+
+def test_json_keeps_all_columns_and_its_ids(spark, tmp_path):
+    pair = {"de": "a", "en": "b"}
+    path = json_file(tmp_path, [{"id": 70, "web": "x", "translation": pair}, {"id": 5, "translation": pair, "n": 1}])
+    with pytest.raises(ValueError, match="has a column"):
+        pairloom.load(spark, "json", split="train", data_files=path)
+    kept = pairloom.load(spark, "json", split="train", data_files=path, include_ids=False).collect()
+    assert [(r.id, r.web, r.n, r.translation.en) for r in kept] == [(70, "x", None, "b"), (5, None, 1, "b")]
+    new = pairloom.load(spark, "json", split="train", data_files=path, overwrite_ids=True).collect()
+    assert sorted((r.id, r.web) for r in new) == [(0, "x"), (1, None)]
+
+
+def test_flat_json(spark, tmp_path):
+    path = json_file(tmp_path, [{"de": "a", "en": "b", "k": 1}, {"de": "c", "en": None}])
+    rows = pairloom.load(spark, "json", split="train", data_files=path).orderBy("id").collect()
+    assert [(tuple(r.translation), r.k) for r in rows] == [(("a", "b"), 1), (("c", None), None)]
+    with pytest.raises(ValueError, match="no column 'translation'"):
+        pairloom.load(spark, "json", split="train", data_files=json_file(tmp_path, [{"de": "a", "fr": "b"}]))
+    with pytest.raises(ValueError, match="must hold an object"):
+        pairloom.load(spark, "json", split="train", data_files=json_file(tmp_path, [{"translation": "a"}]))
+
+
 def test_bad_json_is_an_error(spark, tmp_path):
     path = tmp_path / "x.jsonl"
     path.write_text('{"translation": {"de": "a", "en": "b"}}\n\n{broken\n')
@@ -163,6 +190,30 @@ def test_old_report_files(spark, tmp_path):
     assert [tuple(r) for r in su.pair_flaw_counts(report).collect()] == [("are_equal", 1)]
 
 
+def test_printed_reports(spark, tmp_path):
+    records = [
+        {"seq_no": 1, "removed_id": None, "text": "a\x01b\xa0c", "flag": True},
+        {"seq_no": 2, "removed_id": 3, "text": "it's \"None\", 'True' \\ and \\x41\n\tend", "flag": False},
+        {"seq_no": 3, "removed_id": None, "text": "it's None: x", "flag": None},
+        {"seq_no": 4, "removed_id": 5, "text": 'say "x", None', "flag": True},
+        {"seq_no": 5, "removed_id": 5, "text": "", "flag": True},
+    ]
+    path = tmp_path / "report.txt"
+    path.write_text("\n".join(map(repr, records)) + "\n" + json.dumps(records[1]) + "\n", "utf-8")
+    schema = "seq_no long, removed_id long, text string, flag boolean"
+    got = [r.asDict() for r in src.read_report(spark, str(path), schema).collect()]
+    assert got == [*records, records[1]]
+
+
+def test_tables_of_a_run_are_removed(spark, tmp_path):
+    before = set(Path(storage.shared_dir(spark)).iterdir())
+    with pytest.raises(RuntimeError, match="stop"), storage.stored_tables(spark) as folder:
+        assert storage.materialize(spark.range(5), "x").count() == 5
+        assert Path(folder).is_dir()
+        raise RuntimeError("stop")
+    assert set(Path(storage.shared_dir(spark)).iterdir()) == before
+
+
 class Session:
     """As much of a session as the choice of the shared folder looks at."""
 
@@ -206,7 +257,7 @@ MANIFEST = dict.fromkeys(schemas.DATASET_MANIFEST.fieldNames(), 7) | {
 @pytest.fixture
 def dataset(spark, tmp_path):
     path = str(tmp_path / "set")
-    rows = [(i, [i, i + 1], [32, i + 10, 2]) for i in range(5)]
+    rows = [(i, [7] * (i + 1), [8, 9 - i]) for i in range(5)]
     spark.createDataFrame(rows, schemas.training_rows()).write.parquet(path)
     sinks.write_manifest(spark, MANIFEST, schemas.DATASET_MANIFEST, f"{path}/{sinks.MANIFEST}")
     return path
@@ -232,6 +283,16 @@ def test_splits_and_manifests_are_written(spark, dataset):
     assert sorted(seen) == [0, 1, 2, 3, 4]
 
 
+def test_splits_of_repeated_and_null_ids(spark, tmp_path):
+    path = str(tmp_path / "set")
+    rows = [(i % 3 if i % 4 else None, [i], [1]) for i in range(40)]
+    spark.createDataFrame(rows, schemas.training_rows()).repartition(3).write.parquet(path)
+    sinks.write_manifest(spark, MANIFEST, schemas.DATASET_MANIFEST, f"{path}/{sinks.MANIFEST}")
+    assert pairloom.split(spark, path, {"a": 0.35, "b": 0.4, "c": 0.25}, 3) == {"a": 14, "b": 16, "c": 10}
+    seen = [r["src_ids"][0] for name in "abc" for r in spark.read.parquet(sinks.split_path(path, name)).collect()]
+    assert sorted(seen) == list(range(40))
+
+
 def test_split_checks_come_before_any_output(spark, dataset, tmp_path):
     ratios = {"train": 0.5, "test": 0.5}
     with pytest.raises(ValueError, match="dataset"):
@@ -251,11 +312,11 @@ def test_split_checks_come_before_any_output(spark, dataset, tmp_path):
 
 
 def test_char_lengths(spark):
-    nested = spark.createDataFrame([(("Hallo", "Hello"),), (("Welt", "World!"),), ((None, "x"),), (None,)], schemas.raw_pairs())
-    flat = spark.createDataFrame([("Hallo", "Hello"), ("Welt", "World!"), ("x", None)], "de string, en string")
+    nested = spark.createDataFrame([(("Tür", "a door"),), (("Ölbaum", "tree"),), ((None, "x"),), (None,)], schemas.raw_pairs())
+    flat = spark.createDataFrame([("Tür", "a door"), ("Ölbaum", "tree"), ("x", None)], "de string, en string")
     text = flat.withColumn("translation", F.lit("no struct"))
     for df in (nested, flat, text):
-        assert sorted(map(tuple, su.char_lengths(df).collect())) == [(4, 6), (5, 5)]
+        assert sorted(map(tuple, su.char_lengths(df).collect())) == [(3, 6), (6, 4)]
 
 
 def test_token_lengths_skip_incomplete_rows(spark):

@@ -149,7 +149,7 @@ def test_long_bracket_texts(spark):
 
 @pytest.mark.parametrize("name, option", [("is_too_short", "min"), ("is_too_long", "max")])
 def test_negative_limits(spark, name, option):
-    with pytest.raises(ValueError, match=f"{option} must be >= 0"):
+    with pytest.raises(ValueError, match="characters"):
         PREDICATES[name](F.col("t"), **{option: -1})
 
 

@@ -118,7 +118,7 @@ def equal(x, y):
 
 
 def rejected(key):
-    digest = f"substr(md5(concat('{wq.REJECT['seed']}:', CAST({key} AS VARCHAR))), 1, 8)"
+    digest = f"substr(md5(concat('reject:{wq.REJECT['seed']}:', CAST({key} AS VARCHAR))), 1, 8)"
     return f"(CAST('0x' || {digest} AS BIGINT) / 4294967296.0::DOUBLE < {wq.REJECT['prob']}::DOUBLE)"
 
 
@@ -316,6 +316,16 @@ ORACLE: dict[str, str] = {
     "load_first_n": "SELECT id, doc_id FROM (SELECT row_number() OVER (ORDER BY doc_id) + 4 AS id, doc_id FROM documents) "
     f"WHERE id < {wq.FIRST_N + 5}",
     "load_json": f"{PAIRS_CTE} SELECT row_number() OVER (ORDER BY id DESC) - 1 AS id, id AS position, de, en FROM pairs",
+    "load_json_columns": "SELECT doc_id AS id, lang, n_chars, CAST(length(text) AS INT) AS de_length, source AS en FROM documents",
+    "load_json_flat": "SELECT row_number() OVER (ORDER BY doc_id DESC) - 1 AS id, doc_id AS old, lang AS de, source AS en FROM documents",
+    "staged_kept_ids": f"{FLAWS}, placed AS (SELECT *, row_number() OVER (ORDER BY id) AS seq_no FROM flawed JOIN "
+    "(SELECT id, de_changes, en_changes FROM normed) USING (id)) "
+    "SELECT 'norm' AS report, seq_no FROM placed WHERE de_changes <> '' OR en_changes <> '' UNION ALL "
+    "SELECT 'filter', seq_no FROM placed WHERE de_flaws <> '' OR en_flaws <> '' OR pair_flaws <> '' "
+    f"OR {rejected(wq.ROW_KEY)}",
+    "report_read_debug": "SELECT doc_id AS seq_no, CASE WHEN doc_id % 2 = 0 THEN t || CASE doc_id % 3 WHEN 0 THEN chr(1) WHEN 1 THEN chr(228) "
+    "ELSE chr(10) END ELSE 'it''s ' || t END AS text, doc_id % 2 = 0 AS kept, CASE WHEN doc_id % 5 <> 0 THEN doc_id END AS removed_id "
+    "FROM (SELECT doc_id, regexp_replace(substr(text, 1, 60), '[\n\r\t\\\\]', ' ', 'g') AS t FROM documents)",
     "tokenize_words": f"{PAIRS_CTE}, {encoded('pairs')} {TOKENS}",
     "tokenize_external": f"{PAIRS_CTE}, {encoded('pairs')} {TOKENS}",
     "tokenize_truncated": f"{PAIRS_CTE}, {encoded('pairs', 12)} {TOKENS}",
@@ -340,6 +350,8 @@ ORACLE: dict[str, str] = {
     "shuffle_order": f"SELECT doc_id AS id, row_number() OVER (ORDER BY {shuffled('doc_id')}, doc_id) - 1 AS position FROM documents",
     "split_membership": f"WITH {membership(wq.RATIOS)} SELECT id, split FROM members",
     "split_counts": f"WITH {membership(wq.SMALL_RATIOS)} SELECT split, count(*) AS row_count FROM members GROUP BY split",
+    "split_written_repeated_ids": f"WITH {membership(wq.SMALL_RATIOS)} SELECT split, count(*) AS row_count FROM members GROUP BY split "
+    "UNION ALL SELECT 'distinct', count(*) FROM documents",
     "split_written": f"WITH {membership(wq.RATIOS, 'doc_id AS id, doc_id, n_chars')} SELECT id, n_chars, split AS split_name, "
     f"CAST({wq.SEED} AS BIGINT) AS split_seed, count(*) OVER (PARTITION BY split) AS num_examples, "
     "CAST(1024 AS BIGINT) AS base_vocab_size FROM members",

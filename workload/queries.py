@@ -64,6 +64,8 @@ OPTIONS = {"is_too_short": {"min": 10}, "is_too_long": {"max": 5000}}
 MAX_SEQ_LEN = 600
 REJECT = {"prob": 0.1, "seed": 7}
 FIRST_N = 150
+# The id of staged_kept_ids, in SQL.
+ROW_KEY = "id * 7 + 3"
 RATIOS = {"train": 0.979, "validation": 0.001, "test": 0.02}
 SMALL_RATIOS = {"train": 0.6, "val": 0.2, "test": 0.2}
 SEED = 7
@@ -233,6 +235,23 @@ def load_json(spark, sf_dir):
     return rows.select("id", "position", "translation.de", "translation.en")
 
 
+def load_json_columns(spark, sf_dir):
+    """All fields of a JSON source stay, its own ids among them."""
+    path = f"{_run_dir(spark)}/docs.jsonl"
+    pair = F.struct(F.col("text").alias("de"), F.col("source").alias("en")).alias("translation")
+    write_jsonl(documents(spark, sf_dir).select(F.col("doc_id").alias("id"), "lang", "n_chars", pair), path)
+    rows = load_pairs(spark, "json", split="train", data_files=path, include_ids=False)
+    return rows.select("id", "lang", "n_chars", F.length("translation.de").alias("de_length"), "translation.en")
+
+
+def load_json_flat(spark, sf_dir):
+    """One field per language instead of the pair; an existing id is replaced."""
+    path = f"{_run_dir(spark)}/flat.jsonl"
+    write_jsonl(documents(spark, sf_dir).selectExpr("doc_id AS id", "doc_id AS old", "lang AS de", "source AS en"), path)
+    rows = load_pairs(spark, "json", split="train", data_files=path, overwrite_ids=True, order_by=[F.desc("old")])
+    return rows.select("id", "old", "translation.de", "translation.en")
+
+
 # --- encoding -----------------------------------------------------------------
 
 
@@ -361,6 +380,27 @@ def preprocess_staged(spark, sf_dir):
     return union.groupBy("stage").agg(F.count(F.lit(1)).alias("row_count"))
 
 
+def staged_kept_ids(spark, sf_dir):
+    """Positions in the reports of a run that keeps the sparse ids of its source."""
+    run = _run_dir(spark)
+    source = pairs(spark, sf_dir).withColumn("row", F.col("id") * 7 + 3)
+    save_dataset(source.orderBy("id").drop("id"), f"{run}/raw/train")
+    preprocess(
+        spark,
+        f"{run}/out",
+        WordLengthCodec(),
+        load_options={"path_name": f"{run}/raw", "split": "train", "include_ids": False, "id_field": "row"},
+        norm_options={"changes": CHAIN},
+        filter_options={"predicates": TEXT_FLAWS, "pair_predicates": [*PAIR_FLAWS, ["reject_with_probability", REJECT]]},
+        tokenize_options={"max_seq_len": MAX_SEQ_LEN},
+        map_options={"src_lang": "de", "tgt_lang": "en"},
+        staging=f"{run}/staging",
+    )
+    norm_rows = spark.read.json(f"{run}/staging/norm_report").select(F.lit("norm").alias("report"), "seq_no")
+    flaw_rows = spark.read.json(f"{run}/staging/filter_report").select(F.lit("filter"), "seq_no")
+    return norm_rows.union(flaw_rows)
+
+
 def preprocess_stream(spark, sf_dir):
     """The run as a stream over stored pairs."""
     run = _run_dir(spark)
@@ -426,6 +466,20 @@ def split_written(spark, sf_dir):
     return parts[0].union(parts[1]).union(parts[2])
 
 
+def split_written_repeated_ids(spark, sf_dir):
+    """Sizes of splits of a dataset whose ids repeat or are null, and the rows in them."""
+    path = f"{_run_dir(spark)}/data"
+    row_id = F.when(F.col("doc_id") % 7 != 0, F.floor(F.col("doc_id") / 50))
+    count = write_dataset(documents(spark, sf_dir).select(row_id.alias("id"), "doc_id"), path)
+    manifest = dataset_manifest(WordLengthCodec(), src_lang="de", tgt_lang="en", num_examples=count)
+    write_manifest(spark, manifest, schemas.DATASET_MANIFEST, f"{path}/{MANIFEST}")
+    write_splits(spark, path, SMALL_RATIOS, SEED)
+    parts = [spark.read.parquet(split_path(path, name)).select(F.lit(name).alias("split"), "doc_id") for name in SMALL_RATIOS]
+    rows = parts[0].union(parts[1]).union(parts[2])
+    sizes = rows.groupBy("split").agg(F.count(F.lit(1)).alias("row_count"))
+    return sizes.union(rows.agg(F.lit("distinct"), F.countDistinct("doc_id")))
+
+
 # --- sources and sinks --------------------------------------------------------
 
 
@@ -464,6 +518,24 @@ def report_read(spark, sf_dir):
     return flaw_counts(read_report(spark, path, schemas.flaw_report()))
 
 
+def report_read_debug(spark, sf_dir):
+    """A report as printed, with texts in either kind of quotes, escapes and missing values."""
+    path = f"{_run_dir(spark)}/report"
+    text = F.substring("text", 1, 60)
+    escaped = F.regexp_replace(text, "[\\n\\r\\t\\\\]", " ")
+    tail = F.when(F.col("doc_id") % 3 == 0, F.lit("\\x01")).when(F.col("doc_id") % 3 == 1, F.lit("\\xe4")).otherwise(F.lit("\\n"))
+    single = F.concat(F.lit("'"), F.replace(escaped, F.lit("'"), F.lit("\\'")), tail, F.lit("'"))
+    double = F.concat(F.lit('"it\'s '), F.replace(escaped, F.lit('"'), F.lit('\\"')), F.lit('"'))
+    quoted = F.when(F.col("doc_id") % 2 == 0, single).otherwise(double)
+    removed = F.when(F.col("doc_id") % 5 == 0, F.lit("None")).otherwise(F.col("doc_id").cast("string"))
+    line = F.concat(
+        F.lit("{'seq_no': "), F.col("doc_id").cast("string"), F.lit(", 'text': "), quoted,
+        F.lit(", 'kept': "), F.when(F.col("doc_id") % 2 == 0, "True").otherwise("False"), F.lit(", 'removed_id': "), removed, F.lit("}"),
+    )
+    documents(spark, sf_dir).select(line.alias("value")).write.text(path)
+    return read_report(spark, path, "seq_no long, text string, kept boolean, removed_id long")
+
+
 def text_export(spark, sf_dir):
     return decode_rows(_mapped(spark, sf_dir), _external()).groupBy("src", "ref").agg(F.count(F.lit(1)).alias("row_count"))
 
@@ -505,6 +577,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "load_file_order": load_file_order,
     "load_first_n": load_first_n,
     "load_json": load_json,
+    "load_json_columns": load_json_columns,
+    "load_json_flat": load_json_flat,
     "tokenize_words": tokenize_words,
     "tokenize_truncated": tokenize_truncated,
     "tokenize_external": tokenize_external,
@@ -516,15 +590,18 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "split_membership": split_membership,
     "split_counts": split_counts,
     "split_written": split_written,
+    "split_written_repeated_ids": split_written_repeated_ids,
     "manifest": manifest_row,
     "snapshot_json": snapshot_json,
     "snapshot_parquet": snapshot_parquet,
     "report_read": report_read,
+    "report_read_debug": report_read_debug,
     "text_export": text_export,
     "char_length_pairs": char_length_pairs,
     "char_length_hist": char_length_hist,
     "token_length_hist": token_length_hist,
     "preprocess_plan": preprocess_plan,
     "preprocess_staged": preprocess_staged,
+    "staged_kept_ids": staged_kept_ids,
     "preprocess_stream": preprocess_stream,
 }
