@@ -11,10 +11,8 @@ from pairloom.operators.boundary import stage_boundary
 from pairloom.operators.sequence import dense_sequence
 from pairloom.schemas import LANGS
 
-# Up to this many files the table of file offsets is broadcast (about 20 MB).
+# Files whose offsets are broadcast at a time (about 20 MB).
 BROADCAST_FILES = 100_000
-# Up to this many files a row limit names the files to read in the scan itself.
-NAMED_FILES = 1_000
 # Up to this many rows, the first rows in an order are taken before any are numbered.
 SMALL_LIMIT = 10_000
 # A line of a report that is a list, a tuple, a text, a number or a constant.
@@ -100,32 +98,39 @@ def _with_pair(rows: DataFrame) -> DataFrame:
     return rows.withColumn("translation", F.struct(*LANGS)).drop(*LANGS)
 
 
-def _ids_by_file(
-    rows: DataFrame, columns: Sequence[str], out: str, start: int, limit: int | None
-) -> DataFrame | None:
+def _ids_by_file(rows: DataFrame, columns: Sequence[str], out: str, start: int, limit: int | None) -> DataFrame:
     """Ids in file order: rows in earlier files plus the row index in the file.
 
     Counting reads the parquet footers only. Nothing is sorted or shuffled: the offsets,
-    one row per file, are joined by broadcast. None if there are too many files.
+    one row per file, are joined by broadcast, a batch of files at a time. A limit reads the
+    files up to the one where it is reached.
     """
     counts = rows.groupBy("_entry", "_file").agg(F.count(F.lit(1)).alias("rows"))
-    counts = counts.orderBy("_entry", "_file").limit(BROADCAST_FILES + 1).collect()
-    if len(counts) > BROADCAST_FILES:
-        return None
+    # One row per file.
+    counts = counts.orderBy("_entry", "_file").collect()
     offsets, total = [], 0
     for row in counts:
         if limit is not None and total >= limit:
             break
         offsets.append((row["_entry"], row["_file"], total))
         total += row["rows"]
-    if len(offsets) < len(counts) and len(offsets) <= NAMED_FILES:
-        rows = rows.where(F.col("_file").isin(*{file for _, file, _ in offsets}))
-    table = rows.sparkSession.createDataFrame(offsets, "_entry int, _file string, _offset long")
-    placed = rows.join(F.broadcast(table), ["_entry", "_file"])
     position = F.col("_offset") + F.col("_place")
-    if limit is not None:
-        placed = placed.where(position < limit)
-    return placed.select(*columns, (position + start).alias(out))
+    parts = []
+    for at in range(0, max(len(offsets), 1), BROADCAST_FILES):
+        batch = offsets[at : at + BROADCAST_FILES]
+        table = rows.sparkSession.createDataFrame(batch, "_entry int, _file string, _offset long")
+        part = rows
+        if batch and len(batch) < len(counts):
+            # The batch is a range of entries and paths, by which the scan leaves out all other files.
+            (first, low, _), (last, high, _) = batch[0], batch[-1]
+            entry, file = F.col("_entry"), F.col("_file")
+            begins = (entry > first) | ((entry == first) & (file >= low))
+            part = rows.where(begins & ((entry < last) | ((entry == last) & (file <= high))))
+        placed = part.join(F.broadcast(table), ["_entry", "_file"])
+        if limit is not None:
+            placed = placed.where(position < limit)
+        parts.append(placed.select(*columns, (position + start).alias(out)))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def load_pairs(

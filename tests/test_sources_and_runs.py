@@ -67,14 +67,16 @@ def test_list_of_files_keeps_its_order(spark, raw):
         pairloom.load(spark, "parquet", split="dev", data_files={"train": files})
 
 
-def test_too_many_files_for_a_broadcast(spark, raw, monkeypatch):
-    monkeypatch.setattr(src, "BROADCAST_FILES", 2)
+@pytest.mark.parametrize("batch", [1, 2, 100])
+def test_batches_of_files_give_the_same_ids(spark, raw, monkeypatch, batch):
+    monkeypatch.setattr(src, "BROADCAST_FILES", batch)
+    df = pairloom.load(spark, raw, split="train")
+    assert numbers(df) == {i: i for i in range(30)}
+    assert "Exchange hashpartitioning" not in df._jdf.queryExecution().executedPlan().toString()
     assert numbers(pairloom.load(spark, raw, split="train", max_examples=25)) == {i: i for i in range(25)}
-
-
-def test_many_files_are_not_named_in_the_scan(spark, raw, monkeypatch):
-    monkeypatch.setattr(src, "NAMED_FILES", 1)
-    assert numbers(pairloom.load(spark, raw, split="train", max_examples=15)) == {i: i for i in range(15)}
+    files = [f"{raw}/train/part={part}" for part in (2, 0, 1)]
+    listed = pairloom.load(spark, "parquet", split="train", data_files=files)
+    assert numbers(listed) == {(20 + i) % 30: i for i in range(30)}
 
 
 def test_json_lines_keep_their_order(spark, tmp_path):
