@@ -67,17 +67,25 @@ def encode_documents(docs: DataFrame, tokenizer: str, window: int = WINDOW, end:
     return docs.mapInPandas(encode, "doc_id string, doc_tokens long, window_crcs array<long>, rest binary")
 
 
+def distinct(ids: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """Each id once: where the last place written to it is the own one. ``last`` is working space."""
+    places = np.arange(len(ids))
+    last[ids] = places
+    return ids[last[ids] == places]
+
+
 def corpus_statistics(encoded: DataFrame) -> tuple[np.ndarray, float, int, int]:
     """Idf by token id over all units, their mean length, their number and their tokens."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        df, units, tokens = np.zeros(0, np.int64), 0, 0
+        df, last, units, tokens = np.zeros(0, np.int64), np.zeros(0, np.int64), 0, 0
         for batch in batches:
             for rest in batch["rest"]:
-                ids = np.unique(np.frombuffer(rest, "<u4"))
-                if len(ids) and ids[-1] >= len(df):
-                    df = np.concatenate([df, np.zeros(int(ids[-1]) + 1 - len(df), np.int64)])
-                df[ids] += 1
+                ids = np.frombuffer(rest, "<u4")
+                if ids.max(initial=0) >= len(df):
+                    more = np.zeros(int(ids.max()) + 1 - len(df), np.int64)
+                    df, last = np.concatenate([df, more]), np.concatenate([last, more])
+                df[distinct(ids, last)] += 1
                 units += 1
                 tokens += len(rest) // 4
         seen = np.flatnonzero(df)
@@ -199,12 +207,15 @@ def pack(
 
     def add_keys(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         idf, _ = known.value
+        last = np.zeros(len(idf), np.int64)
         for batch in batches:
             keys = np.zeros((len(batch), 2), np.int64)
             for k, rest in enumerate(batch["rest"]):
                 if rest:
-                    ids, tf = np.unique(np.frombuffer(rest, "<u4"), return_counts=True)
-                    telling = ids[np.lexsort((ids, -idf[ids] * np.minimum(tf, 3)))[:KEY_TOKENS]].astype(np.uint64)
+                    ids = distinct(np.frombuffer(rest, "<u4"), last)
+                    if len(ids) > KEY_TOKENS:
+                        ids = ids[idf[ids] >= np.partition(idf[ids], -KEY_TOKENS)[-KEY_TOKENS]]
+                    telling = ids.astype(np.uint64)
                     for j in range(2):
                         keys[k, j] = mix(telling ^ np.uint64((STEP * (j + 1)) & MASK)).min().view(np.int64)
             yield batch.assign(key=keys[:, 0], key2=keys[:, 1])

@@ -5,13 +5,13 @@ import sys
 import types
 from array import array
 from collections.abc import Iterable, Iterator
-from itertools import chain
 from pathlib import Path
 
 import numpy as np
 from tokenizers import Tokenizer
 
 _ODD = re.compile(r"[ \n]\s")
+_WORD = re.compile(r" ?[\w.,;:!?'()\"-]+")
 # A word that ends in one of these, after a letter, is split in front of it.
 _ENDS = frozenset(".,;:!?")
 
@@ -37,6 +37,8 @@ class ChunkEncoder:
         self.tokenizer.no_padding()
         self.most, self.group = most, group
         self.known: dict[str, bytes] = {}
+        self.line_ids = self.tokenizer.encode("\n", add_special_tokens=False).ids
+        self.line_end = self.line_ids[0] if self.line_ids else -1
 
     def _cut(self, text: str) -> list[str]:
         if not text:
@@ -47,16 +49,30 @@ class ChunkEncoder:
         return text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0")
 
     def _ids(self, pieces: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
-        return [array("I", e.ids).tobytes() for e in found]  # four bytes each, as the machine orders them
+        """Ids of pieces. Those of one word are encoded together, one per line, and told apart by the line ends."""
+        words = [p for p in pieces if _WORD.fullmatch(p)]
+        out: dict[str, bytes] = {}
+        for at in range(0, len(words), 10_000):
+            part = words[at : at + 10_000]
+            ids = np.array(self.tokenizer.encode("\n".join(part), add_special_tokens=False).ids, np.uint32)
+            ends = np.append(np.flatnonzero(ids == self.line_end), len(ids)) if len(self.line_ids) == 1 else [0]
+            if len(ends) == len(part):
+                data, begin = ids.tobytes(), 0
+                for word, end in zip(part, ends.tolist()):
+                    out[word] = data[4 * begin : 4 * end]
+                    begin = end + 1
+        rest = [p for p in pieces if p not in out]
+        found = self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)
+        out |= {p: array("I", e.ids).tobytes() for p, e in zip(rest, found)}  # four bytes each, as the machine orders them
+        return [out[p] for p in pieces]
 
     def _learn(self, pieces: set[str]) -> dict[str, bytes]:
-        """Ids of the pieces that aren't known."""
+        """Ids of pieces that aren't known."""
         known = self.known
-        new = [p for p in pieces if p not in known]
-        ends = {p: (p[:-1], p[-1]) for p in new if len(p) > 2 and p[-1] in _ENDS and p[-2].isalpha()}
-        parts = [p for p in new if p not in ends]
-        parts += {part for pair in ends.values() for part in pair if part not in known}.difference(parts)
+        ends = {p: (p[:-1], p[-1]) for p in pieces if len(p) > 2 and p[-1] in _ENDS and p[-2].isalpha()}
+        parts = pieces.difference(ends)
+        parts |= {part for pair in ends.values() for part in pair if part not in known}
+        parts = list(parts)
         got = dict(zip(parts, self._ids(parts)))
         for piece, (word, end) in ends.items():
             got[piece] = (known.get(word) or got[word]) + (known.get(end) or got[end])
@@ -65,23 +81,23 @@ class ChunkEncoder:
         return got
 
     def encode(self, texts: Iterable[str]) -> Iterator[np.ndarray]:
-        waiting: list[list[str]] = []
+        waiting: list[tuple[list[str], list]] = []
         size = 0
         for text in texts:
-            waiting.append(self._cut(text))
+            pieces = self._cut(text)
+            waiting.append((pieces, list(map(self.known.get, pieces))))
             size += len(text)
             if size >= self.group:
-                yield from self._encode(waiting)
+                yield from self._filled(waiting)
                 waiting, size = [], 0
-        yield from self._encode(waiting)
-
-    def _encode(self, cut: list[list[str]]) -> Iterator[np.ndarray]:
-        new = self._learn(set(chain.from_iterable(cut)))
-        known = self.known
-        for pieces in cut:
-            found = list(map(known.get, pieces))
-            if None in found:
-                found = [new[p] if f is None else f for p, f in zip(pieces, found)]
+        yield from self._filled(waiting)
+
+    def _filled(self, waiting: list[tuple[list[str], list]]) -> Iterator[np.ndarray]:
+        gaps = [[k for k, ids in enumerate(found) if ids is None] if None in found else () for _, found in waiting]
+        new = self._learn({pieces[k] for (pieces, _), at in zip(waiting, gaps) for k in at})
+        for (pieces, found), at in zip(waiting, gaps):
+            for k in at:
+                found[k] = new[pieces[k]]
             yield np.frombuffer(b"".join(found), np.uint32)
 
 
