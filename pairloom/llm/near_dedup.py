@@ -16,8 +16,8 @@ exact weighted Jaccard similarity decides.
 
 Equal texts are one node throughout. A bucket may be large, so its documents are first compared with one
 of them only: that which lies in the largest buckets, as it has the fewest changes of its own. That
-links most of a group of near copies. Documents of buckets that still hold several components are
-then joined exactly, by a prefix join with a position filter. In any order of shingles, the first one that two
+links most of a group of near copies. Documents of buckets that still hold several components are compared with
+another hub, that with the least of its own among those that share a rare shingle, and then joined exactly, by a prefix join with a position filter. In any order of shingles, the first one that two
 similar bags share stands near the beginning of both, as all that either has before it isn't shared. With rare
 shingles first, a bag begins with what distinguishes it from its near copies, so a document with too many
 changes of its own meets none of them. All that meet in different components are compared.
@@ -182,7 +182,8 @@ def _verified(pairs: DataFrame, suspects: DataFrame, idf, threshold: float, size
 def _prefixes(apart: DataFrame, idf, threshold: float, size: int) -> DataFrame:
     """``(t, root, w, before, shingle)``: the first shingles of each bag, of which similar bags share one.
 
-    ``w`` is the weight of the bag, ``before`` that of the shingles before this one.
+    ``w`` is the weight of the bag, ``before`` that of the shingles before this one, ``own`` the share
+    of the bag that few other texts have.
     """
     spark = apart.sparkSession
 
@@ -214,13 +215,16 @@ def _prefixes(apart: DataFrame, idf, threshold: float, size: int) -> DataFrame:
                 before = np.concatenate([[0.0], np.cumsum(w[order])[:-1]])
                 # What is shared weighs at least threshold times the whole.
                 first = before <= (1 - threshold) * w.sum() + SLACK
-                found.append((keys[order[first]].view(np.int64), before[first], np.full(first.sum(), w.sum())))
+                # What few other texts have, as a share of the bag.
+                own = float((w / df[slots(keys)]).sum() / w.sum())
+                whole = np.full(first.sum(), w.sum())
+                found.append((keys[order[first]].view(np.int64), before[first], whole, np.full(len(whole), own)))
             lengths = [len(f[0]) for f in found]
             columns = {c: batch[c].repeat(lengths).to_numpy() for c in ("t", "root")}
-            columns |= {c: np.concatenate([f[k] for f in found]) for k, c in enumerate(("shingle", "before", "w"))}
+            columns |= {c: np.concatenate([f[k] for f in found]) for k, c in enumerate(("shingle", "before", "w", "own"))}
             yield pd.DataFrame(columns)
 
-    schema = "t binary, root binary, shingle long, before double, w double"
+    schema = "t binary, root binary, shingle long, before double, w double, own double"
     return materialize(apart.mapInPandas(prefix, schema), "prefixes")
 
 
@@ -306,7 +310,16 @@ def _classes(docs: DataFrame, id_col: str, text_col: str, threshold: float, size
     mixed = placed.join(mixed.where(F.col("x") != F.col("y")).select("key"), "key", "left_semi")
     mixed = materialize(mixed.select("t", "root").distinct(), "mixed")
     apart = suspects.join(mixed, "t").select("t", "root", "text")
-    pairs = plausible(_pairs_apart(_prefixes(apart, idf, threshold, size), threshold))
+    prefixes = _prefixes(apart, idf, threshold, size)
+    # Once more hubs, those with the least of their own in the group of a prefix shingle, now that this is known.
+    hubs = prefixes.groupBy("shingle").agg(F.min(F.struct("own", "t", "root")).alias("hub"))
+    pairs = prefixes.join(hubs, (prefixes["shingle"] == hubs["shingle"]) & (F.col("root") != F.col("hub.root")))
+    pairs = plausible(pairs.select(F.col("t").alias("a"), F.col("hub.t").alias("b")).distinct())
+    links = links.unionByName(materialize(_verified(pairs, suspects, idf, threshold, size), "similar"))
+    roots = connected_components(links)
+    placed = prefixes.drop("root").join(roots, F.col("t") == F.col("node"), "left")
+    prefixes = placed.withColumn("root", F.coalesce("root", "t")).drop("node")
+    pairs = plausible(_pairs_apart(prefixes, threshold))
     more = materialize(_verified(pairs, suspects, idf, threshold, size), "similar")
     roots = connected_components(links.unionByName(more))
 
