@@ -30,7 +30,7 @@ SAMPLE = 1000
 DIMENSIONS = 2048
 # Code points that are looked at in one go; n-grams across the cut are counted in the next piece.
 PIECE = 1 << 20
-MIN_SCORE = 0.5
+MIN_SCORE = 0.25
 
 
 def _letters() -> np.ndarray:
