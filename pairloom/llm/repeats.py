@@ -85,6 +85,15 @@ def anchors_of(data: bytes, length: int = LENGTH, anchor: int = ANCHOR) -> Itera
         yield place + begin, first + begin, last + begin, hashes
 
 
+# Sort keys must stay below this.
+KEY_LIMIT = 1 << 63
+
+
+def _ranks(keys: np.ndarray) -> np.ndarray:
+    """Dense ranks: equal keys have equal ones, in the order of the keys."""
+    return np.unique(keys, return_inverse=True)[1].astype(np.int64)
+
+
 def suffix_array(s: np.ndarray) -> np.ndarray:
     """Starts of the suffixes of ``s`` in order, by the difference cover {1, 2} modulo 3. Values are 1 or more."""
     n = len(s)
@@ -96,7 +105,9 @@ def suffix_array(s: np.ndarray) -> np.ndarray:
     ones = np.arange(1, n + (n % 3 == 1), 3)
     twos = np.arange(2, n, 3)
     sampled = np.concatenate([ones, twos])
-    triples = (padded[sampled] * top + padded[sampled + 1]) * top + padded[sampled + 2]
+    pairs = padded[sampled] * top + padded[sampled + 1]
+    # With many different symbols, three of them don't fit a key; two and a rank do.
+    triples = (pairs if top**3 <= KEY_LIMIT else _ranks(pairs)) * top + padded[sampled + 2]
     values, names = np.unique(triples, return_inverse=True)
     if len(values) == len(sampled):
         order = np.argsort(names)
@@ -110,7 +121,10 @@ def suffix_array(s: np.ndarray) -> np.ndarray:
     zeros = np.arange(0, n, 3)
     many = len(rank) + 1
     after_one = lambda i: padded[i] * many + rank[i + 1]
-    after_two = lambda i: (padded[i] * top + padded[i + 1]) * many + rank[i + 2]
+    pairs = padded[:-1] * top + padded[1:]
+    if top * top * many > KEY_LIMIT:
+        pairs = _ranks(pairs)
+    after_two = lambda i: pairs[i] * many + rank[i + 2]
     zeros = zeros[np.argsort(after_one(zeros), kind="stable")]
     # A place in the merged order is the own order plus what comes before in the other one.
     is_one = sampled % 3 == 1

@@ -20,7 +20,7 @@ from pairloom.llm.near_dedup import (
     similarity,
     word_idf,
 )
-from pairloom.llm.repeats import anchors_of, remove_repeats, suffix_array
+from pairloom.llm.repeats import LENGTH, MOST_CONTEXTS, anchors_of, remove_repeats, repeated_starts, suffix_array
 
 DOCS = "doc_id long, text string, n_removed string, line_no string"
 
@@ -91,6 +91,28 @@ def test_suffix_arrays():
             assert suffix_array(s).tolist() == sorted(range(n), key=lambda i: s[i:].tolist())
 
 
+@pytest.mark.parametrize("top", [1 << 22, 1 << 27])
+def test_suffix_arrays_of_wide_alphabets(top):
+    rng = np.random.default_rng(5)
+    some = rng.integers(1, top, 300)
+    s = np.concatenate([some, rng.integers(1, top, 100), some[50:250], some])
+    assert suffix_array(s).tolist() == sorted(range(len(s)), key=lambda i: s[i:].tolist())
+
+
+def test_repeats_in_the_largest_flush():
+    """As many contexts as a task sorts, of random bytes around one anchor; every fifth shares strings with the next."""
+    rng = np.random.default_rng(6)
+    sides = rng.integers(0, 256, (MOST_CONTEXTS, 240), np.uint8)
+    sides[1::5, 30:200] = sides[::5, 30:200]
+    sides[1::5, [29, 200]] = sides[::5, [29, 200]] + 1
+    anchor = rng.integers(0, 256, (1, 80), np.uint8).repeat(MOST_CONTEXTS, axis=0)
+    contexts = [bytes(c) for c in np.hstack([sides[:, :120], anchor, sides[:, 120:]])]
+    found = repeated_starts(contexts)
+    want = np.zeros((MOST_CONTEXTS, 321), bool)
+    want[::5, 30 : 280 - LENGTH + 1] = want[1::5, 30 : 280 - LENGTH + 1] = True
+    assert np.array_equal(found, want.ravel()[:-1])
+
+
 def test_every_string_has_one_anchor_that_follows_its_bytes():
     data = np.random.default_rng(2).integers(97, 100, 900).astype(np.uint8).tobytes()
     data += data[100:400] + b"a" * 120
