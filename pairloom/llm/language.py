@@ -3,6 +3,9 @@
 Texts become hashed counts of one to three letters, over the whole text. A softmax model predicts the family;
 within it, a linear support vector machine for every pair of languages votes. Both are learnt from a sample of
 labelled documents with a documented bound, features are made where the data is.
+
+Both always name a learnt language. Whether a text is in it at all is told by its distance: how much less likely the
+text's n-grams are, by the frequencies of that language in the sample, than those of the sample's own documents.
 """
 
 from collections.abc import Iterator
@@ -31,6 +34,9 @@ DIMENSIONS = 2048
 # Code points that are looked at in one go; n-grams across the cut are counted in the next piece.
 PIECE = 1 << 20
 MIN_SCORE = 0.25
+# A text may be so many times as far from its language as all but this share of the sample, each document left out of
+# the frequencies that it is compared with. Short texts may be farther by so many standard deviations of their length.
+FAR, FAR_SHARE, FAR_DEVIATIONS = 3.0, 0.01, 4.0
 
 
 def _letters() -> np.ndarray:
@@ -38,8 +44,8 @@ def _letters() -> np.ndarray:
     return np.array([c if chr(c).isalpha() else 32 for c in range(1 << 16)], np.uint32)
 
 
-def features(text: str, letters: np.ndarray, dimensions: int = DIMENSIONS) -> np.ndarray | None:
-    """Square roots of hashed n-gram counts, of length one; None for a text without letters."""
+def features(text: str, letters: np.ndarray, dimensions: int = DIMENSIONS) -> tuple[np.ndarray, float] | None:
+    """Square roots of hashed n-gram counts, of length one, and the sum of the counts; None for a text without letters."""
     counts = np.zeros(dimensions)
     low = text.lower()
     for begin in range(0, len(low), PIECE):
@@ -63,7 +69,7 @@ def features(text: str, letters: np.ndarray, dimensions: int = DIMENSIONS) -> np
     if not any(c.isalpha() for c in low):
         return None
     root = np.sqrt(counts)
-    return root / np.linalg.norm(root)
+    return root / np.linalg.norm(root), float(counts.sum())
 
 
 def held_out(id_col: str) -> Column:
@@ -106,6 +112,7 @@ class LanguageModel:
     """Families, the softmax between them, and the duels within each."""
 
     def __init__(self, x: np.ndarray, langs: list[str], families: dict[str, str]):
+        self._calibrate(x, np.array(langs))
         x = np.hstack([x, np.ones((len(x), 1))])
         names = sorted(set(langs))
         self.families: dict[str, list[str]] = {}
@@ -121,6 +128,28 @@ class LanguageModel:
             rows = (langs == a) | (langs == b)
             self.duels[a, b] = fit_svm(x[rows], np.where(langs[rows] == a, 1.0, -1.0))
 
+    def _calibrate(self, x: np.ndarray, langs: np.ndarray) -> None:
+        """Logarithms of n-gram shares by language, and what they are like for the documents of the sample."""
+        self.shares, self.typical, self.deviation, far = {}, {}, {}, []
+        for lang in sorted(set(langs)):
+            own = x[langs == lang] ** 2
+            total = own.sum(axis=0) + 1 / x.shape[1]
+            log = np.log(total / total.sum())
+            # Each document by the shares of all others.
+            alone = np.array([d @ np.log((total - d).clip(1e-12) / (total.sum() - d.sum())) for d in own])
+            self.shares[lang], self.typical[lang] = log, float(np.median(alone))
+            share = total / total.sum()
+            self.deviation[lang] = float(np.sqrt(share @ (log - share @ log) ** 2))
+            far.append(self.typical[lang] - alone)
+        self.spread = max(float(np.quantile(np.concatenate(far), 1 - FAR_SHARE)), 0.0)
+
+    def distances(self, x: np.ndarray, grams: np.ndarray, langs: list[str]) -> np.ndarray:
+        """How far texts are from their languages, as a share of what is allowed; over 1 is too far."""
+        below = np.array([self.typical[lang] - row**2 @ self.shares[lang] for row, lang in zip(x, langs)])
+        # Three n-grams begin at each letter.
+        short = np.array([self.deviation[lang] for lang in langs]) / np.sqrt(np.maximum(grams / 3, 1))
+        return below.clip(0) / (FAR * self.spread + FAR_DEVIATIONS * short + 1e-9)
+
     def predict(self, x: np.ndarray) -> tuple[list[str], np.ndarray]:
         x = np.hstack([x, np.ones((len(x), 1))])
         z = x @ self.between
@@ -155,7 +184,7 @@ def _featured(rows: DataFrame, dimensions: int) -> DataFrame:
         letters = _letters()
         for batch in batches:
             found = [features(t, letters, dimensions) for t in batch["text"]]
-            out = pd.DataFrame({"lang": batch["lang"], "x": [None if f is None else f.astype("<f4").tobytes() for f in found]})
+            out = pd.DataFrame({"lang": batch["lang"], "x": [None if f is None else f[0].astype("<f4").tobytes() for f in found]})
             yield out[out["x"].notna()]
 
     return rows.mapInPandas(make, "lang string, x binary")
@@ -192,27 +221,31 @@ def fit_languages(
 
 
 def predict_languages(docs: DataFrame, model: LanguageModel | None, text_col: str = "text") -> DataFrame:
-    """``docs`` with ``lang_pred`` and ``score``; input columns with these names are replaced.
+    """``docs`` with ``lang_pred``, ``score`` and ``distance``; input columns with these names are replaced.
 
-    Texts that are null or have no letter are ``und`` with score 0, as are all if nothing could be learnt.
+    Texts that are null or have no letter are ``und`` with score 0, as are all if nothing could be learnt. A distance
+    over 1 says that the text is in none of the learnt languages.
     """
-    @F.pandas_udf("lang_pred string, score double")
+    @F.pandas_udf("lang_pred string, score double, distance double")
     def predict(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         letters = _letters()
         dimensions = model.between.shape[0] - 1 if model else DIMENSIONS
         for batch in texts:
             langs, scores = np.full(len(batch), UNKNOWN, object), np.zeros(len(batch))
+            distances = np.full(len(batch), np.inf)
             for begin in range(0, len(batch) if model else 0, 256):
                 part = [None if t is None else features(t, letters, dimensions) for t in batch.iloc[begin : begin + 256]]
                 rows = [k for k, f in enumerate(part) if f is not None]
                 if rows:
                     at = np.array(rows) + begin
-                    langs[at], scores[at] = model.predict(np.array([part[k] for k in rows]))
-            yield pd.DataFrame({"lang_pred": langs, "score": scores})
+                    x, grams = np.array([part[k][0] for k in rows]), np.array([part[k][1] for k in rows])
+                    found, scores[at] = model.predict(x)
+                    langs[at], distances[at] = found, model.distances(x, grams, found)
+            yield pd.DataFrame({"lang_pred": langs, "score": scores, "distance": distances})
 
-    keep = [c for c in docs.columns if c not in ("lang_pred", "score")]
+    keep = [c for c in docs.columns if c not in ("lang_pred", "score", "distance")]
     found = docs.select(*keep, predict(F.col(text_col)).alias("__language"))
-    return found.select(*keep, "__language.lang_pred", "__language.score")
+    return found.select(*keep, "__language.lang_pred", "__language.score", "__language.distance")
 
 
 def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", **options) -> DataFrame:
@@ -225,11 +258,15 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
 def keep_identified(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", min_score: float = MIN_SCORE, **options
 ) -> DataFrame:
-    """The documents whose language is known with ``min_score`` at least, with their own columns."""
+    """The documents whose language is known with ``min_score`` at least, with their own columns.
+
+    The least possible score depends on the number of families and languages, so a low ``min_score`` may reject nothing;
+    texts in languages that weren't learnt and letters without sense go by their distance.
+    """
     model = fit_languages(docs, id_col, text_col, lang_col, **options)
     # Columns that are called like the prediction's step aside for it.
-    aside = {"lang_pred": "__lang_pred", "score": "__score"}
+    aside = {"lang_pred": "__lang_pred", "score": "__score", "distance": "__distance"}
     text_col = aside.get(text_col, text_col)
     found = predict_languages(docs.withColumnsRenamed(aside), model, text_col)
-    good = found.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= min_score))
-    return good.drop("lang_pred", "score").withColumnsRenamed({v: k for k, v in aside.items()}).select(*docs.columns)
+    good = found.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= min_score) & (F.col("distance") <= 1))
+    return good.drop("lang_pred", "score", "distance").withColumnsRenamed({v: k for k, v in aside.items()}).select(*docs.columns)

@@ -133,6 +133,25 @@ def test_languages_of_odd_texts(spark, documents):
     assert {r.lang_pred for r in unlabelled} == {"und"}
 
 
+def test_unlearnt_languages_and_noise_go(spark, documents):
+    rng = np.random.default_rng(4)
+    foreign = [
+        "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni obdarzeni rozumem i sumieniem",
+        "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki ja omatunto",
+        "Все люди рождаются свободными и равными в своем достоинстве и правах. Они наделены разумом и совестью",
+        "すべての人間は、生まれながらにして自由であり、かつ、尊厳と権利とについて平等である。",
+    ]
+    noise = ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz     "), n)) for n in (60, 200, 2000, 20_000)]
+    rows = [(-1 - k, text, None) for k, text in enumerate(foreign + noise)]
+    clean = documents.select("doc_id", "text", "lang")
+    docs = clean.union(spark.createDataFrame(rows, "doc_id long, text string, lang string")).withColumn("distance", F.lit("d"))
+    kept = keep_identified(docs)
+    assert kept.columns == docs.columns and {r.distance for r in kept.collect()} == {"d"}
+    ids = {r.doc_id for r in kept.collect()}
+    assert not {r[0] for r in rows} & ids
+    assert {r.doc_id for r in clean.collect()} <= ids
+
+
 LABELS = "doc_id long, quality int, toxic int"
 
 
