@@ -2,6 +2,7 @@
 
 import base64
 import struct
+import textwrap
 
 import numpy as np
 import pytest
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 
 from pairloom.llm import warc
 from pairloom.llm.decontaminate import find_leaks, remove_leaked
-from pairloom.llm.licences import directories, scan_licences
+from pairloom.llm.licences import HEADERS, directories, licence_texts, scan_licences
 from pairloom.llm.topk import Block, candidates, top_k
 
 VECTORS = "vec_id long, embedding array<float>, score string, block string"
@@ -124,6 +125,32 @@ def test_licences(spark):
     assert scan_licences(files.limit(0)).count() == 0
 
 
+def test_licence_headers_and_whole_texts(spark):
+    texts, headers = dict(licence_texts()), {text: licence for licence, text in HEADERS if len(text) > 150}
+    rows, want = [], {}
+    for k, (text, licence) in enumerate(headers.items()):
+        wrapped = "\n".join(f" * {line}" for line in textwrap.wrap(text, 40 + 7 * (k % 4)))
+        for n, whole in enumerate((wrapped, f"# {text} And then twenty other words " + "follow " * 20)):
+            path = f"/h/{k}/{n}.c"
+            rows.append((path, f"int first;\n/*\n{whole}\n*/\nint code;\n" + "x = y\n" * 50))
+            want[path] = licence
+    for licence, text in texts.items():
+        rows.append((f"/t/{licence}/LICENSE", f"Copyright (c) 2020 Somebody\n\n{text}"))
+        rows.append((f"/t/{licence}/x.c", "code"))
+        want |= {f"/t/{licence}/LICENSE": licence, f"/t/{licence}/x.c": licence}
+    for path, text, licence in [
+        ("/s/1.c", "// SPDX-License-Identifier: BSD-3-Clause\nint a;", "BSD-3-Clause"),
+        ("/s/2.c", "code\nLicensed under the Apache License, Version 2.0. " + "other " * 20, "Apache-2.0"),
+        ("/s/3.c", "This work is licensed under the GNU\nGeneral Public License,\nversion 3.", "GPL-3.0"),
+        ("/s/4.c", "This work is licensed under the GNU General Public License.", "GPL"),
+        ("/s/5.c", "A licence to say something else entirely, with many words that are in no template at all.", None),
+    ]:
+        rows.append((path, text))
+        want[path] = licence
+    found = {r.path: r.licence for r in scan_licences(spark.createDataFrame(rows, "path string, text string")).collect()}
+    assert found == want
+
+
 def test_directories(spark):
     rows = spark.createDataFrame([("/a/b/c",), ("a/b",), ("x",), ("/",)], "p string")
     got = {r.p: r.d for r in rows.select("p", directories(F.col("p")).alias("d")).collect()}
