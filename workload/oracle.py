@@ -318,6 +318,7 @@ ORACLE: dict[str, str] = {
     "load_json": f"{PAIRS_CTE} SELECT row_number() OVER (ORDER BY id DESC) - 1 AS id, id AS position, de, en FROM pairs",
     "load_json_columns": "SELECT doc_id AS id, lang, n_chars, CAST(length(text) AS INT) AS de_length, source AS en FROM documents",
     "load_json_flat": "SELECT row_number() OVER (ORDER BY doc_id DESC) - 1 AS id, doc_id AS old, lang AS de, source AS en FROM documents",
+    "load_json_flat_text": "SELECT row_number() OVER (ORDER BY doc_id DESC) - 1 AS id, doc_id AS old, text AS de, text || source AS en FROM documents",
     "staged_kept_ids": f"{FLAWS}, placed AS (SELECT *, row_number() OVER (ORDER BY id) AS seq_no FROM flawed JOIN "
     "(SELECT id, de_changes, en_changes FROM normed) USING (id)) "
     "SELECT 'norm' AS report, seq_no FROM placed WHERE de_changes <> '' OR en_changes <> '' UNION ALL "
@@ -326,6 +327,7 @@ ORACLE: dict[str, str] = {
     "report_read_debug": "SELECT doc_id AS seq_no, CASE WHEN doc_id % 2 = 0 THEN t || CASE doc_id % 3 WHEN 0 THEN chr(1) WHEN 1 THEN chr(228) "
     "ELSE chr(10) END ELSE 'it''s ' || t END AS text, doc_id % 2 = 0 AS kept, CASE WHEN doc_id % 5 <> 0 THEN doc_id END AS removed_id "
     "FROM (SELECT doc_id, regexp_replace(substr(text, 1, 60), '[\n\r\t\\\\]', ' ', 'g') AS t FROM documents)",
+    "report_read_whole": "SELECT doc_id AS seq_no, text || chr(92) || 'n' || chr(9) || chr(39) || chr(34) || chr(13) || chr(10) AS text FROM documents",
     "tokenize_words": f"{PAIRS_CTE}, {encoded('pairs')} {TOKENS}",
     "tokenize_external": f"{PAIRS_CTE}, {encoded('pairs')} {TOKENS}",
     "tokenize_truncated": f"{PAIRS_CTE}, {encoded('pairs', 12)} {TOKENS}",

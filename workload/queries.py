@@ -252,6 +252,14 @@ def load_json_flat(spark, sf_dir):
     return rows.select("id", "old", "translation.de", "translation.en")
 
 
+def load_json_flat_text(spark, sf_dir):
+    """The same with whole texts."""
+    path = f"{_run_dir(spark)}/flat.jsonl"
+    write_jsonl(documents(spark, sf_dir).selectExpr("doc_id AS id", "doc_id AS old", "text AS de", "concat(text, source) AS en"), path)
+    rows = load_pairs(spark, "json", split="train", data_files=path, overwrite_ids=True, order_by=[F.desc("old")])
+    return rows.select("id", "old", "translation.de", "translation.en")
+
+
 # --- encoding -----------------------------------------------------------------
 
 
@@ -536,6 +544,21 @@ def report_read_debug(spark, sf_dir):
     return read_report(spark, path, "seq_no long, text string, kept boolean, removed_id long")
 
 
+def report_read_whole(spark, sf_dir):
+    """The same with whole texts; line ends, tabs, backslashes and the quotes around are escaped as Python prints them."""
+    path = f"{_run_dir(spark)}/report"
+    # Every text gets all of them at its end, and a backslash before a letter.
+    text = F.concat("text", F.lit("\\n\t'\"\r\n"))
+    for char, escape in (("\\", "\\\\"), ("\n", "\\n"), ("\r", "\\r"), ("\t", "\\t")):
+        text = F.replace(text, F.lit(char), F.lit(escape))
+    single = F.concat(F.lit("'"), F.replace(text, F.lit("'"), F.lit("\\'")), F.lit("'"))
+    double = F.concat(F.lit('"'), F.replace(text, F.lit('"'), F.lit('\\"')), F.lit('"'))
+    quoted = F.when(F.col("text").isNull(), F.lit("None")).when(F.col("doc_id") % 2 == 0, single).otherwise(double)
+    line = F.concat(F.lit("{'seq_no': "), F.col("doc_id").cast("string"), F.lit(", 'text': "), quoted, F.lit("}"))
+    documents(spark, sf_dir).select(line.alias("value")).write.text(path)
+    return read_report(spark, path, "seq_no long, text string")
+
+
 def text_export(spark, sf_dir):
     return decode_rows(_mapped(spark, sf_dir), _external()).groupBy("src", "ref").agg(F.count(F.lit(1)).alias("row_count"))
 
@@ -579,6 +602,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "load_json": load_json,
     "load_json_columns": load_json_columns,
     "load_json_flat": load_json_flat,
+    "load_json_flat_text": load_json_flat_text,
     "tokenize_words": tokenize_words,
     "tokenize_truncated": tokenize_truncated,
     "tokenize_external": tokenize_external,
@@ -596,6 +620,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "snapshot_parquet": snapshot_parquet,
     "report_read": report_read,
     "report_read_debug": report_read_debug,
+    "report_read_whole": report_read_whole,
     "text_export": text_export,
     "char_length_pairs": char_length_pairs,
     "char_length_hist": char_length_hist,
