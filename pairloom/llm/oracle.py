@@ -76,7 +76,41 @@ LICENCES = f"""
                 FROM f JOIN own USING (doc_id) WHERE whole) WHERE r = 1)
 """
 
+# CRC-32 of a text of ASCII characters.
+CRC = """
+    crc_table AS (SELECT list_transform(range(256), lambda i: list_reduce(range(8),
+        lambda c, k: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END, i)) AS entries)
+"""
+CRC_OF = """xor(4294967295, list_reduce(list_transform(string_split({text}, ''), lambda ch: ascii(ch)::BIGINT),
+    lambda c, b: xor(entries[(xor(c, b) & 255) + 1], c >> 8), 4294967295::BIGINT))"""
+
+# Rebuilt conversations, and for each of their beginnings a key.
+DIGEST = "md5(length(role)::VARCHAR || ':' || role || text)"
+TRIE = f"""
+    {CRC},
+    raw AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+    t AS (SELECT conv_id, {DIGEST} AS digest, len(regexp_extract_all(text, '[^ \t-\r]+')) AS words,
+                 row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, {DIGEST}) AS pos FROM raw),
+    c AS (SELECT conv_id, conv_id - conv_id % 20 AS base, {CRC_OF.format(text="conv_id::VARCHAR")} % 4 AS h
+          FROM (SELECT DISTINCT conv_id FROM raw), crc_table),
+    b AS (SELECT c.conv_id, t.pos, t.digest, t.words FROM c JOIN t ON t.conv_id = c.base AND t.pos <= c.h
+          UNION ALL SELECT c.conv_id, t.pos, t.digest, t.words FROM c JOIN t ON t.conv_id = c.conv_id AND t.pos > c.h),
+    d AS (SELECT conv_id, row_number() OVER w AS depth, md5(string_agg(digest, ',') OVER w) AS key, words
+          FROM b WINDOW w AS (PARTITION BY conv_id ORDER BY pos)),
+    k AS (SELECT * FROM d UNION ALL SELECT conv_id, 0, '', 0 FROM c),
+    p AS (SELECT *, lag(key) OVER w AS parent, lead(key) OVER w IS NULL AS ends FROM k WINDOW w AS (PARTITION BY conv_id ORDER BY depth)),
+    n AS (SELECT key, depth, any_value(parent) AS parent, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(words) AS words,
+                 coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (ends), '') AS ends FROM p GROUP BY key, depth),
+    kids AS (SELECT parent AS key, count(*) AS n_children FROM n WHERE depth > 0 GROUP BY parent),
+    below AS (SELECT k.key, sum((n_children IS NULL)::INT)::BIGINT AS n_leaves, sum((n_convs - 1) * n.words)::BIGINT AS saved_tokens
+              FROM n LEFT JOIN kids USING (key) JOIN k ON k.conv_id = n.conv_id AND k.depth <= n.depth GROUP BY k.key)
+"""
+
 ORACLE = {
+    "op13_prefix_trie": f"""WITH {TRIE}
+        SELECT n.conv_id, n.depth, up.conv_id AS parent_conv_id, n.n_convs, coalesce(n_children, 0) AS n_children, n_leaves,
+               saved_tokens, sha256(n.ends) AS ends_sha256
+        FROM n JOIN below USING (key) LEFT JOIN kids USING (key) LEFT JOIN n up ON n.parent = up.key AND up.depth = n.depth - 1""",
     "op6_licences": f"""
         WITH {LICENCES}
         SELECT f.doc_id, path, own.licence AS own_licence, score,

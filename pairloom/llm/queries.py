@@ -3,13 +3,16 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairloom.llm.common import table
+from pairloom.llm.common import once, table
 from pairloom.llm.decontaminate import find_leaks
 from pairloom.llm.language import identify
 from pairloom.llm.licences import SIGNS, scan_licences
 from pairloom.llm.line_dedup import dedup_lines
 from pairloom.llm.near_dedup import near_classes
 from pairloom.llm.packing import pack
+from pairloom.llm.pattern_packing import pack_patterns
+from pairloom.llm.periodic import collapse_runs
+from pairloom.llm.prefix_trie import prefix_trie, share_beginnings
 from pairloom.llm.repeats import remove_repeats
 from pairloom.llm.resample import resample
 from pairloom.llm.tokens import tokenizer_file
@@ -76,6 +79,52 @@ def op10_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = pack_patterns(table(spark, sf_dir, "documents"), tokenizer_file())
+    return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+def with_planted_periods(docs: DataFrame) -> DataFrame:
+    """``docs(doc_id, text)``, where a tenth of the texts repeats some words from a place on, both by a hash of the id."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    white = r"[\x20\x09-\x0D]+"
+    words = F.array_remove(F.split(F.when(h % 10 == 0, F.col("text")), white), "")
+    split = once(docs, "__words", words)
+    g, n = F.floor(h / 10), F.size("__words").cast("long")
+    # try_mod: a text without words has no place to repeat from.
+    begin = F.try_mod(g, n)
+    placed = once(split, "__at", F.struct(begin.alias("a"), (F.lit(1) + F.floor((n - begin) / (g % 8 + 3))).alias("p")))
+    a, p = F.col("__at.a"), F.col("__at.p")
+    source = F.transform(F.sequence(F.lit(0).cast("long"), n - 1), lambda i: F.when(i < a, i).otherwise(a + F.pmod(i - a, p)))
+    changed = F.array_join(F.transform(source, lambda i: F.get("__words", i.cast("int"))), " ")
+    text = F.when((h % 10 == 0) & (n > 0), changed).otherwise(F.col("text"))
+    return placed.select("doc_id", text.alias("text"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = collapse_runs(with_planted_periods(docs))
+    best = F.array_max(
+        F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("s"), (-r["period"]).alias("p")))
+    )
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.select("*", best.alias("best")).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        (-F.col("best.s")).alias("start"),
+        F.col("best.length").alias("length"),
+        (-F.col("best.p")).alias("period"),
+        F.floor(F.lit(1000) * F.col("best.length") / -F.col("best.p")).alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rebuilt, ids = share_beginnings(table(spark, sf_dir, "conversations"))
+    return prefix_trie(rebuilt, ids)
+
+
 QUERIES = {
     "op1_top_k": op1_top_k,
     "op2_packing": op2_packing,
@@ -87,4 +136,7 @@ QUERIES = {
     "op8_repeats": op8_repeats,
     "op9_near_dedup": op9_near_dedup,
     "op10_resample": op10_resample,
+    "op11_pattern_packing": op11_pattern_packing,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_prefix_trie": op13_prefix_trie,
 }
