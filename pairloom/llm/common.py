@@ -52,6 +52,12 @@ def with_shingles(df: DataFrame, text: str, name: str, size: int = SHINGLE_WORDS
     return split.withColumn(name, F.array_distinct(shingles(F.col("__words"), size))).drop("__words")
 
 
+def set_aside(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """``docs`` with columns named by their place, and these names by the own ones, so that no helper column clashes."""
+    names = {c: f"own_{k}" for k, c in enumerate(docs.columns)}
+    return docs.toDF(*names.values()), names
+
+
 # A table of so many entries, some tens of bytes each, may be sent to every executor.
 SMALL = 1_000_000
 

@@ -13,7 +13,8 @@ in any document that contains ``threshold`` of them, so no leak is missed at any
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pairloom.llm.common import SHINGLE_WORDS, SIMILARITY, with_shingle_hashes, with_shingles
+from pairloom.llm.common import SHINGLE_WORDS, SIMILARITY, broadcast_if_small, set_aside, with_shingle_hashes, with_shingles
+from pairloom.sources.storage import materialize
 
 # A sketch table of at most this many rows (16 bytes each) is sent to every executor; a larger
 # one is joined by shuffling.
@@ -64,7 +65,8 @@ def find_leaks(
 
     # The exact check compares the words themselves. A document is split once for all its items.
     wanted = candidates.groupBy("doc_id", "text_key").agg(F.collect_list("item_id").alias("item_ids"))
-    wanted = wanted.toDF("of_doc", "of_text", "item_ids")
+    # Suspects are few: their keys travel to the texts, rather than all texts to their keys.
+    wanted = broadcast_if_small(materialize(wanted.toDF("of_doc", "of_text", "item_ids"), "wanted"), F.size("item_ids") + 1)
     same = F.col("doc_id").eqNullSafe(F.col("of_doc")) & (F.col("text_key") == F.col("of_text"))
     suspects = docs.join(wanted, same).select("doc_id", "text", "item_ids")
     doc_sets = with_shingles(suspects, "text", "doc_set", size).drop("text")
@@ -82,5 +84,7 @@ def find_leaks(
 
 def remove_leaked(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The documents without a leak, with all their columns; those with null ids or texts stay."""
-    leaked = find_leaks(docs, items, id_col, text_col, **options).select(F.col("doc_id").alias("__leaked")).distinct()
-    return docs.join(leaked, docs[id_col] == leaked["__leaked"], "left_anti")
+    columns = docs.columns
+    docs, own = set_aside(docs)
+    leaked = find_leaks(docs, items, own[id_col], own[text_col], **options).select(F.col("doc_id").alias("leaked")).distinct()
+    return docs.join(leaked, F.col(own[id_col]) == F.col("leaked"), "left_anti").toDF(*columns)

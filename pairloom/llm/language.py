@@ -16,6 +16,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pairloom.llm.common import set_aside
 from pairloom.llm.hashing import mix
 
 UNKNOWN = "und"
@@ -28,8 +29,10 @@ FAMILIES = {
     "sl": "slavic", "sr": "slavic", "uk": "slavic",
     "et": "uralic", "fi": "uralic", "hu": "uralic",
 }
-# Labelled documents to learn from, about, of each language; hashes of the ids choose them.
-SAMPLE = 1000
+# Labelled documents to learn from, about, of each language and of all together; hashes of the ids choose them. Of more
+# labels than this, the most frequent are learnt.
+SAMPLE, SAMPLE_TOTAL = 1000, 8000
+MOST_LANGUAGES = 200
 DIMENSIONS = 2048
 # Code points that are looked at in one go; n-grams across the cut are counted in the next piece.
 PIECE = 1 << 20
@@ -85,16 +88,26 @@ def _descend(gradient, shape: tuple, steps: int = 300, rate: float = 20.0) -> np
     return v
 
 
+def _products(x: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """``x`` times weights, whose last row is that of a feature that is always one. ``x`` is neither copied nor widened."""
+    return (x @ w[:-1].astype(x.dtype)).astype(np.float64) + w[-1]
+
+
+def _back(x: np.ndarray, r: np.ndarray) -> np.ndarray:
+    """The transposed product, with the same last feature."""
+    return np.concatenate([(x.T @ r.astype(x.dtype)).astype(np.float64), r.sum(axis=0, keepdims=True)])
+
+
 def fit_softmax(x: np.ndarray, classes: np.ndarray, count: int, decay: float = 1e-5) -> np.ndarray:
     wanted = np.eye(count)[classes] / np.bincount(classes, minlength=count)[classes][:, None] / count
 
     def gradient(w):
-        z = x @ w
+        z = _products(x, w)
         p = np.exp(z - z.max(axis=1, keepdims=True))
         p /= p.sum(axis=1, keepdims=True)
-        return x.T @ (p * wanted.sum(axis=1, keepdims=True) - wanted) + decay * w
+        return _back(x, p * wanted.sum(axis=1, keepdims=True) - wanted) + decay * w
 
-    return _descend(gradient, (x.shape[1], count))
+    return _descend(gradient, (x.shape[1] + 1, count))
 
 
 def fit_svm(x: np.ndarray, sides: np.ndarray, decay: float = 1e-5) -> np.ndarray:
@@ -102,10 +115,10 @@ def fit_svm(x: np.ndarray, sides: np.ndarray, decay: float = 1e-5) -> np.ndarray
     weight = np.where(sides > 0, 0.5 / max((sides > 0).sum(), 1), 0.5 / max((sides < 0).sum(), 1))
 
     def gradient(w):
-        slack = np.maximum(1 - sides * (x @ w), 0)
-        return -x.T @ (sides * weight * slack) + decay * w
+        slack = np.maximum(1 - sides * _products(x, w), 0)
+        return -_back(x, sides * weight * slack) + decay * w
 
-    return _descend(gradient, (x.shape[1],), rate=1.0)
+    return _descend(gradient, (x.shape[1] + 1,), rate=1.0)
 
 
 class LanguageModel:
@@ -113,7 +126,6 @@ class LanguageModel:
 
     def __init__(self, x: np.ndarray, langs: list[str], families: dict[str, str]):
         self._calibrate(x, np.array(langs))
-        x = np.hstack([x, np.ones((len(x), 1))])
         names = sorted(set(langs))
         self.families: dict[str, list[str]] = {}
         for name in names:
@@ -122,7 +134,7 @@ class LanguageModel:
         langs = np.array(langs)
         self.kinds = kinds
         own = np.array([kinds.index(families.get(n, n)) for n in langs])
-        self.between = fit_softmax(x, own, len(kinds)) if len(kinds) > 1 else np.zeros((x.shape[1], len(kinds)))
+        self.between = fit_softmax(x, own, len(kinds)) if len(kinds) > 1 else np.zeros((x.shape[1] + 1, len(kinds)))
         self.duels = {}
         for a, b in (pair for members in self.families.values() for pair in combinations(members, 2)):
             rows = (langs == a) | (langs == b)
@@ -132,7 +144,7 @@ class LanguageModel:
         """Logarithms of n-gram shares by language, and what they are like for the documents of the sample."""
         self.shares, self.typical, self.deviation, far = {}, {}, {}, []
         for lang in sorted(set(langs)):
-            own = x[langs == lang] ** 2
+            own = x[langs == lang].astype(np.float64) ** 2
             total = own.sum(axis=0) + 1 / x.shape[1]
             log = np.log(total / total.sum())
             # Each document by the shares of all others.
@@ -151,8 +163,7 @@ class LanguageModel:
         return below.clip(0) / (FAR * self.spread + FAR_DEVIATIONS * short + 1e-9)
 
     def predict(self, x: np.ndarray) -> tuple[list[str], np.ndarray]:
-        x = np.hstack([x, np.ones((len(x), 1))])
-        z = x @ self.between
+        z = _products(x, self.between)
         p = np.exp(z - z.max(axis=1, keepdims=True))
         p /= p.sum(axis=1, keepdims=True)
         kind = p.argmax(axis=1)
@@ -166,7 +177,7 @@ class LanguageModel:
             won, margin = np.zeros((len(rows), len(members))), np.zeros((len(rows), len(members)))
             sure = np.ones((len(rows), len(members)))
             for i, j in combinations(range(len(members)), 2):
-                m = x[rows] @ self.duels[members[i], members[j]]
+                m = _products(x[rows], self.duels[members[i], members[j]])
                 won[:, i] += m > 0
                 won[:, j] += m <= 0
                 margin[:, i] += np.tanh(m)
@@ -198,26 +209,38 @@ def fit_languages(
     sample: int = SAMPLE,
     families: dict[str, str] = FAMILIES,
     dimensions: int = DIMENSIONS,
+    total: int = SAMPLE_TOTAL,
+    most_languages: int = MOST_LANGUAGES,
 ) -> LanguageModel | None:
     """Learns from the labelled documents that aren't held out; None if there are none.
 
-    Of each language, about ``sample`` documents are used, those with the smallest hashes of their ids.
+    Of each language, about ``sample`` documents are used, those with the smallest hashes of their ids, and of all together
+    about ``total``. With more than ``most_languages`` labels, only the most frequent are learnt.
     """
     learn = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
     learn = learn.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull())
     learn = learn.where(~held_out("doc_id"))
-    counts = learn.groupBy("lang").agg(F.count("*").alias("n")).collect()  # one row for each language
+    counts = learn.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(most_languages).collect()
     if not counts:
         return None
     share = F.pmod(F.xxhash64("doc_id", F.lit("language")), F.lit(1 << 40)) / F.lit(float(1 << 40))
-    limits = F.create_map(*[F.lit(v) for r in counts for v in (r["lang"], float(sample / r["n"]))])
-    chosen = learn.where(share < limits[F.col("lang")])
-    # Ordered, as sums of floating numbers depend on the order.
-    rows = _featured(chosen, dimensions).orderBy("lang", "x").collect()
-    if not rows:
+    each = min(sample, total // len(counts))
+    limits = F.create_map(*[F.lit(v) for r in counts for v in (r["lang"], float(each / r["n"]))])
+    chosen = learn.where(share < F.try_element_at(limits, "lang"))
+    # Columns, not row objects: the features are the driver's only large array.
+    found = _featured(chosen, dimensions).withColumn("key", F.xxhash64("x")).toArrow()
+    if not found.num_rows:
         return None
-    x = np.array([np.frombuffer(r["x"], "<f4") for r in rows], np.float64)
-    return LanguageModel(x, [r["lang"] for r in rows], families)
+    langs = found.column("lang").to_pylist()
+    # Ordered, as sums of floating numbers depend on the order.
+    order = sorted(range(len(langs)), key=list(zip(langs, found.column("key").to_pylist())).__getitem__)
+    x, at = np.empty((len(langs), dimensions), np.float32), 0
+    for part in found.column("x").chunks:
+        for value in part:
+            x[at] = np.frombuffer(value.as_buffer(), "<f4")
+            at += 1
+    del found
+    return LanguageModel(x[order], [langs[k] for k in order], families)
 
 
 def predict_languages(docs: DataFrame, model: LanguageModel | None, text_col: str = "text") -> DataFrame:
@@ -244,8 +267,9 @@ def predict_languages(docs: DataFrame, model: LanguageModel | None, text_col: st
             yield pd.DataFrame({"lang_pred": langs, "score": scores, "distance": distances})
 
     keep = [c for c in docs.columns if c not in ("lang_pred", "score", "distance")]
-    found = docs.select(*keep, predict(F.col(text_col)).alias("__language"))
-    return found.select(*keep, "__language.lang_pred", "__language.score", "__language.distance")
+    docs, own = set_aside(docs)
+    found = docs.withColumn("found", predict(F.col(own[text_col])))
+    return found.select(*[F.col(own[c]).alias(c) for c in keep], "found.lang_pred", "found.score", "found.distance")
 
 
 def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", **options) -> DataFrame:
@@ -264,9 +288,8 @@ def keep_identified(
     texts in languages that weren't learnt and letters without sense go by their distance.
     """
     model = fit_languages(docs, id_col, text_col, lang_col, **options)
-    # Columns that are called like the prediction's step aside for it.
-    aside = {"lang_pred": "__lang_pred", "score": "__score", "distance": "__distance"}
-    text_col = aside.get(text_col, text_col)
-    found = predict_languages(docs.withColumnsRenamed(aside), model, text_col)
+    columns = docs.columns
+    docs, own = set_aside(docs)
+    found = predict_languages(docs, model, own[text_col])
     good = found.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= min_score) & (F.col("distance") <= 1))
-    return good.drop("lang_pred", "score", "distance").withColumnsRenamed({v: k for k, v in aside.items()}).select(*docs.columns)
+    return good.drop("lang_pred", "score", "distance").toDF(*columns)

@@ -19,7 +19,7 @@ How near lines are found, without comparing all pairs:
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pairloom.llm.common import broadcast_if_small, once
+from pairloom.llm.common import broadcast_if_small, once, set_aside
 from pairloom.sources.storage import materialize
 
 NEAR_WORDS = 8
@@ -161,6 +161,9 @@ def dedup_lines(
     text stays null and has no lines; an empty text is one blank line. Rows with the same id and
     text are one document, and are changed alike. Null ids come first.
     """
+    keep = [c for c in docs.columns if c not in ("n_lines", "n_removed") or c in (id_col, text_col)]
+    docs, own = set_aside(docs.select(*keep))
+    id_col, text_col = own[id_col], own[text_col]
     narrow = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     narrow = narrow.where(F.col("text").isNotNull()).withColumn("text_key", F.xxhash64("text"))
     split = narrow.select("doc_id", "text_key", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
@@ -183,9 +186,8 @@ def dedup_lines(
     gone = broadcast_if_small(materialize(gone, "gone"), F.size("__gone") + 1)
 
     text = F.col(text_col)
-    keep = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
     same = F.col(id_col).eqNullSafe(F.col("__doc")) & (F.xxhash64(text) == F.col("__text"))
-    joined = docs.select(*keep).join(gone, same, "left")
+    joined = docs.join(gone, same, "left")
     # A flag for each line, built from the gaps between the removed ones in linear time.
     before = lambda k: F.coalesce(F.get(F.col("__gone"), k - 1), F.lit(-1))
     flags = F.flatten(
@@ -198,7 +200,7 @@ def dedup_lines(
     kept = F.filter(F.split(text, "\n"), lambda _, i: F.coalesce(F.get(F.col("__stays"), i), F.lit(True)))
     cleaned = F.when(F.col("__gone").isNull(), text).otherwise(F.array_join(kept, "\n"))
     return joined.select(
-        *[cleaned.alias(c) if c == text_col else F.col(c) for c in keep],
+        *[cleaned.alias(c) if own[c] == text_col else F.col(own[c]).alias(c) for c in keep],
         F.coalesce(F.array_size(F.split(text, "\n")), F.lit(0)).cast("long").alias("n_lines"),
         F.coalesce(F.array_size("__gone"), F.lit(0)).cast("long").alias("n_removed"),
     )

@@ -30,7 +30,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairloom.llm.common import SHINGLE_WORDS, SIMILARITY, broadcast_if_small
+from pairloom.llm.common import SHINGLE_WORDS, SIMILARITY, broadcast_if_small, set_aside
 from pairloom.llm.components import connected_components
 from pairloom.llm.hashing import MASK, STEP, WordHashes, mix, windows
 from pairloom.sources.storage import materialize
@@ -342,8 +342,11 @@ def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     Rows with the same id and text are one document and stay or go together.
     """
     options = {"threshold": SIMILARITY, "size": SHINGLE_WORDS} | options
+    columns = docs.columns
+    docs, own = set_aside(docs)
+    id_col, text_col = own[id_col], own[text_col]
     classes = _classes(docs, id_col, text_col, options["threshold"], options["size"])
     go = classes.where(~F.col("stays")).select(F.col("doc_id").alias("__doc"), F.col("t").alias("__t")).distinct()
     go = broadcast_if_small(materialize(go, "go"))
     same = F.col(id_col).cast("long").eqNullSafe(F.col("__doc")) & (F.unhex(F.md5(F.col(text_col))) == F.col("__t"))
-    return docs.join(go, same, "left_anti")
+    return docs.join(go, same, "left_anti").toDF(*columns)
