@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from pairloom.functions.codecs import Codec
 from pairloom.operators.boundary import stage_boundary
-from pairloom.operators.sequence import positions_by_id
+from pairloom.operators.sequence import dense_sequence
 from pairloom.schemas import LANGS, encoding
 from pairloom.sources.storage import materialize
 
@@ -110,5 +110,5 @@ def tokenize_report(
         F.when(~dropped, lengths).alias("token_lengths"),
         F.when(dropped, F.col(id_field)).alias("removed_id"),
     )
-    numbered = positions_by_id(materialize(narrow, "lengths"), order_field, "seq_no", start=1)
+    numbered = dense_sequence(materialize(narrow, "lengths"), [order_field], "seq_no", start=1)
     return numbered.select("seq_no", "token_lengths", "removed_id")

@@ -29,8 +29,8 @@ def shuffle_key(seed: int, id_field: str = "id", tie: str | None = None) -> Colu
 def shuffle_positions(df: DataFrame, seed: int, *, id_field: str = "id", out: str = "position") -> DataFrame:
     """Add the 0-based position of each row in the seeded permutation."""
     keyed = df.withColumn("_key", shuffle_key(seed, id_field))
-    bucket = F.substring("_key", 1, _DIGITS)
-    return bucketed_positions(keyed, bucket, ["_key", id_field], out).drop("_key")
+    bucket = F.conv(F.substring("_key", 1, _DIGITS), 16, 10)
+    return bucketed_positions(keyed, bucket, 16**_DIGITS, ["_key", id_field], out).drop("_key")
 
 
 def validate_ratios(split_ratio: Mapping[str, float]) -> None:

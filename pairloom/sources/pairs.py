@@ -1,25 +1,24 @@
 """Reading sentence pairs and giving them dense ids."""
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pairloom.operators.boundary import stage_boundary
+from pairloom.operators.first_rows import first_in_order
 from pairloom.operators.sequence import dense_sequence
 from pairloom.schemas import LANGS
+from pairloom.sources.places import Source, parse_split
 
-# Files whose offsets are broadcast at a time (about 20 MB).
-BROADCAST_FILES = 100_000
-# Up to this many rows, the first rows in an order are taken before any are numbered.
-SMALL_LIMIT = 10_000
 # A line of a report that is a list, a tuple, a text, a number or a constant.
 OTHER_LITERAL = r"""^(?:\[.*\]|\(.*\)|'[^']*'|"[^"]*"|[+-]?[0-9.]+|None|True|False)$"""
 
 # A text in single or double quotes, or what stands between texts.
 PIECES = r"""'(?:[^'\\]|\\.)*+'|"(?:[^"\\]|\\.)*+"|[^'"]++|['"]"""
+# A printed code point of eight digits.
+FAR = r"\\U([0-9a-fA-F]{8})"
 # A record that isn't JSON: a key in single quotes, or a constant of Python after a comma or colon.
 PRINTED = r"""^\{\s*'|[:,\[]\s*(?:None|True|False|')"""
 
@@ -35,13 +34,12 @@ def attach_ids(
 ) -> DataFrame:
     """Append the dense ids ``start_id, start_id + 1, ...`` in the order of ``order_by``.
 
-    A table has no order of its own, so one has to be named; its values must be unique
-    together. An existing id column is an error unless it is to be overwritten.
+    A table has no order of its own, so one has to be named; repeated values are an error. An existing id column is an error unless it is to be overwritten.
     """
     if not include_ids:
         return df
     columns = _columns_without_id(df.columns, id_field, overwrite_ids)
-    return dense_sequence(df, order_by, id_field, start=start_id, keep=columns)
+    return dense_sequence(df, order_by, id_field, start=start_id, keep=columns, unique=True)
 
 
 def _columns_without_id(columns: Sequence[str], id_field: str, overwrite_ids: bool) -> list[str]:
@@ -63,30 +61,6 @@ def _paths(
     return path_name, [data_files] if isinstance(data_files, str) else list(data_files)
 
 
-def _scan(spark: SparkSession, file_format: str, paths: list[str], schema: T.StructType | None) -> DataFrame:
-    """All rows with the place they stand at: entry of the list, file, place in file."""
-    place = F.col("_metadata.row_index")
-    if file_format != "parquet":
-        # Lines have no index. Inside one file split the generated id follows the lines.
-        place = F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id().alias("line"))
-    frames = []
-    for entry, path in enumerate(paths):
-        reader = spark.read.format(file_format)
-        if file_format == "json":
-            reader = reader.option("mode", "FAILFAST")
-        if schema is not None:
-            reader = reader.schema(schema)
-        frames.append(
-            reader.load(path).select(
-                "*",
-                F.lit(entry).alias("_entry"),
-                F.col("_metadata.file_path").alias("_file"),
-                place.alias("_place"),
-            )
-        )
-    return reduce(DataFrame.unionByName, frames)
-
-
 def _with_pair(rows: DataFrame) -> DataFrame:
     """Flat columns, one per language, become the pair; all other columns stay."""
     if "translation" in rows.columns:
@@ -98,41 +72,6 @@ def _with_pair(rows: DataFrame) -> DataFrame:
     return rows.withColumn("translation", F.struct(*LANGS)).drop(*LANGS)
 
 
-def _ids_by_file(rows: DataFrame, columns: Sequence[str], out: str, start: int, limit: int | None) -> DataFrame:
-    """Ids in file order: rows in earlier files plus the row index in the file.
-
-    Counting reads the parquet footers only. Nothing is sorted or shuffled: the offsets,
-    one row per file, are joined by broadcast, a batch of files at a time. A limit reads the
-    files up to the one where it is reached.
-    """
-    counts = rows.groupBy("_entry", "_file").agg(F.count(F.lit(1)).alias("rows"))
-    # One row per file.
-    counts = counts.orderBy("_entry", "_file").collect()
-    offsets, total = [], 0
-    for row in counts:
-        if limit is not None and total >= limit:
-            break
-        offsets.append((row["_entry"], row["_file"], total))
-        total += row["rows"]
-    position = F.col("_offset") + F.col("_place")
-    parts = []
-    for at in range(0, max(len(offsets), 1), BROADCAST_FILES):
-        batch = offsets[at : at + BROADCAST_FILES]
-        table = rows.sparkSession.createDataFrame(batch, "_entry int, _file string, _offset long")
-        part = rows
-        if batch and len(batch) < len(counts):
-            # The batch is a range of entries and paths, by which the scan leaves out all other files.
-            (first, low, _), (last, high, _) = batch[0], batch[-1]
-            entry, file = F.col("_entry"), F.col("_file")
-            begins = (entry > first) | ((entry == first) & (file >= low))
-            part = rows.where(begins & ((entry < last) | ((entry == last) & (file <= high))))
-        placed = part.join(F.broadcast(table), ["_entry", "_file"])
-        if limit is not None:
-            placed = placed.where(position < limit)
-        parts.append(placed.select(*columns, (position + start).alias(out)))
-    return reduce(DataFrame.unionByName, parts)
-
-
 def load_pairs(
     spark: SparkSession,
     path_name: str,
@@ -155,43 +94,64 @@ def load_pairs(
     list of paths or a mapping from split to these. JSON records have the pair as
     ``translation`` or as one field per language; their other fields stay columns, and
     without ``schema`` all are inferred. The order is that of the files (by
-    list entry, then path) and of the rows in them, or that of ``order_by``.
+    list entry, then path, numbers in it as numbers) and of the rows in them, or that of
+    ``order_by``, whose values must be unique together.
+
+    ``split`` may name rows: ``train[:1000]``, ``train[10%:20%]``, ``train[-5:]``, and several parts joined by ``+``,
+    which follow each other. Only files that hold wanted rows are read. Slices need file order.
     """
-    file_format, paths = _paths(path_name, name, split, data_files)
+    slices = parse_split(split)
+    sources = {part.name: _paths(path_name, name, part.name, data_files) for part in slices}
+    file_format = next(iter(sources.values()))[0]
+    entries = [(of, path) for of, (_, paths) in sources.items() for path in paths]
     if schema is None and file_format == "json":
         # One schema for all files, so that a column which some lack is null there.
-        schema = spark.read.json(paths, mode="FAILFAST").schema
-    rows = _scan(spark, file_format, paths, schema)
-    if file_format == "json":
-        rows = _with_pair(rows)
-    source = [c for c in rows.columns if c not in ("_entry", "_file", "_place")]
-    if not include_ids and max_examples is None:
-        return rows.select(source)
-    columns = _columns_without_id(source, id_field, overwrite_ids) if include_ids else source
+        schema = spark.read.json([path for _, path in entries], mode="FAILFAST").schema
+    source = Source(spark, file_format, entries, schema)
+    rows = source.rows()
+    pairs = _with_pair(rows) if file_format == "json" else rows
+    whole = all(part.begin is None and part.end is None for part in slices) and len(slices) == len(sources)
+    if whole and not include_ids and max_examples is None:
+        return pairs
+    columns = _columns_without_id(pairs.columns, id_field, overwrite_ids) if include_ids else pairs.columns
     number = id_field if include_ids else "_number"
-    placed = None
-    if order_by is None and file_format == "parquet":
-        placed = _ids_by_file(rows, columns, number, start_id, max_examples)
-    if placed is None:
-        keys = order_by or ["_entry", "_file", "_place"]
-        if max_examples is not None and max_examples <= SMALL_LIMIT:
-            # Every task keeps its first rows; the rest is never sorted or stored.
-            rows = rows.orderBy(*keys).limit(max_examples)
-        placed = dense_sequence(rows, keys, number, start=start_id, keep=columns)
-        if max_examples is not None:
-            placed = placed.where(F.col(number) < start_id + max_examples)
-    return placed if include_ids else placed.drop(number)
-
-
-def read_records(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    if order_by is None:
+        placed = source.numbered(slices, number, start=start_id, limit=max_examples)
+        placed = _with_pair(placed) if file_format == "json" else placed
+        return placed.select(*columns, *([number] if include_ids else []))
+    if not whole:
+        raise ValueError("a slice of a split is one of rows in file order, not in that of order_by")
+    if max_examples is not None:
+        pairs = first_in_order(pairs, order_by, max_examples)
+    if not include_ids:
+        return pairs
+    return dense_sequence(pairs, order_by, number, start=start_id, keep=columns, unique=True)
+
+
+def read_records(spark: SparkSession, path: str, schema: T.StructType | None = None, *, locate: bool = False) -> DataFrame:
     """Read a snapshot or dataset: JSON lines for ``.jsonl``, parquet otherwise.
 
-    A bad JSON record is an error; blank lines are skipped.
+    A bad JSON record is an error; blank lines are skipped. With ``locate``, the error names file and line, for which
+    the lines are counted first.
     """
-    reader = spark.read if schema is None else spark.read.schema(schema)
-    if path.lower().rstrip("/").endswith(".jsonl"):
-        return reader.json(path, mode="FAILFAST")
-    return reader.parquet(path)
+    if not path.lower().rstrip("/").endswith(".jsonl"):
+        return (spark.read if schema is None else spark.read.schema(schema)).parquet(path)
+    if not locate:
+        return (spark.read if schema is None else spark.read.schema(schema)).json(path, mode="FAILFAST")
+    bad, record = "__bad", F.col("record")
+    if schema is None:
+        # Bad records get the column of their own here, too, and are met below.
+        inferred = spark.read.json(path, columnNameOfCorruptRecord=bad).schema
+        schema = T.StructType([field for field in inferred if field.name != bad])
+    elif isinstance(schema, str):
+        schema = T.StructType.fromDDL(schema)
+    lines = Source(spark, "text", [("", path)], None).lines().where(F.trim("value") != "")
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": bad}
+    parsed = lines.withColumn("record", F.from_json("value", T.StructType([*schema, T.StructField(bad, T.StringType())]), options))
+    place = F.concat(F.col("file"), F.lit(", line "), F.col("line").cast("string"), F.lit(": no record: "), F.substring("value", 1, 200))
+    checked = F.when(record[bad].isNotNull(), F.raise_error(place)).otherwise(record)
+    # The boundary keeps filters on the fields from a line that hasn't been tested.
+    return stage_boundary(parsed.select(checked.alias("record"))).select(*[record[field.name].alias(field.name) for field in schema])
 
 
 def _as_json(line: Column) -> Column:
@@ -208,6 +168,12 @@ def _as_json(line: Column) -> Column:
         text = F.regexp_replace(text, r"\\x([0-9a-fA-F]{2})", r"\\u00$1")
         text = F.replace(text, F.lit("\\'"), F.lit("'"))
         text = F.regexp_replace(text, r'(?<!\\)"', r'\\"')
+        # A character beyond the first plane has no escape of its own in JSON; it stands for itself.
+        far = F.regexp_extract_all(text, F.lit(FAR), 1)
+        chars = F.transform(far, lambda code: F.decode(F.unhex(code), "UTF-32"))
+        around = F.split(text, FAR)
+        joined = F.zip_with(around, chars, lambda part, char: F.concat(part, F.coalesce(char, F.lit(""))))
+        text = F.when(F.contains(text, F.lit("\\U")), F.array_join(joined, "")).otherwise(text)
         text = F.replace(text, F.lit("\0"), F.lit("\\\\"))
         constant = F.regexp_replace(piece, r"\bNone\b", "null")
         constant = F.regexp_replace(F.regexp_replace(constant, r"\bTrue\b", "true"), r"\bFalse\b", "false")

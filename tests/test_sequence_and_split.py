@@ -4,7 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from pairloom.operators import split as sp
-from pairloom.operators.sequence import dense_sequence, positions_by_id
+from pairloom.operators.first_rows import first_in_order
+from pairloom.operators.sequence import dense_sequence, running_totals
 from pairloom.sources.pairs import attach_ids
 
 
@@ -22,16 +23,51 @@ def test_dense_sequence_of_nothing(spark):
     assert dense_sequence(spark.range(0), ["id"], "n").collect() == []
 
 
-@pytest.mark.parametrize("most", [1000, 3])
-def test_positions_by_id(spark, monkeypatch, most):
-    """In buckets, and sorted when the ids spread over too many buckets."""
-    monkeypatch.setattr("pairloom.operators.sequence.ID_BUCKET_BITS", 4)
-    monkeypatch.setattr("pairloom.operators.sequence.MAX_ID_BUCKETS", most)
-    ids = sorted(random.Random(3).sample(range(-500, 2000), 700))
-    df = spark.createDataFrame([(i,) for i in ids], "id long").repartition(5)
-    rows = positions_by_id(df, "id", "n", start=1).collect()
-    assert {r["id"]: r["n"] for r in rows} == {i: n for n, i in enumerate(ids, start=1)}
-    assert positions_by_id(df.where("id > 5000"), "id", "n").collect() == []
+def test_repeated_keys_are_an_error(spark):
+    """Also where partitions meet, and told from rows in which nulls stand elsewhere."""
+    for parts in (1, 3, 7, 200):
+        rows = spark.range(200).select(F.col("id").alias("a")).unionByName(spark.range(100, 101).select(F.col("id").alias("a")))
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+        try:
+            with pytest.raises(ValueError, match="repeated"):
+                attach_ids(rows, ["a"])
+            assert dense_sequence(rows, ["a"], "n").count() == 201
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", 4)
+    nulls = spark.createDataFrame([(None, 1), (1, None), (None, None)], "a int, b int")
+    assert attach_ids(nulls, ["a", F.desc("b")]).count() == 3
+    with pytest.raises(ValueError, match="repeated"):
+        attach_ids(nulls.union(nulls.limit(1)), ["a", "b"])
+
+
+def test_running_totals(spark):
+    assert spark.range(1).select(running_totals([2, 0, 5], 3)).first()[0] == [3, 5, 5]
+    assert spark.range(1).select(running_totals([])).first()[0] == [0]
+
+
+def test_no_window_without_partitions(spark):
+    df = spark.range(50)
+    for plan in (sp.shuffle_positions(df, 3), attach_ids(df, ["id"], id_field="n")):
+        text = plan._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange SinglePartition" not in text
+
+
+@pytest.mark.parametrize("read", [20, 10_000])
+@pytest.mark.parametrize("n", [0, 1, 37, 250, 599, 600, 10_000])
+def test_first_in_order(spark, n, read):
+    rnd = random.Random(n)
+    rows = [(rnd.choice([None, 1, 2, 2, 2]), rnd.choice([None, 0.5, -1.0, float("nan")]), f"k{i}") for i in range(600)]
+    rnd.shuffle(rows)
+    df = spark.createDataFrame(rows, "a int, b double, c string").repartition(3)
+    order = [F.desc("a"), F.col("b").asc_nulls_last(), F.length("c").desc(), "c"]
+    got = first_in_order(df, order, n, keys_read=read)
+    key = lambda r: r.c
+    assert sorted(map(key, got.collect())) == sorted(map(key, df.orderBy(*order).limit(n).collect()))
+
+
+def test_first_in_order_of_one_key(spark):
+    with pytest.raises(ValueError, match="one key"):
+        first_in_order(spark.range(500).select(F.lit(1).alias("a")), ["a"], 50, keys_read=20)
 
 
 def test_attach_ids(spark):

@@ -28,13 +28,13 @@ def plan(df):
 
 
 def test_empty_chain_is_identity(make_pairs):
-    df = make_pairs([("  Hallo  ", "  Hello  ")], start_id=7).withColumn("extra", F.lit(1))
+    df = make_pairs([(" Tag  ", "\n morning ")], start_id=7).withColumn("extra", F.lit(1))
     assert norm(df).collect() == df.collect()
     assert norm(df, []).columns == df.columns
 
 
 def test_changes_are_reported_per_side(make_pairs):
-    df = make_pairs([("  Hallo   Welt  ", "  Hello  "), ("sauber", "clean"), ("a", "b  c"), (None, " x")], start_id=5)
+    df = make_pairs([(" guten \t Tag ", "\n morning "), ("sauber", "clean"), ("a", "b  c"), (None, " x")], start_id=5)
     annotated = norm(df, ["strip_edges", "collapse_whitespace"], annotate=True, debug=True)
     assert as_dicts(norm_report(annotated, start_id=5), "seq_no") == [
         {"seq_no": 1, "de_norm_changes": ["strip_edges", "collapse_whitespace"], "en_norm_changes": ["strip_edges"]},
@@ -47,10 +47,10 @@ def test_changes_are_reported_per_side(make_pairs):
         "seq_no": 0,
         "de_norm_changes": ["strip_edges", "collapse_whitespace"],
         "en_norm_changes": ["strip_edges"],
-        "de_before": "  Hallo   Welt  ",
-        "de_after": "Hallo Welt",
-        "en_before": "  Hello  ",
-        "en_after": "Hello",
+        "de_before": " guten \t Tag ",
+        "de_after": "guten Tag",
+        "en_before": "\n morning ",
+        "en_after": "morning",
     }
 
 

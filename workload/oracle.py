@@ -283,6 +283,14 @@ PAIRS_CTE = f"WITH pairs AS ({PAIRS})"
 REPORT = "SELECT id + 1 AS seq_no"
 CHANGED = "FROM normed WHERE de_changes <> '' OR en_changes <> ''"
 
+# Rows of the slices, numbered one after the other.
+SLICED = """WITH placed AS (SELECT *, row_number() OVER (ORDER BY doc_id) - 1 AS r, count(*) OVER () AS n FROM documents),
+  bounds AS (SELECT *, CAST(round_even(n * 10 / 100, 0) AS BIGINT) AS low, CAST(round_even(n * 35 / 100, 0) AS BIGINT) AS high FROM placed),
+  sliced AS (SELECT *, r AS id FROM bounds WHERE r < 40
+    UNION ALL SELECT *, 40 + r - low AS id FROM bounds WHERE r >= low AND r < high
+    UNION ALL SELECT *, 40 + high - low + r - (n - 7) AS id FROM bounds WHERE r >= n - 7)"""
+_TAIL = "CASE doc_id % 6 WHEN 0 THEN chr(1) WHEN 1 THEN chr(228) WHEN 2 THEN chr(10) WHEN 3 THEN chr(8232) WHEN 4 THEN chr(917505) ELSE '\\U0001f600' END"
+
 ORACLE: dict[str, str] = {
     **{
         f"norm_{name}": f"WITH texts AS ({TEXTS}) SELECT id, after AS text, after <> text AS changed "
@@ -315,6 +323,13 @@ ORACLE: dict[str, str] = {
     "load_file_order": "SELECT row_number() OVER (ORDER BY doc_id) - 1 AS id, doc_id, lang FROM documents",
     "load_first_n": "SELECT id, doc_id FROM (SELECT row_number() OVER (ORDER BY doc_id) + 4 AS id, doc_id FROM documents) "
     f"WHERE id < {wq.FIRST_N + 5}",
+    "load_first_n_ordered": " UNION ALL ".join(
+        f"SELECT {n} AS n, id, doc_id FROM (SELECT row_number() OVER (ORDER BY n_chars DESC, doc_id) - 1 AS id, doc_id FROM documents) WHERE id < {n}"
+        for n in wq.FIRST_NS
+    ),
+    "load_split_range": f"{SLICED} SELECT id, doc_id, lang FROM sliced",
+    "load_json_slices": f"{SLICED} SELECT id, doc_id, md5(text) AS de_md5 FROM sliced",
+    "load_json_order": "SELECT row_number() OVER (ORDER BY doc_id) AS id, doc_id, text AS de, source AS en FROM documents",
     "load_json": f"{PAIRS_CTE} SELECT row_number() OVER (ORDER BY id DESC) - 1 AS id, id AS position, de, en FROM pairs",
     "load_json_columns": "SELECT doc_id AS id, lang, n_chars, CAST(length(text) AS INT) AS de_length, source AS en FROM documents",
     "load_json_flat": "SELECT row_number() OVER (ORDER BY doc_id DESC) - 1 AS id, doc_id AS old, lang AS de, source AS en FROM documents",
@@ -324,9 +339,8 @@ ORACLE: dict[str, str] = {
     "SELECT 'norm' AS report, seq_no FROM placed WHERE de_changes <> '' OR en_changes <> '' UNION ALL "
     "SELECT 'filter', seq_no FROM placed WHERE de_flaws <> '' OR en_flaws <> '' OR pair_flaws <> '' "
     f"OR {rejected(wq.ROW_KEY)}",
-    "report_read_debug": "SELECT doc_id AS seq_no, CASE WHEN doc_id % 2 = 0 THEN t || CASE doc_id % 3 WHEN 0 THEN chr(1) WHEN 1 THEN chr(228) "
-    "ELSE chr(10) END ELSE 'it''s ' || t END AS text, doc_id % 2 = 0 AS kept, CASE WHEN doc_id % 5 <> 0 THEN doc_id END AS removed_id "
-    "FROM (SELECT doc_id, regexp_replace(substr(text, 1, 60), '[\n\r\t\\\\]', ' ', 'g') AS t FROM documents)",
+    "report_read_debug": f"SELECT doc_id AS seq_no, CASE WHEN text IS NULL THEN NULL WHEN doc_id % 2 = 0 THEN text || {_TAIL} "
+    "ELSE 'it''s ' || text END AS text, doc_id % 2 = 0 AS kept, CASE WHEN doc_id % 5 <> 0 THEN doc_id END AS removed_id FROM documents",
     "report_read_whole": "SELECT doc_id AS seq_no, text || chr(92) || 'n' || chr(9) || chr(39) || chr(34) || chr(13) || chr(10) AS text FROM documents",
     "tokenize_words": f"{PAIRS_CTE}, {encoded('pairs')} {TOKENS}",
     "tokenize_external": f"{PAIRS_CTE}, {encoded('pairs')} {TOKENS}",
@@ -357,6 +371,7 @@ ORACLE: dict[str, str] = {
     "split_written": f"WITH {membership(wq.RATIOS, 'doc_id AS id, doc_id, n_chars')} SELECT id, n_chars, split AS split_name, "
     f"CAST({wq.SEED} AS BIGINT) AS split_seed, count(*) OVER (PARTITION BY split) AS num_examples, "
     "CAST(1024 AS BIGINT) AS base_vocab_size FROM members",
+    "read_located": f"{PAIRS_CTE} SELECT id, de, en FROM pairs",
     "snapshot_json": f"{PAIRS_CTE} SELECT id, de, en FROM pairs",
     "snapshot_parquet": f"{PAIRS_CTE} SELECT id, de, en FROM pairs",
     "char_length_pairs": f"{PAIRS_CTE} SELECT CAST(length(de) AS INT) AS de, CAST(length(en) AS INT) AS en, count(*) AS row_count "

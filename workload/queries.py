@@ -2,6 +2,7 @@
 
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -62,8 +63,12 @@ PAIR_FLAWS = [["bad_length_ratio", {"min": 0.33, "max": 3}], "are_equal"]
 # Options of the predicates that need some.
 OPTIONS = {"is_too_short": {"min": 10}, "is_too_long": {"max": 5000}}
 MAX_SEQ_LEN = 600
+# Escapes as printed, at the end of the texts of a report.
+REPORT_TAILS = ("\\x01", "\\xe4", "\\n", "\\u2028", "\\U000e0001", "\\\\U0001f600")
 REJECT = {"prob": 0.1, "seed": 7}
 FIRST_N = 150
+FIRST_NS = (1, 150, 400, 10_000_000)
+SLICES = "train[:40]+train[10%:35%]+train[-7:]"
 # The id of staged_kept_ids, in SQL.
 ROW_KEY = "id * 7 + 3"
 RATIOS = {"train": 0.979, "validation": 0.001, "test": 0.02}
@@ -226,6 +231,48 @@ def load_first_n(spark, sf_dir):
     return rows.select("id", "doc_id")
 
 
+def load_first_n_ordered(spark, sf_dir):
+    """The first rows in the order of a column whose values repeat, for several numbers of them."""
+    parts = []
+    for n in FIRST_NS:
+        rows = load_pairs(
+            spark, "parquet", split="train", data_files=f"{sf_dir}/documents.parquet", max_examples=n,
+            order_by=[F.desc("n_chars"), "doc_id"],
+        )
+        parts.append(rows.select(F.lit(n).alias("n"), "id", "doc_id"))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def load_split_range(spark, sf_dir):
+    """Slices of a split, by numbers and per cent, one after the other."""
+    rows = load_pairs(spark, "parquet", split=SLICES, data_files={"train": f"{sf_dir}/documents.parquet"})
+    return rows.select("id", "doc_id", "lang")
+
+
+def load_json_order(spark, sf_dir):
+    """Ids of JSON lines by file and line, whole texts, without an order column."""
+    path = f"{_run_dir(spark)}/pairs.jsonl"
+    write_jsonl(documents(spark, sf_dir).orderBy("doc_id").selectExpr("doc_id", "text AS de", "source AS en"), path)
+    rows = load_pairs(spark, "json", split="train", data_files={"train": [path]}, schema="doc_id long, de string, en string", start_id=1)
+    return rows.select("id", "doc_id", "translation.de", "translation.en")
+
+
+def load_json_slices(spark, sf_dir):
+    """Slices of JSON lines."""
+    path = f"{_run_dir(spark)}/pairs.jsonl"
+    write_jsonl(documents(spark, sf_dir).orderBy("doc_id").selectExpr("doc_id", "text AS de", "source AS en"), path)
+    rows = load_pairs(spark, "json", split=SLICES, data_files={"train": path}, schema="doc_id long, de string, en string")
+    return rows.select("id", "doc_id", F.md5("translation.de").alias("de_md5"))
+
+
+def read_located(spark, sf_dir):
+    """A snapshot whose errors would name file and line."""
+    source = pairs(spark, sf_dir)
+    path = f"{_run_dir(spark)}/pairs.jsonl"
+    write_jsonl(source, path)
+    return _flat(read_records(spark, path, source.schema, locate=True))
+
+
 def load_json(spark, sf_dir):
     """Ids by order column over a JSON source."""
     path = f"{_run_dir(spark)}/pairs.jsonl"
@@ -526,15 +573,21 @@ def report_read(spark, sf_dir):
     return flaw_counts(read_report(spark, path, schemas.flaw_report()))
 
 
+def _printed(text: Column) -> Column:
+    """A text as Python prints it between quotes, but for the quotes."""
+    for char, escape in (("\\", "\\\\"), ("\n", "\\n"), ("\r", "\\r"), ("\t", "\\t")):
+        text = F.replace(text, F.lit(char), F.lit(escape))
+    return text
+
+
 def report_read_debug(spark, sf_dir):
-    """A report as printed, with texts in either kind of quotes, escapes and missing values."""
+    """A report as printed, with whole texts in either kind of quotes, escapes of all lengths and missing values."""
     path = f"{_run_dir(spark)}/report"
-    text = F.substring("text", 1, 60)
-    escaped = F.regexp_replace(text, "[\\n\\r\\t\\\\]", " ")
-    tail = F.when(F.col("doc_id") % 3 == 0, F.lit("\\x01")).when(F.col("doc_id") % 3 == 1, F.lit("\\xe4")).otherwise(F.lit("\\n"))
+    escaped = _printed(F.col("text"))
+    tail = F.element_at(F.array(*map(F.lit, REPORT_TAILS)), (F.col("doc_id") % len(REPORT_TAILS) + 1).cast("int"))
     single = F.concat(F.lit("'"), F.replace(escaped, F.lit("'"), F.lit("\\'")), tail, F.lit("'"))
     double = F.concat(F.lit('"it\'s '), F.replace(escaped, F.lit('"'), F.lit('\\"')), F.lit('"'))
-    quoted = F.when(F.col("doc_id") % 2 == 0, single).otherwise(double)
+    quoted = F.when(F.col("text").isNull(), "None").when(F.col("doc_id") % 2 == 0, single).otherwise(double)
     removed = F.when(F.col("doc_id") % 5 == 0, F.lit("None")).otherwise(F.col("doc_id").cast("string"))
     line = F.concat(
         F.lit("{'seq_no': "), F.col("doc_id").cast("string"), F.lit(", 'text': "), quoted,
@@ -548,9 +601,7 @@ def report_read_whole(spark, sf_dir):
     """The same with whole texts; line ends, tabs, backslashes and the quotes around are escaped as Python prints them."""
     path = f"{_run_dir(spark)}/report"
     # Every text gets all of them at its end, and a backslash before a letter.
-    text = F.concat("text", F.lit("\\n\t'\"\r\n"))
-    for char, escape in (("\\", "\\\\"), ("\n", "\\n"), ("\r", "\\r"), ("\t", "\\t")):
-        text = F.replace(text, F.lit(char), F.lit(escape))
+    text = _printed(F.concat("text", F.lit("\\n\t'\"\r\n")))
     single = F.concat(F.lit("'"), F.replace(text, F.lit("'"), F.lit("\\'")), F.lit("'"))
     double = F.concat(F.lit('"'), F.replace(text, F.lit('"'), F.lit('\\"')), F.lit('"'))
     quoted = F.when(F.col("text").isNull(), F.lit("None")).when(F.col("doc_id") % 2 == 0, single).otherwise(double)
@@ -599,7 +650,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "load_ids_overwrite": load_ids_overwrite,
     "load_file_order": load_file_order,
     "load_first_n": load_first_n,
+    "load_first_n_ordered": load_first_n_ordered,
+    "load_split_range": load_split_range,
     "load_json": load_json,
+    "load_json_order": load_json_order,
+    "load_json_slices": load_json_slices,
     "load_json_columns": load_json_columns,
     "load_json_flat": load_json_flat,
     "load_json_flat_text": load_json_flat_text,
@@ -617,6 +672,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "split_written_repeated_ids": split_written_repeated_ids,
     "manifest": manifest_row,
     "snapshot_json": snapshot_json,
+    "read_located": read_located,
     "snapshot_parquet": snapshot_parquet,
     "report_read": report_read,
     "report_read_debug": report_read_debug,
