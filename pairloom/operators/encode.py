@@ -59,7 +59,7 @@ def is_overlong(max_seq_len: int, src_lang: str, tgt_lang: str) -> Column:
     return (_length(src_lang) > max_seq_len) | (_length(tgt_lang) >= max_seq_len)
 
 
-def _sides(src_lang: str | None, langs: Sequence[str]) -> tuple[str, str]:
+def sides(src_lang: str | None, langs: Sequence[str]) -> tuple[str, str]:
     src = src_lang or "de"
     return src, next(lang for lang in langs if lang != src)
 
@@ -70,7 +70,7 @@ def drop_overlong(
     """Drop the pairs over the length limit; no limit keeps all."""
     if max_seq_len is None:
         return encoded
-    return stage_boundary(encoded).where(~is_overlong(max_seq_len, *_sides(src_lang, langs)))
+    return stage_boundary(encoded).where(~is_overlong(max_seq_len, *sides(src_lang, langs)))
 
 
 def tokenize(
@@ -87,6 +87,25 @@ def tokenize(
     return drop_overlong(encoded, max_seq_len, src_lang=src_lang, langs=langs)
 
 
+def tokenize_report_columns(
+    max_seq_len: int | None, src_lang: str | None, langs: Sequence[str], id_field: str, order_field: str
+) -> list[Column]:
+    """What the report needs of a row: its place, the lengths if it is kept, its id if it is dropped."""
+    dropped = F.lit(False) if max_seq_len is None else is_overlong(max_seq_len, *sides(src_lang, langs))
+    lengths = F.struct(*(_length(lang).alias(lang) for lang in langs))
+    return [
+        F.col(order_field),
+        F.when(~dropped, lengths).alias("token_lengths"),
+        F.when(dropped, F.col(id_field)).alias("removed_id"),
+    ]
+
+
+def numbered_report(lengths: DataFrame) -> DataFrame:
+    """The report from a stored table of its columns, the place first."""
+    numbered = dense_sequence(lengths, [lengths.columns[0]], "seq_no", start=1)
+    return numbered.select("seq_no", "token_lengths", "removed_id")
+
+
 def tokenize_report(
     encoded: DataFrame,
     max_seq_len: int | None = None,
@@ -102,13 +121,5 @@ def tokenize_report(
     1-based position in the order of ids, or of ``order_field``. Only lengths and ids are stored and numbered, so the
     encoding is computed once and the tokens are not shuffled.
     """
-    dropped = F.lit(False) if max_seq_len is None else is_overlong(max_seq_len, *_sides(src_lang, langs))
-    lengths = F.struct(*(_length(lang).alias(lang) for lang in langs))
-    order_field = order_field or id_field
-    narrow = encoded.select(
-        F.col(order_field),
-        F.when(~dropped, lengths).alias("token_lengths"),
-        F.when(dropped, F.col(id_field)).alias("removed_id"),
-    )
-    numbered = dense_sequence(materialize(narrow, "lengths"), [order_field], "seq_no", start=1)
-    return numbered.select("seq_no", "token_lengths", "removed_id")
+    columns = tokenize_report_columns(max_seq_len, src_lang, langs, id_field, order_field or id_field)
+    return numbered_report(materialize(encoded.select(*columns), "lengths"))

@@ -72,6 +72,12 @@ def keep(annotated: DataFrame, *, langs: Sequence[str] = LANGS) -> DataFrame:
     return stage_boundary(annotated).where(flaw_count(langs) == 0).drop(*labels)
 
 
+def flaw_report_columns(langs: Sequence[str] = LANGS, id_field: str = "id", start_id: int = 0) -> list[Column]:
+    """The columns of the report, whose rows have a flaw."""
+    labels = [F.col(f"{lang}_flaws") for lang in langs]
+    return [(F.col(id_field) - start_id + 1).alias("seq_no"), *labels, F.col("pair_flaws")]
+
+
 def flaw_report(
     annotated: DataFrame, *, langs: Sequence[str] = LANGS, id_field: str = "id", start_id: int = 0
 ) -> DataFrame:
@@ -79,10 +85,5 @@ def flaw_report(
 
     ``seq_no`` is the 1-based position among all rows, so it follows from the dense id.
     """
-    return (
-        stage_boundary(annotated)
-        .where(flaw_count(langs) > 0)
-        .select(
-            (F.col(id_field) - start_id + 1).alias("seq_no"), *(f"{lang}_flaws" for lang in langs), "pair_flaws"
-        )
-    )
+    flawed = stage_boundary(annotated).where(flaw_count(langs) > 0)
+    return flawed.select(*flaw_report_columns(langs, id_field, start_id))

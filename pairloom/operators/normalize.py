@@ -2,7 +2,7 @@
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pairloom.functions.registry import resolve_changes
@@ -48,6 +48,18 @@ def norm(
     return out.select(columns)
 
 
+def norm_report_row(
+    langs: Sequence[str] = LANGS, id_field: str = "id", start_id: int = 0, debug: bool = False
+) -> tuple[Column, list[Column]]:
+    """Whether a row from ``norm(annotate=True)`` is in the report, and the report's columns."""
+    changed = [F.size(f"{lang}_norm_changes") for lang in langs]
+    columns = [(F.col(id_field) - start_id + 1).alias("seq_no"), *(F.col(f"{lang}_norm_changes") for lang in langs)]
+    if debug:
+        for lang in langs:
+            columns += [F.col(f"{lang}_before"), F.col(f"translation.{lang}").alias(f"{lang}_after")]
+    return sum(changed[1:], changed[0]) > 0, columns
+
+
 def norm_report(
     annotated: DataFrame,
     *,
@@ -60,9 +72,5 @@ def norm_report(
 
     ``seq_no`` is the 1-based position among all rows, so it follows from the dense id.
     """
-    changed = [F.size(f"{lang}_norm_changes") for lang in langs]
-    columns = [(F.col(id_field) - start_id + 1).alias("seq_no"), *(f"{lang}_norm_changes" for lang in langs)]
-    if debug:
-        for lang in langs:
-            columns += [F.col(f"{lang}_before"), F.col(f"translation.{lang}").alias(f"{lang}_after")]
-    return stage_boundary(annotated).where(sum(changed[1:], changed[0]) > 0).select(columns)
+    altered, columns = norm_report_row(langs, id_field, start_id, debug)
+    return stage_boundary(annotated).where(altered).select(*columns)

@@ -132,12 +132,6 @@ def split_ranges(
     return dict(zip(names, zip(["", *ends], ends)))
 
 
-def in_range(seed: int, bounds: tuple[str, str], id_field: str = "id", tie: str | None = None) -> Column:
-    """Whether a row lies in the slice: a comparison, so no row has to be moved."""
-    key = shuffle_key(seed, id_field, tie)
-    return (key > bounds[0]) & (key <= bounds[1])
-
-
 def split_dataframe(
     df: DataFrame, split_ratio: Mapping[str, float], seed: int, *, id_field: str = "id"
 ) -> DataFrame:
@@ -148,26 +142,31 @@ def split_dataframe(
     return df.withColumn("_key", shuffle_key(seed, id_field)).withColumn("split", name).drop("_key")
 
 
-def in_shuffled_order(
+def in_split_order(
     df: DataFrame,
     seed: int,
-    bounds: tuple[str, str],
-    parts: int,
+    ranges: Mapping[str, tuple[str, str]],
+    parts: Mapping[str, int],
     *,
     id_field: str = "id",
     tie: str | None = None,
 ) -> DataFrame:
-    """The rows of one slice in the order of the permutation, over ``parts`` partitions.
+    """All rows in the order of the permutation, with the number of their split as ``_split``, in one shuffle.
 
-    Keys are uniform, so equal key ranges make equal partitions. A range partitioning
-    would read the data a second time to sample what is known here.
+    Each split has its ``parts`` partitions. Keys are uniform, so equal key ranges make equal partitions. A range
+    partitioning would read the data a second time to sample what is known here.
     """
-
-    def leading(key: Column) -> Column:
-        return F.conv(F.substring(key, 1, 8), 16, 10).cast("long")
-
-    first = int(bounds[0][:8] or "0", 16)
-    last = (1 << 32) - 1 if bounds[1] == _AFTER_ALL_KEYS else int(bounds[1][:8], 16)
-    part = F.floor((leading(F.col("_key")) - first) * parts / (last - first + 1)).cast("int")
-    keyed = df.where(in_range(seed, bounds, id_field, tie)).withColumn("_key", shuffle_key(seed, id_field, tie))
-    return keyed.repartitionById(parts, part).sortWithinPartitions("_key").drop("_key")
+    key = F.col("_key")
+    leading = F.conv(F.substring(key, 1, 8), 16, 10).cast("long")
+    split, part = F.lit(None).cast("int"), F.lit(None).cast("int")
+    base = sum(parts[name] for name in ranges)
+    for k, (name, (low, high)) in reversed(list(enumerate(ranges.items()))):
+        first = int(low[:8] or "0", 16)
+        last = (1 << 32) - 1 if high == _AFTER_ALL_KEYS else int(high[:8], 16)
+        base -= parts[name]
+        inside = F.floor((leading - first) * parts[name] / (last - first + 1)).cast("int")
+        split = F.when(key <= high, F.lit(k)).otherwise(split)
+        part = F.when(key <= high, inside + base).otherwise(part)
+    keyed = df.withColumn("_key", shuffle_key(seed, id_field, tie)).withColumn("_split", split)
+    dealt = keyed.repartitionById(max(sum(parts[name] for name in ranges), 1), part)
+    return dealt.sortWithinPartitions("_split", "_key").drop("_key")

@@ -18,8 +18,7 @@ def with_markers(ids: Column, bos_id: int | None, eos_id: int | None) -> Column:
     return ids
 
 
-def map_training(
-    df: DataFrame,
+def training_columns(
     *,
     src_lang: str,
     tgt_lang: str,
@@ -28,8 +27,8 @@ def map_training(
     tgt_bos_id: int | None = None,
     tgt_eos_id: int | None = None,
     include_text: bool = False,
-) -> DataFrame:
-    """Select ``id, src_ids, tgt_ids`` and on request ``src_text, tgt_text``."""
+) -> list[Column]:
+    """``id, src_ids, tgt_ids`` and on request ``src_text, tgt_text`` of encoded pairs."""
 
     def ids(lang: str) -> Column:
         return F.col(f"{tokenized_key}.{lang}.input_ids").cast("array<int>")
@@ -44,4 +43,9 @@ def map_training(
             F.col(f"translation.{lang}").cast("string").alias(name)
             for lang, name in ((src_lang, "src_text"), (tgt_lang, "tgt_text"))
         ]
-    return df.select(columns)
+    return columns
+
+
+def map_training(df: DataFrame, **options) -> DataFrame:
+    """Select the ``training_columns``, whose options these are."""
+    return df.select(training_columns(**options))

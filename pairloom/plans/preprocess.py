@@ -3,15 +3,23 @@
 from collections.abc import Mapping
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pairloom.functions.codecs import Codec, training_token_ids
-from pairloom.operators.encode import drop_overlong, encode_pairs, tokenize_report
-from pairloom.operators.flaws import filter_pairs, find_flaws, flaw_report, keep
-from pairloom.operators.normalize import norm, norm_report
+from pairloom.operators.boundary import stage_boundary
+from pairloom.operators.encode import (
+    drop_overlong,
+    encode_pairs,
+    is_overlong,
+    numbered_report,
+    sides,
+    tokenize_report_columns,
+)
+from pairloom.operators.flaws import filter_pairs, find_flaws, flaw_count, flaw_report_columns, keep
+from pairloom.operators.normalize import norm, norm_report_row
 from pairloom.operators.split import validate_ratios
-from pairloom.operators.training import map_training
+from pairloom.operators.training import map_training, training_columns
 from pairloom.schemas import DATASET_MANIFEST, LANGS, training_rows
 from pairloom.sources.pairs import load_pairs
 from pairloom.sources.sinks import (
@@ -20,11 +28,10 @@ from pairloom.sources.sinks import (
     path_exists,
     split_path,
     write_dataset,
-    write_jsonl,
     write_manifest,
     write_splits,
 )
-from pairloom.sources.storage import materialize, stored_tables
+from pairloom.sources.storage import materialize, run_folder, stored_tables, write_apart
 
 # Columns of a staged run: the position in the input if ids are the source's, and the pair as loaded.
 POSITION, LOADED = "_position", "_loaded"
@@ -167,7 +174,10 @@ def _staged(
     tokenize_options,
     map_options,
 ) -> DataFrame:
-    """The stages with a stored table after each; data and report read that table."""
+    """The stages with a stored table after the filter and the encoding.
+
+    Each table is read twice, once for all its snapshots and reports, which are written side by side, and once to go on.
+    """
     langs = LANGS
     debug = norm_options.get("debug", False)
     columns = [c for c in pairs.columns if c != POSITION]
@@ -177,23 +187,48 @@ def _staged(
     # Changes and flaws are found in one pass and stored once with their labels.
     checked = materialize(find_flaws(normed, **{"id_field": id_field, **filter_options}), "checked")
     loaded = [F.col(LOADED).alias(c) if c == "translation" else F.col(c) for c in columns]
-    write_jsonl(checked.select(loaded), f"{prefix}_load.jsonl")
-    norm_report(checked, id_field=seq_field, start_id=start_id, debug=debug).write.json(f"{staging}/norm_report")
-    write_jsonl(checked.select(columns), f"{prefix}_norm.jsonl")
-    flaw_report(checked, id_field=seq_field, start_id=start_id).write.json(f"{staging}/filter_report")
-    clean = keep(checked)
-    write_jsonl(clean.select(columns), f"{prefix}_filter.jsonl")
+    altered, norm_columns = norm_report_row(langs, seq_field, start_id, debug)
+    flaws = flaw_report_columns(langs, seq_field, start_id)
+    normed_row, flawed = [F.col(c) for c in columns], flaw_count(langs) > 0
+    _write_lines(
+        checked,
+        {
+            f"{prefix}_load.jsonl": (F.lit(True), loaded, True),
+            f"{staging}/norm_report": (altered, norm_columns, False),
+            f"{prefix}_norm.jsonl": (F.lit(True), normed_row, True),
+            f"{staging}/filter_report": (flawed, flaws, False),
+            f"{prefix}_filter.jsonl": (~flawed, normed_row, True),
+        },
+    )
 
     options = dict(tokenize_options)
     limit = options.pop("max_seq_len", None)
     src_lang = options.pop("src_lang")
-    encoded = encode_pairs(clean.select(columns + [c for c in (POSITION,) if c in clean.columns]), codec, langs=langs, **options)
-    encoded = materialize(encoded, "encoded")
-    report = tokenize_report(encoded, limit, src_lang=src_lang, id_field=id_field, order_field=seq_field)
-    report.write.json(f"{staging}/tokenize_report")
-    kept = drop_overlong(encoded, limit, src_lang=src_lang).drop(POSITION)
-    write_jsonl(kept, f"{prefix}_tokenize.jsonl")
-
-    mapped = map_training(kept, **map_options)
-    write_jsonl(mapped, f"{prefix}_map.jsonl")
+    clean = keep(checked).select(columns + [c for c in (POSITION,) if c in checked.columns])
+    encoded = materialize(encode_pairs(clean, codec, langs=langs, **options), "encoded")
+    report = tokenize_report_columns(limit, src_lang, langs, id_field, seq_field)
+    lengths = run_folder(checked.sparkSession, "lengths")
+    kept = F.lit(True) if limit is None else ~is_overlong(limit, *sides(src_lang, langs))
+    whole = [c for c in encoded.columns if c != POSITION]
+    mapped = map_training(drop_overlong(encoded, limit, src_lang=src_lang).drop(POSITION), **map_options)
+    _write_lines(
+        encoded,
+        {
+            lengths: (F.lit(True), report, True),
+            f"{prefix}_tokenize.jsonl": (kept, [F.col(c) for c in whole], True),
+            f"{prefix}_map.jsonl": (kept, training_columns(**map_options), True),
+        },
+    )
+    stored = encoded.sparkSession.read.schema(encoded.select(*report).schema).json(lengths)
+    numbered_report(stored).write.json(f"{staging}/tokenize_report")
     return mapped
+
+
+def _write_lines(df: DataFrame, outputs: Mapping[str, tuple[Column, list[Column], bool]]) -> None:
+    """JSON lines to several folders in one pass: of the rows that a condition holds for, some columns, with or without nulls."""
+    lines = []
+    for k, (wanted, columns, nulls) in enumerate(outputs.values()):
+        line = F.to_json(F.struct(*columns), {"ignoreNullFields": str(not nulls).lower()})
+        lines.append(F.when(wanted, F.struct(F.lit(k).alias("_output"), line.alias("value"))))
+    each = stage_boundary(df).select(F.explode(F.array_compact(F.array(*lines))).alias("line")).select("line.*")
+    write_apart(each, "_output", list(outputs), "text")

@@ -12,8 +12,9 @@ from pyspark.sql import types as T
 from pairloom.functions import text as tx
 from pairloom.functions.codecs import Codec, training_token_ids
 from pairloom.operators.boundary import stage_boundary
-from pairloom.operators.split import in_shuffled_order, split_counts, split_ranges, validate_ratios
+from pairloom.operators.split import in_split_order, split_counts, split_ranges, validate_ratios
 from pairloom.schemas import DATASET_MANIFEST, SPLIT_MANIFEST
+from pairloom.sources.storage import write_apart
 
 # Manifests lie inside the dataset folder; the underscore hides them from readers of
 # the data.
@@ -106,7 +107,7 @@ def write_splits(
     """Cut a written dataset into ``<dataset>_split-<name>`` and return the row counts.
 
     All targets are checked before the first is written. Rows lie in the order of the
-    seeded permutation inside a split; each split shuffles only its own rows. Ids may repeat or
+    seeded permutation inside a split; all splits are written in one pass. Ids may repeat or
     be null: rows with the same id are told apart by file and place in it.
     """
     if dataset is None:
@@ -126,13 +127,17 @@ def write_splits(
     ranges = split_ranges(rows, split_ratio, seed, id_field=id_field, total=total, tie="_row")
     source = read_manifest(spark, f"{dataset}/{MANIFEST}")
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    filled = list(ranges)
+    parts = {name: math.ceil(partitions * counts[name] / total) for name in filled}
+    # Every row is read and moved once, whatever the number of splits; each split's partitions go to its folder.
+    seen = Observation()
+    ordered = in_split_order(rows, seed, ranges, parts, id_field=id_field, tie="_row").drop("_row")
+    each = [F.count_if(F.col("_split") == k).alias(f"n{k}") for k in range(len(filled))]
+    if filled:
+        write_apart(ordered.observe(seen, *each), "_split", [split_path(dataset, name) for name in filled], "parquet")
     for name, count in counts.items():
         target = split_path(dataset, name)
-        part = rows.limit(0)
-        if count:
-            parts = math.ceil(partitions * count / total)
-            part = in_shuffled_order(rows, seed, ranges[name], parts, id_field=id_field, tie="_row")
-        written = write_dataset(part.drop("_row"), target)
+        written = seen.get[f"n{filled.index(name)}"] if name in filled else write_dataset(rows.limit(0).drop("_row"), target)
         if written != count:
             raise RuntimeError(f"split {name!r} has {written} rows instead of {count}")
         write_manifest(spark, {**source, "num_examples": count}, DATASET_MANIFEST, f"{target}/{MANIFEST}")

@@ -2,11 +2,12 @@
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 # The folder of the run that owns the tables stored now; None outside a run.
@@ -37,11 +38,60 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     ``stored_tables`` the table goes with the run, elsewhere it stays until the folder is cleared.
     """
     spark = df.sparkSession
-    path = f"{_RUN.get() or shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = run_folder(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def run_folder(spark: SparkSession, name: str) -> str:
+    """A new folder that lies and goes with the stored tables."""
+    return f"{_RUN.get() or shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def _hadoop(spark: SparkSession, path: str):
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return found, found.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    found, files = _hadoop(spark, path)
+    files.delete(found, True)
+
+
+def write_apart(df: DataFrame, number: str, targets: Sequence[str], file_format: str) -> None:
+    """Write the rows to one folder per value of ``number``, from 0, in a single pass over ``df``.
+
+    They are written side by side into a folder next to the first target, whose parts then move to their
+    places; folders without rows are made, too.
+    """
+    spark = df.sparkSession
+    aside = f"{targets[0].rstrip('/')}-parts-{uuid.uuid4().hex}"
+    # Files stay open side by side, else each task would sort its rows by their folder.
+    writers, before = "spark.sql.maxConcurrentOutputFileWriters", None
+    before = spark.conf.get(writers, None)
+    spark.conf.set(writers, str(len(targets)))
+    try:
+        df.write.partitionBy(number).format(file_format).save(aside)
+        for k, target in enumerate(targets):
+            source, files = _hadoop(spark, f"{aside}/{number}={k}")
+            if not files.exists(source):
+                df.where(F.lit(False)).drop(number).write.format(file_format).save(target)
+                continue
+            place, _ = _hadoop(spark, target)
+            files.mkdirs(place.getParent())
+            if files.exists(place) or not files.rename(source, place):
+                raise FileExistsError(target)
+            # What a writer leaves in a folder that is complete.
+            done, _ = _hadoop(spark, f"{target}/_SUCCESS")
+            files.create(done).close()
+    finally:
+        if before is None:
+            spark.conf.unset(writers)
+        else:
+            spark.conf.set(writers, before)
+        remove_folder(spark, aside)
+
+
 @contextmanager
 def stored_tables(spark: SparkSession) -> Iterator[str]:
     """Owns all tables stored inside: they are removed at the end, also of a failed run.
@@ -54,5 +104,4 @@ def stored_tables(spark: SparkSession) -> Iterator[str]:
         yield folder
     finally:
         _RUN.reset(token)
-        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        remove_folder(spark, folder)

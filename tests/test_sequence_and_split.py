@@ -127,16 +127,19 @@ def test_splits_are_slices_of_the_permutation(spark, monkeypatch):
 
 
 @pytest.mark.parametrize("parts", [1, 7])
-def test_slices_come_in_shuffled_order(spark, parts):
+def test_splits_come_in_shuffled_order(spark, parts):
     ratios = {"train": 0.7, "val": 0.1, "test": 0.2}
     df = spark.range(2000).repartition(3)
     order = [r["id"] for r in sp.shuffle_positions(df, 7).orderBy("position").collect()]
-    seen = []
-    for bounds in sp.split_ranges(df, ratios, 7).values():
-        rows = sp.in_shuffled_order(df, 7, bounds, parts).withColumn("p", F.spark_partition_id()).collect()
-        seen += [r["id"] for r in rows]
-        assert len({r["p"] for r in rows}) == parts
-    assert seen == order
+    ranges = sp.split_ranges(df, ratios, 7)
+    ordered = sp.in_split_order(df, 7, ranges, dict.fromkeys(ranges, parts))
+    rows = ordered.withColumn("p", F.spark_partition_id()).collect()
+    assert [r["id"] for r in rows] == order
+    assert [[r["_split"] for r in rows].count(k) for k in range(3)] == [1400, 200, 400]
+    for k in range(3):
+        assert len({r["p"] for r in rows if r["_split"] == k}) == parts
+    # One shuffle, no second read for a sample of the keys.
+    assert str(ordered._jdf.queryExecution().executedPlan()).count("Exchange") == 2
 
 
 def test_repeated_ids_are_refused(spark):

@@ -264,6 +264,25 @@ def _stage_counts() -> str:
     return f"{TRAINING} {rows}"
 
 
+def _stage_contents() -> str:
+    def digest(*values):
+        return "md5(concat_ws('/', " + ", ".join(f"coalesce(CAST({v} AS VARCHAR), '-')" for v in values) + "))"
+
+    lengths = [f"CASE WHEN {SHORT} THEN len({s}_ids) END" for s in NAMES] + [f"CASE WHEN NOT ({SHORT}) THEN id END"]
+    flawed = "de_flaws <> '' OR en_flaws <> '' OR pair_flaws <> ''"
+    parts = {
+        "load": f"SELECT id, {digest('de0', 'en0')} AS content FROM normed",
+        "norm": f"SELECT id, {digest('de', 'en')} FROM normed",
+        "filter": f"SELECT id, {digest('de', 'en')} FROM clean",
+        "tokenize": f"SELECT id, {digest(ids('de_ids'), ids('en_ids'))} FROM encoded WHERE {SHORT}",
+        "map": f"SELECT id, {digest(ids('src_ids'), ids('tgt_ids'))} FROM training",
+        "norm_report": f"SELECT id + 1, {digest('de_changes', 'en_changes')} FROM normed WHERE de_changes <> '' OR en_changes <> ''",
+        "filter_report": f"SELECT id + 1, {digest('de_flaws', 'en_flaws', 'pair_flaws')} FROM flawed WHERE {flawed}",
+        "tokenize_report": f"SELECT row_number() OVER (ORDER BY id), {digest(*lengths)} FROM encoded",
+    }
+    return f"{TRAINING} " + " UNION ALL ".join(f"SELECT '{stage}' AS stage, * FROM ({sql})" for stage, sql in parts.items())
+
+
 def _page_flaws() -> str:
     labels = {name: _label([name, wq.OPTIONS[name]] if name in wq.OPTIONS else name)[1] for name in PREDICATES}
     cases = ", ".join(f"CASE WHEN {PREDICATES[name]('html')} THEN '{labels[name]}' END" for name in PREDICATES)
@@ -334,6 +353,7 @@ ORACLE: dict[str, str] = {
     "load_json_columns": "SELECT doc_id AS id, lang, n_chars, CAST(length(text) AS INT) AS de_length, source AS en FROM documents",
     "load_json_flat": "SELECT row_number() OVER (ORDER BY doc_id DESC) - 1 AS id, doc_id AS old, lang AS de, source AS en FROM documents",
     "load_json_flat_text": "SELECT row_number() OVER (ORDER BY doc_id DESC) - 1 AS id, doc_id AS old, text AS de, text || source AS en FROM documents",
+    "staged_contents": _stage_contents(),
     "staged_kept_ids": f"{FLAWS}, placed AS (SELECT *, row_number() OVER (ORDER BY id) AS seq_no FROM flawed JOIN "
     "(SELECT id, de_changes, en_changes FROM normed) USING (id)) "
     "SELECT 'norm' AS report, seq_no FROM placed WHERE de_changes <> '' OR en_changes <> '' UNION ALL "

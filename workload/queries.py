@@ -435,6 +435,41 @@ def preprocess_staged(spark, sf_dir):
     return union.groupBy("stage").agg(F.count(F.lit(1)).alias("row_count"))
 
 
+def staged_contents(spark, sf_dir):
+    """What lies in every snapshot and report of a run: a digest of each row."""
+    run = _run_dir(spark)
+    save_dataset(pairs(spark, sf_dir).orderBy("id").drop("id"), f"{run}/raw/train")
+    preprocess(
+        spark,
+        f"{run}/out",
+        WordLengthCodec(),
+        load_options={"path_name": f"{run}/raw", "split": "train"},
+        norm_options={"changes": CHAIN},
+        filter_options={"predicates": TEXT_FLAWS, "pair_predicates": PAIR_FLAWS},
+        tokenize_options={"max_seq_len": MAX_SEQ_LEN},
+        map_options={"src_lang": "de", "tgt_lang": "en"},
+        staging=f"{run}/staging",
+        dataset_name="docs",
+    )
+    tokens = "tokenized_translation struct<de: struct<input_ids: array<int>>, en: struct<input_ids: array<int>>>"
+    texts_of, lengths = ["translation.de", "translation.en"], ["token_lengths.de", "token_lengths.en", "removed_id"]
+    listed = [_ids(F.col(f"tokenized_translation.{lang}.input_ids")) for lang in ("de", "en")]
+    stages = {
+        **{stage: (f"docs_{stage}.jsonl", "id", schemas.pairs_with_id(), texts_of) for stage in ("load", "norm", "filter")},
+        "tokenize": ("docs_tokenize.jsonl", "id", f"id long, {tokens}", listed),
+        "map": ("docs_map.jsonl", "id", schemas.training_rows(False), [_ids(F.col("src_ids")), _ids(F.col("tgt_ids"))]),
+        "norm_report": ("norm_report", "seq_no", schemas.norm_report(), [_joined("de_norm_changes"), _joined("en_norm_changes")]),
+        "filter_report": ("filter_report", "seq_no", schemas.flaw_report(), [_joined(f"{c}_flaws") for c in ("de", "en", "pair")]),
+        "tokenize_report": ("tokenize_report", "seq_no", schemas.tokenize_report(), lengths),
+    }
+    found = []
+    for stage, (name, key, schema, columns) in stages.items():
+        rows = spark.read.schema(schema).json(f"{run}/staging/{name}", mode="FAILFAST")
+        values = [F.coalesce((F.col(c) if isinstance(c, str) else c).cast("string"), F.lit("-")) for c in columns]
+        found.append(rows.select(F.lit(stage).alias("stage"), F.col(key).alias("id"), F.md5(F.concat_ws("/", *values)).alias("content")))
+    return reduce(DataFrame.unionByName, found)
+
+
 def staged_kept_ids(spark, sf_dir):
     """Positions in the reports of a run that keeps the sparse ids of its source."""
     run = _run_dir(spark)
@@ -683,6 +718,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "token_length_hist": token_length_hist,
     "preprocess_plan": preprocess_plan,
     "preprocess_staged": preprocess_staged,
+    "staged_contents": staged_contents,
     "staged_kept_ids": staged_kept_ids,
     "preprocess_stream": preprocess_stream,
 }
