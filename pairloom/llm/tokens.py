@@ -1,5 +1,6 @@
 """Token ids of whole texts by a tokenizer file, with frequent words looked up."""
 
+import json
 import re
 import sys
 import types
@@ -8,6 +9,7 @@ from collections.abc import Iterable, Iterator
 from pathlib import Path
 
 import numpy as np
+import tiktoken
 from tokenizers import Tokenizer
 
 _ODD = re.compile(r"[ \n]\s")
@@ -23,15 +25,54 @@ def tokenizer_file(name: str = "byte_bpe_50k.json") -> str:
     return Path(public_tokenizers.path(name)).read_text(encoding="utf-8")
 
 
+# Fixed value: how byte-level tokenizers of this kind split a text.
+SPLITS = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+# Bytes of texts whose letters, digits and white space all libraries agree on: ASCII without control characters, Latin, Greek
+# and Cyrillic letters. The signs between U+2010 and U+203F but for white space, and the euro sign, are tested apart.
+_KNOWN = bytes([9, 10, 13, *range(32, 127), *range(0x80, 0xC0), *range(0xC2, 0xC9), 0xCE, 0xCF, 0xD0, 0xD1, 0xE2])
+_UNKNOWN_SIGN = re.compile(rb"\xe2(?!\x80[\x90-\xa7\xb0-\xbf]|\x82\xac)|\xc2[\x80-\xa0]")
+_WHITE = bytes.maketrans(b"\t\n\r", b"   ")
+# Merging a piece of a text can take the square of its length in one of the libraries.
+LONGEST_PIECE = 256
+
+
+def _byte_of_char() -> dict[str, int]:
+    """The characters that stand for bytes in the vocabulary of a byte-level tokenizer."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {chr(b): b for b in shown} | {chr(256 + k): b for k, b in enumerate(hidden)}
+
+
+def merge_encoding(content: str) -> tiktoken.Encoding | None:
+    """The same tokenizer by a faster library, if its file says that it is one: plain byte-level BPE in order of its ids."""
+    spec = json.loads(content)
+    model, split = spec.get("model", {}), spec.get("pre_tokenizer") or {}
+    plain = model.get("type") == "BPE" and split.get("type") == "ByteLevel" and not split.get("add_prefix_space")
+    plain = plain and split.get("use_regex", True) and not spec.get("normalizer")
+    plain = plain and not any(model.get(k) for k in ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "ignore_merges"))
+    if not plain:
+        return None
+    chars, vocab = _byte_of_char(), model["vocab"]
+    added = {token["content"] for token in spec.get("added_tokens", ())}
+    merged = [vocab["".join(m.split(" ") if isinstance(m, str) else m)] for m in model["merges"]]
+    tokens = {t: i for t, i in vocab.items() if t not in added}
+    if merged != sorted(merged) or any(c not in chars for t in tokens for c in t) or len(tokens) != 256 + len(set(merged)):
+        return None
+    ranks = {bytes(map(chars.__getitem__, t)): i for t, i in tokens.items()}
+    return tiktoken.Encoding("same", pat_str=SPLITS, mergeable_ranks=ranks, special_tokens={})
+
+
 class ChunkEncoder:
     """Ids of texts, the same as from the tokenizer itself, for byte-level BPE tokenizers.
 
-    Such a tokenizer splits a text before it merges bytes, and always in front of a space or around a
+    Most texts are encoded by a faster library with the same merges. Those with characters that the libraries may class in
+    different ways, with special tokens, or with very long pieces are cut: such a tokenizer splits a text before it
+    merges bytes, and always in front of a space or around a
     line end that has no other white space beside it. So texts are cut there, and the pieces' ids are
     remembered, up to ``most`` of them. Texts with runs of white space are cut by a slower pattern.
     """
 
-    def __init__(self, content: str, most: int = 600_000, group: int = 4_000_000):
+    def __init__(self, content: str, most: int = 600_000, group: int = 4_000_000, merge: bool = True):
         self.tokenizer = Tokenizer.from_str(content)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
@@ -39,6 +80,18 @@ class ChunkEncoder:
         self.known: dict[str, bytes] = {}
         self.line_ids = self.tokenizer.encode("\n", add_special_tokens=False).ids
         self.line_end = self.line_ids[0] if self.line_ids else -1
+        self.merging = merge_encoding(content) if merge else None
+        self.special = [token["content"] for token in json.loads(content).get("added_tokens", ())]
+
+    def _merges(self, text: str) -> bool:
+        """Whether the faster library gives the tokenizer's ids."""
+        if self.merging is None or any(token in text for token in self.special):
+            return False
+        data = text.encode("utf-8", "surrogatepass")
+        if data.translate(None, _KNOWN) or (not text.isascii() and _UNKNOWN_SIGN.search(data)):
+            return False
+        pieces = data.translate(_WHITE)
+        return b" " * LONGEST_PIECE not in pieces and max(map(len, pieces.split(b" "))) <= LONGEST_PIECE
 
     def _cut(self, text: str) -> list[str]:
         if not text:
@@ -81,24 +134,34 @@ class ChunkEncoder:
         return got
 
     def encode(self, texts: Iterable[str]) -> Iterator[np.ndarray]:
-        waiting: list[tuple[list[str], list]] = []
+        # A text that waits has its pieces, another one its ids.
+        waiting: list[tuple[list[str], list] | np.ndarray] = []
         size = 0
         for text in texts:
-            pieces = self._cut(text)
-            waiting.append((pieces, list(map(self.known.get, pieces))))
+            if self._merges(text):
+                ids = np.frombuffer(array("I", self.merging.encode_ordinary(text)), np.uint32)
+                if not waiting:
+                    yield ids
+                    continue
+                waiting.append(ids)
+            else:
+                pieces = self._cut(text)
+                waiting.append((pieces, list(map(self.known.get, pieces))))
             size += len(text)
             if size >= self.group:
                 yield from self._filled(waiting)
                 waiting, size = [], 0
         yield from self._filled(waiting)
 
-    def _filled(self, waiting: list[tuple[list[str], list]]) -> Iterator[np.ndarray]:
-        gaps = [[k for k, ids in enumerate(found) if ids is None] if None in found else () for _, found in waiting]
-        new = self._learn({pieces[k] for (pieces, _), at in zip(waiting, gaps) for k in at})
-        for (pieces, found), at in zip(waiting, gaps):
+    def _filled(self, waiting: list[tuple[list[str], list] | np.ndarray]) -> Iterator[np.ndarray]:
+        cut = [w for w in waiting if isinstance(w, tuple)]
+        gaps = [[k for k, ids in enumerate(found) if ids is None] if None in found else () for _, found in cut]
+        new = self._learn({pieces[k] for (pieces, _), at in zip(cut, gaps) for k in at})
+        for (pieces, found), at in zip(cut, gaps):
             for k in at:
                 found[k] = new[pieces[k]]
-            yield np.frombuffer(b"".join(found), np.uint32)
+        for w in waiting:
+            yield np.frombuffer(b"".join(w[1]), np.uint32) if isinstance(w, tuple) else w
 
 
 def worker_encoder(content: str) -> ChunkEncoder:

@@ -31,14 +31,42 @@ TEXTS = [
 ]
 
 
-def test_encoder_gives_the_tokenizers_ids(content):
-    encoder, own = ChunkEncoder(content, most=5, group=10), Tokenizer.from_str(content)
+ODD_TEXTS = [
+    "x" * 700 + " y", " " * 700, "\n \t" * 300 + "z", "ab12" * 200, "naïve Größe – „ja“ 5€ it’s ’s “q” …", "Ωμέγα Ёж ѓ", "a\u2028b\u2009c\u202fd",
+    "\x85a\x1cb\xadc\x7f", "²³¼ ª º ÷×", "x\ttab\r\nline  two", "I'll he's WE'VE'd'", "\u0378\u0380 \u0250 \u2071", "a\u0301 \u0483",
+]
+
+
+@pytest.mark.parametrize("merge", [True, False])
+def test_encoder_gives_the_tokenizers_ids(content, merge):
+    encoder, own = ChunkEncoder(content, most=5, group=10, merge=merge), Tokenizer.from_str(content)
+    assert (encoder.merging is not None) == merge
     rng = np.random.default_rng(0)
-    texts = TEXTS + ["".join(rng.choice(list(" \n\tab.,'7é")) for _ in range(30)) for _ in range(300)]
+    texts = TEXTS + ODD_TEXTS + ["".join(rng.choice(list(" \n\tab.,'7é–ß’日€\xa0")) for _ in range(30)) for _ in range(600)]
     for got, text in zip(encoder.encode(texts), texts, strict=True):
         assert got.tolist() == own.encode(text, add_special_tokens=False).ids, text
 
 
+def test_known_characters_are_classed_alike(content):
+    """Every character that the faster library is trusted with, beside a letter, a digit, a space and itself."""
+    encoder, own = ChunkEncoder(content), Tokenizer.from_str(content)
+    known = [chr(c) for c in range(0x3000) if encoder._merges(chr(c))]
+    assert len(known) > 700 and not {"\x85", "\xa0", "\u2028", "\u0250"} & set(known)
+    texts = [f"a{c}1{c}{c} {c}b  {c}\n{c}" for c in known]
+    for got, text in zip(encoder.encode(texts), texts, strict=True):
+        assert got.tolist() == own.encode(text, add_special_tokens=False).ids, text
+
+
+def test_only_plain_tokenizers_are_merged_elsewhere(content):
+    import json
+
+    from pairloom.llm.tokens import merge_encoding
+
+    spec = json.loads(content)
+    for change in ({"normalizer": {"type": "Lowercase"}}, {"pre_tokenizer": None}, {"model": spec["model"] | {"dropout": 0.1}}):
+        assert merge_encoding(json.dumps(spec | change)) is None
+
+
 def check_pieces(rows, texts, content, window):
     own = Tokenizer.from_str(content)
     want = [np.array(own.encode(t or "", add_special_tokens=False).ids + [1], "<u4") for _, t in texts]
