@@ -2,17 +2,20 @@
 
 Every document becomes its token ids and an end id. Whole windows of it are sequences of their own;
 what is left, shorter than a window, is a unit to pack. Units are sorted by a MinHash of their most
-telling tokens, so that related ones lie together, and dealt out in shards of a bounded number of units.
+telling tokens, so that related ones lie together, and dealt out in shards of a bounded size.
 A shard has an inverted index of its units' tokens, weighted by BM25 with the document frequencies and
-the mean length of the whole corpus. The first unused unit is the seed of a sequence: its most
+the mean length of all units. The first unused unit is the seed of a sequence: its most
 telling tokens are the query, and unused neighbours fill the window in the order of their scores, first those
 that fit whole; the best of the others is cut to fill the rest, and what remains of it is a unit again. The last
 sequence of a shard, if not full, is cut into lengths that are powers of two, which need no padding.
 
-Scores are only compared within a shard; documents don't change by it, and each id lies in one piece.
+A seed is compared with its own shard only. Searching all shards for every seed takes time with the square of the
+corpus, since the tokens are a fixed vocabulary and every posting list grows with it; the README has what the shards
+find of the neighbours in the whole corpus. Documents don't change by it, and each id lies in one piece.
 """
 
 import zlib
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,10 +30,15 @@ from pairloom.sources.storage import materialize
 
 WINDOW = 2048
 END = 1
-# Units of a shard, which has at most so many windows of ids.
-SHARD_UNITS = 1024
+# Units and tokens of a shard; its index takes some 20 bytes a token.
+SHARD_UNITS = 8192
+SHARD_TOKENS = 8_000_000
 # Tokens on which a partition of the sorted units works; it holds one shard at a time.
-PARTITION_TOKENS = 4_000_000
+PARTITION_TOKENS = 8_000_000
+# Keys that are sampled for each partition, to cut the range of keys into even parts.
+KEYS_SAMPLED = 50
+# Neighbours that are ranked at first; all are if these don't fill the window.
+RANKED = 128
 QUERY_TOKENS = 32
 KEY_TOKENS = 16
 K1, B = 1.2, 0.75
@@ -136,6 +144,7 @@ def fill_windows(units: list[np.ndarray], idf: np.ndarray, mean_length: float, w
     index = Shard(units, idf, mean_length)
     begun = np.zeros(len(units), np.int64)
     left = np.array([len(u) for u in units])
+    unused = np.arange(len(units))
     sequences = []
     seed = 0
     while True:
@@ -153,16 +162,32 @@ def fill_windows(units: list[np.ndarray], idf: np.ndarray, mean_length: float, w
             return room - length
 
         room = take(seed, room)
-        ranked = np.argsort(-index.scores(seed), kind="stable")
-        ranked = ranked[left[ranked] > 0]
-        for unit in ranked[left[ranked] <= room]:
-            if left[unit] <= room:
-                room = take(unit, room)
-                if not room:
-                    break
-        rest = ranked[left[ranked] > 0]
-        if room and len(rest):
-            room = take(rest[0], room)
+        if room:
+            # Used ones go now and then.
+            alive = left[unused] > 0
+            if 2 * np.count_nonzero(alive) < len(unused):
+                unused = unused[alive]
+                alive = left[unused] > 0
+            score = np.where(alive, index.scores(seed)[unused], -1.0)
+
+            def take_fitting(places: np.ndarray, room: int) -> int:
+                for unit in unused[places[np.lexsort((places, -score[places]))]]:
+                    if 0 < left[unit] <= room:
+                        room = take(unit, room)
+                        if not room:
+                            break
+                return room
+
+            if len(unused) > 2 * RANKED:
+                room = take_fitting(np.argpartition(-score, RANKED)[:RANKED], room)
+            if room:
+                # Lower ones, of which few are as short as the room that is left.
+                room = take_fitting(np.flatnonzero((left[unused] > 0) & (left[unused] <= room)), room)
+            if room and len(unused):
+                score[left[unused] == 0] = -1.0
+                best = unused[np.argmax(score)]
+                if left[best]:
+                    take(best, room)
         sequences.append(pieces)
     return sequences
 
@@ -220,10 +245,22 @@ def pack(
                         keys[k, j] = mix(telling ^ np.uint64((STEP * (j + 1)) & MASK)).min().view(np.int64)
             yield batch.assign(key=keys[:, 0], key2=keys[:, 1])
 
-    keyed = encoded.mapInPandas(add_keys, f"{_ddl(encoded)}, key long, key2 long")
-    order = ["key", "key2", "doc_id", F.xxhash64("rest")]
+    keyed_ddl = f"{_ddl(encoded)}, key long, key2 long"
     parts = max(1, -(-tokens // PARTITION_TOKENS))
-    dealt = keyed.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    # Even parts of the keys' range from a sample of them; equal keys are told apart by document and content.
+    order = ["key", "key2", "tie"]
+    with_tie = lambda df: df.mapInPandas(add_keys, keyed_ddl).withColumn("tie", F.xxhash64("doc_id", "rest"))
+    sampled = with_tie(encoded.sample(min(1.0, KEYS_SAMPLED * parts / max(units, 1)), 1)).where(F.length("rest") > 0)
+    borders = [tuple(r) for r in sampled.select(*order).orderBy(*order).collect()]
+    borders = borders[KEYS_SAMPLED // 2 :: KEYS_SAMPLED][: parts - 1] if parts > 1 else []
+    cuts = spark.sparkContext.broadcast(borders)
+
+    @F.pandas_udf("int")
+    def part_of(key: pd.Series, key2: pd.Series, tie: pd.Series) -> pd.Series:
+        return pd.Series([bisect_right(cuts.value, at) for at in zip(key, key2, tie)], dtype="int32")
+
+    keyed = with_tie(encoded)
+    dealt = keyed.repartitionById(len(borders) + 1, part_of(*order)).sortWithinPartitions(*order, "doc_id").drop("tie")
 
     def fill(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         idf, mean_length = known.value
@@ -231,9 +268,11 @@ def pack(
         number = TaskContext.get().partitionId() << 40
         rows: list[tuple] = []
         waiting: list[tuple] = []
+        held = 0
 
         def flush():
-            nonlocal number
+            nonlocal number, held
+            held = 0
             ids = [w[2] for w in waiting]
             for pieces in fill_windows(ids, idf, mean_length, window):
                 for sequence in power_lengths(pieces, window):
@@ -261,7 +300,8 @@ def pack(
                     number += 1
                 if rest:
                     waiting.append((doc_id, int(total), np.frombuffer(rest, "<u4")))
-                    if len(waiting) >= shard_units:
+                    held += len(rest) // 4
+                    if len(waiting) >= shard_units or held >= SHARD_TOKENS:
                         flush()
             if rows:
                 yield frame()
