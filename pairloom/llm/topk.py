@@ -2,21 +2,22 @@
 
 Every component x becomes floor(256 * x); scores are integer inner products, so they are exact. Vectors
 are grouped into buckets of similar length, and large buckets dealt into blocks; queries are blocks too. The
-longest vectors are searched first, which gives every query a lower bound on its k-th best score. From
-that bound, the length of the longest vector in a block and the query's own length follows the cosine that
-a vector of the block must reach. Over 1, no vector can and the block isn't sent to the query. Else the
+longest vectors are searched first, as many blocks of them as hold ``SEEDS`` vectors, which gives every query a lower bound
+on its k-th best score. From that bound, the length of the longest vector in a block and the query's own length follows the
+cosine that a vector of the block must reach. Queries are then dealt anew, by the length that they ask for, and a
+block whose vectors are all shorter than its queries ask for isn't sent to them. Else the
 vectors left are those whose length suffices, or, if the cosine is high, those whose few most telling
 coordinates lie in the range that the cosine allows; only their products are computed.
 
-Queries times vectors are inherent in an exact search of 2 % of all rows against all; blocks of both
-meet by a join on block numbers, so a task holds one block of each.
+Vectors of one length in no direction that is common leave nothing to prune: there, queries times vectors are inherent in an
+exact search of 2 % of all rows against all. Blocks of both meet by a join on block numbers, so a task holds one block of each.
 """
 
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pairloom.sources.storage import materialize
@@ -25,6 +26,8 @@ K = 5
 QUERY_EVERY = 50
 BLOCK = 4096
 QUERY_BLOCK = 1024
+# Vectors, the longest ones, that give the bounds.
+SEEDS = 4096
 # Lengths in a bucket differ by this factor at most.
 BUCKET_RATIO = 1.1
 # Coordinates looked at, and the least local cosine at which they prune more than they cost.
@@ -33,7 +36,7 @@ COSINE = 0.5
 # Products of floats are exact below this; above it, Python integers are used.
 EXACT = float(1 << 53)
 
-PACKED = "dim int, block long, n long, longest double, ids binary, vectors binary"
+PACKED = "dim int, block long, n long, longest double, ids binary, vectors binary, shortest double, least binary"
 HITS = "query_id long, vec_id long, score long"
 
 
@@ -47,28 +50,42 @@ def quantised(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "emb
     return rows.withColumn("length", F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, c: a + c * c)))
 
 
-def _packed(rows: DataFrame, group: str) -> DataFrame:
-    """One row per block, its vectors longest first."""
+def _packed(rows: DataFrame) -> DataFrame:
+    """One row per block, its vectors longest first. ``least`` of the rows are their bounds, ``asked`` the lengths these ask for."""
 
     def pack(part: pd.DataFrame) -> pd.DataFrame:
         part = part.sort_values(["length", "vec_id"], ascending=[False, True])
         matrix = np.stack(part["v"].to_numpy()).astype("<f8")
-        row = (part["dim"].iloc[0], part[group].iloc[0], len(part), part["length"].iloc[0])
-        ids = part["vec_id"].to_numpy("<i8").tobytes()
-        return pd.DataFrame([(*row, ids, matrix.tobytes())], columns=["dim", "block", "n", "longest", "ids", "vectors"])
+        ids, least = part["vec_id"].to_numpy("<i8").tobytes(), part["least"].to_numpy("<f8").tobytes()
+        row = (part["dim"].iloc[0], part["block"].iloc[0], len(part), part["length"].iloc[0], ids, matrix.tobytes(), part["asked"].min(), least)
+        return pd.DataFrame([row], columns=["dim", "block", "n", "longest", "ids", "vectors", "shortest", "least"])
 
-    return rows.groupBy("dim", group).applyInPandas(pack, PACKED)
+    for name in ("least", "asked"):
+        if name not in rows.columns:
+            rows = rows.withColumn(name, F.lit(float("-inf")))
+    return rows.select("dim", "block", "vec_id", "v", "length", "least", "asked").groupBy("dim", "block").applyInPandas(pack, PACKED)
+
+
+def _bucket(size: Column) -> Column:
+    return F.when(size > 0, F.floor(F.log(size) / float(np.log(BUCKET_RATIO)))).otherwise(-(10**6))
 
 
 def _blocks(rows: DataFrame, bucket, size: int) -> DataFrame:
-    """Deals rows into blocks of about ``size``: buckets first, large buckets split by row number."""
-    rows = rows.withColumn("bucket", bucket).withColumn("row", F.monotonically_increasing_id())
+    """Deals rows into blocks of about ``size``: buckets first, large buckets split by a hash of the row, which must be stored."""
+    rows = rows.withColumn("bucket", bucket)
     counts = rows.groupBy("dim", "bucket").agg(F.count("*").alias("count"))
     parts = F.ceil(F.col("count") / size)
     rows = rows.join(F.broadcast(counts), ["dim", "bucket"])  # one row for each power of BUCKET_RATIO
     return rows.withColumn("block", F.xxhash64("bucket", F.pmod(F.xxhash64("row"), parts)))
 
 
+def _meeting(blocks: DataFrame, queries: DataFrame) -> DataFrame:
+    """``(dim, block, q_block)``: numbers of blocks that meet; one that is too short for a whole block of queries stays away."""
+    asked = queries.select("dim", F.col("block").alias("q_block"), "shortest")
+    met = blocks.select("dim", "block", "longest").join(asked, "dim")
+    return met.where(F.col("longest") * (1 + 1e-9) >= F.col("shortest")).select("dim", "block", "q_block")
+
+
 class Block:
     def __init__(self, dim: int, ids: bytes, vectors: bytes):
         self.ids = np.frombuffer(ids, "<i8")
@@ -124,7 +141,7 @@ def _search(pairs: DataFrame, k: int) -> DataFrame:
         for batch in batches:
             for row in batch.itertuples(index=False):
                 block, queries = Block(row.dim, row.ids, row.vectors), Block(row.dim, row.q_ids, row.q_vectors)
-                least = np.frombuffer(row.q_least, "<f8") if row.q_least is not None else np.full(len(queries.ids), -np.inf)
+                least = np.frombuffer(row.q_least, "<f8")
                 out = []
                 for n in np.flatnonzero(least <= queries.lengths * block.lengths[0] * (1 + 1e-9)):
                     query = queries.vectors[n]
@@ -146,6 +163,36 @@ def _ranked(hits: DataFrame, k: int) -> DataFrame:
     return hits.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
+def _pairs(met: DataFrame, blocks: DataFrame, queries: DataFrame) -> DataFrame:
+    own = blocks.select("dim", "block", "ids", "vectors")
+    names = {"block": "q_block", "ids": "q_ids", "vectors": "q_vectors", "least": "q_least"}
+    asking = queries.select("dim", *[F.col(c).alias(n) for c, n in names.items()])
+    return met.join(own, ["dim", "block"]).join(asking, ["dim", "q_block"])
+
+
+def prepared(rows: DataFrame, k: int, every: int, block: int, query_block: int, seeds: int) -> tuple[DataFrame, DataFrame]:
+    """Blocks of vectors, and of queries with their bounds."""
+    rows = materialize(rows.withColumn("row", F.monotonically_increasing_id()), "vectors")
+    blocks = materialize(_packed(_blocks(rows, _bucket(F.col("length")), block)), "blocks")
+    asked = rows.where(F.col("vec_id") % every == 0).dropDuplicates(["vec_id", "v"])
+    asked = materialize(asked.withColumn("row", F.xxhash64("vec_id", "v")), "asked")
+
+    # First the blocks with the longest vectors of each dimension give every query a bound.
+    longer = Window.partitionBy("dim").orderBy(F.desc("longest"), "block").rowsBetween(Window.unboundedPreceding, -1)
+    first = blocks.select("dim", "block", F.coalesce(F.sum("n").over(longer), F.lit(0)).alias("before"))
+    first = first.where(F.col("before") < max(seeds, k + 1)).select("dim", "block")
+    unbound = _packed(_blocks(asked, F.lit(0), query_block))
+    met = first.join(unbound.select("dim", F.col("block").alias("q_block")), "dim")
+    found = _ranked(_search(_pairs(met, blocks, unbound), k), k).where(F.col("rank") == k)
+    bounds = materialize(found.select(F.col("query_id").alias("vec_id"), F.col("score").cast("double").alias("least")), "bounds")
+
+    least = F.coalesce(F.col("least"), F.lit(float("-inf")))
+    # A query of length zero accepts all.
+    length = F.when((least > 0) & (F.col("length") > 0), least / F.col("length")).otherwise(F.lit(0.0))
+    bound = asked.join(bounds, "vec_id", "left").withColumn("asked", length).withColumn("least", least)
+    return blocks, materialize(_packed(_blocks(bound, _bucket(F.col("asked")), query_block)), "queries")
+
+
 def top_k(
     vectors: DataFrame,
     id_col: str = "vec_id",
@@ -154,6 +201,7 @@ def top_k(
     every: int = QUERY_EVERY,
     block: int = BLOCK,
     query_block: int = QUERY_BLOCK,
+    seeds: int = SEEDS,
 ) -> DataFrame:
     """``(query_id, rank, vec_id, score)``: the k best of all other vectors for each query.
 
@@ -162,49 +210,6 @@ def top_k(
     aren't compared with it. A repeated id is the same row to a query: its own copies are no answers, and
     copies of another id each count. Ties go to the smaller id.
     """
-    rows = quantised(vectors, id_col, vector_col)
-    bucket = F.when(F.col("length") > 0, F.floor(F.log("length") / float(np.log(BUCKET_RATIO)))).otherwise(-(10**6))
-    blocks = materialize(_packed(_blocks(rows, bucket, block), "block"), "blocks")
-    queries = rows.where(F.col("vec_id") % every == 0).dropDuplicates(["vec_id", "v"])
-    queries = materialize(_packed(_blocks(queries, F.lit(0), query_block), "block"), "queries")
-    queries = queries.select(
-        F.col("dim"), F.col("block").alias("q_block"), F.col("ids").alias("q_ids"), F.col("vectors").alias("q_vectors")
-    )
-
-    # First the block with the longest vectors of each dimension gives every query a bound.
-    first = blocks.groupBy("dim").agg(F.max_by("block", F.struct("longest", "block")).alias("block"))
-    longest = blocks.join(first, ["dim", "block"]).drop("n", "longest")
-    seeded = queries.join(longest, "dim").withColumn("q_least", F.lit(None).cast("binary"))
-    found = _ranked(_search(seeded, k), k).where(F.col("rank") == k).select("query_id", F.col("score").alias("least"))
-    bounds = materialize(found, "bounds")
-
-    # The bounds, in the order of each block's queries, and the shortest vector that any of them accepts.
-    listed = queries.select("dim", "q_block", "q_ids", "q_vectors")
-
-    def spread(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for row in batch.itertuples(index=False):
-                q = Block(row.dim, row.q_ids, row.q_vectors)
-                yield pd.DataFrame({"dim": row.dim, "q_block": row.q_block, "at": np.arange(len(q.ids)), "query_id": q.ids, "length": q.lengths})
-
-    each = listed.mapInPandas(spread, "dim int, q_block long, at int, query_id long, length double").join(bounds, "query_id", "left")
-    least = F.coalesce(F.col("least").cast("double"), F.lit(float("-inf")))
-    # A query of length zero accepts all.
-    shortest = F.when((least > 0) & (F.col("length") > 0), least / F.col("length")).otherwise(F.lit(0.0))
-    summary = each.groupBy("dim", "q_block").agg(
-        F.min(shortest).alias("shortest"), F.transform(F.array_sort(F.collect_list(F.struct("at", least.alias("least")))), lambda r: r["least"]).alias("bounds")
-    )
-    queries = queries.join(summary, ["dim", "q_block"])
-
-    def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            batch["q_least"] = [np.asarray(b, "<f8").tobytes() for b in batch["bounds"]]
-            yield batch.drop(columns="bounds")
-
-    schema = "dim int, q_block long, q_ids binary, q_vectors binary, shortest double, q_least binary"
-    queries = materialize(queries.mapInPandas(encode, schema), "bounded")
-    # Block numbers meet first, without the vectors; a block that is too short for a whole block of queries stays away.
-    met = blocks.select("dim", "block", "longest").join(queries.select("dim", "q_block", "shortest"), "dim")
-    met = met.where(F.col("longest") * (1 + 1e-9) >= F.col("shortest")).select("dim", "block", "q_block")
-    pairs = met.join(blocks.drop("n", "longest"), ["dim", "block"]).join(queries.drop("shortest"), ["dim", "q_block"])
+    blocks, queries = prepared(quantised(vectors, id_col, vector_col), k, every, block, query_block, seeds)
+    pairs = _pairs(_meeting(blocks, queries), blocks, queries)
     return _ranked(_search(pairs, k), k).select("query_id", "rank", "vec_id", "score")
