@@ -114,14 +114,21 @@ class Shard:
 
     def __init__(self, units: list[np.ndarray], idf: np.ndarray, mean_length: float):
         lengths = np.array([len(u) for u in units])
-        owner = np.repeat(np.arange(len(units)), lengths)
-        pair, tf = np.unique(owner.astype(np.int64) << 32 | np.concatenate(units).astype(np.int64), return_counts=True)
-        unit, token = pair >> 32, pair & 0xFFFFFFFF
-        norm = K1 * (1 - B + B * lengths[unit] / mean_length)
-        weight = idf[token] * tf * (K1 + 1) / (tf + norm)
+        pair = np.repeat(np.arange(len(units), dtype=np.int64) << 32, lengths)
+        pair |= np.concatenate(units)
+        pair.sort()
+        begins = np.flatnonzero(np.append(True, pair[1:] != pair[:-1]))
+        tf = np.diff(np.append(begins, len(pair))).astype(np.float32)
+        pair = pair[begins]
+        del begins
+        # Narrow types: a worker holds the index of one shard beside the shard's ids.
+        unit, token = (pair >> 32).astype(np.int32), (pair & 0xFFFFFFFF).astype(np.int32)
+        del pair
+        norm = (K1 * (1 - B + B * lengths / mean_length)).astype(np.float32)[unit]
+        weight = idf.astype(np.float32)[token] * tf * np.float32(K1 + 1) / (tf + norm)
         self.starts = np.searchsorted(unit, np.arange(len(units) + 1))
         self.token, self.weight = token, weight
-        order = np.argsort(token, kind="stable")
+        order = np.argsort(token, kind="stable").astype(np.int32)
         self.posted, self.post_weight = unit[order], weight[order]
         self.vocabulary, first = np.unique(token[order], return_index=True)
         self.first = np.append(first, len(order))
