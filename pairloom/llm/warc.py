@@ -26,6 +26,7 @@ FRAME_MAGIC = 0xFD2FB528
 EMPTY_FRAME = "P*M\x18\0\0\0\0"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 VERSION = "WARC/1.1"
+PAGE = "urn:x-page:"
 DATE = "1970-01-01T00:00:00Z"
 
 # Payloads of fewer bytes are always stored.
@@ -35,6 +36,8 @@ ARCHIVE_BYTES = 32 << 20
 # The dictionary is trained on so many payloads of at most so many bytes, about.
 SAMPLE_PAGES, SAMPLE_BYTES, DICTIONARY_BYTES = 400, 32 << 10, 64 << 10
 WRITE_BYTES = 8 << 20
+# A frame that unpacks to more is an error.
+MOST_BYTES = 1 << 30
 
 
 def revisits(pages: DataFrame, least_bytes: int = REVISIT_BYTES) -> DataFrame:
@@ -45,6 +48,8 @@ def revisits(pages: DataFrame, least_bytes: int = REVISIT_BYTES) -> DataFrame:
     long_ones = pages.where(F.col("n") >= least_bytes)
     groups = long_ones.groupBy("digest", "n").agg(F.max("page_id").alias("refers_to"), F.count("*").alias("count"))
     groups = groups.where((F.col("count") > 1) & F.col("refers_to").isNotNull()).drop("count")
+    # One row for each repeated payload; where these are few, a page that many copy isn't one task.
+    groups = broadcast_if_small(materialize(groups, "repeated"))
     again = long_ones.join(groups, ["digest", "n"]).where(~F.col("page_id").eqNullSafe(F.col("refers_to")))
     return again.select(F.col("page_id").alias("of_page"), F.col("digest").alias("of_digest"), "refers_to").distinct()
 
@@ -173,7 +178,7 @@ def frames(content: bytes) -> Iterator[tuple[int, bytes]]:
             if end > len(data):
                 raise ValueError(f"frame cut off at byte {at}")
             try:
-                yield at, unpacker.decompress(data[at:end])
+                yield at, unpacked(unpacker, data[at:end])
             except zstandard.ZstdError as error:
                 raise ValueError(f"frame at byte {at}: {error}") from error
             at = end
@@ -181,6 +186,41 @@ def frames(content: bytes) -> Iterator[tuple[int, bytes]]:
             raise ValueError(f"no frame at byte {at}")
 
 
+def unpacked(unpacker: zstandard.ZstdDecompressor, frame: memoryview, most: int = MOST_BYTES) -> bytes:
+    """Content of a frame, whether or not its header has the size of it."""
+    size = zstandard.frame_content_size(frame)
+    if size > most:
+        raise ValueError(f"a frame of {size} bytes, more than {most}")
+    if size >= 0:
+        return unpacker.decompress(frame)
+    stream, out, total = unpacker.decompressobj(), [], 0
+    # Small pieces of the frame, as each may unpack to very much.
+    for begin in range(0, len(frame), 4096):
+        out.append(stream.decompress(frame[begin : begin + 4096]))
+        total += len(out[-1])
+        if total > most:
+            raise ValueError(f"a frame of more than {most} bytes")
+    if not stream.eof:
+        raise ValueError("frame cut off")
+    return b"".join(out)
+
+
+def _fields(lines: list[str]) -> dict[str, str]:
+    """Header fields by their names in lower case. A line that begins with white space goes on with the field before."""
+    fields: dict[str, str] = {}
+    last = None
+    for line in lines:
+        if line[:1] in " \t" and last is not None:
+            fields[last] = f"{fields[last]} {line.strip()}"
+            continue
+        name, colon, value = line.partition(":")
+        if not colon or not name.strip():
+            raise ValueError(f"bad header line {line[:80]!r}")
+        last = name.strip().lower()
+        fields[last] = value.strip()
+    return fields
+
+
 def parse_record(raw: bytes) -> tuple[dict[str, str], bytes]:
     """Header fields and block of the one record in a frame; anything else is an error."""
     head, found, rest = raw.partition(b"\r\n\r\n")
@@ -189,12 +229,7 @@ def parse_record(raw: bytes) -> tuple[dict[str, str], bytes]:
     lines = head.decode("utf-8", "surrogatepass").split("\r\n")
     if lines[0] not in ("WARC/1.0", "WARC/1.1"):
         raise ValueError(f"not a record: {lines[0][:40]!r}")
-    fields: dict[str, str] = {}
-    for line in lines[1:]:
-        name, colon, value = line.partition(":")
-        if not colon or not name.strip():
-            raise ValueError(f"bad header line {line[:80]!r}")
-        fields[name.strip().lower()] = value.strip()
+    fields = _fields(lines[1:])
     for name in ("warc-type", "warc-record-id", "warc-date", "content-length"):
         if name not in fields:
             raise ValueError(f"no {name}")
@@ -206,44 +241,93 @@ def parse_record(raw: bytes) -> tuple[dict[str, str], bytes]:
     return fields, rest[:length]
 
 
+def unchunked(body: bytes) -> bytes:
+    """A body without the sizes of its chunks."""
+    out, at = [], 0
+    while True:
+        end = body.find(b"\r\n", at)
+        if end < 0:
+            raise ValueError("no end of a chunk's size")
+        size = int(body[at:end].split(b";")[0].strip(), 16)
+        if not size:
+            return b"".join(out)
+        at = end + 2 + size
+        if at + 2 > len(body):
+            raise ValueError("chunk cut off")
+        out.append(body[end + 2 : at])
+        at += 2
+
+
+def _digest(text: str) -> tuple[str, str] | None:
+    """Algorithm and hexadecimal digest, which may be written in base 32; None if the algorithm isn't known here."""
+    algorithm, _, value = text.partition(":")
+    algorithm = algorithm.strip().lower().replace("-", "")
+    if algorithm not in ("md5", "sha1", "sha256", "sha512"):
+        return None
+    value, size = value.strip(), 2 * hashlib.new(algorithm).digest_size
+    if len(value) == size:
+        return algorithm, value.lower()
+    return algorithm, base64.b32decode(value.upper() + "=" * (-len(value) % 8)).hex()
+
+
 def read_record(fields: dict[str, str], block: bytes) -> dict:
-    """Row of a response or revisit record, its length and digest checked."""
-    name = lambda key: fields[key].removeprefix("<urn:x-page:").removesuffix(">")
-    kind = fields["warc-type"]
-    for key in ("warc-target-uri", "warc-payload-digest", *(["warc-refers-to"] if kind == "revisit" else [])):
-        if key not in fields:
-            raise ValueError(f"no {key}")
-    head, found, payload = block.partition(b"\r\n\r\n")
-    if not found or not head.startswith(b"HTTP/"):
-        raise ValueError("no HTTP header")
-    http = dict(l.decode("latin-1").lower().split(": ", 1) for l in head.split(b"\r\n")[1:])
-    n, digest = int(http["content-length"]), base64.b32decode(fields["warc-payload-digest"].removeprefix("sha1:")).hex()
-    if kind == "response" and (len(payload) != n or hashlib.sha1(payload).hexdigest() != digest):
-        raise ValueError("payload differs from its length or digest")
-    if kind == "revisit" and payload:
+    """Row of a response or revisit record; its length and digest are checked if it has them.
+
+    The payload is the body of an HTTP answer, without the sizes of chunks, or the whole block if it is none. The digest
+    of a body in chunks may be that with their sizes.
+    """
+    name = lambda key: fields[key].strip("<>")
+    page = lambda text: text.removeprefix(PAGE) if text.startswith(PAGE) else None
+    kind, cut = fields["warc-type"], "warc-truncated" in fields
+    http, payload, bodies = {}, block, [block]
+    if block.startswith(b"HTTP/"):
+        head, found, payload = block.partition(b"\r\n\r\n")
+        if not found and not cut and kind == "response":
+            raise ValueError("no end of the HTTP header")
+        http = _fields(head.decode("latin-1").rstrip("\r\n").split("\r\n")[1:])
+        bodies = [payload]
+        if "chunked" in http.get("transfer-encoding", "").lower() and payload and not cut:
+            payload = unchunked(payload)
+            bodies.append(payload)
+    told = http.get("content-length", "")
+    n = int(told) if told.isdecimal() and len(bodies) == 1 else None
+    digest = _digest(fields["warc-payload-digest"]) if "warc-payload-digest" in fields else None
+    if kind == "response":
+        if n is not None and n != len(payload) and not cut:
+            raise ValueError(f"the payload has {len(payload)} bytes, its header says {n}")
+        n = len(payload)
+        if digest and not cut and digest[1] not in [hashlib.new(digest[0], body).hexdigest() for body in bodies]:
+            raise ValueError("the payload differs from its digest")
+    elif payload and block.startswith(b"HTTP/"):
         raise ValueError("a revisit record with a payload")
+    sha1 = digest[1] if digest and digest[0] == "sha1" else hashlib.sha1(payload).hexdigest() if kind == "response" else None
+    refers = name("warc-refers-to") if kind == "revisit" and "warc-refers-to" in fields else None
     return {
-        "page_id": name("warc-record-id"),
-        "url": fields["warc-target-uri"],
+        "record_id": name("warc-record-id"),
+        "page_id": page(name("warc-record-id")),
+        "url": name("warc-target-uri") if "warc-target-uri" in fields else None,
         "payload": payload if kind == "response" else None,
         "payload_bytes": n,
-        "payload_digest": digest,
+        "payload_digest": sha1,
         "record_type": kind,
-        "refers_to": name("warc-refers-to") if kind == "revisit" else None,
+        "refers_to_record": refers,
+        "refers_to": page(refers) if refers else None,
     }
 
 
-RECORDS = "page_id string, url string, payload binary, payload_bytes long, payload_digest string, record_type string, refers_to string"
+RECORDS = "record_id string, page_id string, url string, payload binary, payload_bytes long, payload_digest string, record_type string, refers_to_record string, refers_to string"
 
 
 def read_archives(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:
     """Response and revisit records of all archives in a folder; a bad one is an error with file and byte.
 
-    Without ``payloads``, they are checked but not returned.
+    Archives may be by any writer, as long as a record is a frame. Without ``payloads``, they are checked but not
+    returned. ``page_id`` and ``refers_to`` are null in records that weren't written here.
     """
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("path", "content")
+    files = spark.read.format("binaryFile").load(path).select("path", "content")
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        columns = [part.split()[0] for part in RECORDS.split(", ")]
         for batch in batches:
             for path, content in zip(batch["path"], batch["content"]):
                 out, size = [], 0
@@ -260,14 +344,14 @@ def read_archives(spark: SparkSession, path: str, payloads: bool = True) -> Data
                     out.append(row)
                     size += len(row["payload"] or b"") + 500
                     if size >= WRITE_BYTES:
-                        yield pd.DataFrame(out)
+                        yield pd.DataFrame(out, columns=columns).astype({"payload_bytes": "Int64"})
                         out, size = [], 0
                 if out:
-                    yield pd.DataFrame(out)
+                    yield pd.DataFrame(out, columns=columns).astype({"payload_bytes": "Int64"})
 
     rows = files.mapInPandas(read, RECORDS)
-    whole = lambda name: F.when(F.col(name) != "null", F.col(name)).cast("long").alias(name)
-    return rows.select(whole("page_id"), "url", "payload", "payload_bytes", "payload_digest", "record_type", whole("refers_to"))
+    number = lambda name: F.when(F.col(name) != "null", F.col(name)).try_cast("long").alias(name)
+    return rows.select(*[number(f.name) if f.name in ("page_id", "refers_to") else F.col(f.name) for f in rows.schema])
 
 
 def round_trip(pages: DataFrame, **options) -> DataFrame:

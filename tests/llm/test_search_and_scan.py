@@ -1,6 +1,7 @@
 """Top-k search, licence scans, decontamination, archives."""
 
 import base64
+import hashlib
 import struct
 import textwrap
 
@@ -246,3 +247,67 @@ def test_good_record():
     row = warc.read_record(*warc.parse_record(raw_record(b"\r\n\r\n")))
     assert row["payload"] == b"\r\n\r\n" and row["payload_bytes"] == 4
     assert base64.b32encode(bytes.fromhex(row["payload_digest"])).decode() in raw_record(b"\r\n\r\n").decode()
+
+
+def foreign(http: bytes, body: bytes, *fields: bytes, kind=b"response") -> bytes:
+    """A record as other programs write them."""
+    block = http + b"\r\n\r\n" + body
+    head = [b"WARC/1.0", b"WARC-Type:" + kind, b"WARC-Record-ID: <urn:uuid:1234>", b"WARC-Date: 2020-01-01T00:00:00Z"]
+    head += [b"WARC-Target-URI: <http://example.org/a b>", *fields, b"Content-Length:%d" % len(block)]
+    return b"\r\n".join(head) + b"\r\n\r\n" + block + b"\r\n\r\n"
+
+
+CHUNKS = b"5;x=y\r\nhello\r\nA\r\n, you all!\r\n0\r\nTrailer: z\r\n\r\n"
+SHA = hashlib.sha1(b"hello, you all!").hexdigest()
+
+
+@pytest.mark.parametrize(
+    ("record", "payload", "digest"),
+    [
+        (foreign(b"HTTP/1.0 200", b"hello, you all!"), b"hello, you all!", SHA),
+        (foreign(b"HTTP/1.1 200 OK\r\nServer:x\r\nX-Long: a\r\n  b", b"hi"), b"hi", hashlib.sha1(b"hi").hexdigest()),
+        (foreign(b"HTTP/1.1 200 OK\r\nTransfer-Encoding: Chunked", CHUNKS), b"hello, you all!", SHA),
+        (foreign(b"HTTP/1.1 200 OK\r\ntransfer-encoding:chunked", CHUNKS, b"WARC-Payload-Digest: sha1:" + hashlib.sha1(CHUNKS).hexdigest().encode()), b"hello, you all!", None),
+        (foreign(b"HTTP/1.1 200 OK\r\ntransfer-encoding:chunked", CHUNKS, b"WARC-Payload-Digest: SHA-1:" + SHA.upper().encode()), b"hello, you all!", SHA),
+        (foreign(b"HTTP/1.1 200 OK\r\nContent-Length: 99", b"cut", b"WARC-Truncated: length"), b"cut", hashlib.sha1(b"cut").hexdigest()),
+        (foreign(b"HTTP/1.1 200", b"x", b"WARC-Payload-Digest: sha256:" + hashlib.sha256(b"x").hexdigest().encode()), b"x", hashlib.sha1(b"x").hexdigest()),
+        (foreign(b"HTTP/1.1 200", b"x", b"WARC-Payload-Digest: crc:77"), b"x", hashlib.sha1(b"x").hexdigest()),
+    ],
+)
+def test_records_of_other_writers(record, payload, digest):
+    row = warc.read_record(*warc.parse_record(record))
+    assert row["payload"] == payload and row["payload_bytes"] == len(payload)
+    assert digest is None or row["payload_digest"] == digest
+    assert row["record_id"] == "urn:uuid:1234" and row["page_id"] is None and row["url"] == "http://example.org/a b"
+
+
+@pytest.mark.parametrize(
+    "record",
+    [
+        foreign(b"HTTP/1.1 200 OK\r\nContent-Length: 3", b"four"),
+        foreign(b"HTTP/1.1 200 OK\r\ntransfer-encoding: chunked", b"5\r\nhel"),
+        foreign(b"HTTP/1.1 200 OK", b"x", b"WARC-Payload-Digest: sha256:" + b"0" * 64),
+        foreign(b"HTTP/1.1 200 OK", b"x", kind=b"revisit"),
+    ],
+)
+def test_bad_records_of_other_writers(record):
+    with pytest.raises(ValueError):
+        warc.read_record(*warc.parse_record(record))
+
+
+def test_archives_of_other_writers(spark, tmp_path):
+    """Frames without the size of their content, an archive without a dictionary, other names of files and kinds of records."""
+    records = [foreign(b"HTTP/1.1 200 OK", b"page %d " % k * 3000) for k in range(5)]
+    records += [foreign(b"x", b"y", kind=b"request"), foreign(b"HTTP/1.1 200", b"", kind=b"revisit")]
+    data = b""
+    for raw in records:
+        stream = zstandard.ZstdCompressor(write_checksum=True).compressobj()
+        data += stream.compress(raw) + stream.flush()
+        assert zstandard.frame_content_size(data) < 0
+    (tmp_path / "crawl.warc.zst").write_bytes(data)
+    rows = warc.read_archives(spark, str(tmp_path)).collect()
+    assert sorted(bytes(r.payload) for r in rows if r.payload) == [b"page %d " % k * 3000 for k in range(5)]
+    (again,) = [r for r in rows if r.record_type == "revisit"]
+    assert again.payload is None and again.payload_bytes is None and again.refers_to is None
+    with pytest.raises(ValueError, match="more than"):
+        warc.unpacked(zstandard.ZstdDecompressor(), memoryview(data), most=100)
