@@ -125,7 +125,7 @@ def _spelt(word: Column) -> Column:
 
 
 def header_windows(some: DataFrame, headers: list[tuple[str, str]]) -> tuple[DataFrame, DataFrame]:
-    """``(path, text_key, unit, line, shape)`` of words that stand where a header might, and ``(template, shape)``."""
+    """``(path, text_key, line, shape)`` of words that stand where a header might, and ``(template, shape)``."""
     spark, shapes = some.sparkSession, []
     for k, (_, text) in enumerate(headers):
         found = _python_words(text)
@@ -143,7 +143,7 @@ def header_windows(some: DataFrame, headers: list[tuple[str, str]]) -> tuple[Dat
     placed = placed.join(F.broadcast(known.drop("template").distinct()), "sign")
     first = F.greatest(F.col("at") - F.col("before"), F.lit(0))
     line = F.array_join(F.slice("words", first + 1, F.col("at") - F.col("before") + F.col("size") - first), " ")
-    return placed.select("path", "text_key", F.col("at").alias("unit"), line.alias("line"), "shape").distinct(), known.select("template", "shape")
+    return placed.select("path", "text_key", line.alias("line"), "shape"), known.select("template", "shape")
 
 
 def _scores(units: DataFrame, unit: list[str], templates: list[tuple[str, str]], shapes: DataFrame | None = None) -> DataFrame:
@@ -170,6 +170,19 @@ def _scores(units: DataFrame, unit: list[str], templates: list[tuple[str, str]],
     return scored.select(*unit, F.when(untold, F.regexp_replace("licence", VERSION, "")).otherwise(F.col("licence")).alias("licence"), "score")
 
 
+def _scored(units: DataFrame, more: list[str], templates: list[tuple[str, str]], threshold: float, shapes: DataFrame | None = None) -> DataFrame:
+    """``(path, text_key, licence, score)`` of ``units(path, text_key, line, *more)`` from the threshold on.
+
+    Equal units are compared once, under a hash of their text, and only hashes of units that are like a template go back
+    to the files: the texts of units are moved no further than to their equals.
+    """
+    key = [F.unhex(F.md5("line")).alias("key"), *more]
+    distinct = units.select(*key, "line").groupBy("key", *more).agg(F.any_value("line").alias("line"))
+    scored = _scores(distinct, ["key", *more], templates, shapes).where(F.col("score") >= threshold)
+    scored = broadcast_if_small(materialize(scored, "scored"))
+    return units.select("path", "text_key", *key).join(scored, ["key", *more]).select("path", "text_key", "licence", "score")
+
+
 def own_licences(
     files: DataFrame, threshold: float = THRESHOLD, templates=TEMPLATES, headers=HEADERS, texts: list[tuple[str, str]] | None = None
 ) -> DataFrame:
@@ -178,21 +191,14 @@ def own_licences(
     ``whole``: the text as a whole is compared, too. A whole licence text wins, then the highest score. Equal scores of
     versions of a licence give its name without a version, others the first licence by name.
     """
-    some = files.where(F.col("text").rlike(SIGNS))
-    lines = some.select("path", "text_key", F.posexplode(F.split("text", "\n")).alias("unit", "line"))
-    lines = lines.where(F.col("line").rlike(SIGNS))
-    wholes = some.where("whole").select("path", "text_key", F.lit(-1).alias("unit"), F.col("text").alias("line"))
-    unit = ["path", "text_key", "unit"]
-    notices = _scores(lines.unionByName(wholes), unit, templates).drop("unit").where(F.col("score") >= threshold)
+    some = materialize(files.where(F.col("text").rlike(SIGNS)).select("path", "text_key", "text", "whole"), "with_signs")
+    lines = some.select("path", "text_key", F.explode(F.split("text", "\n")).alias("line")).where(F.col("line").rlike(SIGNS))
+    wholes = some.where("whole").select("path", "text_key", F.col("text").alias("line"))
+    notices = _scored(lines.unionByName(wholes), [], templates, threshold)
     embedded = [*templates, *headers]
     windows, shapes = header_windows(some, embedded)
-    # Equal windows are compared once; a window's words are all that its score depends on.
-    windows = materialize(windows, "windows")
-    blocks = _scores(windows.select("line", F.col("line").alias("block"), "shape").distinct(), ["block", "shape"], embedded, shapes)
-    blocks = blocks.where(F.col("score") >= threshold).withColumnRenamed("block", "line")
-    blocks = windows.join(blocks, ["line", "shape"]).select("path", "text_key", "licence", "score")
-    whole_texts = _scores(wholes, unit, licence_texts() if texts is None else texts).drop("unit")
-    whole_texts = whole_texts.where(F.col("score") >= max(threshold, TEXT_THRESHOLD))
+    blocks = _scored(windows, ["shape"], embedded, threshold, shapes)
+    whole_texts = _scored(wholes, [], licence_texts() if texts is None else texts, max(threshold, TEXT_THRESHOLD))
     found = notices.unionByName(blocks).withColumn("kind", F.lit(1)).unionByName(whole_texts.withColumn("kind", F.lit(0)))
     found = found.groupBy("path", "text_key", "kind", "score").agg(F.array_sort(F.collect_set("licence")).alias("names"))
     best = found.groupBy("path", "text_key").agg(F.min(F.struct("kind", (-F.col("score")).alias("down"), "names")).alias("best"))
