@@ -54,9 +54,9 @@ LICENCES = f"""
     idf AS (SELECT word, ln((1 + {len(TEMPLATES)}) / (1 + count(*))) + 1 AS idf FROM tw GROUP BY word),
     v AS (SELECT template, licence, word, tf * idf AS w,
                  tf * idf / sqrt(sum(tf * idf * tf * idf) OVER (PARTITION BY template)) AS weight FROM tw JOIN idf USING (word)),
-    f AS (SELECT doc_id, text, '/' || source || '/' || lang || '/' || (doc_id // 100) || '/' || doc_id AS path,
-                 '/' || source || '/' || lang || '/' || (doc_id // 100) || '/' AS dir,
-                 regexp_matches(split_part(text, chr(10), 1), '{SIGN}', 'i') AS whole FROM {DOCS}),
+    o AS (SELECT *, coalesce(regexp_matches(text, '{SIGN}', 'i'), false) AND doc_id % 2 = 0 AS whole FROM {DOCS}),
+    f AS (SELECT doc_id, text, whole, '/' || concat_ws('/', coalesce(source, '-'), CASE WHEN NOT whole OR doc_id % 3 < 2 THEN coalesce(lang, '-') END,
+                 CASE WHEN NOT whole OR doc_id % 3 < 1 THEN (doc_id // 100)::VARCHAR END, doc_id) AS path FROM o),
     lines AS (SELECT doc_id, line_no, line FROM (
                 SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
                        generate_subscripts(string_split(text, chr(10)), 1) AS line_no FROM f)
@@ -71,9 +71,15 @@ LICENCES = f"""
                 SELECT doc_id, licence, round(dot / length, 6) AS score,
                        row_number() OVER (PARTITION BY doc_id ORDER BY round(dot / length, 6) DESC, licence) AS r
                 FROM dot JOIN len USING (doc_id, line_no) WHERE round(dot / length, 6) >= 0.75) WHERE r = 1),
+    above AS (SELECT doc_id, up, '/' || array_to_string(parts[1:len(parts) - 1 - up], '/') || '/' AS dir
+              FROM (SELECT doc_id, parts, unnest(range(len(parts) - 1)) AS up
+                    FROM (SELECT doc_id, string_split(path[2:], '/') AS parts FROM f))),
     dirs AS (SELECT dir, licence FROM (
                 SELECT dir, licence, row_number() OVER (PARTITION BY dir ORDER BY score DESC, path) AS r
-                FROM f JOIN own USING (doc_id) WHERE whole) WHERE r = 1)
+                FROM f JOIN own USING (doc_id) JOIN above USING (doc_id) WHERE whole AND up = 0) WHERE r = 1),
+    near AS (SELECT doc_id, dir, licence FROM (
+                SELECT above.doc_id, dir, dirs.licence, row_number() OVER (PARTITION BY above.doc_id ORDER BY up) AS r
+                FROM above JOIN dirs USING (dir)) WHERE r = 1)
 """
 
 # CRC-32 of a text of ASCII characters.
@@ -114,10 +120,10 @@ ORACLE = {
     "op6_licences": f"""
         WITH {LICENCES}
         SELECT f.doc_id, path, own.licence AS own_licence, score,
-               CASE WHEN own.licence IS NULL THEN dirs.licence END AS inherited_licence,
-               CASE WHEN own.licence IS NULL AND dirs.licence IS NOT NULL THEN f.dir END AS inherited_from,
-               coalesce(own.licence, dirs.licence) AS licence
-        FROM f LEFT JOIN own USING (doc_id) LEFT JOIN dirs ON f.dir = dirs.dir""",
+               CASE WHEN own.licence IS NULL THEN near.licence END AS inherited_licence,
+               CASE WHEN own.licence IS NULL THEN near.dir END AS inherited_from,
+               coalesce(own.licence, near.licence) AS licence
+        FROM f LEFT JOIN own USING (doc_id) LEFT JOIN near USING (doc_id)""",
     "op1_top_k": """
         WITH v AS (
             SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS e FROM embeddings
