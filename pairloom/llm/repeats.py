@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pairloom.llm.common import broadcast_if_small
-from pairloom.llm.hashing import MASK, mix
+from pairloom.llm.hashing import MASK, STEP, mix
 from pairloom.sources.storage import materialize
 
 LENGTH = 200
@@ -69,8 +69,9 @@ def _anchors(data: np.ndarray, length: int, anchor: int, table: np.ndarray) -> t
     least = np.minimum(least[: len(least) - rest], least[rest:]) if rest else least
     begin = np.flatnonzero(np.append(True, least[1:] != least[:-1]))
     end = np.append(begin[1:], len(least)) - 1
-    chosen = least[begin]
-    return (chosen & low).astype(np.int64), begin, end, chosen >> np.uint64(PLACE_BITS)
+    place = (least[begin] & low).astype(np.int64)
+    # The least keys crowd near zero: what tells anchors apart is another hash of the same bytes, all 64 bits of it.
+    return place, begin, end, mix(parts[place] ^ np.uint64(STEP))
 
 
 def anchors_of(data: bytes, length: int = LENGTH, anchor: int = ANCHOR) -> Iterator[tuple[np.ndarray, ...]]:
@@ -192,7 +193,7 @@ def _scan(docs: DataFrame, length: int, anchor: int) -> DataFrame:
                     ]
                     yield pd.DataFrame(
                         {
-                            "h": hashes.astype(np.int64),
+                            "h": hashes.view(np.int64),
                             "context": np.array(contexts, np.uint64).view(np.int64),
                             "doc_id": doc_id,
                             "text_key": key,
@@ -287,12 +288,15 @@ def repeated_runs(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, m
     """``(of_doc, of_text, spans)``: sorted, disjoint byte ranges ``[begin, end)`` to remove, of ``docs(doc_id, text_key, data)``."""
     anchors = materialize(_scan(docs.where(F.length("data") >= length), length, anchor), "anchors")
     shared = anchors.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
-    occurring = anchors.join(shared, "h", "left_semi")
+    # An anchor of a passage with very many copies: its rows aren't moved where the shared anchors are few, and else the
+    # join, which is stored, is split where it is skewed; grouping combines copies before it moves them.
+    occurring = materialize(anchors.join(broadcast_if_small(materialize(shared, "shared")), "h", "left_semi"), "occurring")
     place = F.struct("doc_id", "text_key", "place")
     groups = occurring.groupBy("h", "context", "sides").agg(F.count("*").alias("n"), F.min(place).alias("one"))
     groups = materialize(groups, "contexts")
 
     several = groups.groupBy("h").agg(F.count("*").alias("contexts")).where("contexts > 1")
+    several = broadcast_if_small(materialize(several, "different"))
     chosen = groups.join(several, "h").select(
         "h", "one.*", "sides", (F.col("n") == 1).alias("alone"), (F.col("contexts") > most_contexts).alias("many")
     )
@@ -306,7 +310,8 @@ def repeated_runs(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, m
         many = _contexts(docs, chosen.where("many"), length).dropDuplicates(["h", "doc_id", "text_key", "first"])
         runs = runs.unionByName(_counted(many, length))
 
-    whole = anchors.join(groups.where("n > 1").select("h", "context", "sides"), ["h", "context", "sides"], "left_semi")
+    copies = broadcast_if_small(materialize(groups.where("n > 1").select("h", "context", "sides"), "copies"))
+    whole = occurring.join(copies, ["h", "context", "sides"], "left_semi")
     whole = whole.select(
         "doc_id",
         "text_key",

@@ -234,3 +234,12 @@ def test_idf_counts_documents(spark):
     idf = word_idf(df)
     slot = lambda w: int(WordHashes().of(w)[0]) & (BUCKETS - 1)
     assert idf[slot("a")] == pytest.approx(np.log(4 / 3) + 1) and idf[slot("b")] == pytest.approx(np.log(2) + 1)
+
+
+def test_anchors_of_different_bytes_differ():
+    """As many anchors as a gigabyte has in places: no two of them meet by chance."""
+    rng = np.random.default_rng(11)
+    found = [h for k in range(8) for _, _, _, h in anchors_of(rng.bytes(8 << 20))]
+    hashes = np.concatenate(found)
+    assert len(hashes) > 1_000_000 and len(np.unique(hashes)) == len(hashes)
+    assert (hashes >> np.uint64(63)).mean() == pytest.approx(0.5, abs=0.01)
