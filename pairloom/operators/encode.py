@@ -3,7 +3,7 @@
 from collections.abc import Mapping, Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,21 +16,29 @@ from pairloom.sources.storage import materialize
 TOKENIZED = "tokenized_translation"
 
 
+def _id_lists(values: Sequence) -> pa.Array:
+    """Lists of ids, of whatever kind a codec returns, as one column."""
+    kind = pa.list_(pa.int32())
+    if all(isinstance(ids, list | tuple) for ids in values):
+        return pa.array(values, kind)
+    arrays = [np.asarray(ids, dtype=np.int32) for ids in values]
+    ends = np.cumsum([0, *map(len, arrays)], dtype=np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(arrays)))
+
+
 def _encoder(codec: Codec, options: Mapping):
-    """Text column to encoding column: built in, or a pandas UDF around the codec.
+    """Text column to encoding column: built in, or an Arrow UDF around the codec.
 
-    The UDFs of both languages run in one Arrow round trip.
+    The UDFs of both languages run in one round trip. A batch becomes one array of ids per field, without an object per list.
     """
     if hasattr(codec, "encode_column"):
         return lambda text: codec.encode_column(text, **options)
     fields = list(codec.fields)
 
-    @F.pandas_udf(encoding(codec.fields))
-    def encode(texts: pd.Series) -> pd.DataFrame:
-        encoded = codec.encode_batch(texts.tolist(), **options)
-        # Arrays go to Arrow as they are, whatever kind of integers the codec returns.
-        lists = {name: [np.asarray(e[name], dtype=np.int32) for e in encoded] for name in fields}
-        return pd.DataFrame(lists, columns=fields)
+    @F.arrow_udf(encoding(codec.fields))
+    def encode(texts: pa.Array) -> pa.Array:
+        encoded = codec.encode_batch(texts.to_pylist(), **options)
+        return pa.StructArray.from_arrays([_id_lists([e[name] for e in encoded]) for name in fields], fields)
 
     return encode
 
