@@ -350,7 +350,7 @@ ORACLE: dict[str, str] = {
     "load_json_slices": f"{SLICED} SELECT id, doc_id, md5(text) AS de_md5 FROM sliced",
     "load_json_order": "SELECT row_number() OVER (ORDER BY doc_id) AS id, doc_id, text AS de, source AS en FROM documents",
     "load_json": f"{PAIRS_CTE} SELECT row_number() OVER (ORDER BY id DESC) - 1 AS id, id AS position, de, en FROM pairs",
-    "load_json_columns": "SELECT doc_id AS id, lang, n_chars, CAST(length(text) AS INT) AS de_length, source AS en FROM documents",
+    "load_json_columns": "SELECT doc_id AS id, lang, n_chars, text AS de, source AS en FROM documents",
     "load_json_flat": "SELECT row_number() OVER (ORDER BY doc_id DESC) - 1 AS id, doc_id AS old, lang AS de, source AS en FROM documents",
     "load_json_flat_text": "SELECT row_number() OVER (ORDER BY doc_id DESC) - 1 AS id, doc_id AS old, text AS de, text || source AS en FROM documents",
     "staged_contents": _stage_contents(),

@@ -288,7 +288,7 @@ def load_json_columns(spark, sf_dir):
     pair = F.struct(F.col("text").alias("de"), F.col("source").alias("en")).alias("translation")
     write_jsonl(documents(spark, sf_dir).select(F.col("doc_id").alias("id"), "lang", "n_chars", pair), path)
     rows = load_pairs(spark, "json", split="train", data_files=path, include_ids=False)
-    return rows.select("id", "lang", "n_chars", F.length("translation.de").alias("de_length"), "translation.en")
+    return rows.select("id", "lang", "n_chars", "translation.de", "translation.en")
 
 
 def load_json_flat(spark, sf_dir):
