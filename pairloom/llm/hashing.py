@@ -1,9 +1,13 @@
 """Word and shingle hashes as numpy arrays, for use inside tasks."""
 
+import ctypes
+import functools
 import re
 import unicodedata
+from collections.abc import Callable, Iterator
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 
 MASK = (1 << 64) - 1
@@ -65,3 +69,20 @@ def windows(hashes: np.ndarray, size: int) -> np.ndarray:
         total += hashes[k : k + n] * np.uint64((STEP * (2 * k + 1)) & MASK)
         total = (total << np.uint64(7)) | (total >> np.uint64(57))
     return mix(total)
+
+
+def tidy(function: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``function`` over batches, that gives freed memory back to the system behind the last one.
+
+    Spark reuses Python workers; what they keep for themselves is missing beside later stages that need none.
+    """
+
+    @functools.wraps(function)
+    def run(batches: Iterator) -> Iterator:
+        yield from function(batches)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim is not None:
+            trim(0)
+
+    return run

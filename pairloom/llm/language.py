@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pairloom.llm.common import set_aside
-from pairloom.llm.hashing import mix
+from pairloom.llm.hashing import mix, tidy
 
 UNKNOWN = "und"
 # The family of some languages. A language that isn't listed is a family of its own.
@@ -191,6 +191,7 @@ class LanguageModel:
 
 
 def _featured(rows: DataFrame, dimensions: int) -> DataFrame:
+    @tidy
     def make(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         letters = _letters()
         for batch in batches:
@@ -250,6 +251,7 @@ def predict_languages(docs: DataFrame, model: LanguageModel | None, text_col: st
     over 1 says that the text is in none of the learnt languages.
     """
     @F.pandas_udf("lang_pred string, score double, distance double")
+    @tidy
     def predict(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         letters = _letters()
         dimensions = model.between.shape[0] - 1 if model else DIMENSIONS

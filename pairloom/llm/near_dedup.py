@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from pairloom.llm.common import SHINGLE_WORDS, SIMILARITY, broadcast_if_small, set_aside
 from pairloom.llm.components import connected_components
-from pairloom.llm.hashing import MASK, STEP, WordHashes, mix, windows
+from pairloom.llm.hashing import MASK, STEP, WordHashes, mix, tidy, windows
 from pairloom.sources.storage import materialize
 
 BANDS, ROWS = 10, 3
@@ -99,6 +99,7 @@ def sample(keys: np.ndarray, weights: np.ndarray, starts: np.ndarray, gamma: np.
 def word_idf(texts: DataFrame) -> np.ndarray:
     """Idf of every word bucket over all documents; ``texts(text)``."""
 
+    @tidy
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         cache, df, docs = WordHashes(), np.zeros(BUCKETS, np.int64), 0
         last = np.zeros(BUCKETS, np.int64)
@@ -125,6 +126,7 @@ def word_idf(texts: DataFrame) -> np.ndarray:
 def signatures(texts: DataFrame, idf, size: int = SHINGLE_WORDS) -> DataFrame:
     """``(doc_id, t, samples)`` of the texts; samples are empty for texts of fewer words than a shingle."""
 
+    @tidy
     def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         cache, gamma, weights = WordHashes(), _gamma_levels(), idf.value
         log_gamma = np.log(gamma)
@@ -165,6 +167,7 @@ def _verified(pairs: DataFrame, suspects: DataFrame, idf, threshold: float, size
     a = suspects.select(F.col("t").alias("a"), F.col("text").alias("text_a"))
     b = suspects.select(F.col("t").alias("b"), F.col("text").alias("text_b"))
 
+    @tidy
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         cache, weights = WordHashes(), idf.value
         hub, of_hub = None, None
@@ -190,6 +193,7 @@ def _prefixes(apart: DataFrame, idf, threshold: float, size: int) -> DataFrame:
     def slots(keys: np.ndarray) -> np.ndarray:
         return (keys & np.uint64(RARITY_BUCKETS - 1)).astype(np.int64)
 
+    @tidy
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         cache, weights, df = WordHashes(), idf.value, np.zeros(RARITY_BUCKETS, np.int64)
         for batch in batches:
@@ -205,6 +209,7 @@ def _prefixes(apart: DataFrame, idf, threshold: float, size: int) -> DataFrame:
     df[rows["slot"].to_numpy(np.int64)] = rows["n"]
     rarity = spark.sparkContext.broadcast(df)
 
+    @tidy
     def prefix(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         cache, weights, df = WordHashes(), idf.value, rarity.value
         for batch in batches:

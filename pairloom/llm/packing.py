@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pairloom.llm.hashing import MASK, STEP, mix
+from pairloom.llm.hashing import MASK, STEP, mix, tidy
 from pairloom.llm.tokens import worker_encoder
 from pairloom.sources.storage import materialize
 
@@ -59,6 +59,7 @@ def encode_documents(docs: DataFrame, tokenizer: str, window: int = WINDOW, end:
     """
     content = docs.sparkSession.sparkContext.broadcast(tokenizer)
 
+    @tidy
     def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encoder = worker_encoder(content.value)
         last = np.array([end], np.uint32)
@@ -85,6 +86,7 @@ def distinct(ids: np.ndarray, last: np.ndarray) -> np.ndarray:
 def corpus_statistics(encoded: DataFrame) -> tuple[np.ndarray, float, int, int]:
     """Idf by token id over all units, their mean length, their number and their tokens."""
 
+    @tidy
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         df, last, units, tokens = np.zeros(0, np.int64), np.zeros(0, np.int64), 0, 0
         for batch in batches:
@@ -237,6 +239,7 @@ def pack(
     idf, mean_length, units, tokens = corpus_statistics(encoded)
     known = spark.sparkContext.broadcast((idf, mean_length))
 
+    @tidy
     def add_keys(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         idf, _ = known.value
         last = np.zeros(len(idf), np.int64)
@@ -269,6 +272,7 @@ def pack(
     keyed = with_tie(encoded)
     dealt = keyed.repartitionById(len(borders) + 1, part_of(*order)).sortWithinPartitions(*order, "doc_id").drop("tie")
 
+    @tidy
     def fill(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         idf, mean_length = known.value
         # Numbers don't clash between partitions, and a repeated task gives the same.

@@ -1,5 +1,6 @@
 """Token ids of whole texts by a tokenizer file, with frequent words looked up."""
 
+import functools
 import json
 import re
 import sys
@@ -73,16 +74,23 @@ class ChunkEncoder:
     """
 
     def __init__(self, content: str, most: int = 600_000, group: int = 4_000_000, merge: bool = True):
-        self.tokenizer = Tokenizer.from_str(content)
-        self.tokenizer.no_truncation()
-        self.tokenizer.no_padding()
-        self.most, self.group = most, group
+        self.content, self.most, self.group = content, most, group
         self.known: dict[str, bytes] = {}
-        self.line_ids = self.tokenizer.encode("\n", add_special_tokens=False).ids
-        self.line_end = self.line_ids[0] if self.line_ids else -1
         self.merging = merge_encoding(content) if merge else None
         self.special = [token["content"] for token in json.loads(content).get("added_tokens", ())]
 
+    @functools.cached_property
+    def tokenizer(self) -> Tokenizer:
+        """Loaded when it is needed; most tasks only have texts that the faster library encodes."""
+        tokenizer = Tokenizer.from_str(self.content)
+        tokenizer.no_truncation()
+        tokenizer.no_padding()
+        return tokenizer
+
+    @functools.cached_property
+    def line_ids(self) -> list[int]:
+        return self.tokenizer.encode("\n", add_special_tokens=False).ids
+
     def _merges(self, text: str) -> bool:
         """Whether the faster library gives the tokenizer's ids."""
         if self.merging is None or any(token in text for token in self.special):
@@ -108,7 +116,7 @@ class ChunkEncoder:
         for at in range(0, len(words), 10_000):
             part = words[at : at + 10_000]
             ids = np.array(self.tokenizer.encode("\n".join(part), add_special_tokens=False).ids, np.uint32)
-            ends = np.append(np.flatnonzero(ids == self.line_end), len(ids)) if len(self.line_ids) == 1 else [0]
+            ends = np.append(np.flatnonzero(ids == self.line_ids[0]), len(ids)) if len(self.line_ids) == 1 else [0]
             if len(ends) == len(part):
                 data, begin = ids.tobytes(), 0
                 for word, end in zip(part, ends.tolist()):
