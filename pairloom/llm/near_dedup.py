@@ -43,6 +43,8 @@ RARITY_BUCKETS = 1 << 20
 # Pairs that agree in fewer of the 30 samples aren't verified: at a similarity of 0.8 that has a
 # probability of 1e-9.
 LEAST_AGREEMENT = 9
+# Texts that are compared with one copy of their hub's text, about.
+HUB_MEMBERS = 1000
 LEVELS = 1 << 16
 # Weights are sums of numbers of six digits.
 SLACK = 1e-6
@@ -163,23 +165,35 @@ def _band_keys() -> Column:
 
 
 def _verified(pairs: DataFrame, suspects: DataFrame, idf, threshold: float, size: int) -> DataFrame:
-    """The pairs ``(a, b)`` of text keys whose texts are similar enough."""
-    a = suspects.select(F.col("t").alias("a"), F.col("text").alias("text_a"))
-    b = suspects.select(F.col("t").alias("b"), F.col("text").alias("text_b"))
+    """The pairs ``(a, b)`` of text keys whose texts are similar enough.
+
+    Many pairs may have one ``b``, a hub. They are dealt in groups of about ``HUB_MEMBERS``, and each group gets the hub's text
+    once, in front of its own texts.
+    """
+    pairs = materialize(pairs, "compared")
+    many = pairs.groupBy("b").agg(F.ceil(F.count("*") / HUB_MEMBERS).alias("groups"))
+    dealt = pairs.join(many, "b").select("a", "b", F.pmod(F.xxhash64("a"), F.col("groups")).alias("group"))
+    texts = suspects.select("t", "text")
+    members = dealt.join(texts, F.col("a") == F.col("t")).select("b", "group", "a", "text")
+    hubs = dealt.select("b", "group").distinct().join(texts, F.col("b") == F.col("t"))
+    hubs = hubs.select("b", "group", F.lit(None).cast("binary").alias("a"), "text")
+    # Null comes first: the hub.
+    rows = members.unionByName(hubs).repartition("b", "group").sortWithinPartitions("b", "group", "a")
 
     @tidy
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cache, weights = WordHashes(), idf.value
-        hub, of_hub = None, None
+        cache, weights, of_hub = WordHashes(), idf.value, None
         for batch in batches:
             good = np.zeros(len(batch), bool)
-            for k, (key, first, second) in enumerate(zip(batch["b"], batch["text_a"], batch["text_b"])):
-                if key != hub:
-                    hub, of_hub = key, bag(cache.of(second), weights, size)
-                good[k] = similarity(bag(cache.of(first), weights, size), of_hub) >= threshold
+            for k, (member, text) in enumerate(zip(batch["a"], batch["text"])):
+                own = bag(cache.of(text), weights, size)
+                if member is None:
+                    of_hub = own
+                else:
+                    good[k] = similarity(own, of_hub) >= threshold
             yield batch.loc[good, ["a", "b"]]
 
-    return pairs.join(a, "a").join(b, "b").mapInPandas(compare, "a binary, b binary")
+    return rows.mapInPandas(compare, "a binary, b binary")
 
 
 def _prefixes(apart: DataFrame, idf, threshold: float, size: int) -> DataFrame:

@@ -243,3 +243,16 @@ def test_anchors_of_different_bytes_differ():
     hashes = np.concatenate(found)
     assert len(hashes) > 1_000_000 and len(np.unique(hashes)) == len(hashes)
     assert (hashes >> np.uint64(63)).mean() == pytest.approx(0.5, abs=0.01)
+
+
+def test_a_large_cluster_of_long_texts(spark, monkeypatch):
+    """Many near copies of one long text, in groups of a few that each get the hub's text once."""
+    from pairloom.llm import near_dedup
+
+    monkeypatch.setattr(near_dedup, "HUB_MEMBERS", 7)
+    rnd = random.Random(6)
+    words = [f"w{rnd.randrange(5000)}" for _ in range(2000)]
+    rows = [(k, " ".join(f"x{k}" if i == 13 * k % 2000 else w for i, w in enumerate(words))) for k in range(300)]
+    rows += [(1000 + k, " ".join(f"v{rnd.randrange(5000)}" for _ in range(2000))) for k in range(20)]
+    found = {r.doc_id: r.class_id for r in near_classes(spark.createDataFrame(rows, "doc_id long, text string").repartition(6)).collect()}
+    assert found == {k: 0 if k < 1000 else k for k, _ in rows}
