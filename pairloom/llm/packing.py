@@ -21,7 +21,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pairloom.llm.hashing import MASK, STEP, mix, tidy
@@ -141,11 +141,11 @@ class Shard:
         own = slice(self.starts[seed], self.starts[seed + 1])
         token, weight = self.token[own], self.weight[own]
         query = token[np.lexsort((token, -weight))[:QUERY_TOKENS]]
-        total = np.zeros(self.count)
-        for at in np.searchsorted(self.vocabulary, query):
-            posted = slice(self.first[at], self.first[at + 1])
-            total[self.posted[posted]] += self.post_weight[posted]
-        return total
+        lists = [slice(self.first[at], self.first[at + 1]) for at in np.searchsorted(self.vocabulary, query)]
+        if not lists:
+            return np.zeros(self.count)
+        posted, weights = np.concatenate([self.posted[x] for x in lists]), np.concatenate([self.post_weight[x] for x in lists])
+        return np.bincount(posted, weights, minlength=self.count)
 
 
 def fill_windows(units: list[np.ndarray], idf: np.ndarray, mean_length: float, window: int) -> list[list[tuple]]:
@@ -238,39 +238,41 @@ def pack(
     encoded = materialize(encode_documents(docs, tokenizer, window, end), "encoded")
     idf, mean_length, units, tokens = corpus_statistics(encoded)
     known = spark.sparkContext.broadcast((idf, mean_length))
+    cuts: list[tuple[int, int, int]] = []
+
+    def add_keys(cuts: list[tuple[int, int, int]]) -> Column:
+        """``key, key2, part`` of a rest and its tie: two minima over its most telling tokens, and the part of their range."""
+
+        @F.pandas_udf("key long, key2 long, part int")
+        def keys_of(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+            idf, _ = known.value
+            last = np.zeros(len(idf), np.int64)
+            tokens = np.arange(len(idf), dtype=np.uint64)
+            hashes = [mix(tokens ^ np.uint64((STEP * (j + 1)) & MASK)) for j in range(2)]
+            for rests, ties in batches:
+                keys = np.zeros((len(rests), 2), np.int64)
+                for k, rest in enumerate(rests):
+                    if rest:
+                        ids = distinct(np.frombuffer(rest, "<u4"), last)
+                        if len(ids) > KEY_TOKENS:
+                            own = idf[ids]
+                            ids = ids[own >= np.partition(own, -KEY_TOKENS)[-KEY_TOKENS]]
+                        keys[k] = [h[ids].min().view(np.int64) for h in hashes]
+                parts = [bisect_right(cuts, at) for at in zip(keys[:, 0].tolist(), keys[:, 1].tolist(), ties)]
+                yield pd.DataFrame({"key": keys[:, 0], "key2": keys[:, 1], "part": np.array(parts, np.int32)})
+
+        return keys_of("rest", "tie")
 
-    @tidy
-    def add_keys(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        idf, _ = known.value
-        last = np.zeros(len(idf), np.int64)
-        for batch in batches:
-            keys = np.zeros((len(batch), 2), np.int64)
-            for k, rest in enumerate(batch["rest"]):
-                if rest:
-                    ids = distinct(np.frombuffer(rest, "<u4"), last)
-                    if len(ids) > KEY_TOKENS:
-                        ids = ids[idf[ids] >= np.partition(idf[ids], -KEY_TOKENS)[-KEY_TOKENS]]
-                    telling = ids.astype(np.uint64)
-                    for j in range(2):
-                        keys[k, j] = mix(telling ^ np.uint64((STEP * (j + 1)) & MASK)).min().view(np.int64)
-            yield batch.assign(key=keys[:, 0], key2=keys[:, 1])
-
-    keyed_ddl = f"{_ddl(encoded)}, key long, key2 long"
     parts = max(1, -(-tokens // PARTITION_TOKENS))
     # Even parts of the keys' range from a sample of them; equal keys are told apart by document and content.
     order = ["key", "key2", "tie"]
-    with_tie = lambda df: df.mapInPandas(add_keys, keyed_ddl).withColumn("tie", F.xxhash64("doc_id", "rest"))
-    sampled = with_tie(encoded.sample(min(1.0, KEYS_SAMPLED * parts / max(units, 1)), 1)).where(F.length("rest") > 0)
-    borders = [tuple(r) for r in sampled.select(*order).orderBy(*order).collect()]
-    borders = borders[KEYS_SAMPLED // 2 :: KEYS_SAMPLED][: parts - 1] if parts > 1 else []
-    cuts = spark.sparkContext.broadcast(borders)
-
-    @F.pandas_udf("int")
-    def part_of(key: pd.Series, key2: pd.Series, tie: pd.Series) -> pd.Series:
-        return pd.Series([bisect_right(cuts.value, at) for at in zip(key, key2, tie)], dtype="int32")
-
-    keyed = with_tie(encoded)
-    dealt = keyed.repartitionById(len(borders) + 1, part_of(*order)).sortWithinPartitions(*order, "doc_id").drop("tie")
+    tied = encoded.withColumn("tie", F.xxhash64("doc_id", "rest"))
+    if parts > 1:
+        some = tied.where(F.length("rest") > 0).sample(min(1.0, KEYS_SAMPLED * parts / max(units, 1)), 1)
+        found = some.select(add_keys([]).alias("at"), "tie").select("at.key", "at.key2", "tie").orderBy(*order).collect()
+        cuts = [tuple(row) for row in found][KEYS_SAMPLED // 2 :: KEYS_SAMPLED][: parts - 1]
+    keyed = tied.withColumn("at", add_keys(cuts)).select(*encoded.columns, "at.*", "tie")
+    dealt = keyed.repartitionById(len(cuts) + 1, F.col("part")).sortWithinPartitions(*order, "doc_id").drop("part", *order)
 
     @tidy
     def fill(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -322,7 +324,3 @@ def pack(
             yield frame()
 
     return dealt.mapInPandas(fill, PIECES).withColumn("doc_id", F.col("doc_id").cast("long"))
-
-
-def _ddl(df: DataFrame) -> str:
-    return ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.schema)

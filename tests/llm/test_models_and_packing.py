@@ -216,3 +216,17 @@ def test_kth_largest(spark, k):
     assert kth_largest(df, "x", k) == sorted(values, reverse=True)[min(k, 20_000) - 1]
     assert kth_largest(df, "x", 0) is None and kth_largest(df.limit(0), "x", 3) is None
     assert math.isfinite(kth_largest(df, "x", k))
+
+
+def test_packing_in_many_parts(spark, content, monkeypatch):
+    """Parts of the keys' range, of which one key alone has more than a part."""
+    from pairloom.llm import packing
+
+    monkeypatch.setattr(packing, "PARTITION_TOKENS", 300)
+    texts = [(k, f"alpha w{k % 50} beta w{k % 7} gamma") for k in range(150)] + [(1000 + k, "the same words again") for k in range(150)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(4)
+    packed = packing.pack(docs, content, window=64)
+    rows = packed.collect()
+    check_pieces(rows, texts, content, 64)
+    assert packed.rdd.getNumPartitions() > 5
+    assert len({r.sequence_id >> 40 for r in rows}) > 5
