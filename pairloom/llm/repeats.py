@@ -288,15 +288,14 @@ def repeated_runs(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, m
     """``(of_doc, of_text, spans)``: sorted, disjoint byte ranges ``[begin, end)`` to remove, of ``docs(doc_id, text_key, data)``."""
     anchors = materialize(_scan(docs.where(F.length("data") >= length), length, anchor), "anchors")
     shared = anchors.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
-    # An anchor of a passage with very many copies: its rows aren't moved where the shared anchors are few, and else the
-    # join, which is stored, is split where it is skewed; grouping combines copies before it moves them.
-    occurring = materialize(anchors.join(broadcast_if_small(materialize(shared, "shared")), "h", "left_semi"), "occurring")
+    # An anchor of a passage with very many copies: this join is stored, not grouped by the same key at once, so Spark may
+    # split it where it is skewed; grouping then combines copies before it moves them.
+    occurring = materialize(anchors.join(shared, "h", "left_semi"), "occurring")
     place = F.struct("doc_id", "text_key", "place")
     groups = occurring.groupBy("h", "context", "sides").agg(F.count("*").alias("n"), F.min(place).alias("one"))
     groups = materialize(groups, "contexts")
 
     several = groups.groupBy("h").agg(F.count("*").alias("contexts")).where("contexts > 1")
-    several = broadcast_if_small(materialize(several, "different"))
     chosen = groups.join(several, "h").select(
         "h", "one.*", "sides", (F.col("n") == 1).alias("alone"), (F.col("contexts") > most_contexts).alias("many")
     )
@@ -310,7 +309,7 @@ def repeated_runs(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, m
         many = _contexts(docs, chosen.where("many"), length).dropDuplicates(["h", "doc_id", "text_key", "first"])
         runs = runs.unionByName(_counted(many, length))
 
-    copies = broadcast_if_small(materialize(groups.where("n > 1").select("h", "context", "sides"), "copies"))
+    copies = groups.where("n > 1").select("h", "context", "sides")
     whole = occurring.join(copies, ["h", "context", "sides"], "left_semi")
     whole = whole.select(
         "doc_id",
