@@ -31,10 +31,10 @@ from pairloom.sources.storage import materialize
 WINDOW = 2048
 END = 1
 # Units and tokens of a shard; its index takes some 20 bytes a token.
-SHARD_UNITS = 8192
-SHARD_TOKENS = 8_000_000
+SHARD_UNITS = 4096
+SHARD_TOKENS = 4_000_000
 # Tokens on which a partition of the sorted units works; it holds one shard at a time.
-PARTITION_TOKENS = 8_000_000
+PARTITION_TOKENS = 4_000_000
 # Keys that are sampled for each partition, to cut the range of keys into even parts.
 KEYS_SAMPLED = 50
 # Neighbours that are ranked at first; all are if these don't fill the window.
