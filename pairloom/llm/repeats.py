@@ -288,8 +288,8 @@ def repeated_runs(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, m
     """``(of_doc, of_text, spans)``: sorted, disjoint byte ranges ``[begin, end)`` to remove, of ``docs(doc_id, text_key, data)``."""
     anchors = materialize(_scan(docs.where(F.length("data") >= length), length, anchor), "anchors")
     shared = anchors.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
-    # An anchor of a passage with very many copies: this join is stored, not grouped by the same key at once, so Spark may
-    # split it where it is skewed; grouping then combines copies before it moves them.
+    # All rows of an anchor with very many copies still meet in one task of this join; it is stored, so that grouping
+    # combines copies before it moves them.
     occurring = materialize(anchors.join(shared, "h", "left_semi"), "occurring")
     place = F.struct("doc_id", "text_key", "place")
     groups = occurring.groupBy("h", "context", "sides").agg(F.count("*").alias("n"), F.min(place).alias("one"))
