@@ -28,13 +28,16 @@ from pairloom.sources.sinks import (
     path_exists,
     split_path,
     write_dataset,
+    write_jsonl,
     write_manifest,
     write_splits,
 )
 from pairloom.sources.storage import materialize, run_folder, stored_tables, write_apart
 
-# Columns of a staged run: the position in the input if ids are the source's, and the pair as loaded.
-POSITION, LOADED = "_position", "_loaded"
+# Column of a staged run: the position in the input if ids are the source's.
+POSITION = "_position"
+# Stored tables of whole texts are read once or twice: smaller ones cost less than their compression.
+COMPRESSION = "zstd"
 
 
 def _agree(what: str, *values) -> None:
@@ -76,12 +79,14 @@ def preprocess(
     split_options: Mapping[str, Any] | None = None,
     staging: str | None = None,
     dataset_name: str = "dataset",
+    staging_compression: str | None = None,
 ) -> dict[str, Any]:
     """Run all stages, write the dataset to ``output`` and return its manifest.
 
     The options of a stage are the keyword arguments of its function. With ``staging``,
     every stage is also written there as ``<dataset_name>_<stage>.jsonl`` and every
-    report as ``<stage>_report``; each stage then continues from a stored table.
+    report as ``<stage>_report``; each stage then continues from a stored table. They are plain text, or compressed
+    as ``staging_compression`` says (``gzip``), which Spark's readers see by the names of the files.
     """
     ids = training_token_ids(codec)
     id_field = load_options.get("id_field", "id")
@@ -131,6 +136,7 @@ def preprocess(
                 filter_options=dict(filter_options or {}),
                 tokenize_options=tokenize_options,
                 map_options=map_options,
+                compression=staging_compression,
             )
 
         rows = write_dataset(mapped, output, training_rows(map_options.get("include_text", False)))
@@ -173,39 +179,40 @@ def _staged(
     filter_options,
     tokenize_options,
     map_options,
+    compression,
 ) -> DataFrame:
     """The stages with a stored table after the filter and the encoding.
 
     Each table is read twice, once for all its snapshots and reports, which are written side by side, and once to go on.
+    The source is read twice, too: its texts are not stored again beside the normalized ones.
     """
     langs = LANGS
     debug = norm_options.get("debug", False)
     columns = [c for c in pairs.columns if c != POSITION]
-    # The snapshot reads what has been stored, not the source again.
-    normed = norm(pairs.withColumn(LOADED, F.col("translation")), **{**norm_options, "annotate": True})
+    write_jsonl(pairs.select(*columns), f"{prefix}_load.jsonl", compression)
+    normed = norm(pairs, **{**norm_options, "annotate": True})
 
     # Changes and flaws are found in one pass and stored once with their labels.
-    checked = materialize(find_flaws(normed, **{"id_field": id_field, **filter_options}), "checked")
-    loaded = [F.col(LOADED).alias(c) if c == "translation" else F.col(c) for c in columns]
+    checked = materialize(find_flaws(normed, **{"id_field": id_field, **filter_options}), "checked", COMPRESSION)
     altered, norm_columns = norm_report_row(langs, seq_field, start_id, debug)
     flaws = flaw_report_columns(langs, seq_field, start_id)
     normed_row, flawed = [F.col(c) for c in columns], flaw_count(langs) > 0
     _write_lines(
         checked,
         {
-            f"{prefix}_load.jsonl": (F.lit(True), loaded, True),
             f"{staging}/norm_report": (altered, norm_columns, False),
             f"{prefix}_norm.jsonl": (F.lit(True), normed_row, True),
             f"{staging}/filter_report": (flawed, flaws, False),
             f"{prefix}_filter.jsonl": (~flawed, normed_row, True),
         },
+        compression,
     )
 
     options = dict(tokenize_options)
     limit = options.pop("max_seq_len", None)
     src_lang = options.pop("src_lang")
     clean = keep(checked).select(columns + [c for c in (POSITION,) if c in checked.columns])
-    encoded = materialize(encode_pairs(clean, codec, langs=langs, **options), "encoded")
+    encoded = materialize(encode_pairs(clean, codec, langs=langs, **options), "encoded", COMPRESSION)
     report = tokenize_report_columns(limit, src_lang, langs, id_field, seq_field)
     lengths = run_folder(checked.sparkSession, "lengths")
     kept = F.lit(True) if limit is None else ~is_overlong(limit, *sides(src_lang, langs))
@@ -218,17 +225,20 @@ def _staged(
             f"{prefix}_tokenize.jsonl": (kept, [F.col(c) for c in whole], True),
             f"{prefix}_map.jsonl": (kept, training_columns(**map_options), True),
         },
+        compression,
     )
     stored = encoded.sparkSession.read.schema(encoded.select(*report).schema).json(lengths)
-    numbered_report(stored).write.json(f"{staging}/tokenize_report")
+    numbered_report(stored).write.json(f"{staging}/tokenize_report", compression=compression)
     return mapped
 
 
-def _write_lines(df: DataFrame, outputs: Mapping[str, tuple[Column, list[Column], bool]]) -> None:
+def _write_lines(
+    df: DataFrame, outputs: Mapping[str, tuple[Column, list[Column], bool]], compression: str | None
+) -> None:
     """JSON lines to several folders in one pass: of the rows that a condition holds for, some columns, with or without nulls."""
     lines = []
     for k, (wanted, columns, nulls) in enumerate(outputs.values()):
         line = F.to_json(F.struct(*columns), {"ignoreNullFields": str(not nulls).lower()})
         lines.append(F.when(wanted, F.struct(F.lit(k).alias("_output"), line.alias("value"))))
     each = stage_boundary(df).select(F.explode(F.array_compact(F.array(*lines))).alias("line")).select("line.*")
-    write_apart(each, "_output", list(outputs), "text")
+    write_apart(each, "_output", list(outputs), "text", compression)

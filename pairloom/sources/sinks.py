@@ -32,23 +32,27 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
 
 
-def write_jsonl(df: DataFrame, path: str) -> None:
-    """Write one JSON object per row; null fields and non-ASCII text are kept."""
-    df.write.json(path, ignoreNullFields=False)
+def write_jsonl(df: DataFrame, path: str, compression: str | None = None) -> None:
+    """Write one JSON object per row; null fields and non-ASCII text are kept. Plain text unless compressed."""
+    df.write.json(path, ignoreNullFields=False, compression=compression)
 
 
-def write_dataset(df: DataFrame, path: str, schema: T.StructType | None = None) -> int:
+def write_dataset(
+    df: DataFrame, path: str, schema: T.StructType | None = None, compression: str | None = None
+) -> int:
     """Write the final dataset and return its row count, taken in the same pass."""
     if schema is not None:
         df = df.select(*(F.col(field.name).cast(field.dataType) for field in schema))
     seen = Observation()
-    stage_boundary(df, seen).write.parquet(path)
+    stage_boundary(df, seen).write.parquet(path, compression=compression)
     return seen.get["rows"]
 
 
-def save_dataset(df: DataFrame, path: str, schema: T.StructType | None = None) -> DataFrame:
+def save_dataset(
+    df: DataFrame, path: str, schema: T.StructType | None = None, compression: str | None = None
+) -> DataFrame:
     """Write the dataset and return it as read back."""
-    write_dataset(df, path, schema)
+    write_dataset(df, path, schema, compression)
     return df.sparkSession.read.parquet(path)
 
 

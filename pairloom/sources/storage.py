@@ -30,16 +30,17 @@ def shared_dir(spark: SparkSession) -> str:
     return configured.rstrip("/")
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def materialize(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
     """Write ``df`` as a parquet table to the shared folder and read it back.
 
     Cuts the lineage: a lost executor costs the tasks it was running, not the stages
     before, and filters on the result never move back into the computation. Inside
     ``stored_tables`` the table goes with the run, elsewhere it stays until the folder is cleared.
+    ``compression`` is the session's if not given.
     """
     spark = df.sparkSession
     path = run_folder(spark, name)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -58,7 +59,9 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     files.delete(found, True)
 
 
-def write_apart(df: DataFrame, number: str, targets: Sequence[str], file_format: str) -> None:
+def write_apart(
+    df: DataFrame, number: str, targets: Sequence[str], file_format: str, compression: str | None = None
+) -> None:
     """Write the rows to one folder per value of ``number``, from 0, in a single pass over ``df``.
 
     They are written side by side into a folder next to the first target, whose parts then move to their
@@ -71,7 +74,8 @@ def write_apart(df: DataFrame, number: str, targets: Sequence[str], file_format:
     before = spark.conf.get(writers, None)
     spark.conf.set(writers, str(len(targets)))
     try:
-        df.write.partitionBy(number).format(file_format).save(aside)
+        options = {"compression": compression} if compression else {}
+        df.write.partitionBy(number).format(file_format).options(**options).save(aside)
         for k, target in enumerate(targets):
             source, files = _hadoop(spark, f"{aside}/{number}={k}")
             if not files.exists(source):

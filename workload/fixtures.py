@@ -6,7 +6,7 @@ third of them get a decoration, chosen by ``doc_id``. No document is left out. T
 portable: the same text defines the tables in Spark and in the checking database.
 """
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 GREEK = ("abcdefghijklmnopqrstuvwxyz", "αβψδεφγηιξκλμνοπθρστυωχχυζ")
@@ -40,10 +40,12 @@ TEXTS = f"SELECT doc_id AS id, {decorated('text', 'doc_id % 40')} AS text FROM d
 # Each document with the next one; the last one stands with itself. Decorations are
 # shifted between the sides. In case 15 both sides are equal.
 _NEXT = "coalesce(b.text, a.text)"
-PAIRS = f"""SELECT a.doc_id AS id,
+_SIDES = f"""SELECT a.doc_id AS id,
   {decorated('a.text', 'a.doc_id % 40')} AS de,
-  CASE a.doc_id % 40 WHEN 15 THEN a.text ELSE {decorated(_NEXT, '((a.doc_id + 10) % 40)')} END AS en
-FROM documents a LEFT JOIN documents b ON b.doc_id = a.doc_id + 1"""
+  CASE a.doc_id % 40 WHEN 15 THEN a.text ELSE {decorated(_NEXT, '((a.doc_id + 10) % 40)')} END AS en"""
+PAIRS = f"{_SIDES}\nFROM documents a LEFT JOIN documents b ON b.doc_id = a.doc_id + 1"
+# Ids of a block share all bits but these.
+_BLOCK_BITS = 6
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataFrame:
@@ -66,15 +68,34 @@ def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(TEXTS.replace("FROM documents", "FROM {documents}"), documents=documents(spark, sf_dir))
 
 
-def flat_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``id, de, en``"""
-    sql = PAIRS.replace("documents a", "{documents} a").replace("documents b", "{documents} b")
-    return spark.sql(sql, documents=documents(spark, sf_dir))
+def with_next(docs: DataFrame, ordered: bool = False) -> DataFrame:
+    """The left join of ``PAIRS`` with one shuffle of the texts: ``a`` and ``b``, null or a struct, as columns.
 
-
-def pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    Blocks of neighbouring ids are dealt out, the first document of each to the block before, too. ``ordered`` deals
+    them out by ranges, so that the rows lie in the order of their ids.
+    """
+    block = F.shiftright("doc_id", _BLOCK_BITS)
+    first = F.col("doc_id").bitwiseAND(F.lit((1 << _BLOCK_BITS) - 1)) == 0
+    own = F.struct(block.alias("block"), F.lit(True).alias("own"))
+    before = F.struct((block - 1).alias("block"), F.lit(False).alias("own"))
+    places = F.explode(F.when(first, F.array(own, before)).otherwise(F.array(own))).alias("place")
+    dealt = docs.select("doc_id", "text", places).select("doc_id", "text", "place.*")
+    dealt = dealt.repartitionByRange("block") if ordered else dealt.repartition("block")
+    # Equal ids follow several times, null ones never, as in the join.
+    following = Window.partitionBy("block").orderBy("doc_id").rangeBetween(1, 1)
+    found = F.collect_list(F.when(F.col("doc_id").isNotNull(), F.struct("text"))).over(following)
+    rows = dealt.withColumn("b", found).sortWithinPartitions("block", "doc_id").where("own")
+    return rows.select(F.struct("doc_id", "text").alias("a"), F.explode_outer("b").alias("b"))
+
+
+def flat_pairs(spark: SparkSession, sf_dir: str, ordered: bool = False) -> DataFrame:
+    """``id, de, en``; ``ordered`` rows lie in the order of their ids."""
+    return spark.sql(f"{_SIDES} FROM {{joined}}", joined=with_next(documents(spark, sf_dir), ordered))
+
+
+def pairs(spark: SparkSession, sf_dir: str, ordered: bool = False) -> DataFrame:
     """``id, translation``"""
-    return flat_pairs(spark, sf_dir).select("id", F.struct("de", "en").alias("translation"))
+    return flat_pairs(spark, sf_dir, ordered).select("id", F.struct("de", "en").alias("translation"))
 
 
 def pages(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -438,7 +438,7 @@ def preprocess_staged(spark, sf_dir):
 def staged_contents(spark, sf_dir):
     """What lies in every snapshot and report of a run: a digest of each row."""
     run = _run_dir(spark)
-    save_dataset(pairs(spark, sf_dir).orderBy("id").drop("id"), f"{run}/raw/train")
+    save_dataset(pairs(spark, sf_dir, ordered=True).drop("id"), f"{run}/raw/train", compression="zstd")
     preprocess(
         spark,
         f"{run}/out",
@@ -449,6 +449,7 @@ def staged_contents(spark, sf_dir):
         tokenize_options={"max_seq_len": MAX_SEQ_LEN},
         map_options={"src_lang": "de", "tgt_lang": "en"},
         staging=f"{run}/staging",
+        staging_compression="gzip",
         dataset_name="docs",
     )
     tokens = "tokenized_translation struct<de: struct<input_ids: array<int>>, en: struct<input_ids: array<int>>>"
