@@ -474,8 +474,8 @@ def staged_contents(spark, sf_dir):
 def staged_kept_ids(spark, sf_dir):
     """Positions in the reports of a run that keeps the sparse ids of its source."""
     run = _run_dir(spark)
-    source = pairs(spark, sf_dir).withColumn("row", F.col("id") * 7 + 3)
-    save_dataset(source.orderBy("id").drop("id"), f"{run}/raw/train")
+    source = pairs(spark, sf_dir, ordered=True).withColumn("row", F.col("id") * 7 + 3)
+    save_dataset(source.drop("id"), f"{run}/raw/train", compression="zstd")
     preprocess(
         spark,
         f"{run}/out",
@@ -486,6 +486,7 @@ def staged_kept_ids(spark, sf_dir):
         tokenize_options={"max_seq_len": MAX_SEQ_LEN},
         map_options={"src_lang": "de", "tgt_lang": "en"},
         staging=f"{run}/staging",
+        staging_compression="gzip",
     )
     norm_rows = spark.read.json(f"{run}/staging/norm_report").select(F.lit("norm").alias("report"), "seq_no")
     flaw_rows = spark.read.json(f"{run}/staging/filter_report").select(F.lit("filter"), "seq_no")
