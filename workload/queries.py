@@ -412,7 +412,7 @@ def preprocess_plan(spark, sf_dir):
 def preprocess_staged(spark, sf_dir):
     """A run with snapshots and reports: rows per stage, report and final dataset."""
     run = _run_dir(spark)
-    save_dataset(pairs(spark, sf_dir).drop("id"), f"{run}/raw/train")
+    save_dataset(pairs(spark, sf_dir).drop("id"), f"{run}/raw/train", compression="zstd")
     preprocess(
         spark,
         f"{run}/out",
@@ -423,6 +423,7 @@ def preprocess_staged(spark, sf_dir):
         tokenize_options={"max_seq_len": MAX_SEQ_LEN},
         map_options={"src_lang": "de", "tgt_lang": "en"},
         staging=f"{run}/staging",
+        staging_compression="gzip",
         dataset_name="docs",
     )
     sources = {stage: f"{run}/staging/docs_{stage}.jsonl" for stage in ("load", "norm", "filter", "tokenize", "map")}
