@@ -1,9 +1,10 @@
 """Encoding of sentence pairs into token ids, the length limit and its report."""
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,6 +15,8 @@ from pairloom.schemas import LANGS, encoding
 from pairloom.sources.storage import materialize
 
 TOKENIZED = "tokenized_translation"
+# Bytes of text that a codec gets at a time. What it returns, lists or objects of its own, is many times as large.
+SLICE_BYTES = 1 << 20
 
 
 def _id_lists(values: Sequence) -> pa.Array:
@@ -26,10 +29,19 @@ def _id_lists(values: Sequence) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(arrays)))
 
 
+def _slices(texts: pa.Array) -> Iterator[pa.Array]:
+    """The texts in turn, at least one and about ``SLICE_BYTES`` at a time."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    cuts = np.flatnonzero(np.diff(ends // SLICE_BYTES)) + 1
+    for begin, end in zip([0, *cuts], [*cuts, len(texts)]):
+        yield texts.slice(begin, end - begin)
+
+
 def _encoder(codec: Codec, options: Mapping):
     """Text column to encoding column: built in, or an Arrow UDF around the codec.
 
-    The UDFs of both languages run in one round trip. A batch becomes one array of ids per field, without an object per list.
+    The UDFs of both languages run in one round trip. A batch becomes one array of ids per field, without an object per list,
+    and the codec sees a small slice of it at a time: only arrays grow with the batch, which Spark ends at 64 MB.
     """
     if hasattr(codec, "encode_column"):
         return lambda text: codec.encode_column(text, **options)
@@ -37,6 +49,9 @@ def _encoder(codec: Codec, options: Mapping):
 
     @F.arrow_udf(encoding(codec.fields))
     def encode(texts: pa.Array) -> pa.Array:
+        return pa.concat_arrays([arrays(some) for some in _slices(texts)])
+
+    def arrays(texts: pa.Array) -> pa.Array:
         encoded = codec.encode_batch(texts.to_pylist(), **options)
         return pa.StructArray.from_arrays([_id_lists([e[name] for e in encoded]) for name in fields], fields)
 

@@ -4,11 +4,13 @@ import importlib
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 from test_sources_and_runs import OPTIONS, TEXTS
 from test_stages import Words, plan
 
 from pairloom import schemas
-from pairloom.functions.codecs import ExternalCodec
+from pairloom.functions.codecs import Codec, ExternalCodec
+from pairloom.operators.encode import SLICE_BYTES, encode_pairs
 from pairloom.plans.preprocess import preprocess
 from pairloom.sources.storage import materialize
 from workload import fixtures
@@ -59,3 +61,27 @@ def test_staged_run_stores_normalized_texts_only(spark, tmp_path, monkeypatch):
     )
     assert stored["checked"] == ["translation", "id", "de_norm_changes", "en_norm_changes", "de_flaws", "en_flaws", "pair_flaws"]
     assert len(list(Path(tmp_path / "staging/dataset_load.jsonl").glob("part-*"))) > 0
+
+
+class Noting(Codec):
+    """Notes in every encoding how many bytes of text were encoded with it."""
+
+    name, fields = "noting", ("input_ids", "attention_mask")
+
+    def encode_batch(self, texts, **options):
+        total = sum(len(text.encode()) for text in texts)
+        return [{"input_ids": [len(text), total, len(texts)], "attention_mask": [1]} for text in texts]
+
+
+def test_a_codec_gets_bounded_slices_of_a_batch(spark):
+    """What it returns would else grow with the batch, which is as large as 64 MB."""
+    lengths = [0, 300_000, 5, 700_000, 2_500_000, 1, 0, 900_000, 200_000, 0]
+    rows = spark.range(len(lengths), numPartitions=1).select("id", F.element_at(F.lit(lengths), (F.col("id") + 1).cast("int")).alias("n"))
+    text = F.when(F.col("n") > 0, F.expr("repeat('ä', n)"))
+    encoded = encode_pairs(rows.select("id", F.struct(text.alias("de"), F.lit("x").alias("en")).alias("translation")), Noting())
+    ids = [r[0] for r in encoded.orderBy("id").select("tokenized_translation.de.input_ids").collect()]
+    assert [i[0] for i in ids] == lengths
+    # One text more than fits at most.
+    assert all(total <= SLICE_BYTES + 2 * max(lengths) and count < len(lengths) for _, total, count in ids)
+    assert [r[0] for r in encoded.where("id < 0").collect()] == []
+    assert {tuple(r[0]) for r in encoded.select("tokenized_translation.en.input_ids").collect()} == {(1, len(lengths), len(lengths))}
