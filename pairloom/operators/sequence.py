@@ -22,6 +22,7 @@ def dense_sequence(
     start: int = 0,
     keep: Sequence[str] | None = None,
     unique: bool = False,
+    compression: str | None = None,
 ) -> DataFrame:
     """Number the rows in the order of ``order_by``; rows of equal values must be interchangeable.
 
@@ -30,7 +31,7 @@ def dense_sequence(
     shared folder with partition number and position inside the partition. What reaches
     the driver is one row count per partition; their running totals go back as a
     literal array. With ``unique``, equal values are an error: they lie next to each other in one
-    partition, so hashes of neighbours are compared.
+    partition, so hashes of neighbours are compared. ``compression`` of the stored rows is the session's if not given.
     """
     columns = [F.col(name) for name in keep or df.columns]
     place = F.monotonically_increasing_id().alias("_place")
@@ -38,7 +39,7 @@ def dense_sequence(
     keys = [part for key, _, _ in order_keys(df, order_by) for part in (key, key.isNull())]
     key = [F.xxhash64(*keys).alias("_key")] if unique else []
     ordered = df.repartitionByRange(*order_by).sortWithinPartitions(*order_by)
-    stored = materialize(ordered.select(*columns, place, *key), "sequence")
+    stored = materialize(ordered.select(*columns, place, *key), "sequence", compression)
     partition = F.shiftright("_place", _ROW_BITS).cast("int")
     if unique:
         neighbours = Window.partitionBy(partition).orderBy("_place")

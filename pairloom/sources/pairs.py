@@ -12,6 +12,9 @@ from pairloom.operators.sequence import dense_sequence
 from pairloom.schemas import LANGS
 from pairloom.sources.places import Source, parse_split
 
+# Whole texts that are stored once more, in order.
+COMPRESSION = "zstd"
+
 # A line of a report that is a list, a tuple, a text, a number or a constant.
 OTHER_LITERAL = r"""^(?:\[.*\]|\(.*\)|'[^']*'|"[^"]*"|[+-]?[0-9.]+|None|True|False)$"""
 
@@ -39,7 +42,7 @@ def attach_ids(
     if not include_ids:
         return df
     columns = _columns_without_id(df.columns, id_field, overwrite_ids)
-    return dense_sequence(df, order_by, id_field, start=start_id, keep=columns, unique=True)
+    return dense_sequence(df, order_by, id_field, start=start_id, keep=columns, unique=True, compression=COMPRESSION)
 
 
 def _columns_without_id(columns: Sequence[str], id_field: str, overwrite_ids: bool) -> list[str]:
@@ -125,7 +128,7 @@ def load_pairs(
         pairs = first_in_order(pairs, order_by, max_examples)
     if not include_ids:
         return pairs
-    return dense_sequence(pairs, order_by, number, start=start_id, keep=columns, unique=True)
+    return dense_sequence(pairs, order_by, number, start=start_id, keep=columns, unique=True, compression=COMPRESSION)
 
 
 def read_records(spark: SparkSession, path: str, schema: T.StructType | None = None, *, locate: bool = False) -> DataFrame:

@@ -12,7 +12,8 @@ from pairloom import schemas
 from pairloom.functions.codecs import Codec, ExternalCodec
 from pairloom.operators.encode import SLICE_BYTES, encode_pairs
 from pairloom.plans.preprocess import preprocess
-from pairloom.sources.storage import materialize
+from pairloom.sources.pairs import load_pairs
+from pairloom.sources.storage import materialize, stored_tables
 from workload import fixtures
 
 IDS = [0, 1, 1, 2, 2, 5, 62, 63, 64, 64, 65, 127, 128, -1, -64, -65, 1 << 40, None, None]
@@ -63,6 +64,15 @@ def test_staged_run_stores_normalized_texts_only(spark, tmp_path, monkeypatch):
     assert len(list(Path(tmp_path / "staging/dataset_load.jsonl").glob("part-*"))) > 0
 
 
+def test_rows_by_order_column_are_stored_once_and_small(spark, tmp_path):
+    spark.range(100).selectExpr("id AS position", "struct(repeat('a', 9) AS de, 'b' AS en) AS translation").write.json(str(tmp_path / "in"))
+    with stored_tables(spark) as folder:
+        rows = load_pairs(spark, "json", split="train", data_files=str(tmp_path / "in"), order_by=[F.desc("position")])
+        assert [(r["id"], r["position"]) for r in rows.orderBy("id").collect()] == [(i, 99 - i) for i in range(100)]
+        parts = list(Path(folder.removeprefix("file:")).glob("*/part-*"))
+    assert parts and all(p.name.endswith(".zstd.parquet") and p.parent.name.startswith("sequence-") for p in parts)
+
+
 class Noting(Codec):
     """Notes in every encoding how many bytes of text were encoded with it."""
 
