@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pairloom.llm.common import broadcast_if_small
-from pairloom.llm.hashing import MASK, STEP, mix
+from pairloom.llm.hashing import MASK, STEP, mix, tidy
 from pairloom.sources.storage import materialize
 
 LENGTH = 200
@@ -90,72 +90,125 @@ def anchors_of(data: bytes, length: int = LENGTH, anchor: int = ANCHOR) -> Itera
 KEY_LIMIT = 1 << 63
 
 
-def _ranks(keys: np.ndarray) -> np.ndarray:
-    """Dense ranks: equal keys have equal ones, in the order of the keys."""
-    return np.unique(keys, return_inverse=True)[1].astype(np.int64)
+def _ranks(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Dense ranks from 0, equal keys have equal ones, and the order of the keys."""
+    order = np.argsort(keys)
+    values = keys[order]
+    steps = np.zeros(len(keys), bool)
+    np.not_equal(values[1:], values[:-1], out=steps[1:])
+    del values
+    ranks = np.empty(len(keys), _places(len(keys)))
+    ranks[order] = np.cumsum(steps, dtype=ranks.dtype)
+    return ranks, order
+
+
+def _places(n: int) -> type:
+    """The narrowest integers for places and ranks in ``n`` symbols: the sort's memory is made of them."""
+    return np.int32 if n < (1 << 31) - 8 else np.int64
+
+
+def _sampled(n: int) -> np.ndarray:
+    """Places at 1, then at 2 modulo 3. With a length of 1 modulo 3, the empty suffix ends the first ones."""
+    kind = _places(n)
+    return np.concatenate([np.arange(1, n + (n % 3 == 1), 3, dtype=kind), np.arange(2, n, 3, dtype=kind)])
+
+
+def _named(padded: np.ndarray, n: int, top: int) -> tuple[np.ndarray, np.ndarray | None]:
+    """Names of the triples at the sampled places, and their order if all of them differ."""
+    sampled = _sampled(n)
+    keys = padded[sampled].astype(np.int64)
+    keys *= top
+    keys += padded[sampled + 1]
+    # With many different symbols, three of them don't fit a key; two and a rank do.
+    if top**3 > KEY_LIMIT:
+        keys = _ranks(keys)[0].astype(np.int64)
+    keys *= top
+    keys += padded[sampled + 2]
+    del sampled
+    names, order = _ranks(keys)
+    distinct = int(names[order[-1]]) + 1 == len(names)
+    names += 1
+    return names, order if distinct else None
 
 
 def suffix_array(s: np.ndarray) -> np.ndarray:
-    """Starts of the suffixes of ``s`` in order, by the difference cover {1, 2} modulo 3. Values are 1 or more."""
+    """Starts of the suffixes of ``s`` in order, by the difference cover {1, 2} modulo 3. Values are 1 or more.
+
+    Takes up to some 40 bytes of memory a symbol: a level keeps nothing but its symbols while the next one is sorted.
+    """
     n = len(s)
     if n < 3:
         return np.array(sorted(range(n), key=lambda i: s[i:].tolist()), np.int64)
     top = int(s.max()) + 1
-    padded = np.concatenate([s, np.zeros(3, np.int64)]).astype(np.int64)
-    # With a length of 1 modulo 3, the empty suffix ends the first half of the names.
-    ones = np.arange(1, n + (n % 3 == 1), 3)
-    twos = np.arange(2, n, 3)
-    sampled = np.concatenate([ones, twos])
-    pairs = padded[sampled] * top + padded[sampled + 1]
-    # With many different symbols, three of them don't fit a key; two and a rank do.
-    triples = (pairs if top**3 <= KEY_LIMIT else _ranks(pairs)) * top + padded[sampled + 2]
-    values, names = np.unique(triples, return_inverse=True)
-    if len(values) == len(sampled):
-        order = np.argsort(names)
-    else:
-        order = suffix_array(names.astype(np.int64) + 1)
-    rank = np.zeros(n + 4, np.int64)
-    rank[sampled[order]] = np.arange(1, len(sampled) + 1)
-    sampled = sampled[order]
+    kind = _places(n)
+    padded = np.concatenate([s, np.zeros(3, s.dtype)])
+    del s
+    names, order = _named(padded, n, top)
+    if order is None:
+        order = suffix_array(names)
+    del names
+    sampled = _sampled(n)[order]
+    del order
+    rank = np.zeros(n + 4, kind)
+    rank[sampled] = np.arange(1, len(sampled) + 1, dtype=kind)
     sampled = sampled[sampled < n]
     # The remaining suffixes, by their first symbol and the rank of what follows.
-    zeros = np.arange(0, n, 3)
+    zeros = np.arange(0, n, 3, dtype=kind)
     many = len(rank) + 1
-    after_one = lambda i: padded[i] * many + rank[i + 1]
-    pairs = padded[:-1] * top + padded[1:]
+    ranked = None
     if top * top * many > KEY_LIMIT:
-        pairs = _ranks(pairs)
-    after_two = lambda i: pairs[i] * many + rank[i + 2]
+        pairs = padded[:-1].astype(np.int64)
+        pairs *= top
+        pairs += padded[1:]
+        ranked = _ranks(pairs)[0]
+        del pairs
+
+    def after_one(i: np.ndarray) -> np.ndarray:
+        keys = padded[i].astype(np.int64)
+        keys *= many
+        keys += rank[i + 1]
+        return keys
+
+    def after_two(i: np.ndarray) -> np.ndarray:
+        if ranked is not None:
+            keys = ranked[i].astype(np.int64)
+        else:
+            keys = padded[i].astype(np.int64)
+            keys *= top
+            keys += padded[i + 1]
+        keys *= many
+        keys += rank[i + 2]
+        return keys
+
     zeros = zeros[np.argsort(after_one(zeros), kind="stable")]
     # A place in the merged order is the own order plus what comes before in the other one.
-    is_one = sampled % 3 == 1
-    own_ones, own_twos = sampled[is_one], sampled[~is_one]
-    one_keys, two_keys = after_one(own_ones), after_two(own_twos)
-    zero_one, zero_two = after_one(zeros), after_two(zeros)
-    place = np.empty(n, np.int64)
-    place[zeros] = np.arange(len(zeros)) + np.searchsorted(one_keys, zero_one) + np.searchsorted(two_keys, zero_two)
-    index = np.arange(len(sampled))
-    place[own_ones] = index[is_one] + np.searchsorted(zero_one, one_keys)
-    place[own_twos] = index[~is_one] + np.searchsorted(zero_two, two_keys)
-    out = np.empty(n, np.int64)
-    out[place] = np.arange(n)
+    place = np.empty(n, kind)
+    place[zeros] = np.arange(len(zeros), dtype=kind)
+    for residue, after in ((1, after_one), (2, after_two)):
+        index = np.flatnonzero(sampled % 3 == residue).astype(kind)
+        own = sampled[index]
+        own_keys, zero_keys = after(own), after(zeros)
+        place[zeros] += np.searchsorted(own_keys, zero_keys).astype(kind)
+        place[own] = index + np.searchsorted(zero_keys, own_keys).astype(kind)
+        del index, own, own_keys, zero_keys
+    out = np.empty(n, kind)
+    out[place] = np.arange(n, dtype=kind)
     return out
 
 
+def _symbols(strings: list[bytes]) -> np.ndarray:
+    """The strings joined by symbols of 1; bytes are 2 or more."""
+    symbols = np.frombuffer(b"\0".join(strings), np.uint8).astype(np.int16)
+    symbols += 2
+    symbols[np.cumsum([len(s) + 1 for s in strings])[:-1] - 1] = 1
+    return symbols
+
+
 def repeated_starts(strings: list[bytes], length: int = LENGTH) -> np.ndarray:
     """For each byte of the strings joined with one byte between, if its string of ``length`` occurs twice."""
-    joined = np.frombuffer(b"\0".join(strings) + b"\0" * (length + 8), np.uint8)
     n = sum(map(len, strings)) + len(strings) - 1
-    symbols = joined[:n].astype(np.int64) + 2
-    ends = np.cumsum([len(s) + 1 for s in strings])[:-1] - 1
-    symbols[ends] = 1
-    order = suffix_array(symbols)
+    order = suffix_array(_symbols(strings))
     a, b = order[:-1], order[1:]
-    # Eight bytes at a time; few pairs are equal for long.
-    shifted = joined[: n + length].astype(np.uint64)
-    eight = shifted[: n + length - 7].copy()
-    for k in range(1, 8):
-        eight = eight << np.uint64(8) | shifted[k : n + length - 7 + k]
     # Strings that reach over the end of theirs aren't strings of the corpus.
     whole = np.zeros(n, bool)
     at = 0
@@ -164,6 +217,13 @@ def repeated_starts(strings: list[bytes], length: int = LENGTH) -> np.ndarray:
         at += len(s) + 1
     same = whole[a] & whole[b]
     a, b = a[same], b[same]
+    del order
+    # Eight bytes at a time; few pairs are equal for long.
+    joined = np.frombuffer(b"\0".join(strings) + b"\0" * (length + 8), np.uint8)
+    eight = joined[: n + length - 7].astype(np.uint64)
+    for k in range(1, 8):
+        eight <<= np.uint64(8)
+        eight |= joined[k : n + length - 7 + k]
     for k in [*range(0, length - 7, 8), length - 8]:
         same = eight[a + k] == eight[b + k]
         a, b = a[same], b[same]
@@ -203,6 +263,7 @@ def _scan(docs: DataFrame, length: int, anchor: int) -> DataFrame:
                         }
                     )
 
+    @tidy
     def grouped(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         waiting, rows = [], 0
         for frame in scan(batches):
@@ -238,30 +299,34 @@ def _contexts(docs: DataFrame, chosen: DataFrame, length: int) -> DataFrame:
 def _sorted_out(contexts: DataFrame, length: int) -> DataFrame:
     """Runs of repeated strings in the contexts that occur once; contexts come in order of ``h``."""
 
+    @tidy
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         waiting: list[tuple] = []
-        size, last = 0, None
+        # Bytes waiting, and rows and bytes of them before the last anchor.
+        size, last, rows, before = 0, None, 0, 0
 
-        def flush() -> pd.DataFrame:
-            found = repeated_starts([w[4] for w in waiting], length)
+        def flush(rows: int) -> pd.DataFrame:
+            found = repeated_starts([w[4] for w in waiting[:rows]], length)
             out, at = [], 0
-            for doc_id, key, first, alone, data in waiting:
+            for doc_id, key, first, alone, data in waiting[:rows]:
                 if alone:
                     out += [(doc_id, key, first + a, first + b) for a, b in _runs(found[at : at + len(data)])]
                 at += len(data) + 1
-            waiting.clear()
+            del waiting[:rows]
             return pd.DataFrame(out, columns=["doc_id", "text_key", "first", "last"])
 
         for batch in batches:
             for h, *row, data in zip(*[batch[c] for c in ("h", "doc_id", "text_key", "first", "alone", "data")]):
-                if h != last and size >= SORT_BYTES:
-                    yield flush()
-                    size = 0
-                last = h
+                if h != last:
+                    last, rows, before = h, len(waiting), size
                 waiting.append((*row, bytes(data)))
                 size += len(data)
+                # What the task sorts at a time is larger only if a single anchor is.
+                if size > SORT_BYTES and rows:
+                    yield flush(rows)
+                    size, rows, before = size - before, 0, 0
         if waiting:
-            yield flush()
+            yield flush(len(waiting))
 
     return contexts.mapInPandas(search, FOUND)
 
@@ -269,6 +334,7 @@ def _sorted_out(contexts: DataFrame, length: int) -> DataFrame:
 def _counted(contexts: DataFrame, length: int) -> DataFrame:
     """The same for anchors with very many contexts: every string by its fingerprint."""
 
+    @tidy
     def strings(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for h, doc_id, key, first, alone, data in batch[["h", "doc_id", "text_key", "first", "alone", "data"]].itertuples(index=False):
@@ -321,6 +387,7 @@ def repeated_runs(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, m
         F.array_sort(F.collect_list(F.struct("first", "last"))).alias("runs")
     )
 
+    @tidy
     def merge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             spans = []
@@ -360,6 +427,7 @@ def remove_repeats(
     spans = broadcast_if_small(spans, F.size("spans") + 1)
     owner = F.col("doc_id").eqNullSafe(F.col("of_doc")) & (F.col("text_key") == F.col("of_text"))
 
+    @tidy
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             kept = []

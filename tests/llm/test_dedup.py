@@ -2,10 +2,13 @@
 
 import hashlib
 import random
+import tracemalloc
 
 import numpy as np
+import pandas as pd
 import pytest
 
+from pairloom.llm import repeats
 from pairloom.llm.components import connected_components
 from pairloom.llm.hashing import WordHashes
 from pairloom.llm.line_dedup import dedup_lines
@@ -113,6 +116,44 @@ def test_repeats_in_the_largest_flush():
     assert np.array_equal(found, want.ravel()[:-1])
 
 
+def test_memory_of_the_suffix_sort():
+    """Shared passages in different surroundings, so that names recur and every level recurses."""
+    rng = np.random.default_rng(7)
+    passage = rng.integers(97, 123, 180, np.uint8).tobytes()
+    contexts = [side[:60].tobytes() + passage + side[60:].tobytes() for side in rng.integers(97, 123, (1000, 120), np.uint8)]
+    tracemalloc.start()
+    try:
+        found = repeated_starts(contexts)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert not found.any() and peak < 50 * len(found)
+
+
+def test_a_large_anchor_is_sorted_apart_from_what_waits(monkeypatch):
+    """What a task sorts at a time exceeds the limit only by a single anchor's contexts."""
+    sizes = {1: 3, 2: 3, 3: 9, 4: 2, 5: 12, 6: 1, 7: 1}
+    rows = [(h, f"{h}", h, 7, k % 2 == 0, bytes([h]) * 100) for h, n in sizes.items() for k in range(n)]
+    columns = ["h", "doc_id", "text_key", "first", "alone", "data"]
+    batches = [pd.DataFrame(rows[k : k + 5], columns=columns) for k in range(0, len(rows), 5)]
+    sorted_together = []
+
+    def note(strings, length):
+        sorted_together.append([s[0] for s in strings])
+        return np.ones(101 * len(strings) - 1, bool)
+
+    class Contexts:
+        def mapInPandas(self, search, schema):
+            return list(search(iter(batches)))
+
+    monkeypatch.setattr(repeats, "repeated_starts", note)
+    monkeypatch.setattr(repeats, "SORT_BYTES", 1000)
+    out = pd.concat(repeats._sorted_out(Contexts(), 40))
+    assert [sorted(set(s)) for s in sorted_together] == [[1, 2], [3], [4], [5], [6, 7]]
+    assert sum(sorted_together, []) == [r[0] for r in rows]
+    assert out.values.tolist() == [[r[1], r[2], 7, 106] for r in rows if r[4]]
+
+
 def test_every_string_has_one_anchor_that_follows_its_bytes():
     data = np.random.default_rng(2).integers(97, 100, 900).astype(np.uint8).tobytes()
     data += data[100:400] + b"a" * 120
