@@ -38,6 +38,8 @@ MOST_CONTEXTS = 20_000
 SORT_BYTES = 1 << 20
 # Partitions of the contexts, by their bytes.
 PARTITION_BYTES = 16 << 20
+# Bytes of documents that leave a task at a time.
+CUT_BYTES = 1 << 20
 BASE = 0x9E3779B97F4A7C15
 
 
@@ -237,6 +239,13 @@ def _runs(flags: np.ndarray) -> list[tuple[int, int]]:
     return list(zip(edges[::2].tolist(), (edges[1::2] - 1).tolist()))
 
 
+def _merged(begin: np.ndarray, end: np.ndarray) -> list[list[int]]:
+    """Disjoint ranges that cover the same bytes as ``[begin, end)``, which come in order; ranges that touch are one."""
+    reach = np.maximum.accumulate(end)
+    apart = np.flatnonzero(begin[1:] > reach[:-1])
+    return np.column_stack([begin[np.append(0, apart + 1)], reach[np.append(apart, len(end) - 1)]]).tolist()
+
+
 FOUND = "doc_id string, text_key long, first long, last long"
 
 
@@ -383,23 +392,16 @@ def repeated_runs(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, m
         (F.col("place") - F.shiftright("sides", 16)).alias("first"),
         (F.col("place") + F.col("sides").bitwiseAND(F.lit(0xFFFF)) - (1 << 15)).alias("last"),
     )
+    # First and last start in one number, as places in a text take 31 bits: a worker gets arrays of numbers, not of objects.
+    run = F.shiftleft("first", 32).bitwiseOR(F.col("last"))
     both = whole.unionByName(runs).groupBy(F.col("doc_id").alias("of_doc"), F.col("text_key").alias("of_text")).agg(
-        F.array_sort(F.collect_list(F.struct("first", "last"))).alias("runs")
+        F.sort_array(F.collect_list(run)).alias("runs")
     )
 
     @tidy
     def merge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            spans = []
-            for runs in batch["runs"]:
-                out: list[list[int]] = []
-                for run in runs:
-                    begin, end = run["first"], run["last"] + length
-                    if out and begin <= out[-1][1]:
-                        out[-1][1] = max(out[-1][1], end)
-                    else:
-                        out.append([begin, end])
-                spans.append(out)
+            spans = [_merged(runs >> 32, (runs & 0xFFFFFFFF) + length) for runs in batch["runs"]]
             yield pd.DataFrame({"of_doc": batch["of_doc"], "of_text": batch["of_text"], "spans": spans})
 
     return materialize(both.mapInPandas(merge, "of_doc string, of_text long, spans array<array<long>>"), "spans")
@@ -430,14 +432,19 @@ def remove_repeats(
     @tidy
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            kept = []
-            for data, spans in zip(batch["data"], batch["spans"]):
-                data, parts, at = bytes(data), [], 0
-                for begin, end in spans if spans is not None else ():
-                    parts.append(data[at:begin])
-                    at = end
-                kept.append(b"".join(parts) + data[at:])
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "n_bytes": batch["data"].map(len), "spans": batch["spans"], "kept": kept})
+            n_bytes = batch["data"].map(len)
+            # What is kept is made and sent a slice of the batch at a time.
+            for _, part in batch.groupby(((n_bytes.cumsum() - n_bytes) // CUT_BYTES).to_numpy(), sort=False):
+                kept = []
+                for data, spans in zip(part["data"], part["spans"]):
+                    data, parts, at = bytes(data), [], 0
+                    for begin, end in spans if spans is not None else ():
+                        parts.append(data[at:begin])
+                        at = end
+                    kept.append(b"".join(parts) + data[at:])
+                yield pd.DataFrame(
+                    {"doc_id": part["doc_id"], "n_bytes": n_bytes[part.index], "spans": part["spans"], "kept": kept}
+                )
 
     joined = docs.join(spans, owner, "left").select("doc_id", "data", "spans")
     out = joined.mapInPandas(cut, "doc_id string, n_bytes long, spans array<array<long>>, kept binary")

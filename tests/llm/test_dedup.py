@@ -154,6 +154,53 @@ def test_a_large_anchor_is_sorted_apart_from_what_waits(monkeypatch):
     assert out.values.tolist() == [[r[1], r[2], 7, 106] for r in rows if r[4]]
 
 
+def test_runs_merge_into_disjoint_ranges():
+    rng = np.random.default_rng(8)
+    for n in (1, 2, 5, 40):
+        for reach in (1, 30, 300):
+            begin = np.sort(rng.integers(0, 500, n))
+            end = begin + rng.integers(1, reach + 1, n)
+            covered = np.zeros(900, bool)
+            touching = set()
+            for a, b in zip(begin.tolist(), end.tolist()):
+                covered[a:b] = True
+                touching.add(a)
+            spans = repeats._merged(begin, end)
+            again = np.zeros(900, bool)
+            for a, b in spans:
+                assert a in touching and not again[a:b].any()
+                again[a:b] = True
+            assert np.array_equal(covered, again)
+            assert all(x[1] < y[0] for x, y in zip(spans, spans[1:]))
+
+
+def test_kept_texts_leave_a_task_in_slices(spark, monkeypatch):
+    """A worker never holds what is kept of a whole batch."""
+    docs = pd.DataFrame({"doc_id": [str(k) for k in range(50)], "data": [b"x" * (k * 100) for k in range(50)]})
+    docs["spans"] = [[[0, 50], [60, 90]] if k % 3 == 1 else None for k in range(50)]
+    sent = []
+
+    class Done(Exception):
+        pass
+
+    def cut(self, function, schema):
+        if "kept" in schema:
+            sent.extend(function(iter([docs, docs[:0]])))
+            raise Done
+        return real(self, function, schema)
+
+    frame_type = type(spark.range(1))
+    real = frame_type.mapInPandas
+    monkeypatch.setattr(frame_type, "mapInPandas", cut)
+    monkeypatch.setattr(repeats, "CUT_BYTES", 5000)
+    with pytest.raises(Done):
+        remove_repeats(frame(spark, ["some text"]))
+    assert max(part["n_bytes"].sum() for part in sent) < 5000 + 4900 and len(sent) > 10
+    got = pd.concat(sent)
+    assert got["doc_id"].tolist() == docs["doc_id"].tolist() and got["n_bytes"].tolist() == docs["data"].map(len).tolist()
+    assert got["kept"].map(len).tolist() == [100 * k - (80 if k % 3 == 1 else 0) for k in range(50)]
+
+
 def test_every_string_has_one_anchor_that_follows_its_bytes():
     data = np.random.default_rng(2).integers(97, 100, 900).astype(np.uint8).tobytes()
     data += data[100:400] + b"a" * 120
